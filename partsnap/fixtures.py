@@ -11,60 +11,53 @@ Each Spark builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from partsnap.sources.files import read_parquet
 
 ORDERS_KEY = "partition_date"
 EVENTS_KEY = "partition_date"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _between(key: Column, low: str, high: str) -> Column:
-    return (key >= F.lit(low)) & (key < F.lit(high))
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- orders, monthly keys
 
+ORDER_COLS = ["o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", ORDERS_KEY]
+ORDERS_WINDOW = "partition_date >= '1996-01' and partition_date < '2001-08'"
+
 
 def prod_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` keyed by month; the first column is NULL on every 53rd order."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.when(F.col("o_orderkey") % 53 == 0, F.lit(None)).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "case when o_orderkey % 53 = 0 then null else o_orderstatus end as o_orderstatus",
         "o_orderkey",
         "o_custkey",
         "o_totalprice",
         "o_orderpriority",
-        F.date_format("o_orderdate", "yyyy-MM").alias(ORDERS_KEY),
+        f"date_format(o_orderdate, 'yyyy-MM') as {ORDERS_KEY}",
     )
 
 
-def bkup_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bkup_orders(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
     """Backup of ``prod_orders``: one month behind, starting 1996-01, damaged."""
-    p = prod_orders(spark, sf_dir)
-    window = _between(F.col(ORDERS_KEY), "1996-01", "2001-08")
-    k = F.col("o_orderkey")
-    copied = p.where(window & (k % 97 != 0)).select(
+    p = prod if prod is not None else prod_orders(spark, sf_dir)
+    copied = p.where(f"{ORDERS_WINDOW} and o_orderkey % 97 <> 0").selectExpr(
         "o_orderstatus",
         "o_orderkey",
         "o_custkey",
         "o_totalprice",
-        F.when(k % 89 == 0, F.lit("0-CHANGED")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+        "case when o_orderkey % 89 = 0 then '0-CHANGED' else o_orderpriority end as o_orderpriority",
         ORDERS_KEY,
     )
-    extra = p.where(window & (k % 101 == 0)).select(
-        "o_orderstatus",
-        (k + 10000000).alias("o_orderkey"),
-        "o_custkey",
-        "o_totalprice",
-        "o_orderpriority",
+    extra = p.where(f"{ORDERS_WINDOW} and o_orderkey % 101 = 0").selectExpr(
+        "o_orderstatus", "o_orderkey + 10000000 as o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
         ORDERS_KEY,
     )
-    dups = p.where(window & (k % 103 == 0) & (k % 97 != 0) & (k % 89 != 0))
-    return copied.unionByName(extra).unionByName(dups)
+    dups = p.where(f"{ORDERS_WINDOW} and o_orderkey % 103 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0")
+    return copied.union(extra).union(dups)
 
 
 PROD_ORDERS_SQL = """
@@ -95,13 +88,12 @@ where o_orderkey % 103 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0
 
 def prod_orders_ym(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` keyed by (year, month) as two integer fields."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_totalprice",
-        F.year("o_orderdate").cast("int").alias("o_year"),
-        F.month("o_orderdate").cast("int").alias("o_month"),
+        "cast(year(o_orderdate) as int) as o_year",
+        "cast(month(o_orderdate) as int) as o_month",
     )
 
 
@@ -113,31 +105,29 @@ from orders"""
 
 # ---------------------------------------------------------------- events, daily keys
 
+EVENTS_WINDOW = "partition_date < '2024-01-29'"
+
 
 def prod_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` keyed by day."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "props",
-        F.date_format("ts", "yyyy-MM-dd").alias(EVENTS_KEY),
+        f"date_format(ts, 'yyyy-MM-dd') as {EVENTS_KEY}",
     )
 
 
-def bkup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Backup of ``prod_events``: last day missing, damaged like the orders pair."""
-    p = prod_events(spark, sf_dir)
-    window = F.col(EVENTS_KEY) < F.lit("2024-01-29")
-    k = F.col("event_id")
-    cols = ["event_id", "ts", "user_id", "event_type", "value", "props", EVENTS_KEY]
-    copied = p.where(window & (k % 31 != 0)).select(
-        *[
-            (F.when(k % 37 == 0, F.col("value") + 1.0).otherwise(F.col("value")).alias("value") if c == "value" else c)
-            for c in cols
-        ]
+def bkup_events(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+    """Backup of ``prod_events``: last days missing, damaged like the orders pair."""
+    p = prod if prod is not None else prod_events(spark, sf_dir)
+    copied = p.where(f"{EVENTS_WINDOW} and event_id % 31 <> 0").selectExpr(
+        "event_id", "ts", "user_id", "event_type",
+        "case when event_id % 37 = 0 then value + 1.0 else value end as value", "props", EVENTS_KEY,
     )
-    extra = p.where(window & (k % 41 == 0)).select(*[((k + 100000000).alias(c) if c == "event_id" else c) for c in cols])
-    dups = p.where(window & (k % 43 == 0) & (k % 31 != 0) & (k % 37 != 0)).select(*cols)
-    return copied.unionByName(extra).unionByName(dups)
+    extra = p.where(f"{EVENTS_WINDOW} and event_id % 41 = 0").selectExpr(
+        "event_id + 100000000 as event_id", "ts", "user_id", "event_type", "value", "props", EVENTS_KEY,
+    )
+    dups = p.where(f"{EVENTS_WINDOW} and event_id % 43 = 0 and event_id % 31 <> 0 and event_id % 37 <> 0")
+    return copied.union(extra).union(dups)
 
 
 PROD_EVENTS_SQL = """
@@ -166,9 +156,10 @@ def prod_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer")
 
 
-def bkup_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bkup_customer(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
     """A stale whole-table snapshot of ``customer`` (every 50th customer absent)."""
-    return prod_customer(spark, sf_dir).where(F.col("c_custkey") % 50 != 0)
+    p = prod if prod is not None else prod_customer(spark, sf_dir)
+    return p.where("c_custkey % 50 <> 0")
 
 
 PROD_CUSTOMER_SQL = "select * from customer"
@@ -182,14 +173,11 @@ def prod_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings")
 
 
-def bkup_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bkup_embeddings(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
     """Backup of ``embeddings``: every 7th vector absent, every 11th relabelled."""
-    e = prod_embeddings(spark, sf_dir)
-    k = F.col("vec_id")
-    return e.where(k % 7 != 0).select(
-        "vec_id",
-        "embedding",
-        F.when(k % 11 == 0, F.col("label") + 1).otherwise(F.col("label")).alias("label"),
+    p = prod if prod is not None else prod_embeddings(spark, sf_dir)
+    return p.where("vec_id % 7 <> 0").selectExpr(
+        "vec_id", "embedding", "case when vec_id % 11 = 0 then label + 1 else label end as label"
     )
 
 
@@ -199,6 +187,12 @@ select vec_id, embedding, case when vec_id % 11 = 0 then label + 1 else label en
 from embeddings where vec_id % 7 <> 0"""
 
 
+def pair(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(prod, bkup) of a fixture pair, both from one read of the source table."""
+    prod = globals()[f"prod_{name}"](spark, sf_dir)
+    return prod, globals()[f"bkup_{name}"](spark, sf_dir, prod)
+
+
 # ---------------------------------------------------------------- DuckDB side
 
 FIXTURE_SQL = {

@@ -1,4 +1,4 @@
-"""Column expressions that make whole rows comparable and groupable.
+"""Expressions that make whole rows comparable and groupable.
 
 A row is compared as one ``struct`` of its columns.  Struct equality and
 struct grouping in Spark are null-safe field by field (``NULL`` meets
@@ -9,13 +9,16 @@ diff never needs a join on N nullable columns.
 Map columns are the one type Spark refuses to group or compare; they are
 rewritten (recursively, through arrays and structs) into sorted arrays of
 entries, and turned back into maps for output.
+
+Expressions are produced as SQL text, one string per projected column, so a
+projection of any width costs one call into the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
@@ -27,6 +30,16 @@ PROD = "prod"
 BKUP = "bkup"
 
 
+def ident(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def has_map(dtype: DataType) -> bool:
     """True when ``dtype`` is or contains a map."""
     if isinstance(dtype, MapType):
@@ -38,62 +51,69 @@ def has_map(dtype: DataType) -> bool:
     return False
 
 
-def comparable(col: Column, dtype: DataType) -> Column:
-    """Rewrite ``col`` so it can be grouped, compared and counted distinct.
+def comparable_sql(expr: str, dtype: DataType, depth: int = 0) -> str:
+    """SQL for ``expr`` rewritten so it can be grouped, compared and counted distinct.
 
     Maps become ``array_sort(map_entries(m))``; values that are themselves maps
     are rewritten first, so nested maps compare by content, not entry order.
     Every other type is returned unchanged.
     """
     if not has_map(dtype):
-        return col
+        return expr
+    v = f"_v{depth}"
     if isinstance(dtype, MapType):
-        kt, vt = dtype.keyType, dtype.valueType
-        entries = F.map_entries(col)
-        if has_map(vt):
-            entries = F.transform(
-                entries,
-                lambda e: F.struct(e["key"].alias("key"), comparable(e["value"], vt).alias("value")),
-            )
-        return F.array_sort(entries)
+        entries = f"map_entries({expr})"
+        if has_map(dtype.valueType):
+            inner = comparable_sql(f"{v}.value", dtype.valueType, depth + 1)
+            entries = f"transform({entries}, {v} -> struct({v}.key as key, {inner} as value))"
+        return f"array_sort({entries})"
     if isinstance(dtype, ArrayType):
-        return F.transform(col, lambda x: comparable(x, dtype.elementType))
+        return f"transform({expr}, {v} -> {comparable_sql(v, dtype.elementType, depth + 1)})"
     assert isinstance(dtype, StructType)
-    rebuilt = F.struct(*[comparable(col[f.name], f.dataType).alias(f.name) for f in dtype.fields])
-    return F.when(col.isNull(), F.lit(None)).otherwise(rebuilt)
+    fields = ", ".join(
+        f"{comparable_sql(f'{expr}.{ident(f.name)}', f.dataType, depth)} as {ident(f.name)}" for f in dtype.fields
+    )
+    return f"if({expr} is null, null, struct({fields}))"
 
 
-def restore(col: Column, dtype: DataType) -> Column:
-    """Inverse of :func:`comparable`: sorted entry arrays back into maps."""
+def restore_sql(expr: str, dtype: DataType, depth: int = 0) -> str:
+    """Inverse of :func:`comparable_sql`: sorted entry arrays back into maps."""
     if not has_map(dtype):
-        return col
+        return expr
+    v = f"_v{depth}"
     if isinstance(dtype, MapType):
-        vt = dtype.valueType
-        entries = col
-        if has_map(vt):
-            entries = F.transform(
-                col, lambda e: F.struct(e["key"].alias("key"), restore(e["value"], vt).alias("value"))
-            )
-        return F.map_from_entries(entries)
+        entries = expr
+        if has_map(dtype.valueType):
+            inner = restore_sql(f"{v}.value", dtype.valueType, depth + 1)
+            entries = f"transform({expr}, {v} -> struct({v}.key as key, {inner} as value))"
+        return f"map_from_entries({entries})"
     if isinstance(dtype, ArrayType):
-        return F.transform(col, lambda x: restore(x, dtype.elementType))
+        return f"transform({expr}, {v} -> {restore_sql(v, dtype.elementType, depth + 1)})"
     assert isinstance(dtype, StructType)
-    rebuilt = F.struct(*[restore(col[f.name], f.dataType).alias(f.name) for f in dtype.fields])
-    return F.when(col.isNull(), F.lit(None)).otherwise(rebuilt)
+    fields = ", ".join(
+        f"{restore_sql(f'{expr}.{ident(f.name)}', f.dataType, depth)} as {ident(f.name)}" for f in dtype.fields
+    )
+    return f"if({expr} is null, null, struct({fields}))"
+
 
+def comparable(col: str, dtype: DataType) -> Column:
+    """Column form of :func:`comparable_sql` for one named column."""
+    return F.expr(comparable_sql(ident(col), dtype))
 
-def row_struct(df: DataFrame, columns: Sequence[str]) -> Column:
-    """The whole row as one comparable struct column, fields in ``columns`` order."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return F.struct(*[comparable(F.col(c), types[c]).alias(c) for c in columns])
+
+def row_struct_sql(schema: StructType, columns: Sequence[str], alias: str = ROW) -> str:
+    """The whole row as one comparable struct, fields in ``columns`` order."""
+    types = {f.name: f.dataType for f in schema.fields}
+    fields = ", ".join(f"{comparable_sql(ident(c), types[c])} as {ident(c)}" for c in columns)
+    return f"struct({fields}) as {ident(alias)}"
 
 
-def unpack_row(schema: StructType, columns: Sequence[str], row: str = ROW) -> list[Column]:
-    """Columns of the original rows, read back out of a :func:`row_struct`."""
+def unpack_row_sql(schema: StructType, columns: Sequence[str], row: str = ROW) -> list[str]:
+    """Original columns, read back out of a :func:`row_struct_sql` struct."""
     types = {f.name: f.dataType for f in schema.fields}
-    return [restore(F.col(row)[c], types[c]).alias(c) for c in columns]
+    return [f"{restore_sql(f'{ident(row)}.{ident(c)}', types[c])} as {ident(c)}" for c in columns]
 
 
-def side_tag(label: str) -> Column:
+def side_tag_sql(label: str) -> str:
     """Literal column naming the side a row came from."""
-    return F.lit(label).alias(SIDE)
+    return f"{text(label)} as {SIDE}"

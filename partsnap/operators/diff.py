@@ -23,10 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsnap.functions.rows import BKUP, PROD, ROW, SIDE, row_struct, unpack_row
+from partsnap.functions.rows import BKUP, PROD, ROW, SIDE, ident, row_struct_sql, text, unpack_row_sql
 
 NP = "_np"
 NB = "_nb"
@@ -46,34 +46,30 @@ def align(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None
         raise ValueError(f"columns missing in backup: {missing}")
     pt = {f.name: f.dataType for f in prod.schema.fields}
     bt = {f.name: f.dataType for f in bkup.schema.fields}
-    pcols, bcols = [], []
-    for c in cols:
-        if pt[c] == bt[c]:
-            pcols.append(F.col(c))
-            bcols.append(F.col(c))
-        else:
-            pcols.append(F.col(c).cast("string").alias(c))
-            bcols.append(F.col(c).cast("string").alias(c))
-    return prod.select(*pcols), bkup.select(*bcols), cols
+    exprs = [ident(c) if pt[c] == bt[c] else f"cast({ident(c)} as string) as {ident(c)}" for c in cols]
+    return prod.selectExpr(*exprs), bkup.selectExpr(*exprs), cols
 
 
 def row_counts(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per distinct row value of prod ∪ backup: ``_row, _np, _nb``."""
-    p, b, cols = align(prod, bkup, columns)
-    tagged = p.select(row_struct(p, cols).alias(ROW), F.lit(True).alias("_in_prod")).unionByName(
-        b.select(row_struct(b, cols).alias(ROW), F.lit(False).alias("_in_prod"))
+    return _counts(*align(prod, bkup, columns))
+
+
+def _counts(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
+    tagged = p.selectExpr(row_struct_sql(p.schema, cols), "true as _in_prod").unionByName(
+        b.selectExpr(row_struct_sql(b.schema, cols), "false as _in_prod")
     )
     return tagged.groupBy(ROW).agg(
-        F.count_if(F.col("_in_prod")).alias(NP),
-        F.count_if(~F.col("_in_prod")).alias(NB),
+        F.expr(f"count_if(_in_prod) as {NP}"),
+        F.expr(f"count_if(not _in_prod) as {NB}"),
     )
 
 
-def _copies(side: str, multiset: bool) -> Column:
-    mine, other = (F.col(NP), F.col(NB)) if side == PROD else (F.col(NB), F.col(NP))
+def _copies(side: str, multiset: bool) -> str:
+    mine, other = (NP, NB) if side == PROD else (NB, NP)
     if multiset:
-        return F.greatest(mine - other, F.lit(0).cast("long"))
-    return F.when(other == 0, mine).otherwise(F.lit(0).cast("long"))
+        return f"greatest({mine} - {other}, 0L)"
+    return f"if({other} = 0, {mine}, 0L)"
 
 
 def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK) -> DataFrame:
@@ -84,17 +80,15 @@ def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK) -> DataFrame:
     fixed count, so AQE cannot fold a hot row's chunks back into one task);
     each task then expands only its own chunks.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    last = F.floor((F.col(n) - 1) / F.lit(chunk)).cast("long")
-    chunks = (
-        df.where(F.col(n) > 0)
-        .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .withColumn("_k", F.least(F.lit(chunk).cast("long"), F.col(n) - F.col("_c") * F.lit(chunk)))
-        .repartition(parts, ROW, "_c")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keep = [ident(c) for c in df.columns if c != n]
+    chunks = df.where(f"{ident(n)} > 0").selectExpr(
+        *keep, ident(n), f"explode(sequence(0L, cast(floor(({ident(n)} - 1) / {chunk}) as bigint))) as _c"
+    )
+    spread = chunks.selectExpr(*keep, f"least({chunk}L, {ident(n)} - _c * {chunk}L) as _k", "_c").repartition(
+        parts, ROW, "_c"
     )
-    out = chunks.withColumn("_x", F.explode(F.array_repeat(F.lit(0), F.col("_k").cast("int"))))
-    return out.drop("_x", "_c", "_k", n)
+    return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_k as int))) as _x").drop("_x")
 
 
 def row_diff(
@@ -114,31 +108,29 @@ def row_diff(
     """
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
-    _, _, cols = align(prod, bkup, columns)
-    counts = row_counts(prod, bkup, cols)
+    p, b, cols = align(prod, bkup, columns)
+    counts = _counts(p, b, cols)
     wanted = [PROD, BKUP] if side == "both" else [PROD if side == "prod" else BKUP]
     if len(wanted) == 1:
-        tagged = counts.select(ROW, F.lit(wanted[0]).alias(SIDE), _copies(wanted[0], multiset).alias("_n"))
+        tagged = counts.selectExpr(ROW, f"{text(wanted[0])} as {SIDE}", f"{_copies(wanted[0], multiset)} as _n")
     else:
-        pairs = F.array(*[F.struct(F.lit(s).alias("s"), _copies(s, multiset).alias("n")) for s in wanted])
-        tagged = counts.select(ROW, F.inline(pairs)).withColumnRenamed("s", SIDE).withColumnRenamed("n", "_n")
+        pairs = ", ".join(f"struct({text(s)} as {SIDE}, {_copies(s, multiset)} as _n)" for s in wanted)
+        tagged = counts.selectExpr(ROW, f"inline(array({pairs}))")
     rows = expand_copies(tagged, "_n")
-    return rows.select(SIDE, *unpack_row(prod.select(*cols).schema, cols))
+    return rows.selectExpr(SIDE, *unpack_row_sql(p.schema, cols))
 
 
 def except_distinct(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of prod with no equal row in the backup (``EXCEPT``)."""
-    _, _, cols = align(prod, bkup, columns)
-    counts = row_counts(prod, bkup, cols)
-    return counts.where((F.col(NP) > 0) & (F.col(NB) == 0)).select(
-        *unpack_row(prod.select(*cols).schema, cols)
-    )
+    p, b, cols = align(prod, bkup, columns)
+    counts = _counts(p, b, cols)
+    return counts.where(f"{NP} > 0 and {NB} = 0").selectExpr(*unpack_row_sql(p.schema, cols))
 
 
 def union_distinct(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of prod ∪ backup (``UNION``)."""
-    _, _, cols = align(prod, bkup, columns)
-    return row_counts(prod, bkup, cols).select(*unpack_row(prod.select(*cols).schema, cols))
+    p, b, cols = align(prod, bkup, columns)
+    return _counts(p, b, cols).selectExpr(*unpack_row_sql(p.schema, cols))
 
 
 def differential_summary(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -151,15 +143,15 @@ def differential_summary(prod: DataFrame, bkup: DataFrame, columns: Sequence[str
     """
     counts = row_counts(prod, bkup, columns)
 
-    def total(c: Column, name: str) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    def total(expr: str, name: str) -> str:
+        return f"cast(coalesce(sum({expr}), 0) as bigint) as {name}"
 
-    return counts.agg(
-        total(F.col(NP), "prod_rows"),
-        total(F.col(NB), "bkup_rows"),
-        F.count(F.lit(1)).alias("union_distinct"),
-        F.count_if((F.col(NP) > 0) & (F.col(NB) == 0)).alias("prod_except_bkup"),
-        F.count_if((F.col(NB) > 0) & (F.col(NP) == 0)).alias("bkup_except_prod"),
+    return counts.selectExpr(
+        total(NP, "prod_rows"),
+        total(NB, "bkup_rows"),
+        "count(1) as union_distinct",
+        f"count_if({NP} > 0 and {NB} = 0) as prod_except_bkup",
+        f"count_if({NB} > 0 and {NP} = 0) as bkup_except_prod",
         total(_copies(PROD, False), "prod_only_rows"),
         total(_copies(BKUP, False), "bkup_only_rows"),
         total(_copies(PROD, True), "prod_except_all_bkup"),

@@ -13,20 +13,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from partsnap.functions.rows import BKUP, PROD, SIDE, comparable
+from partsnap.functions.rows import BKUP, PROD, comparable_sql, ident, side_tag_sql
 from partsnap.operators.diff import align
 
 
 def _profile(df: DataFrame, cols: Sequence[str], label: str, approx: bool, rsd: float) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
 
-    def measure(c: str):
-        col = comparable(F.col(c), types[c])
-        return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+    def measure(c: str) -> str:
+        col = comparable_sql(ident(c), types[c])
+        fn = f"approx_count_distinct({col}, {rsd})" if approx else f"count(distinct {col})"
+        return f"{fn} as {ident(c)}"
 
-    return df.agg(*[measure(c).alias(c) for c in cols]).select(F.lit(label).alias(SIDE), *cols)
+    return df.selectExpr(*[measure(c) for c in cols]).selectExpr(side_tag_sql(label), *[ident(c) for c in cols])
 
 
 def distinct_profile(

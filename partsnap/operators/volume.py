@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partsnap.functions.rows import ident
 from partsnap.operators.diff import align
 
 # Fixed status labels of a volume row.
@@ -25,32 +26,31 @@ COUNT_DIFFERS = "count_differs"
 def volume_by_partition(prod: DataFrame, bkup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys…, prod_rows, bkup_rows, status`` for every key on either side."""
     p, b, cols = align(prod, bkup, keys)
-    tagged = p.select(*cols, F.lit(True).alias("_in_prod")).unionByName(
-        b.select(*cols, F.lit(False).alias("_in_prod"))
-    )
+    names = [ident(c) for c in cols]
+    tagged = p.selectExpr(*names, "true as _in_prod").unionByName(b.selectExpr(*names, "false as _in_prod"))
     counts = tagged.groupBy(*cols).agg(
-        F.count_if(F.col("_in_prod")).alias("prod_rows"),
-        F.count_if(~F.col("_in_prod")).alias("bkup_rows"),
+        F.expr("count_if(_in_prod) as prod_rows"),
+        F.expr("count_if(not _in_prod) as bkup_rows"),
     )
-    status = (
-        F.when(F.col("prod_rows") == F.col("bkup_rows"), F.lit(EQUAL))
-        .when(F.col("bkup_rows") == 0, F.lit(MISSING_IN_BKUP))
-        .when(F.col("prod_rows") == 0, F.lit(MISSING_IN_PROD))
-        .otherwise(F.lit(COUNT_DIFFERS))
+    return counts.selectExpr(
+        *names,
+        "prod_rows",
+        "bkup_rows",
+        f"""case when prod_rows = bkup_rows then '{EQUAL}'
+                 when bkup_rows = 0 then '{MISSING_IN_BKUP}'
+                 when prod_rows = 0 then '{MISSING_IN_PROD}'
+                 else '{COUNT_DIFFERS}' end as status""",
     )
-    return counts.withColumn("status", status)
 
 
 def volume_summary(volume: DataFrame) -> DataFrame:
     """One row of tallies over a :func:`volume_by_partition` result."""
-    prod_has = F.col("prod_rows") > 0
-    bkup_has = F.col("bkup_rows") > 0
-    return volume.agg(
-        F.count_if(prod_has).alias("prod_partitions"),
-        F.count_if(bkup_has).alias("bkup_partitions"),
-        F.count_if(prod_has & bkup_has).alias("backed_up_partitions"),
-        F.count_if(F.col("status") == EQUAL).alias("equal_partitions"),
-        F.count_if(F.col("status") != EQUAL).alias("differing_partitions"),
-        F.count_if(F.col("status") == MISSING_IN_BKUP).alias("missing_in_bkup"),
-        F.count_if(F.col("status") == MISSING_IN_PROD).alias("missing_in_prod"),
+    return volume.selectExpr(
+        "count_if(prod_rows > 0) as prod_partitions",
+        "count_if(bkup_rows > 0) as bkup_partitions",
+        "count_if(prod_rows > 0 and bkup_rows > 0) as backed_up_partitions",
+        f"count_if(status = '{EQUAL}') as equal_partitions",
+        f"count_if(status <> '{EQUAL}') as differing_partitions",
+        f"count_if(status = '{MISSING_IN_BKUP}') as missing_in_bkup",
+        f"count_if(status = '{MISSING_IN_PROD}') as missing_in_prod",
     )

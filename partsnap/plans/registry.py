@@ -38,7 +38,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 
 
 def _orders(spark: SparkSession, sf_dir: str):
-    return fx.prod_orders(spark, sf_dir), fx.bkup_orders(spark, sf_dir)
+    return fx.pair(spark, sf_dir, "orders")
 
 
 # ---------------------------------------------------------------- Spark side
@@ -75,7 +75,7 @@ def q_gate_same_key_count(spark, sf_dir):
 
 
 def q_gate_full_count(spark, sf_dir):
-    return gates.full_count(fx.prod_customer(spark, sf_dir), fx.bkup_customer(spark, sf_dir))
+    return gates.full_count(*fx.pair(spark, sf_dir, "customer"))
 
 
 def q_backup_after_history_load(spark, sf_dir):
@@ -94,7 +94,7 @@ def q_backup_after_incremental(spark, sf_dir):
 
 
 def q_unpartitioned_snapshot(spark, sf_dir):
-    p, b = fx.prod_customer(spark, sf_dir), fx.bkup_customer(spark, sf_dir)
+    p, b = fx.pair(spark, sf_dir, "customer")
     return p if gates.full_count(p, b).first()["should_load"] else b
 
 
@@ -131,15 +131,15 @@ def q_diff_multiset(spark, sf_dir):
 
 
 def q_diff_events_daily(spark, sf_dir):
-    return row_diff(fx.prod_events(spark, sf_dir), fx.bkup_events(spark, sf_dir), side="both")
+    return row_diff(*fx.pair(spark, sf_dir, "events"), side="both")
 
 
 def q_diff_unpartitioned(spark, sf_dir):
-    return row_diff(fx.prod_customer(spark, sf_dir), fx.bkup_customer(spark, sf_dir), side="both")
+    return row_diff(*fx.pair(spark, sf_dir, "customer"), side="both")
 
 
 def q_diff_array_column(spark, sf_dir):
-    return row_diff(fx.prod_embeddings(spark, sf_dir), fx.bkup_embeddings(spark, sf_dir), side="both")
+    return row_diff(*fx.pair(spark, sf_dir, "embeddings"), side="both")
 
 
 def q_distinct_profile(spark, sf_dir):
@@ -161,7 +161,7 @@ def q_volume_summary(spark, sf_dir):
 
 
 def q_volume_events_daily(spark, sf_dir):
-    return volume_by_partition(fx.prod_events(spark, sf_dir), fx.bkup_events(spark, sf_dir), [fx.EVENTS_KEY])
+    return volume_by_partition(*fx.pair(spark, sf_dir, "events"), [fx.EVENTS_KEY])
 
 
 def q_differential_summary(spark, sf_dir):

@@ -1,0 +1,43 @@
+"""Parquet reads with the schema pinned after the first look.
+
+Schema inference opens a footer on the driver at every ``spark.read``; for a
+file that has not changed since, the schema found the first time is passed
+explicitly instead.  Only local files (whose version can be checked with
+``stat``) are remembered; other paths are inferred by Spark every time.
+"""
+
+from __future__ import annotations
+
+import os
+from urllib.parse import urlparse
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+_SCHEMAS: dict[tuple[str, int, int], StructType] = {}
+
+
+def _local_version(path: str) -> tuple[str, int, int] | None:
+    parsed = urlparse(path)
+    if parsed.scheme not in ("", "file"):
+        return None
+    local = parsed.path if parsed.scheme == "file" else path
+    try:
+        st = os.stat(local)
+    except OSError:
+        return None
+    if not os.path.isfile(local):
+        return None
+    return (os.path.abspath(local), st.st_mtime_ns, st.st_size)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, skipping inference for a file already seen."""
+    version = _local_version(path)
+    known = _SCHEMAS.get(version) if version else None
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    if version:
+        _SCHEMAS[version] = df.schema
+    return df
