@@ -14,6 +14,16 @@ table reads one partition per side.
 * :func:`full_count` compares whole-table counts, for unpartitioned tables.
 
 Equal counts are taken as equal content; the row diff is the content check.
+
+Two plans, by what is known about the inputs:
+
+* with key listings (``prod_keys`` / ``bkup_keys``, e.g. the catalog's
+  partition list), the newest key is looked up first and the counts are
+  taken from scans pruned to that partition;
+* without them (plain DataFrames), the gate is read off the per-key volume
+  table in one lazy job: each side is scanned once, counted per key with
+  map-side partial aggregation, and the newest key is a ``max`` over the
+  key tuples (NULL keys sort first, so they are the oldest).
 """
 
 from __future__ import annotations
@@ -24,7 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partsnap.functions.keys import key_in
-from partsnap.sources.partitions import listing, newest_keys
+from partsnap.functions.rows import ident
+from partsnap.operators.volume import volume_by_partition
+from partsnap.sources.partitions import newest_keys
 
 GATES = ("same_key_count", "latest_count", "full_count")
 
@@ -51,6 +63,12 @@ def _decide(has_source: bool) -> Column:
     return (differs if has_source else F.lit(False)).alias("should_load")
 
 
+def _key_struct(keys: Sequence[str], **fields: str) -> str:
+    """Key tuple first (so ``max`` orders by it), then the named payload fields."""
+    parts = [f"{ident(k)} as {ident(k)}" for k in keys] + [f"{v} as {n}" for n, v in fields.items()]
+    return "struct(" + ", ".join(parts) + ")"
+
+
 def latest_count(
     prod: DataFrame,
     bkup: DataFrame,
@@ -59,8 +77,21 @@ def latest_count(
     bkup_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``prod_<key>, bkup_<key>, prod_rows, bkup_rows, should_load`` (one row)."""
-    pk = newest_keys(prod_keys if prod_keys is not None else listing(prod, keys), keys, 1)
-    bk = newest_keys(bkup_keys if bkup_keys is not None else listing(bkup, keys), keys, 1)
+    if prod_keys is None or bkup_keys is None:
+        per_key = volume_by_partition(prod, bkup, keys)
+        newest = per_key.selectExpr(
+            f"max(if(prod_rows > 0, {_key_struct(keys, _rows='prod_rows')}, null)) as _p",
+            f"max(if(bkup_rows > 0, {_key_struct(keys, _rows='bkup_rows')}, null)) as _b",
+        )
+        return newest.selectExpr(
+            *[f"_p.{ident(k)} as {ident('prod_' + k)}" for k in keys],
+            *[f"_b.{ident(k)} as {ident('bkup_' + k)}" for k in keys],
+            "coalesce(_p._rows, 0L) as prod_rows",
+            "coalesce(_b._rows, 0L) as bkup_rows",
+            "_p is not null and coalesce(_p._rows, 0L) <> coalesce(_b._rows, 0L) as should_load",
+        )
+    pk = newest_keys(prod_keys, keys, 1)
+    bk = newest_keys(bkup_keys, keys, 1)
     p = prod.where(key_in(keys, pk)) if pk else prod.limit(0)
     b = bkup.where(key_in(keys, bk)) if bk else bkup.limit(0)
     counts = _two_counts(p, b)
@@ -79,8 +110,22 @@ def same_key_count(
     keys: Sequence[str],
     prod_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """``<key>…, prod_rows, bkup_rows, should_load`` for prod's newest key (one row)."""
-    pk = newest_keys(prod_keys if prod_keys is not None else listing(prod, keys), keys, 1)
+    """``<key>…, prod_rows, bkup_rows, should_load`` for prod's newest key.
+
+    One row; none when prod has no rows and no listing is given.
+    """
+    if prod_keys is None and bkup is not None:
+        per_key = volume_by_partition(prod, bkup, keys).where("prod_rows > 0")
+        top = per_key.selectExpr(f"max({_key_struct(keys, _rows='prod_rows', _other='bkup_rows')}) as _t")
+        return top.where("_t is not null").selectExpr(
+            *[f"_t.{ident(k)} as {ident(k)}" for k in keys],
+            "_t._rows as prod_rows",
+            "_t._other as bkup_rows",
+            "_t._rows <> _t._other as should_load",
+        )
+    if prod_keys is None:
+        prod_keys = prod.select(*keys).distinct()
+    pk = newest_keys(prod_keys, keys, 1)
     p = prod.where(key_in(keys, pk)) if pk else prod.limit(0)
     b = None
     if bkup is not None:

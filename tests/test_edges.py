@@ -95,3 +95,19 @@ def test_type_mismatch_compares_as_text(spark):
     p = spark.createDataFrame([(1, dt.date(2021, 6, 1))], "id int, pd date")
     b = spark.createDataFrame([(1, "2021-06-01")], "id int, pd string")
     assert row_diff(p, b, "both").count() == 0
+
+
+def test_gate_plans_agree_with_null_keys(spark):
+    from partsnap.operators.gates import latest_count, same_key_count
+
+    keys = ["pd"]
+    p = spark.createDataFrame([(1, None), (2, "a"), (3, "b"), (4, "b")], "id int, pd string")
+    b = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, pd string")
+    lazy = latest_count(p, b, keys).first().asDict()
+    listed = latest_count(p, b, keys, prod_keys=listing(p, keys), bkup_keys=listing(b, keys)).first().asDict()
+    assert lazy == listed == dict(prod_pd="b", bkup_pd="b", prod_rows=2, bkup_rows=1, should_load=True)
+    lazy = same_key_count(p, b, keys).first().asDict()
+    listed = same_key_count(p, b, keys, prod_keys=listing(p, keys)).first().asDict()
+    assert lazy == listed == dict(pd="b", prod_rows=2, bkup_rows=1, should_load=True)
+    only_null = spark.createDataFrame([(1, None)], "id int, pd string")
+    assert latest_count(only_null, only_null, keys).first().should_load is False
