@@ -2,8 +2,8 @@
 
 The listing comes from the catalog, so partitions without rows are counted
 and dropped like the rest.  The eviction list is written to the shared
-folder before the first drop; drops are ``IF EXISTS``, so a rerun after a
-crash finishes the job without error.
+folder first and the drops are driven from what was written; drops are
+``IF EXISTS``, so a rerun after a crash finishes the job without error.
 """
 
 from __future__ import annotations
@@ -44,11 +44,10 @@ def apply_eviction(
     keys = catalog.partition_columns(spark, backup)
     if not keys:
         return oc.Outcome(backup, backup, "retention", oc.NOT_PARTITIONED)
-    evict_df = plan_eviction(spark, backup, keep)
-    evict = evict_df.collect()
-    if not evict:
-        return oc.Outcome(backup, backup, "retention", oc.NOTHING_TO_EVICT)
     path = tables.manifest_path(spark, backup, run_id or uuid.uuid4().hex)
-    tables.write_manifest(spark.createDataFrame(evict, evict_df.schema), path)
+    tables.write_manifest(plan_eviction(spark, backup, keep), path)
+    evict = spark.read.parquet(path).collect()
+    if not evict:
+        return oc.Outcome(backup, backup, "retention", oc.NOTHING_TO_EVICT, detail=path)
     tables.drop_partitions(spark, backup, keys, evict)
     return oc.Outcome(backup, backup, "retention", oc.EVICTED, oc.key_text(keys, evict), detail=path)

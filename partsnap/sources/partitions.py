@@ -15,13 +15,12 @@ partitions asked for) are ever brought to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from partsnap.functions.keys import newest_first
+from partsnap.functions.rows import ident, text
 from partsnap.sources import catalog
 
 # Fixed value: the directory name Hive-style catalogs give a NULL key.
@@ -36,27 +35,28 @@ def listing(df: DataFrame, keys: Sequence[str], with_counts: bool = False) -> Da
 
 
 def catalog_listing(spark: SparkSession, table: str) -> DataFrame:
-    """Key tuples registered in the catalog for ``table``, typed, metadata only.
+    """Key tuples registered in the catalog for ``table``, typed, from metadata only.
 
-    Partition text is unescaped and the NULL marker becomes NULL, then each
-    field is cast to the key column's type by Spark.
+    ``SHOW PARTITIONS`` text (``k1=v1/k2=v2``, values path-escaped) is taken
+    apart by Spark: ``/`` and ``=`` inside values are escaped, so splitting is
+    safe; the NULL marker becomes NULL; ``%XX`` escapes are decoded (a ``+``
+    is not escaped by the catalog, so it is protected from the decoder); each
+    field is cast to its key column's type.  The listing stays a DataFrame.
     """
     keys = catalog.partition_columns(spark, table)
     if not keys:
         raise ValueError(f"{table} is not partitioned")
     types = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    rows = []
-    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        fields = dict(part.split("=", 1) for part in spec.split("/"))
-        rows.append(tuple(None if fields[k] == NULL_KEY_TEXT else unquote(fields[k]) for k in keys))
-    text = StructType([StructField(k, StringType(), True) for k in keys])
-    raw = spark.createDataFrame(rows, text)
-    return raw.select(*[F.col(k).cast(types[k]).alias(k) for k in keys])
-
-
-def table_listing(spark: SparkSession, table: str) -> DataFrame:
-    """Catalog listing for a partitioned catalog table."""
-    return catalog_listing(spark, table)
+    shown = spark.sql(f"SHOW PARTITIONS {table}")
+    spec = ident(shown.columns[0])
+    fields = []
+    for i, k in enumerate(keys, start=1):
+        raw = f"substring_index(element_at(split({spec}, '/'), {i}), '=', -1)"
+        value = f"url_decode(replace({raw}, '+', '%2B'))"
+        fields.append(
+            f"cast(if({raw} = {text(NULL_KEY_TEXT)}, null, {value}) as {types[k].simpleString()}) as {ident(k)}"
+        )
+    return shown.selectExpr(*fields)
 
 
 def newest(keys_df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:

@@ -124,6 +124,13 @@ def test_catalog_listing_null_and_escaped_keys(spark):
     assert sorted(r.id for r in spark.table("esc_bkup").collect()) == [2, 3]
 
 
+def test_catalog_listing_decodes_special_characters(spark):
+    spark.sql("DROP TABLE IF EXISTS spc")
+    values = ["a+b", "100%", "x y", "k=v", "a/b", "é", "50%2B"]
+    spark.createDataFrame(list(enumerate(values)), "id int, pd string").write.partitionBy("pd").saveAsTable("spc")
+    assert sorted(r.pd for r in catalog_listing(spark, "spc").collect()) == sorted(values)
+
+
 def test_int_and_date_keys_with_text_backup(spark):
     spark.sql("DROP TABLE IF EXISTS dk")
     spark.sql("DROP TABLE IF EXISTS dk_bkup")
