@@ -17,44 +17,72 @@ from partsnap.operators.schema import schema_compare
 from partsnap.operators.slices import rows_of
 from partsnap.operators.volume import volume_by_partition, volume_summary
 from partsnap.sources import catalog
-from partsnap.sources.partitions import catalog_listing, newest_keys
+from partsnap.sources.partitions import catalog_listing, listing, newest_keys
 
 
-def validation_report(
-    spark: SparkSession,
-    table: str,
-    backup: str | None = None,
+def audit(
+    prod: DataFrame,
+    bkup: DataFrame,
+    keys: Sequence[str] = (),
     partition: object | Sequence | None = None,
     last_n: int | None = None,
-    suffix: str = catalog.DEFAULT_SUFFIX,
+    prod_keys: DataFrame | None = None,
+    bkup_keys: Sequence[str] | None = None,
     multiset: bool = False,
     approx_profile: bool = False,
 ) -> dict[str, DataFrame]:
-    """``diff``, ``profile``, ``summary`` (for ``partition`` when given, else whole
-    tables), ``volume`` and ``volume_summary`` (over the ``last_n`` newest prod
-    partitions, all when None) and ``schema``.
+    """The audit parts for two DataFrames.
+
+    ``diff``, ``profile`` and ``summary`` cover ``partition`` (a key value or
+    key tuple) when given, else the whole tables; ``volume`` and
+    ``volume_summary`` cover the ``last_n`` newest prod partitions (all when
+    None; the newest are taken from ``prod_keys`` when given); ``schema``
+    compares the full schemas.
     """
-    backup = backup or catalog.backup_name(table, suffix)
-    prod_all = catalog.read(spark, table)
-    bkup_all = catalog.read(spark, backup)
-    keys = catalog.partition_columns(spark, table)
-    bkeys = catalog.partition_columns(spark, backup)
-    prod, bkup = prod_all, bkup_all
+    keys = list(keys)
+    prod_part, bkup_part = prod, bkup
     if partition is not None and keys:
         wanted = [partition if isinstance(partition, (tuple, list, dict)) else (partition,)]
-        prod, bkup = rows_of(prod_all, keys, wanted), rows_of(bkup_all, keys, wanted)
+        prod_part, bkup_part = rows_of(prod, keys, wanted), rows_of(bkup, keys, wanted)
     report = {
-        "diff": row_diff(prod, bkup, "both", multiset=multiset),
-        "profile": distinct_profile(prod, bkup, approx=approx_profile),
-        "summary": differential_summary(prod, bkup),
-        "schema": schema_compare(prod_all, bkup_all, keys, bkeys),
+        "diff": row_diff(prod_part, bkup_part, "both", multiset=multiset),
+        "profile": distinct_profile(prod_part, bkup_part, approx=approx_profile),
+        "summary": differential_summary(prod_part, bkup_part),
+        "schema": schema_compare(prod, bkup, keys, keys if bkup_keys is None else bkup_keys),
     }
     if keys:
-        vp, vb = prod_all, bkup_all
+        vp, vb = prod, bkup
         if last_n is not None:
-            chosen = newest_keys(catalog_listing(spark, table), keys, last_n)
-            vp, vb = rows_of(prod_all, keys, chosen), rows_of(bkup_all, keys, chosen)
+            listed = prod_keys if prod_keys is not None else listing(prod, keys)
+            chosen = newest_keys(listed, keys, last_n)
+            vp, vb = rows_of(prod, keys, chosen), rows_of(bkup, keys, chosen)
         volume = volume_by_partition(vp, vb, keys)
         report["volume"] = volume
         report["volume_summary"] = volume_summary(volume)
     return report
+
+
+def validation_report(
+    spark: SparkSession,
+    table: str,
+    backup: str | None = None,
+    partition: object | Sequence | None = None,
+    last_n: int | None = None,
+    suffix: str = catalog.DEFAULT_SUFFIX,
+    multiset: bool = False,
+    approx_profile: bool = False,
+) -> dict[str, DataFrame]:
+    """:func:`audit` of a catalog table against its backup table."""
+    backup = backup or catalog.backup_name(table, suffix)
+    keys = catalog.partition_columns(spark, table)
+    return audit(
+        catalog.read(spark, table),
+        catalog.read(spark, backup),
+        keys,
+        partition=partition,
+        last_n=last_n,
+        prod_keys=catalog_listing(spark, table) if keys else None,
+        bkup_keys=catalog.partition_columns(spark, backup),
+        multiset=multiset,
+        approx_profile=approx_profile,
+    )

@@ -55,6 +55,12 @@ def schema(spark: SparkSession, name: str) -> StructType:
     return spark.table(name).schema
 
 
+def data_fields(spark: SparkSession, name: str) -> StructType:
+    """Schema of the non-partition columns (names and types), in table order."""
+    keys = set(partition_columns(spark, name))
+    return StructType([f for f in spark.table(name).schema.fields if f.name not in keys])
+
+
 def data_columns(spark: SparkSession, name: str) -> list[str]:
     """Columns that are not partition columns, in table order."""
     keys = set(partition_columns(spark, name))

@@ -175,3 +175,34 @@ def test_missing_backup_and_source(spark):
     assert apply_eviction(spark, "no_such_bkup", keep=3).status == oc.MISSING_BACKUP
     assert history_load(spark, "no_such_table").status == oc.MISSING_SOURCE
     assert catalog.is_partitioned(spark, "no_such_table") is None
+
+
+def test_usage_scenarios(spark):
+    """The three documented usage scenarios, with n-means-n semantics."""
+    for t in ("sc_a", "sc_a_bkup", "sc_b", "sc_b_bkup"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    rows = [(i, f"2024-11-{d:02d}") for i, d in enumerate([15, 16, 17, 18, 19, 20])]
+    spark.createDataFrame(rows, "id int, partition_date string").write.partitionBy("partition_date").saveAsTable("sc_a")
+    spark.createDataFrame(rows, "id int, partition_date string").write.partitionBy("partition_date").saveAsTable("sc_b")
+    # 1. history load, Load=3: the backup is created with the 3 newest partitions
+    run_batch(spark, "sc_a", Policy(history_load=True, load=3))
+    assert keys_of(spark, "sc_a_bkup") == ["2024-11-18", "2024-11-19", "2024-11-20"]
+    # 2. daily run with keep=0: loads nothing and empties the backup, only when allowed
+    assert [r.status for r in run_batch(spark, "sc_a", Policy(keep=0)).collect()] == [oc.REFUSED]
+    run_batch(spark, "sc_a", Policy(keep=0, allow_empty=True))
+    assert keys_of(spark, "sc_a_bkup") == []
+    # 3. daily run with keep=3 on a table without backup: newest partition only, nothing dropped
+    out = run_batch(spark, "sc_b", Policy(keep=3)).collect()
+    assert [(r.action, r.status) for r in out] == [("incremental_load", oc.LOADED), ("retention", oc.NOTHING_TO_EVICT)]
+    assert keys_of(spark, "sc_b_bkup") == ["2024-11-20"]
+
+
+def test_two_field_keys_retention_drops_full_specs(spark):
+    spark.sql("DROP TABLE IF EXISTS ym")
+    spark.sql("DROP TABLE IF EXISTS ym_bkup")
+    rows = [(1, 2020, 11), (2, 2020, 12), (3, 2021, 1), (4, 2021, 1), (5, 2019, 12)]
+    spark.createDataFrame(rows, "id int, y int, m int").write.partitionBy("y", "m").saveAsTable("ym")
+    history_load(spark, "ym", n=10)
+    apply_eviction(spark, "ym_bkup", keep=2)
+    assert sorted(tuple(r) for r in catalog_listing(spark, "ym_bkup").collect()) == [(2020, 12), (2021, 1)]
+    assert sorted(r.id for r in spark.table("ym_bkup").collect()) == [2, 3, 4]
