@@ -187,6 +187,55 @@ select vec_id, embedding, case when vec_id % 11 = 0 then label + 1 else label en
 from embeddings where vec_id % 7 <> 0"""
 
 
+# ---------------------------------------------------------------- lineitem, the largest table
+
+LINEITEM_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+LINE_ID = "(l_orderkey + l_linenumber)"
+LINEITEM_WINDOW = "partition_date < '2001-11'"
+
+
+def prod_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` keyed by ship month."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        *LINEITEM_COLS, "date_format(l_shipdate, 'yyyy-MM') as partition_date"
+    )
+
+
+def bkup_lineitem(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+    """Backup of ``prod_lineitem``: last month missing, damaged like the orders pair."""
+    p = prod if prod is not None else prod_lineitem(spark, sf_dir)
+    cols = LINEITEM_COLS + ["partition_date"]
+    copied = p.where(f"{LINEITEM_WINDOW} and {LINE_ID} % 97 <> 0").selectExpr(
+        *[f"case when {LINE_ID} % 89 = 0 then l_quantity + 1.0 else l_quantity end as l_quantity"
+          if c == "l_quantity" else c for c in cols]
+    )
+    extra = p.where(f"{LINEITEM_WINDOW} and {LINE_ID} % 101 = 0").selectExpr(
+        *["l_orderkey + 100000000 as l_orderkey" if c == "l_orderkey" else c for c in cols]
+    )
+    dups = p.where(f"{LINEITEM_WINDOW} and {LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0")
+    return copied.union(extra).union(dups)
+
+
+PROD_LINEITEM_SQL = f"""
+select {", ".join(LINEITEM_COLS)}, strftime(l_shipdate, '%Y-%m') as partition_date from lineitem"""
+
+BKUP_LINEITEM_SQL = f"""
+select l_orderkey, l_partkey, l_suppkey, l_linenumber,
+       case when {LINE_ID} % 89 = 0 then l_quantity + 1.0 else l_quantity end as l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, partition_date
+from prod_lineitem where {LINEITEM_WINDOW} and {LINE_ID} % 97 <> 0
+union all
+select l_orderkey + 100000000, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate, partition_date
+from prod_lineitem where {LINEITEM_WINDOW} and {LINE_ID} % 101 = 0
+union all
+select * from prod_lineitem
+where {LINEITEM_WINDOW} and {LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0"""
+
+
 def pair(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
     """(prod, bkup) of a fixture pair, both from one read of the source table."""
     prod = globals()[f"prod_{name}"](spark, sf_dir)
@@ -205,9 +254,11 @@ FIXTURE_SQL = {
     "bkup_customer": BKUP_CUSTOMER_SQL,
     "prod_embeddings": PROD_EMBEDDINGS_SQL,
     "bkup_embeddings": BKUP_EMBEDDINGS_SQL,
+    "prod_lineitem": PROD_LINEITEM_SQL,
+    "bkup_lineitem": BKUP_LINEITEM_SQL,
 }
 
-_NEEDS = {"bkup_orders": ["prod_orders"], "bkup_events": ["prod_events"]}
+_NEEDS = {"bkup_orders": ["prod_orders"], "bkup_events": ["prod_events"], "bkup_lineitem": ["prod_lineitem"]}
 
 
 def with_fixtures(sql: str, *names: str, extra: dict[str, str] | None = None) -> str:

@@ -1,10 +1,9 @@
 """Expressions that make whole rows comparable and groupable.
 
-A row is compared as one ``struct`` of its columns.  Struct equality and
-struct grouping in Spark are null-safe field by field (``NULL`` meets
-``NULL``, the text ``'null'`` does not), NaN and -0.0 are normalised by the
-optimizer, and the struct can be a single grouping / partitioning key, so a
-diff never needs a join on N nullable columns.
+A row is compared by grouping on all of its columns: grouping in Spark is
+null-safe (``NULL`` meets ``NULL``, the text ``'null'`` does not), and NaN
+and -0.0 are normalised by the optimizer, so a diff never needs a join on N
+nullable columns.
 
 Map columns are the one type Spark refuses to group or compare; they are
 rewritten (recursively, through arrays and structs) into sorted arrays of
@@ -22,7 +21,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-ROW = "_row"
 SIDE = "_side"
 
 # Fixed labels of the two sides in every report.
@@ -101,17 +99,16 @@ def comparable(col: str, dtype: DataType) -> Column:
     return F.expr(comparable_sql(ident(col), dtype))
 
 
-def row_struct_sql(schema: StructType, columns: Sequence[str], alias: str = ROW) -> str:
-    """The whole row as one comparable struct, fields in ``columns`` order."""
+def comparable_columns_sql(schema: StructType, columns: Sequence[str]) -> list[str]:
+    """Each column, rewritten by :func:`comparable_sql`, under its own name."""
     types = {f.name: f.dataType for f in schema.fields}
-    fields = ", ".join(f"{comparable_sql(ident(c), types[c])} as {ident(c)}" for c in columns)
-    return f"struct({fields}) as {ident(alias)}"
+    return [f"{comparable_sql(ident(c), types[c])} as {ident(c)}" for c in columns]
 
 
-def unpack_row_sql(schema: StructType, columns: Sequence[str], row: str = ROW) -> list[str]:
-    """Original columns, read back out of a :func:`row_struct_sql` struct."""
+def restored_columns_sql(schema: StructType, columns: Sequence[str]) -> list[str]:
+    """Inverse of :func:`comparable_columns_sql` (maps rebuilt), under the same names."""
     types = {f.name: f.dataType for f in schema.fields}
-    return [f"{restore_sql(f'{ident(row)}.{ident(c)}', types[c])} as {ident(c)}" for c in columns]
+    return [f"{restore_sql(ident(c), types[c])} as {ident(c)}" for c in columns]
 
 
 def side_tag_sql(label: str) -> str:

@@ -1,7 +1,7 @@
 """Row-level differences between a production table and its backup.
 
 Every result here comes from one aggregate: both sides are tagged, unioned,
-and grouped by the whole row (one comparable struct).  Spark combines the
+and grouped by all their columns (maps made comparable first).  Spark combines the
 groups map-side before the shuffle, so a value repeated in a third of all
 rows costs one row per map task on the wire, and there is no join, hence no
 join-key skew and no N-column null-safe join condition.
@@ -26,12 +26,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsnap.functions.rows import BKUP, PROD, ROW, SIDE, ident, row_struct_sql, text, unpack_row_sql
+from partsnap.functions.rows import (
+    BKUP,
+    PROD,
+    SIDE,
+    comparable_columns_sql,
+    ident,
+    restored_columns_sql,
+    text,
+)
 
 NP = "_np"
 NB = "_nb"
 COPY_CHUNK = 1 << 16
 SIDES = ("prod", "bkup", "both")
+RESERVED = (SIDE, NP, NB)
 
 
 def align(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None):
@@ -44,6 +53,9 @@ def align(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None
     missing = [c for c in cols if c not in bkup.columns]
     if missing:
         raise ValueError(f"columns missing in backup: {missing}")
+    clash = [c for c in cols if c in RESERVED]
+    if clash:
+        raise ValueError(f"columns {clash} clash with report columns {RESERVED}; rename them first")
     pt = {f.name: f.dataType for f in prod.schema.fields}
     bt = {f.name: f.dataType for f in bkup.schema.fields}
     exprs = [ident(c) if pt[c] == bt[c] else f"cast({ident(c)} as string) as {ident(c)}" for c in cols]
@@ -51,17 +63,20 @@ def align(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None
 
 
 def row_counts(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per distinct row value of prod ∪ backup: ``_row, _np, _nb``."""
+    """One row per distinct row value of prod ∪ backup: the columns, ``_np``, ``_nb``.
+
+    Map columns come out as sorted entry arrays (see :func:`restored_columns_sql`).
+    """
     return _counts(*align(prod, bkup, columns))
 
 
 def _counts(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
-    tagged = p.selectExpr(row_struct_sql(p.schema, cols), "true as _in_prod").unionByName(
-        b.selectExpr(row_struct_sql(b.schema, cols), "false as _in_prod")
+    tagged = p.selectExpr(*comparable_columns_sql(p.schema, cols), "true as _ps_in").union(
+        b.selectExpr(*comparable_columns_sql(b.schema, cols), "false as _ps_in")
     )
-    return tagged.groupBy(ROW).agg(
-        F.expr(f"count_if(_in_prod) as {NP}"),
-        F.expr(f"count_if(not _in_prod) as {NB}"),
+    return tagged.groupBy(*[ident(c) for c in cols]).agg(
+        F.expr(f"count_if(_ps_in) as {NP}"),
+        F.expr(f"count_if(not _ps_in) as {NB}"),
     )
 
 
@@ -83,12 +98,12 @@ def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep = [ident(c) for c in df.columns if c != n]
     chunks = df.where(f"{ident(n)} > 0").selectExpr(
-        *keep, ident(n), f"explode(sequence(0L, cast(floor(({ident(n)} - 1) / {chunk}) as bigint))) as _c"
-    )
-    spread = chunks.selectExpr(*keep, f"least({chunk}L, {ident(n)} - _c * {chunk}L) as _k", "_c").repartition(
-        parts, ROW, "_c"
+        *keep, ident(n), f"explode(sequence(0L, cast(floor(({ident(n)} - 1) / {chunk}) as bigint))) as _ps_c"
     )
-    return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_k as int))) as _x").drop("_x")
+    spread = chunks.selectExpr(
+        *keep, f"least({chunk}L, {ident(n)} - _ps_c * {chunk}L) as _ps_k", "_ps_c"
+    ).repartition(parts, *keep, "_ps_c")
+    return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_ps_k as int))) as _ps_x").drop("_ps_x")
 
 
 def row_diff(
@@ -110,27 +125,28 @@ def row_diff(
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
     p, b, cols = align(prod, bkup, columns)
     counts = _counts(p, b, cols)
+    names = [ident(c) for c in cols]
     wanted = [PROD, BKUP] if side == "both" else [PROD if side == "prod" else BKUP]
     if len(wanted) == 1:
-        tagged = counts.selectExpr(ROW, f"{text(wanted[0])} as {SIDE}", f"{_copies(wanted[0], multiset)} as _n")
+        tagged = counts.selectExpr(*names, f"{text(wanted[0])} as {SIDE}", f"{_copies(wanted[0], multiset)} as _ps_n")
     else:
-        pairs = ", ".join(f"struct({text(s)} as {SIDE}, {_copies(s, multiset)} as _n)" for s in wanted)
-        tagged = counts.selectExpr(ROW, f"inline(array({pairs}))")
-    rows = expand_copies(tagged, "_n")
-    return rows.selectExpr(SIDE, *unpack_row_sql(p.schema, cols))
+        pairs = ", ".join(f"struct({text(s)} as {SIDE}, {_copies(s, multiset)} as _ps_n)" for s in wanted)
+        tagged = counts.selectExpr(*names, f"inline(array({pairs}))")
+    rows = expand_copies(tagged, "_ps_n")
+    return rows.selectExpr(SIDE, *restored_columns_sql(p.schema, cols))
 
 
 def except_distinct(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of prod with no equal row in the backup (``EXCEPT``)."""
     p, b, cols = align(prod, bkup, columns)
     counts = _counts(p, b, cols)
-    return counts.where(f"{NP} > 0 and {NB} = 0").selectExpr(*unpack_row_sql(p.schema, cols))
+    return counts.where(f"{NP} > 0 and {NB} = 0").selectExpr(*restored_columns_sql(p.schema, cols))
 
 
 def union_distinct(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of prod ∪ backup (``UNION``)."""
     p, b, cols = align(prod, bkup, columns)
-    return _counts(p, b, cols).selectExpr(*unpack_row_sql(p.schema, cols))
+    return _counts(p, b, cols).selectExpr(*restored_columns_sql(p.schema, cols))
 
 
 def differential_summary(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -142,6 +142,16 @@ def q_diff_array_column(spark, sf_dir):
     return row_diff(*fx.pair(spark, sf_dir, "embeddings"), side="both")
 
 
+def q_diff_lineitem(spark, sf_dir):
+    return row_diff(*fx.pair(spark, sf_dir, "lineitem"), side="both")
+
+
+def q_volume_newest_partitions(spark, sf_dir):
+    p, b = _orders(spark, sf_dir)
+    chosen = slices.history_keys(p, KEY, HISTORY_N)
+    return volume_by_partition(slices.rows_of(p, KEY, chosen), slices.rows_of(b, KEY, chosen), KEY)
+
+
 def q_distinct_profile(spark, sf_dir):
     return distinct_profile(*_orders(spark, sf_dir))
 
@@ -362,6 +372,17 @@ ORACLE_SQL: dict[str, str] = {
     "diff_array_column": fx.with_fixtures(
         _diff_sql("prod_embeddings", "bkup_embeddings", EMBEDDING_COLS, "both"), "prod_embeddings", "bkup_embeddings"
     ),
+    "diff_lineitem": fx.with_fixtures(
+        _diff_sql("prod_lineitem", "bkup_lineitem", fx.LINEITEM_COLS + ["partition_date"], "both"), "bkup_lineitem"
+    ),
+    "volume_newest_partitions": fx.with_fixtures(
+        _VOLUME.format(p="pn", b="bn"),
+        "bkup_orders",
+        extra={
+            "pn": f"select * from prod_orders where partition_date in ({_TOP})",
+            "bn": f"select * from bkup_orders where partition_date in ({_TOP})",
+        },
+    ),
     "distinct_profile": fx.with_fixtures(
         _distinct_counts("prod_orders", "prod", ORDER_COLS)
         + "\nunion all\n"

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from partsnap.functions.rows import ROW
 from partsnap.operators.diff import differential_summary, expand_copies, row_diff
 from partsnap.operators.profile import distinct_profile
 from partsnap.operators.slices import eviction_keys, history_keys, history_slice, survivors
@@ -38,10 +37,28 @@ def test_nan_and_negative_zero_match(spark):
 
 
 def test_expand_copies_spreads_chunks(spark):
-    df = spark.createDataFrame([((1, "a"), 5), ((2, "b"), 1), ((3, "c"), 0)], "_row struct<i:int,s:string>, _n long")
-    out = expand_copies(df, "_n", chunk=2)
-    got = out.groupBy(F.col(ROW)["i"].alias("i")).count().collect()
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 1), (3, "c", 0)], "i int, s string, n long")
+    out = expand_copies(df, "n", chunk=2)
+    assert out.columns == ["i", "s"]
+    got = out.groupBy("i").count().collect()
     assert {r["i"]: r["count"] for r in got} == {1: 5, 2: 1}
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_report_column_clash_is_refused(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "x")], "id int, _side string")
+    with pytest.raises(ValueError):
+        row_diff(df, df)
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "x", None)], "`a.b` int, `c d` string, `e``f` double")
+    other = spark.createDataFrame([(1, "y", None)], "`a.b` int, `c d` string, `e``f` double")
+    out = row_diff(df, other, "both")
+    assert out.columns == ["_side", "a.b", "c d", "e`f"]
+    assert sorted(tuple(r) for r in out.collect()) == [("bkup", 1, "y", None), ("prod", 1, "x", None)]
 
 
 def test_hot_duplicate_group_reported_whole(spark):
