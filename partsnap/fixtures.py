@@ -25,38 +25,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- orders, monthly keys
 
-ORDER_COLS = ["o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", ORDERS_KEY]
-ORDERS_WINDOW = "partition_date >= '1996-01' and partition_date < '2001-08'"
+ORDERS_PROD_COLS = [
+    "case when o_orderkey % 53 = 0 then null else o_orderstatus end as o_orderstatus",
+    "o_orderkey",
+    "o_custkey",
+    "o_totalprice",
+    "o_orderpriority",
+    f"date_format(o_orderdate, 'yyyy-MM') as {ORDERS_KEY}",
+]
+# The backup window on the raw date (the same rows as 1996-01 <= partition_date < 2001-08).
+ORDERS_RAW_WINDOW = "o_orderdate >= '1996-01-01' and o_orderdate < '2001-08-01'"
 
 
-def prod_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prod_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """``orders`` keyed by month; the first column is NULL on every 53rd order."""
-    return table(spark, sf_dir, "orders").selectExpr(
-        "case when o_orderkey % 53 = 0 then null else o_orderstatus end as o_orderstatus",
-        "o_orderkey",
-        "o_custkey",
-        "o_totalprice",
-        "o_orderpriority",
-        f"date_format(o_orderdate, 'yyyy-MM') as {ORDERS_KEY}",
-    )
+    raw = raw if raw is not None else table(spark, sf_dir, "orders")
+    return raw.selectExpr(*ORDERS_PROD_COLS)
 
 
-def bkup_orders(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+def bkup_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Backup of ``prod_orders``: one month behind, starting 1996-01, damaged."""
-    p = prod if prod is not None else prod_orders(spark, sf_dir)
-    copied = p.where(f"{ORDERS_WINDOW} and o_orderkey % 97 <> 0").selectExpr(
-        "o_orderstatus",
-        "o_orderkey",
-        "o_custkey",
-        "o_totalprice",
-        "case when o_orderkey % 89 = 0 then '0-CHANGED' else o_orderpriority end as o_orderpriority",
-        ORDERS_KEY,
+    raw = raw if raw is not None else table(spark, sf_dir, "orders")
+    inside = raw.where(ORDERS_RAW_WINDOW)
+    copied = inside.where("o_orderkey % 97 <> 0").selectExpr(
+        *[
+            "case when o_orderkey % 89 = 0 then '0-CHANGED' else o_orderpriority end as o_orderpriority"
+            if c == "o_orderpriority" else c
+            for c in ORDERS_PROD_COLS
+        ]
     )
-    extra = p.where(f"{ORDERS_WINDOW} and o_orderkey % 101 = 0").selectExpr(
-        "o_orderstatus", "o_orderkey + 10000000 as o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
-        ORDERS_KEY,
+    extra = inside.where("o_orderkey % 101 = 0").selectExpr(
+        *["o_orderkey + 10000000 as o_orderkey" if c == "o_orderkey" else c for c in ORDERS_PROD_COLS]
+    )
+    dups = inside.where("o_orderkey % 103 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0").selectExpr(
+        *ORDERS_PROD_COLS
     )
-    dups = p.where(f"{ORDERS_WINDOW} and o_orderkey % 103 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0")
     return copied.union(extra).union(dups)
 
 
@@ -105,28 +108,33 @@ from orders"""
 
 # ---------------------------------------------------------------- events, daily keys
 
-EVENTS_WINDOW = "partition_date < '2024-01-29'"
+EVENTS_PROD_COLS = [
+    "event_id", "ts", "user_id", "event_type", "value", "props", f"date_format(ts, 'yyyy-MM-dd') as {EVENTS_KEY}",
+]
+# The backup window on the raw time (the same rows as partition_date < 2024-01-29).
+EVENTS_RAW_WINDOW = "ts < '2024-01-29'"
 
 
-def prod_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prod_events(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """``events`` keyed by day."""
-    return table(spark, sf_dir, "events").selectExpr(
-        "event_id", "ts", "user_id", "event_type", "value", "props",
-        f"date_format(ts, 'yyyy-MM-dd') as {EVENTS_KEY}",
-    )
+    raw = raw if raw is not None else table(spark, sf_dir, "events")
+    return raw.selectExpr(*EVENTS_PROD_COLS)
 
 
-def bkup_events(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+def bkup_events(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Backup of ``prod_events``: last days missing, damaged like the orders pair."""
-    p = prod if prod is not None else prod_events(spark, sf_dir)
-    copied = p.where(f"{EVENTS_WINDOW} and event_id % 31 <> 0").selectExpr(
-        "event_id", "ts", "user_id", "event_type",
-        "case when event_id % 37 = 0 then value + 1.0 else value end as value", "props", EVENTS_KEY,
+    raw = raw if raw is not None else table(spark, sf_dir, "events")
+    inside = raw.where(EVENTS_RAW_WINDOW)
+    copied = inside.where("event_id % 31 <> 0").selectExpr(
+        *["case when event_id % 37 = 0 then value + 1.0 else value end as value" if c == "value" else c
+          for c in EVENTS_PROD_COLS]
+    )
+    extra = inside.where("event_id % 41 = 0").selectExpr(
+        *["event_id + 100000000 as event_id" if c == "event_id" else c for c in EVENTS_PROD_COLS]
     )
-    extra = p.where(f"{EVENTS_WINDOW} and event_id % 41 = 0").selectExpr(
-        "event_id + 100000000 as event_id", "ts", "user_id", "event_type", "value", "props", EVENTS_KEY,
+    dups = inside.where("event_id % 43 = 0 and event_id % 31 <> 0 and event_id % 37 <> 0").selectExpr(
+        *EVENTS_PROD_COLS
     )
-    dups = p.where(f"{EVENTS_WINDOW} and event_id % 43 = 0 and event_id % 31 <> 0 and event_id % 37 <> 0")
     return copied.union(extra).union(dups)
 
 
@@ -152,14 +160,13 @@ where partition_date < '2024-01-29' and event_id % 43 = 0 and event_id % 31 <> 0
 # ---------------------------------------------------------------- customer, unpartitioned
 
 
-def prod_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer")
+def prod_customer(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    return raw if raw is not None else table(spark, sf_dir, "customer")
 
 
-def bkup_customer(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+def bkup_customer(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """A stale whole-table snapshot of ``customer`` (every 50th customer absent)."""
-    p = prod if prod is not None else prod_customer(spark, sf_dir)
-    return p.where("c_custkey % 50 <> 0")
+    return prod_customer(spark, sf_dir, raw).where("c_custkey % 50 <> 0")
 
 
 PROD_CUSTOMER_SQL = "select * from customer"
@@ -169,14 +176,13 @@ BKUP_CUSTOMER_SQL = "select * from customer where c_custkey % 50 <> 0"
 # ---------------------------------------------------------------- embeddings, array column
 
 
-def prod_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings")
+def prod_embeddings(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    return raw if raw is not None else table(spark, sf_dir, "embeddings")
 
 
-def bkup_embeddings(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+def bkup_embeddings(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Backup of ``embeddings``: every 7th vector absent, every 11th relabelled."""
-    p = prod if prod is not None else prod_embeddings(spark, sf_dir)
-    return p.where("vec_id % 7 <> 0").selectExpr(
+    return prod_embeddings(spark, sf_dir, raw).where("vec_id % 7 <> 0").selectExpr(
         "vec_id", "embedding", "case when vec_id % 11 = 0 then label + 1 else label end as label"
     )
 
@@ -195,27 +201,30 @@ LINEITEM_COLS = [
 ]
 LINE_ID = "(l_orderkey + l_linenumber)"
 LINEITEM_WINDOW = "partition_date < '2001-11'"
+# The backup window on the raw date (the same rows as LINEITEM_WINDOW).
+LINEITEM_RAW_WINDOW = "l_shipdate < '2001-11-01'"
+LINEITEM_PROD_COLS = LINEITEM_COLS + ["date_format(l_shipdate, 'yyyy-MM') as partition_date"]
 
 
-def prod_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prod_lineitem(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """``lineitem`` keyed by ship month."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        *LINEITEM_COLS, "date_format(l_shipdate, 'yyyy-MM') as partition_date"
-    )
+    raw = raw if raw is not None else table(spark, sf_dir, "lineitem")
+    return raw.selectExpr(*LINEITEM_PROD_COLS)
 
 
-def bkup_lineitem(spark: SparkSession, sf_dir: str, prod: DataFrame | None = None) -> DataFrame:
+def bkup_lineitem(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Backup of ``prod_lineitem``: last month missing, damaged like the orders pair."""
-    p = prod if prod is not None else prod_lineitem(spark, sf_dir)
-    cols = LINEITEM_COLS + ["partition_date"]
-    copied = p.where(f"{LINEITEM_WINDOW} and {LINE_ID} % 97 <> 0").selectExpr(
+    raw = raw if raw is not None else table(spark, sf_dir, "lineitem")
+    inside = raw.where(LINEITEM_RAW_WINDOW)
+    cols = LINEITEM_PROD_COLS
+    copied = inside.where(f"{LINE_ID} % 97 <> 0").selectExpr(
         *[f"case when {LINE_ID} % 89 = 0 then l_quantity + 1.0 else l_quantity end as l_quantity"
           if c == "l_quantity" else c for c in cols]
     )
-    extra = p.where(f"{LINEITEM_WINDOW} and {LINE_ID} % 101 = 0").selectExpr(
+    extra = inside.where(f"{LINE_ID} % 101 = 0").selectExpr(
         *["l_orderkey + 100000000 as l_orderkey" if c == "l_orderkey" else c for c in cols]
     )
-    dups = p.where(f"{LINEITEM_WINDOW} and {LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0")
+    dups = inside.where(f"{LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0").selectExpr(*cols)
     return copied.union(extra).union(dups)
 
 
@@ -238,8 +247,8 @@ where {LINEITEM_WINDOW} and {LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LIN
 
 def pair(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
     """(prod, bkup) of a fixture pair, both from one read of the source table."""
-    prod = globals()[f"prod_{name}"](spark, sf_dir)
-    return prod, globals()[f"bkup_{name}"](spark, sf_dir, prod)
+    raw = table(spark, sf_dir, name)
+    return globals()[f"prod_{name}"](spark, sf_dir, raw), globals()[f"bkup_{name}"](spark, sf_dir, raw)
 
 
 # ---------------------------------------------------------------- DuckDB side
