@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from partsnap import fixtures as fx
 from partsnap.functions.keys import key_in
 from partsnap.operators import gates, slices
+from partsnap.operators.fingerprint import changed_keys, pruned_row_diff
 from partsnap.operators.diff import differential_summary, except_distinct, row_diff, union_distinct
 from partsnap.operators.profile import distinct_profile
 from partsnap.operators.schema import schema_compare
@@ -152,6 +153,16 @@ def q_volume_newest_partitions(spark, sf_dir):
     return volume_by_partition(slices.rows_of(p, KEY, chosen), slices.rows_of(b, KEY, chosen), KEY)
 
 
+def q_diff_changed_partitions(spark, sf_dir):
+    p, b = _orders(spark, sf_dir)
+    return pruned_row_diff(p, b, KEY, side="both")
+
+
+def q_changed_partitions(spark, sf_dir):
+    p, b = _orders(spark, sf_dir)
+    return changed_keys(p, b, KEY)
+
+
 def q_distinct_profile(spark, sf_dir):
     return distinct_profile(*_orders(spark, sf_dir))
 
@@ -383,6 +394,16 @@ ORACLE_SQL: dict[str, str] = {
             "bn": f"select * from bkup_orders where partition_date in ({_TOP})",
         },
     ),
+    "diff_changed_partitions": fx.with_fixtures(
+        _diff_sql("prod_orders", "bkup_orders", ORDER_COLS, "both"), "bkup_orders"
+    ),
+    "changed_partitions": fx.with_fixtures(
+        """select partition_date from (
+             select partition_date from (select * from prod_orders except all select * from bkup_orders)
+             union
+             select partition_date from (select * from bkup_orders except all select * from prod_orders))""",
+        "bkup_orders",
+    ),
     "distinct_profile": fx.with_fixtures(
         _distinct_counts("prod_orders", "prod", ORDER_COLS)
         + "\nunion all\n"

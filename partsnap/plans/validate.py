@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from partsnap.operators.diff import differential_summary, row_diff
+from partsnap.operators.fingerprint import pruned_row_diff
 from partsnap.operators.profile import distinct_profile
 from partsnap.operators.schema import schema_compare
 from partsnap.operators.slices import rows_of
@@ -30,6 +31,7 @@ def audit(
     bkup_keys: Sequence[str] | None = None,
     multiset: bool = False,
     approx_profile: bool = False,
+    prune_unchanged: bool = False,
 ) -> dict[str, DataFrame]:
     """The audit parts for two DataFrames.
 
@@ -37,7 +39,8 @@ def audit(
     key tuple) when given, else the whole tables; ``volume`` and
     ``volume_summary`` cover the ``last_n`` newest prod partitions (all when
     None; the newest are taken from ``prod_keys`` when given); ``schema``
-    compares the full schemas.
+    compares the full schemas.  ``prune_unchanged`` diffs only the partitions
+    whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`).
     """
     keys = list(keys)
     prod_part, bkup_part = prod, bkup
@@ -45,7 +48,11 @@ def audit(
         wanted = [partition if isinstance(partition, (tuple, list, dict)) else (partition,)]
         prod_part, bkup_part = rows_of(prod, keys, wanted), rows_of(bkup, keys, wanted)
     report = {
-        "diff": row_diff(prod_part, bkup_part, "both", multiset=multiset),
+        "diff": (
+            pruned_row_diff(prod_part, bkup_part, keys, "both", multiset=multiset)
+            if prune_unchanged and keys
+            else row_diff(prod_part, bkup_part, "both", multiset=multiset)
+        ),
         "profile": distinct_profile(prod_part, bkup_part, approx=approx_profile),
         "summary": differential_summary(prod_part, bkup_part),
         "schema": schema_compare(prod, bkup, keys, keys if bkup_keys is None else bkup_keys),
@@ -71,6 +78,7 @@ def validation_report(
     suffix: str = catalog.DEFAULT_SUFFIX,
     multiset: bool = False,
     approx_profile: bool = False,
+    prune_unchanged: bool = False,
 ) -> dict[str, DataFrame]:
     """:func:`audit` of a catalog table against its backup table."""
     backup = backup or catalog.backup_name(table, suffix)
@@ -85,4 +93,5 @@ def validation_report(
         bkup_keys=catalog.partition_columns(spark, backup),
         multiset=multiset,
         approx_profile=approx_profile,
+        prune_unchanged=prune_unchanged,
     )

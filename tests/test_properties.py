@@ -40,3 +40,21 @@ def test_summary_identities(spark, p, b):
     assert s.union_distinct == len(set(b)) + s.prod_except_bkup
     assert s.prod_except_all_bkup - s.bkup_except_all_prod == len(p) - len(b)
     assert row_diff(P, P, "both").count() == 0
+
+
+KEYED = "pd string, k string, n int"
+keyed_value = st.tuples(st.sampled_from(["d1", "d2", "d3", None]), st.sampled_from([None, "a", "null"]),
+                        st.sampled_from([None, 0, 1]))
+
+
+@SETTINGS
+@given(p=st.lists(keyed_value, max_size=12), b=st.lists(keyed_value, max_size=12))
+def test_pruned_diff_equals_full_diff(spark, p, b):
+    from partsnap.operators.fingerprint import changed_keys, pruned_row_diff
+
+    P, B = spark.createDataFrame(p, KEYED), spark.createDataFrame(b, KEYED)
+    for multiset in (False, True):
+        assert bag(pruned_row_diff(P, B, ["pd"], multiset=multiset)) == bag(row_diff(P, B, multiset=multiset))
+    cp, cb = Counter(p), Counter(b)
+    want = {r[0] for r in (cp - cb) + (cb - cp)}
+    assert {r.pd for r in changed_keys(P, B, ["pd"]).collect()} == want

@@ -206,3 +206,23 @@ def test_two_field_keys_retention_drops_full_specs(spark):
     apply_eviction(spark, "ym_bkup", keep=2)
     assert sorted(tuple(r) for r in catalog_listing(spark, "ym_bkup").collect()) == [(2020, 12), (2021, 1)]
     assert sorted(r.id for r in spark.table("ym_bkup").collect()) == [2, 3, 4]
+
+
+def test_pruned_diff_reads_only_changed_partitions(spark, src):
+    import contextlib
+    import io
+
+    from partsnap.operators.fingerprint import changed_keys, pruned_row_diff
+
+    spark.sql("DROP TABLE IF EXISTS fp_bkup")
+    history_load(spark, src, n=500, backup="fp_bkup")
+    spark.createDataFrame([("X", 99999999, 1, 1.0, "5-LOW", "2000-03")], spark.table("fp_bkup").schema) \
+        .write.insertInto("fp_bkup")
+    prod, bkup = spark.table(src), spark.table("fp_bkup")
+    assert [r.partition_date for r in changed_keys(prod, bkup, KEY).collect()] == ["2000-03"]
+    diff = pruned_row_diff(prod, bkup, KEY)
+    assert [(r._side, r.o_orderkey) for r in diff.collect()] == [("bkup", 99999999)]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        diff.explain()
+    assert "PartitionFilters: [isnotnull(partition_date" in buf.getvalue() and "2000-03" in buf.getvalue()
