@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def month_key(col: str) -> str:
+    """``yyyy-MM`` of a timestamp, from its fields (no session time zone involved)."""
+    return f"format_string('%04d-%02d', year({col}), month({col}))"
+
+
+def day_key(col: str) -> str:
+    """``yyyy-MM-dd`` of a timestamp, from its fields (no session time zone involved)."""
+    return f"format_string('%04d-%02d-%02d', year({col}), month({col}), day({col}))"
+
+
 # ---------------------------------------------------------------- orders, monthly keys
 
 ORDERS_PROD_COLS = [
@@ -31,7 +41,7 @@ ORDERS_PROD_COLS = [
     "o_custkey",
     "o_totalprice",
     "o_orderpriority",
-    f"date_format(o_orderdate, 'yyyy-MM') as {ORDERS_KEY}",
+    f"{month_key('o_orderdate')} as {ORDERS_KEY}",
 ]
 # The backup window on the raw date (the same rows as 1996-01 <= partition_date < 2001-08).
 ORDERS_RAW_WINDOW = "o_orderdate >= '1996-01-01' and o_orderdate < '2001-08-01'"
@@ -109,7 +119,7 @@ from orders"""
 # ---------------------------------------------------------------- events, daily keys
 
 EVENTS_PROD_COLS = [
-    "event_id", "ts", "user_id", "event_type", "value", "props", f"date_format(ts, 'yyyy-MM-dd') as {EVENTS_KEY}",
+    "event_id", "ts", "user_id", "event_type", "value", "props", f"{day_key('ts')} as {EVENTS_KEY}",
 ]
 # The backup window on the raw time (the same rows as partition_date < 2024-01-29).
 EVENTS_RAW_WINDOW = "ts < '2024-01-29'"
@@ -203,7 +213,7 @@ LINE_ID = "(l_orderkey + l_linenumber)"
 LINEITEM_WINDOW = "partition_date < '2001-11'"
 # The backup window on the raw date (the same rows as LINEITEM_WINDOW).
 LINEITEM_RAW_WINDOW = "l_shipdate < '2001-11-01'"
-LINEITEM_PROD_COLS = LINEITEM_COLS + ["date_format(l_shipdate, 'yyyy-MM') as partition_date"]
+LINEITEM_PROD_COLS = LINEITEM_COLS + [f"{month_key('l_shipdate')} as partition_date"]
 
 
 def prod_lineitem(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:

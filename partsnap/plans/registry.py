@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partsnap import fixtures as fx
-from partsnap.functions.keys import key_in
 from partsnap.operators import gates, slices
 from partsnap.operators.fingerprint import changed_keys, pruned_row_diff
 from partsnap.operators.diff import differential_summary, except_distinct, row_diff, union_distinct
