@@ -26,9 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
 def dynamic_partition_overwrite(spark: SparkSession):
     """Overwrite only the partitions present in the written data.
 
-    ``insertInto`` ignores a per-write ``partitionOverwriteMode`` option, and
-    the default (static) mode would truncate every partition of the table,
-    so the session setting is switched for the write and restored after.
+    Fallback for tables without the ``partitionOverwriteMode=dynamic`` table
+    option: ``insertInto`` ignores a per-write option, and the default
+    (static) mode would truncate every partition of the table, so the
+    session setting is switched for the write and restored after.  This
+    changes the whole session, so do not run other writes on it meanwhile.
     """
     previous = spark.conf.get(OVERWRITE_MODE, None)
     spark.conf.set(OVERWRITE_MODE, "dynamic")

@@ -3,7 +3,12 @@
 * :func:`create_backup_like` creates the backup table from the source schema
   (parquet, same partition columns, optionally keys kept as text);
 * :func:`overwrite_partitions` replaces exactly the partitions present in
-  the written rows (dynamic overwrite), leaving every other one untouched;
+  the written rows (dynamic overwrite), leaving every other one untouched.
+  Backups created here carry the table option
+  ``partitionOverwriteMode=dynamic``, so every ``INSERT OVERWRITE`` into them
+  (from this code, SQL or any other writer) replaces only the partitions it
+  writes, whatever the session setting; the session switch is only a
+  fallback for backup tables created elsewhere;
 * :func:`overwrite_table` replaces a whole unpartitioned table;
 * :func:`drop_partitions` drops partitions by typed key tuples;
 * :func:`write_manifest` records what is about to be dropped, in the shared
@@ -21,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from partsnap.functions.rows import ident
 from partsnap.session import dynamic_partition_overwrite, shared_dir
 from partsnap.sources import catalog
 
@@ -46,10 +52,13 @@ def create_backup_like(
     keys = catalog.partition_columns(spark, source)
     src = spark.table(source)
     cols = [c for c in src.columns if c not in keys]
-    shape = src.select(*cols, *[(F.col(k).cast("string") if stringify_keys else F.col(k)).alias(k) for k in keys])
+    shape = src.selectExpr(
+        *[ident(c) for c in cols],
+        *[(f"cast({ident(k)} as string) as {ident(k)}" if stringify_keys else ident(k)) for k in keys],
+    )
     writer = shape.limit(0).write.format(FORMAT).mode("ignore")
     if keys:
-        writer = writer.partitionBy(*keys)
+        writer = writer.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(backup)
@@ -59,14 +68,24 @@ def create_backup_like(
 def _conform(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     """Columns in the table's order and types (``insertInto`` is positional)."""
     target = spark.table(table).schema
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+    return df.select(*[F.col(ident(f.name)).cast(f.dataType).alias(f.name) for f in target.fields])
+
+
+def declares_dynamic_overwrite(spark: SparkSession, table: str) -> bool:
+    """True when ``table`` was created with ``partitionOverwriteMode=dynamic``."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Storage Properties'").collect()
+    return any("partitionoverwritemode=dynamic" in (r["data_type"] or "").lower() for r in rows)
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace the partitions of ``table`` that occur in ``df``; keep the rest."""
     spark = df.sparkSession
+    rows = _conform(df, spark, table)
+    if declares_dynamic_overwrite(spark, table):
+        rows.write.insertInto(table, overwrite=True)
+        return
     with dynamic_partition_overwrite(spark):
-        _conform(df, spark, table).write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:

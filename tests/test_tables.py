@@ -226,3 +226,41 @@ def test_pruned_diff_reads_only_changed_partitions(spark, src):
     with contextlib.redirect_stdout(buf):
         diff.explain()
     assert "PartitionFilters: [isnotnull(partition_date" in buf.getvalue() and "2000-03" in buf.getvalue()
+
+
+def test_backup_protects_itself_against_static_overwrite(spark, src):
+    from partsnap.sinks.tables import declares_dynamic_overwrite, overwrite_partitions
+
+    spark.sql("DROP TABLE IF EXISTS prot_bkup")
+    history_load(spark, src, n=4, backup="prot_bkup")
+    assert declares_dynamic_overwrite(spark, "prot_bkup")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+    spark.sql("INSERT OVERWRITE TABLE prot_bkup SELECT * FROM src_orders WHERE partition_date = '2001-08'")
+    assert len(keys_of(spark, "prot_bkup")) == 4
+    # a table created elsewhere, without the option, goes through the session switch
+    spark.sql("DROP TABLE IF EXISTS plain_bkup")
+    spark.table(src).write.partitionBy("partition_date").saveAsTable("plain_bkup")
+    assert not declares_dynamic_overwrite(spark, "plain_bkup")
+    overwrite_partitions(spark.table(src).where("partition_date = '2001-08'"), "plain_bkup")
+    assert spark.table("plain_bkup").count() == 1500
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
+def test_mixed_case_names_and_empty_partitioned_source(spark, src):
+    spark.sql("DROP TABLE IF EXISTS src_orders_bkup")
+    out = run_batch(spark, "SRC_Orders", Policy(history_load=True, load=2)).collect()
+    assert [r.status for r in out] == [oc.LOADED]
+    spark.sql("DROP TABLE IF EXISTS empty_src")
+    spark.sql("CREATE TABLE empty_src (id INT, pd STRING) USING parquet PARTITIONED BY (pd)")
+    assert history_load(spark, "empty_src").status == oc.EMPTY_SOURCE
+    assert incremental_load(spark, "empty_src").status == oc.EMPTY_SOURCE
+    assert not catalog.exists(spark, "empty_src_bkup")
+
+
+def test_dotted_column_names_load_and_diff(spark):
+    spark.sql("DROP TABLE IF EXISTS dots")
+    spark.sql("DROP TABLE IF EXISTS dots_bkup")
+    spark.createDataFrame([(1, "x", "d1"), (2, "y", "d2")], "`a.b` int, `c d` string, pd string") \
+        .write.partitionBy("pd").saveAsTable("dots")
+    history_load(spark, "dots", n=2)
+    assert validation_report(spark, "dots")["diff"].count() == 0
