@@ -1,11 +1,18 @@
 """Distinct-value profile of every column, production vs backup.
 
-One aggregate per side (each side scanned once), the two one-row results
-stacked with a ``_side`` tag.  Exact counts are the default; Spark plans
-several exact distinct counts as an ``Expand`` followed by a map-side
-de-duplication, so each column ships only its distinct values per task.
-``approx=True`` switches to HyperLogLog++ sketches (no ``Expand``), the
-choice for very wide tables.  NULLs are not counted.
+Exact counts (the default) stack each row into ``(column index, value)``
+pairs, then count distinct values per index.  Work and shuffle grow with
+rows × columns; Spark's own plan for N exact distinct counts (an ``Expand``
+that copies every row N times, each copy N columns wide) grows with
+rows × columns², which matters for wide tables.  Values are compared
+through a canonical text that keeps them apart exactly as ``count(distinct)``
+does: NULL stays NULL (not counted), ``-0.0`` and ``0.0`` are one value,
+binary is hex, instants are counted by their microsecond, nested values go
+through ``to_json`` with maps sorted first.  Duplicate values are combined
+map-side, so a value held by a third of all rows costs one row per task.
+
+``approx=True`` uses HyperLogLog++ sketches per column in a single aggregate
+(no stacking), for very large profiles where an estimate is enough.
 """
 
 from __future__ import annotations
@@ -13,20 +20,59 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 from partsnap.functions.rows import BKUP, PROD, comparable_sql, ident, side_tag_sql
 from partsnap.operators.diff import align
 
 
-def _profile(df: DataFrame, cols: Sequence[str], label: str, approx: bool, rsd: float) -> DataFrame:
+def canonical_sql(col: str, dtype: DataType) -> str:
+    """Text of a value such that distinct values stay distinct (NULL stays NULL)."""
+    q = ident(col)
+    if isinstance(dtype, StringType):
+        return q
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return f"cast({q} + 0.0D as string)"
+    if isinstance(dtype, BinaryType):
+        return f"hex({q})"
+    if isinstance(dtype, TimestampType):
+        return f"cast(unix_micros({q}) as string)"
+    if isinstance(dtype, (ArrayType, StructType, MapType)):
+        return f"to_json({comparable_sql(q, dtype)})"
+    return f"cast({q} as string)"
+
+
+def _exact(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
+    pairs = ", ".join(f"struct({i} as _ps_g, {canonical_sql(c, types[c])} as _ps_v)" for i, c in enumerate(cols))
+    per_column = (
+        df.selectExpr(f"inline(array({pairs}))")
+        .groupBy("_ps_g")
+        .agg(F.expr("count(distinct _ps_v) as _ps_n"))
+    )
+    return per_column.selectExpr(
+        side_tag_sql(label),
+        *[f"coalesce(max(if(_ps_g = {i}, _ps_n, null)), 0L) as {ident(c)}" for i, c in enumerate(cols)],
+    )
 
-    def measure(c: str) -> str:
-        col = comparable_sql(ident(c), types[c])
-        fn = f"approx_count_distinct({col}, {rsd})" if approx else f"count(distinct {col})"
-        return f"{fn} as {ident(c)}"
 
-    return df.selectExpr(*[measure(c) for c in cols]).selectExpr(side_tag_sql(label), *[ident(c) for c in cols])
+def _approx(df: DataFrame, cols: Sequence[str], label: str, rsd: float) -> DataFrame:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(
+        side_tag_sql(label),
+        *[f"approx_count_distinct({comparable_sql(ident(c), types[c])}, {rsd}) as {ident(c)}" for c in cols],
+    )
 
 
 def distinct_profile(
@@ -38,4 +84,6 @@ def distinct_profile(
 ) -> DataFrame:
     """Two rows (``_side`` = prod / bkup), one distinct count per column."""
     p, b, cols = align(prod, bkup, columns)
-    return _profile(p, cols, PROD, approx, rsd).unionByName(_profile(b, cols, BKUP, approx, rsd))
+    if approx:
+        return _approx(p, cols, PROD, rsd).unionByName(_approx(b, cols, BKUP, rsd))
+    return _exact(p, cols, PROD).unionByName(_exact(b, cols, BKUP))
