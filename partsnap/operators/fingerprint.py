@@ -2,11 +2,12 @@
 
 A backup is mostly an exact copy, so a row diff of two 100 TB tables would
 shuffle 200 TB to report a few changed partitions.  Here each side is first
-reduced to one small row per partition key: the row count and two sums of
-independent 64-bit row hashes (summed as ``decimal(38,0)``, so nothing
-overflows and every copy of a row counts).  Only partitions whose
-fingerprints differ go through the exact row diff, and their key filters
-prune the scans.
+reduced to one small row per partition key: the row count and sums of two
+independent 64-bit row hashes, each split into two signed 32-bit halves
+summed as ``bigint`` (every copy of a row counts; sums of symmetric random
+halves stay far below the 64-bit range, and under ANSI mode an overflow
+would fail loudly, never wrap).  Only partitions whose fingerprints differ
+go through the exact row diff, and their key filters prune the scans.
 
 A partition reported as changed is diffed exactly, so a false alarm (e.g.
 ``0.0`` against ``-0.0``) only costs work.  A changed partition is missed
@@ -37,13 +38,13 @@ def _row_hash(schema, cols: Sequence[str], salt: str | None) -> str:
         parts += [comparable_sql(ident(c), types[c]), f"isnull({ident(c)})"]
     if salt:
         parts.append(text(salt))
-    return f"cast(xxhash64({', '.join(parts)}) as decimal(38, 0))"
+    return f"xxhash64({', '.join(parts)})"
 
 
 def partition_fingerprints(
     prod: DataFrame, bkup: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """``keys…, prod_rows, bkup_rows, prod_h1, bkup_h1, prod_h2, bkup_h2, changed``.
+    """``keys…, prod_rows, bkup_rows``, four hash sums per side, ``changed``.
 
     One ``groupBy`` over the tagged union; partial sums are combined map-side,
     so the shuffle carries one row per key per task.
@@ -51,20 +52,22 @@ def partition_fingerprints(
     p, b, cols = align(prod, bkup, columns)
     names = [ident(k) for k in keys]
     h1, h2 = _row_hash(p.schema, cols, None), _row_hash(p.schema, cols, SECOND_LANE)
-    tagged = p.selectExpr(*names, "true as _ps_in", f"{h1} as _ps_h1", f"{h2} as _ps_h2").union(
-        b.selectExpr(*names, "false as _ps_in", f"{h1} as _ps_h1", f"{h2} as _ps_h2")
-    )
+    halves = [
+        f"shiftright({h1}, 32) as _ps_a",
+        f"({h1} & 4294967295L) - 2147483648L as _ps_b",
+        f"shiftright({h2}, 32) as _ps_c",
+        f"({h2} & 4294967295L) - 2147483648L as _ps_d",
+    ]
+    tagged = p.selectExpr(*names, "true as _ps_in", *halves).union(b.selectExpr(*names, "false as _ps_in", *halves))
+    lanes = ("_ps_a", "_ps_b", "_ps_c", "_ps_d")
     sums = tagged.groupBy(*names).agg(
         F.expr("count_if(_ps_in) as prod_rows"),
         F.expr("count_if(not _ps_in) as bkup_rows"),
-        F.expr("coalesce(sum(if(_ps_in, _ps_h1, null)), 0) as prod_h1"),
-        F.expr("coalesce(sum(if(_ps_in, null, _ps_h1)), 0) as bkup_h1"),
-        F.expr("coalesce(sum(if(_ps_in, _ps_h2, null)), 0) as prod_h2"),
-        F.expr("coalesce(sum(if(_ps_in, null, _ps_h2)), 0) as bkup_h2"),
-    )
-    return sums.selectExpr(
-        "*", "prod_rows <> bkup_rows or prod_h1 <> bkup_h1 or prod_h2 <> bkup_h2 as changed"
+        *[F.expr(f"coalesce(sum(if(_ps_in, {x}, null)), 0L) as prod{x[3:]}") for x in lanes],
+        *[F.expr(f"coalesce(sum(if(_ps_in, null, {x})), 0L) as bkup{x[3:]}") for x in lanes],
     )
+    differs = " or ".join(["prod_rows <> bkup_rows"] + [f"prod{x[3:]} <> bkup{x[3:]}" for x in lanes])
+    return sums.selectExpr("*", f"{differs} as changed")
 
 
 def changed_keys(
