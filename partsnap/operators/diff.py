@@ -124,7 +124,9 @@ def row_diff(
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
     p, b, cols = align(prod, bkup, columns)
-    counts = _counts(p, b, cols)
+    # Rows present on both sides (the bulk, for a good backup) leave right after the aggregate.
+    unmatched = f"{NP} <> {NB}" if multiset else f"({NP} = 0 or {NB} = 0)"
+    counts = _counts(p, b, cols).where(unmatched)
     names = [ident(c) for c in cols]
     wanted = [PROD, BKUP] if side == "both" else [PROD if side == "prod" else BKUP]
     if len(wanted) == 1:
