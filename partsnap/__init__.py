@@ -11,22 +11,39 @@ from partsnap.operators.diff import (
     row_diff,
     union_distinct,
 )
+from partsnap.operators.fingerprint import changed_keys, partition_fingerprints, pruned_row_diff
 from partsnap.operators.gates import full_count, latest_count, same_key_count
 from partsnap.operators.profile import distinct_profile
 from partsnap.operators.schema import schema_compare
 from partsnap.operators.volume import volume_by_partition, volume_summary
+from partsnap.plans.batch import Policy, run_batch
+from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
+from partsnap.plans.retention import apply_eviction, plan_eviction
+from partsnap.plans.validate import audit, validation_report
 
 __all__ = [
+    "Policy",
+    "apply_eviction",
+    "audit",
+    "changed_keys",
     "differential_summary",
     "distinct_profile",
     "except_distinct",
     "full_count",
+    "history_load",
+    "incremental_load",
     "latest_count",
+    "partition_fingerprints",
+    "plan_eviction",
+    "pruned_row_diff",
     "row_counts",
     "row_diff",
+    "run_batch",
     "same_key_count",
     "schema_compare",
+    "snapshot_unpartitioned",
     "union_distinct",
+    "validation_report",
     "volume_by_partition",
     "volume_summary",
 ]

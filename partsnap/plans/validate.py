@@ -82,6 +82,9 @@ def validation_report(
 ) -> dict[str, DataFrame]:
     """:func:`audit` of a catalog table against its backup table."""
     backup = backup or catalog.backup_name(table, suffix)
+    for name in (table, backup):
+        if not catalog.exists(spark, name):
+            raise ValueError(f"table {name} does not exist")
     keys = catalog.partition_columns(spark, table)
     return audit(
         catalog.read(spark, table),

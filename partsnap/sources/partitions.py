@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from partsnap.functions.keys import newest_first
 from partsnap.functions.rows import ident, text
@@ -47,7 +48,11 @@ def catalog_listing(spark: SparkSession, table: str) -> DataFrame:
     if not keys:
         raise ValueError(f"{table} is not partitioned")
     types = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    shown = spark.sql(f"SHOW PARTITIONS {table}")
+    try:
+        shown = spark.sql(f"SHOW PARTITIONS {table}")
+    except AnalysisException:
+        # Table formats without a partition listing: read the key values instead.
+        return listing(spark.table(table), keys)
     spec = ident(shown.columns[0])
     fields = []
     for i, k in enumerate(keys, start=1):

@@ -264,3 +264,8 @@ def test_dotted_column_names_load_and_diff(spark):
         .write.partitionBy("pd").saveAsTable("dots")
     history_load(spark, "dots", n=2)
     assert validation_report(spark, "dots")["diff"].count() == 0
+
+
+def test_validation_report_needs_both_tables(spark, src):
+    with pytest.raises(ValueError):
+        validation_report(spark, src, backup="missing_backup_table")
