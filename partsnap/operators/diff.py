@@ -87,22 +87,26 @@ def _copies(side: str, multiset: bool) -> str:
     return f"if({other} = 0, {mine}, 0L)"
 
 
-def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK) -> DataFrame:
+def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int = 1024) -> DataFrame:
     """Emit each row ``df[n]`` times, spreading large multiplicities over tasks.
 
-    A row is first cut into ``ceil(n / chunk)`` chunk rows; the chunk rows are
-    hash-partitioned by (row, chunk) over ``spark.sql.shuffle.partitions`` (a
-    fixed count, so AQE cannot fold a hot row's chunks back into one task);
-    each task then expands only its own chunks.
+    A row is cut into chunks of at most ``chunk`` copies, sized so that a row
+    with many copies yields about four chunks per shuffle partition (never
+    below ``min_chunk`` copies); the chunk rows are hash-partitioned by
+    (row, chunk) over ``spark.sql.shuffle.partitions`` (a fixed count, so AQE
+    cannot fold a hot row's chunks back into one task); each task then
+    expands only its own chunks.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep = [ident(c) for c in df.columns if c != n]
-    chunks = df.where(f"{ident(n)} > 0").selectExpr(
-        *keep, ident(n), f"explode(sequence(0L, cast(floor(({ident(n)} - 1) / {chunk}) as bigint))) as _ps_c"
+    k = ident(n)
+    size = f"least({chunk}L, greatest({min(min_chunk, chunk)}L, cast(ceil({k} / {4 * parts}.0D) as bigint)))"
+    chunks = df.where(f"{k} > 0").selectExpr(*keep, k, f"{size} as _ps_s").selectExpr(
+        *keep, k, "_ps_s", f"explode(sequence(0L, cast(floor(({k} - 1) / _ps_s) as bigint))) as _ps_c"
+    )
+    spread = chunks.selectExpr(*keep, f"least(_ps_s, {k} - _ps_c * _ps_s) as _ps_k", "_ps_c").repartition(
+        parts, *keep, "_ps_c"
     )
-    spread = chunks.selectExpr(
-        *keep, f"least({chunk}L, {ident(n)} - _ps_c * {chunk}L) as _ps_k", "_ps_c"
-    ).repartition(parts, *keep, "_ps_c")
     return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_ps_k as int))) as _ps_x").drop("_ps_x")
 
 
