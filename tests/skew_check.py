@@ -38,6 +38,9 @@ def main() -> None:
 
     from partsnap.fixtures import table
     from partsnap.operators.diff import row_diff
+    from partsnap.operators.fingerprint import partition_fingerprints
+    from partsnap.operators.profile import distinct_profile
+    from partsnap.operators.volume import volume_by_partition
 
     li = table(spark, sf_dir, "lineitem")
     cols = li.columns
@@ -46,38 +49,49 @@ def main() -> None:
     bkup = prod.where("l_orderkey <> -1")
     total = prod.count()
     hot_rows = prod.where("l_orderkey = -1").count()
+    keyed_p = prod.selectExpr("*", "format_string('%04d-%02d', year(l_shipdate), month(l_shipdate)) as pd")
+    keyed_b = bkup.selectExpr("*", "format_string('%04d-%02d', year(l_shipdate), month(l_shipdate)) as pd")
     diff = row_diff(prod, bkup, "prod")
-    spark.sparkContext.setJobDescription("skew-diff")
-    per_task_out = [r["n"] for r in diff.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    spark.sparkContext.setJobDescription(None)
+    runs = {
+        "row_diff": lambda: diff.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect(),
+        "volume_by_partition": lambda: volume_by_partition(keyed_p, keyed_b, ["pd"]).collect(),
+        "distinct_profile": lambda: distinct_profile(prod, bkup).collect(),
+        "partition_fingerprints": lambda: partition_fingerprints(keyed_p, keyed_b, ["pd"]).collect(),
+    }
+    results = {}
+    for name, run in runs.items():
+        spark.sparkContext.setJobDescription(name)
+        results[name] = run()
+        spark.sparkContext.setJobDescription(None)
+    per_task_out = [r["n"] for r in results["row_diff"]]
     out = sum(per_task_out)
     spark.stop()
 
-    records = defaultdict(list)
     events = []
     for path in glob.glob(os.path.join(logs, "**", "*"), recursive=True):
         if os.path.isfile(path):
             with open(path) as fh:
                 events += [json.loads(line) for line in fh]
-    ours = set()
+    stage_of = {}
     for ev in events:
-        if ev.get("Event") == "SparkListenerJobStart" and \
-                (ev.get("Properties") or {}).get("spark.job.description") == "skew-diff":
-            ours.update(ev.get("Stage IDs", []))
+        if ev.get("Event") == "SparkListenerJobStart":
+            desc = (ev.get("Properties") or {}).get("spark.job.description")
+            if desc in runs:
+                for sid in ev.get("Stage IDs", []):
+                    stage_of[sid] = desc
+    records = defaultdict(list)
     for ev in events:
-        if ev.get("Event") != "SparkListenerTaskEnd" or ev.get("Stage ID") not in ours:
-            continue
-        if True:
-                m = ev.get("Task Metrics") or {}
-                read = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
-                if read:
-                    records[ev["Stage ID"]].append(read)
-    print(f"rows {total}, hot copies {hot_rows} ({hot_rows / total:.0%}), reported {out}")
-    for stage, per_task in sorted(records.items()):
-        print(f"diff stage {stage}: tasks {len(per_task)}, shuffle records read: total {sum(per_task)}, "
-              f"busiest task {max(per_task)} ({max(per_task) / sum(per_task):.0%})")
-    print(f"rows emitted per output partition: {sorted(per_task_out, reverse=True)} "
-          f"(busiest {max(per_task_out) / out:.0%} of {out})")
+        if ev.get("Event") == "SparkListenerTaskEnd" and ev.get("Stage ID") in stage_of:
+            m = ev.get("Task Metrics") or {}
+            read = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+            if read:
+                records[(stage_of[ev["Stage ID"]], ev["Stage ID"])].append(read)
+    print(f"rows {total}, hot copies {hot_rows} ({hot_rows / total:.0%}), hot row reported {out} times")
+    for (name, stage), per_task in sorted(records.items(), key=lambda kv: kv[0][1]):
+        print(f"{name:24s} stage {stage:3d}: tasks {len(per_task)}, shuffle records {sum(per_task):7d}, "
+              f"busiest task {max(per_task) / sum(per_task):.0%}")
+    print(f"row_diff rows emitted per output partition: {sorted(per_task_out, reverse=True)} "
+          f"(busiest {max(per_task_out) / out:.0%})")
 
 
 if __name__ == "__main__":
