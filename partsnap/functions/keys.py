@@ -11,10 +11,12 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, Row
 from pyspark.sql import functions as F
 
+from partsnap.functions.rows import ident
+
 
 def newest_first(keys: Sequence[str]) -> list[Column]:
     """Sort order of key tuples, newest first, NULL keys last (oldest)."""
-    return [F.col(k).desc_nulls_last() for k in keys]
+    return [F.col(ident(k)).desc_nulls_last() for k in keys]
 
 
 def _key_tuple(value, keys: Sequence[str]) -> tuple:
@@ -41,7 +43,7 @@ def key_in(keys: Sequence[str], values: Iterable) -> Column:
     if not tuples:
         return F.lit(False)
     if len(keys) == 1:
-        col = F.col(keys[0])
+        col = F.col(ident(keys[0]))
         present = [t[0] for t in tuples if t[0] is not None]
         wants_null = len(present) < len(tuples)
         if not present:
@@ -51,7 +53,7 @@ def key_in(keys: Sequence[str], values: Iterable) -> Column:
     for t in tuples:
         conj = None
         for k, v in zip(keys, t):
-            eq = F.col(k).eqNullSafe(F.lit(v))
+            eq = F.col(ident(k)).eqNullSafe(F.lit(v))
             conj = eq if conj is None else conj & eq
         pred = conj if pred is None else pred | conj
     return pred

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 
 from partsnap.functions.keys import key_in, key_not_in
+from partsnap.functions.rows import ident
 from partsnap.sources.partitions import beyond, listing, newest_keys
 
 
@@ -42,7 +43,7 @@ def after_overwrite(bkup: DataFrame, new_rows: DataFrame, keys: Sequence[str], r
     untouched.
     """
     kept = bkup.where(key_not_in(keys, replaced))
-    return kept.unionByName(new_rows.select(*bkup.columns))
+    return kept.unionByName(new_rows.selectExpr(*[ident(c) for c in bkup.columns]))
 
 
 def eviction_keys(bkup: DataFrame, keys: Sequence[str], keep: int, bkup_keys: DataFrame | None = None) -> DataFrame:

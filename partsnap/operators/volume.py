@@ -28,7 +28,7 @@ def volume_by_partition(prod: DataFrame, bkup: DataFrame, keys: Sequence[str]) -
     p, b, cols = align(prod, bkup, keys)
     names = [ident(c) for c in cols]
     tagged = p.selectExpr(*names, "true as _in_prod").unionByName(b.selectExpr(*names, "false as _in_prod"))
-    counts = tagged.groupBy(*cols).agg(
+    counts = tagged.groupBy(*names).agg(
         F.expr("count_if(_in_prod) as prod_rows"),
         F.expr("count_if(not _in_prod) as bkup_rows"),
     )

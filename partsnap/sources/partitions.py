@@ -30,9 +30,10 @@ NULL_KEY_TEXT = "__HIVE_DEFAULT_PARTITION__"
 
 def listing(df: DataFrame, keys: Sequence[str], with_counts: bool = False) -> DataFrame:
     """Distinct key tuples of ``df`` (optionally with ``row_count`` per key)."""
+    names = [ident(k) for k in keys]
     if with_counts:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-    return df.select(*keys).distinct()
+        return df.groupBy(*names).agg(F.count(F.lit(1)).alias("row_count"))
+    return df.selectExpr(*names).distinct()
 
 
 def catalog_listing(spark: SparkSession, table: str) -> DataFrame:
@@ -68,7 +69,7 @@ def newest(keys_df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """The ``n`` newest key tuples (top-k; planned as TakeOrderedAndProject)."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    return keys_df.select(*keys).orderBy(*newest_first(keys)).limit(n)
+    return keys_df.selectExpr(*[ident(k) for k in keys]).orderBy(*newest_first(keys)).limit(n)
 
 
 def newest_keys(keys_df: DataFrame, keys: Sequence[str], n: int) -> list[Row]:

@@ -153,3 +153,11 @@ def test_profile_matches_count_distinct_on_many_types(spark):
         want = df.selectExpr(f"count(distinct {c}) as n").first().n
         assert got[c] == want, c
     assert got["m"] == 2
+
+
+def test_dotted_key_names(spark):
+    df = spark.createDataFrame([(1, "d1"), (2, "d2"), (3, None)], "id int, `p.d` string")
+    keys = ["p.d"]
+    assert [r["p.d"] for r in history_keys(df, keys, 1)] == ["d2"]
+    assert sorted(r.id for r in survivors(df, keys, 2).collect()) == [1, 2]
+    assert volume_by_partition(df, df, keys).count() == 3
