@@ -269,3 +269,14 @@ def test_dotted_column_names_load_and_diff(spark):
 def test_validation_report_needs_both_tables(spark, src):
     with pytest.raises(ValueError):
         validation_report(spark, src, backup="missing_backup_table")
+
+
+def test_catalog_helpers(spark, src):
+    from partsnap.sources.partitions import has_more_than
+
+    assert "src_orders" in catalog.list_tables(spark)
+    assert [f.name for f in catalog.data_fields(spark, src)] == [
+        "o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    assert catalog.partition_columns(spark, src) == ["partition_date"]
+    listed = catalog_listing(spark, src)
+    assert has_more_than(listed, 79) and not has_more_than(listed, 80)
