@@ -33,7 +33,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from partsnap.functions.rows import BKUP, PROD, comparable_sql, ident, side_tag_sql
+from partsnap.functions.rows import BKUP, PROD, SIDE, comparable_sql, ident, side_tag_sql, text
 from partsnap.operators.diff import align
 
 
@@ -53,18 +53,32 @@ def canonical_sql(col: str, dtype: DataType) -> str:
     return f"cast({q} as string)"
 
 
-def _exact(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+def _stacked(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = ", ".join(f"struct({i} as _ps_g, {canonical_sql(c, types[c])} as _ps_v)" for i, c in enumerate(cols))
+    return df.selectExpr(f"{text(label)} as _ps_side", f"inline(array({pairs}))")
+
+
+def _exact(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One pipeline for both sides; a global aggregate then ``stack`` always yields two rows."""
     per_column = (
-        df.selectExpr(f"inline(array({pairs}))")
-        .groupBy("_ps_g")
+        _stacked(p, cols, PROD)
+        .union(_stacked(b, cols, BKUP))
+        .groupBy("_ps_side", "_ps_g")
         .agg(F.expr("count(distinct _ps_v) as _ps_n"))
     )
-    return per_column.selectExpr(
-        side_tag_sql(label),
-        *[f"coalesce(max(if(_ps_g = {i}, _ps_n, null)), 0L) as {ident(c)}" for i, c in enumerate(cols)],
+    wide = per_column.selectExpr(
+        *[
+            f"coalesce(max(if(_ps_side = {text(side)} and _ps_g = {i}, _ps_n, null)), 0L) as _ps_{side}_{i}"
+            for side in (PROD, BKUP)
+            for i in range(len(cols))
+        ]
+    )
+    fields = ", ".join(
+        f"{text(side)}, " + ", ".join(f"_ps_{side}_{i}" for i in range(len(cols))) for side in (PROD, BKUP)
     )
+    names = ", ".join([SIDE] + [ident(c) for c in cols])
+    return wide.selectExpr(f"stack(2, {fields}) as ({names})")
 
 
 def _approx(df: DataFrame, cols: Sequence[str], label: str, rsd: float) -> DataFrame:
@@ -86,4 +100,4 @@ def distinct_profile(
     p, b, cols = align(prod, bkup, columns)
     if approx:
         return _approx(p, cols, PROD, rsd).unionByName(_approx(b, cols, BKUP, rsd))
-    return _exact(p, cols, PROD).unionByName(_exact(b, cols, BKUP))
+    return _exact(p, b, cols)

@@ -161,3 +161,9 @@ def test_dotted_key_names(spark):
     assert [r["p.d"] for r in history_keys(df, keys, 1)] == ["d2"]
     assert sorted(r.id for r in survivors(df, keys, 2).collect()) == [1, 2]
     assert volume_by_partition(df, df, keys).count() == 3
+
+
+def test_profile_of_empty_side_has_zero_row(spark):
+    p = spark.createDataFrame([(1, "a"), (2, "a")], "id int, v string")
+    rows = {r["_side"]: r.asDict() for r in distinct_profile(p, p.limit(0)).collect()}
+    assert rows == {"prod": {"_side": "prod", "id": 2, "v": 1}, "bkup": {"_side": "bkup", "id": 0, "v": 0}}
