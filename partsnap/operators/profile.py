@@ -4,12 +4,17 @@ Exact counts (the default) stack each row into ``(column index, value)``
 pairs, then count distinct values per index.  Work and shuffle grow with
 rows × columns; Spark's own plan for N exact distinct counts (an ``Expand``
 that copies every row N times, each copy N columns wide) grows with
-rows × columns², which matters for wide tables.  Values are compared
-through a canonical text that keeps them apart exactly as ``count(distinct)``
-does: NULL stays NULL (not counted), ``-0.0`` and ``0.0`` are one value,
-binary is hex, instants are counted by their microsecond, nested values go
-through ``to_json`` with maps sorted first.  Duplicate values are combined
-map-side, so a value held by a third of all rows costs one row per task.
+rows × columns², which matters for wide tables.
+
+A stacked value travels in one of three typed lanes, so no number is
+formatted as text: integers, booleans, dates and instants as ``bigint``
+(instants by their microsecond), floating point as ``double`` (grouping
+folds ``-0.0`` into ``0.0`` and every NaN into one), everything else as
+text (decimals and local timestamps by their exact text, binary as hex,
+nested values through ``to_json`` with maps sorted first).  A NULL leaves
+every lane NULL and is not counted, as in ``count(distinct)``.  The
+distinct (side, column, value) triples are formed with map-side
+combining, so a value held by a third of all rows costs one row per task.
 
 ``approx=True`` uses HyperLogLog++ sketches per column in a single aggregate
 (no stacking), for very large profiles where an estimate is enough.
@@ -24,10 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
+    ByteType,
     DataType,
+    DateType,
     DoubleType,
     FloatType,
+    IntegerType,
+    LongType,
     MapType,
+    ShortType,
     StringType,
     StructType,
     TimestampType,
@@ -37,36 +48,47 @@ from partsnap.functions.rows import BKUP, PROD, SIDE, comparable_sql, ident, sid
 from partsnap.operators.diff import align
 
 
-def canonical_sql(col: str, dtype: DataType) -> str:
-    """Text of a value such that distinct values stay distinct (NULL stays NULL)."""
+def lane_sql(col: str, dtype: DataType) -> tuple[str, str, str]:
+    """``(bigint, double, text)`` lanes of a value; exactly one is set unless it is NULL."""
     q = ident(col)
-    if isinstance(dtype, StringType):
-        return q
+    no_int, no_float, no_text = "cast(null as bigint)", "cast(null as double)", "cast(null as string)"
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return f"cast({q} as bigint)", no_float, no_text
+    if isinstance(dtype, BooleanType):
+        return f"cast(cast({q} as int) as bigint)", no_float, no_text
+    if isinstance(dtype, DateType):
+        return f"cast(unix_date({q}) as bigint)", no_float, no_text
+    if isinstance(dtype, TimestampType):
+        return f"unix_micros({q})", no_float, no_text
     if isinstance(dtype, (DoubleType, FloatType)):
-        return f"cast({q} + 0.0D as string)"
+        return no_int, f"cast({q} as double)", no_text
+    if isinstance(dtype, StringType):
+        return no_int, no_float, q
     if isinstance(dtype, BinaryType):
-        return f"hex({q})"
-    if isinstance(dtype, TimestampType):
-        return f"cast(unix_micros({q}) as string)"
+        return no_int, no_float, f"hex({q})"
     if isinstance(dtype, (ArrayType, StructType, MapType)):
-        return f"to_json({comparable_sql(q, dtype)})"
-    return f"cast({q} as string)"
+        return no_int, no_float, f"to_json({comparable_sql(q, dtype)})"
+    return no_int, no_float, f"cast({q} as string)"
 
 
 def _stacked(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
-    pairs = ", ".join(f"struct({i} as _ps_g, {canonical_sql(c, types[c])} as _ps_v)" for i, c in enumerate(cols))
-    return df.selectExpr(f"{text(label)} as _ps_side", f"inline(array({pairs}))")
+    pairs = []
+    for i, c in enumerate(cols):
+        li, ld, ls = lane_sql(c, types[c])
+        pairs.append(f"struct({i} as _ps_g, {li} as _ps_i, {ld} as _ps_d, {ls} as _ps_s)")
+    return df.selectExpr(f"{text(label)} as _ps_side", f"inline(array({', '.join(pairs)}))")
 
 
 def _exact(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One pipeline for both sides; a global aggregate then ``stack`` always yields two rows."""
-    per_column = (
+    values = (
         _stacked(p, cols, PROD)
         .union(_stacked(b, cols, BKUP))
-        .groupBy("_ps_side", "_ps_g")
-        .agg(F.expr("count(distinct _ps_v) as _ps_n"))
+        .where("_ps_i is not null or _ps_d is not null or _ps_s is not null")
+        .distinct()
     )
+    per_column = values.groupBy("_ps_side", "_ps_g").agg(F.count(F.lit(1)).alias("_ps_n"))
     wide = per_column.selectExpr(
         *[
             f"coalesce(max(if(_ps_side = {text(side)} and _ps_g = {i}, _ps_n, null)), 0L) as _ps_{side}_{i}"

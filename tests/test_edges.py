@@ -135,15 +135,16 @@ def test_profile_matches_count_distinct_on_many_types(spark):
     from decimal import Decimal
 
     schema = ("s string, d double, f float, b binary, ts timestamp, tn timestamp_ntz, dt date, "
-              "dec decimal(10,2), arr array<string>, st struct<x:int,y:string>, m map<string,int>, bo boolean")
+              "dec decimal(10,2), arr array<string>, st struct<x:int,y:string>, m map<string,int>, bo boolean, "
+              "i int, l bigint, sm smallint")
     rows = [
         ("a", 0.0, 1.5, b"\x00\xff", dt.datetime(2021, 1, 1, 1, 30), dt.datetime(2021, 1, 1), dt.date(2021, 1, 1),
-         Decimal("1.50"), ["a, b"], (1, None), {"k": 1, "j": 2}, True),
+         Decimal("1.50"), ["a, b"], (1, None), {"k": 1, "j": 2}, True, 1, 1, 7),
         ("a", -0.0, 1.5, b"\xff\x00", dt.datetime(2021, 1, 1, 1, 30), dt.datetime(2021, 1, 2), dt.date(2021, 1, 2),
-         Decimal("1.5"), ["a", " b"], (None, "1"), {"j": 2, "k": 1}, False),
-        (None, float("nan"), None, None, None, None, None, None, None, None, None, None),
+         Decimal("1.5"), ["a", " b"], (None, "1"), {"j": 2, "k": 1}, False, 1, -1, -7),
+        (None, float("nan"), None, None, None, None, None, None, None, None, None, None, None, None, None),
         ("null", float("nan"), 2.5, b"", dt.datetime(2021, 1, 1), dt.datetime(2021, 1, 1), dt.date(2021, 1, 1),
-         Decimal("2.00"), [], (1, None), {}, True),
+         Decimal("2.00"), [], (1, None), {}, True, 0, 1 << 40, 7),
     ]
     df = spark.createDataFrame(rows, schema)
     got = {r["_side"]: r for r in distinct_profile(df, df).collect()}["prod"]
