@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
+# Held for the whole switched write, so concurrent batch threads never see
+# each other's restore of the setting in the middle of a write.
+_OVERWRITE_SWITCH = threading.RLock()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and manifests.
@@ -29,15 +34,18 @@ def dynamic_partition_overwrite(spark: SparkSession):
     Fallback for tables without the ``partitionOverwriteMode=dynamic`` table
     option: ``insertInto`` ignores a per-write option, and the default
     (static) mode would truncate every partition of the table, so the
-    session setting is switched for the write and restored after.  This
-    changes the whole session, so do not run other writes on it meanwhile.
+    session setting is switched for the write and restored after.  The
+    switch changes the whole session, so switched writes are serialised by
+    a lock (the batch runner may write several tables at once); writes into
+    tables that carry the table option never take it.
     """
-    previous = spark.conf.get(OVERWRITE_MODE, None)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        if previous is None:
-            spark.conf.unset(OVERWRITE_MODE)
-        else:
-            spark.conf.set(OVERWRITE_MODE, previous)
+    with _OVERWRITE_SWITCH:
+        previous = spark.conf.get(OVERWRITE_MODE, None)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            if previous is None:
+                spark.conf.unset(OVERWRITE_MODE)
+            else:
+                spark.conf.set(OVERWRITE_MODE, previous)

@@ -171,6 +171,32 @@ def test_run_batch(spark, src):
     assert [r.status for r in refused] == [oc.REFUSED]
 
 
+def test_run_batch_in_parallel_matches_serial_and_keeps_foreign_backups(spark):
+    """Tables run side by side; backups made elsewhere (no table option) keep their other partitions."""
+    names = [f"par_{i}" for i in range(4)]
+    for t in names:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+        spark.sql(f"DROP TABLE IF EXISTS {t}_bkup")
+    for i, t in enumerate(names):
+        rows = [(j, f"2024-11-{d:02d}") for j, d in enumerate(range(10, 16 + i))]
+        spark.createDataFrame(rows, "id int, partition_date string").write.partitionBy(
+            "partition_date").saveAsTable(t)
+    # Two backups created by another writer: static overwrite would truncate them.
+    for t in names[:2]:
+        spark.createDataFrame([(-1, "2024-10-01")], "id int, partition_date string").write.partitionBy(
+            "partition_date").saveAsTable(f"{t}_bkup")
+    out = run_batch(spark, names + ["par_missing"], Policy(history_load=True, load=2), parallelism=4).collect()
+    assert [(r.table, r.status) for r in out] == [(t, oc.LOADED) for t in names] + [
+        ("par_missing", oc.MISSING_SOURCE)]
+    for i, t in enumerate(names):
+        newest = [f"2024-11-{d:02d}" for d in (14 + i, 15 + i)]
+        assert keys_of(spark, f"{t}_bkup") == (["2024-10-01"] if i < 2 else []) + newest
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) in (None, "STATIC", "static")
+    serial = run_batch(spark, names, Policy(keep=2)).collect()
+    parallel = run_batch(spark, names, Policy(keep=2), parallelism=3).collect()
+    assert [(r.table, r.action) for r in parallel] == [(r.table, r.action) for r in serial]
+
+
 def test_missing_backup_and_source(spark):
     assert apply_eviction(spark, "no_such_bkup", keep=3).status == oc.MISSING_BACKUP
     assert history_load(spark, "no_such_table").status == oc.MISSING_SOURCE
