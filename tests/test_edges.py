@@ -168,3 +168,18 @@ def test_profile_of_empty_side_has_zero_row(spark):
     p = spark.createDataFrame([(1, "a"), (2, "a")], "id int, v string")
     rows = {r["_side"]: r.asDict() for r in distinct_profile(p, p.limit(0)).collect()}
     assert rows == {"prod": {"_side": "prod", "id": 2, "v": 1}, "bkup": {"_side": "bkup", "id": 0, "v": 0}}
+
+
+def test_long_key_lists_match_the_or_chain(spark):
+    from partsnap.functions import keys as K
+
+    combos = [(y, m) for y in (2019, 2020, 2021, None) for m in (1, 2, 3, None)]
+    df = spark.createDataFrame([(y, m, i) for i, (y, m) in enumerate(combos)], "y int, m int, id int")
+    wanted = [(2020, 1), (None, 2), (2021, None), (None, None)] + [(1900 + k, k % 12) for k in range(30)]
+    assert len(wanted) > K.OR_CHAIN_MAX
+    ids = lambda pred: sorted(r.id for r in df.where(pred).collect())
+    want_in = [i for i, c in enumerate(combos) if c in wanted]
+    assert ids(K.key_in(["y", "m"], wanted)) == want_in
+    assert ids(K.key_not_in(["y", "m"], wanted)) == [i for i in range(len(combos)) if i not in want_in]
+    short = wanted[:4]
+    assert ids(K.key_in(["y", "m"], short)) == [i for i, c in enumerate(combos) if c in short]
