@@ -3,7 +3,8 @@
 ``QUERIES[name](spark, sf_dir)`` builds the Spark DataFrame over the whole
 fixture tables; ``ORACLE_SQL[name]`` is the same result written as plain SQL
 for DuckDB over the raw tables.  Names of computed columns match on both
-sides.  A query whose result is metadata (``schema_compare``) has no SQL twin.
+sides.  ``schema_compare`` reads DuckDB's own description of the two fixture
+results, with DuckDB type names mapped to Spark's.
 """
 
 from __future__ import annotations
@@ -223,6 +224,21 @@ def q_schema_compare(spark, sf_dir):
     return schema_compare(p, stored, KEY, KEY)
 
 
+# The orders source after a schema change, against the backup made before it:
+# o_custkey moved first, o_totalprice retyped, a column added, o_orderpriority dropped.
+DRIFTED_ORDERS = {
+    "spark": ["o_custkey", "o_orderstatus", "o_orderkey", "cast(o_totalprice as decimal(12,2)) as o_totalprice",
+              "cast(floor(o_totalprice / 100000) as int) as o_price_band", "partition_date"],
+    "duckdb": ["o_custkey", "o_orderstatus", "o_orderkey", "cast(o_totalprice as decimal(12,2)) as o_totalprice",
+               "cast(floor(o_totalprice / 100000) as integer) as o_price_band", "partition_date"],
+}
+
+
+def q_schema_compare_drift(spark, sf_dir):
+    p, b = _orders(spark, sf_dir)
+    return schema_compare(p.selectExpr(*DRIFTED_ORDERS["spark"]), b, KEY, KEY)
+
+
 QUERIES: dict[str, Builder] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -291,6 +307,31 @@ def _summary_sql(where: str = "") -> str:
     )
 
 
+# DuckDB type names and the Spark type names they are read as.
+_DUCK_TO_SPARK_TYPES = """case column_type
+    when 'VARCHAR' then 'string' when 'BIGINT' then 'bigint' when 'INTEGER' then 'int'
+    when 'SMALLINT' then 'smallint' when 'TINYINT' then 'tinyint' when 'DOUBLE' then 'double'
+    when 'FLOAT' then 'float' when 'BOOLEAN' then 'boolean' when 'DATE' then 'date'
+    when 'TIMESTAMP' then 'timestamp_ntz' when 'TIMESTAMP WITH TIME ZONE' then 'timestamp'
+    when 'BLOB' then 'binary' else lower(column_type) end"""
+
+
+def _described(fixture: str) -> str:
+    return f"""select column_name as "column", cast(row_number() over () - 1 as integer) as position,
+                      {_DUCK_TO_SPARK_TYPES} as type, column_name in ({", ".join(map(repr, KEY))}) as is_key
+               from (describe select * from {fixture})"""
+
+
+_SCHEMA_COMPARE = """
+select coalesce(p."column", b."column") as "column",
+       p.position as prod_position, p.type as prod_type, p.is_key as prod_is_key,
+       b.position as bkup_position, b.type as bkup_type, b.is_key as bkup_is_key,
+       case when b.type is null then 'missing_in_bkup' when p.type is null then 'missing_in_prod'
+            when p.type <> b.type then 'type_differs' when p.position <> b.position then 'moved'
+            else 'same' end as status
+from pd p full outer join bd b on p."column" = b."column"
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "partition_listing": fx.with_fixtures(
         "select partition_date, count(*) as row_count from prod_orders group by partition_date", "prod_orders"
@@ -445,6 +486,18 @@ ORACLE_SQL: dict[str, str] = {
                           order by o_year desc, o_month desc limit {HISTORY_N}"""
         },
     ),
+    "schema_compare": fx.with_fixtures(
+        _SCHEMA_COMPARE, "bkup_orders", extra={"pd": _described("prod_orders"), "bd": _described("bkup_orders")}
+    ),
+    "schema_compare_drift": fx.with_fixtures(
+        _SCHEMA_COMPARE,
+        "bkup_orders",
+        extra={
+            "drifted": f"select {', '.join(DRIFTED_ORDERS['duckdb'])} from prod_orders",
+            "pd": _described("drifted"),
+            "bd": _described("bkup_orders"),
+        },
+    ),
     "multi_key_retention_evict": fx.with_fixtures(
         f"""select o_year, o_month, count(*) as row_count from prod_orders_ym group by o_year, o_month
             order by o_year desc, o_month desc offset {KEEP}""",
