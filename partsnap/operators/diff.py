@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from partsnap.functions.rows import (
@@ -110,12 +110,31 @@ def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int
     return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_ps_k as int))) as _ps_x").drop("_ps_x")
 
 
+def _total(expr: str, name: str) -> str:
+    return f"cast(coalesce(sum({expr}), 0) as bigint) as {name}"
+
+
+# The totals of :func:`differential_summary`, as aggregates over the per-row counts.
+SUMMARY_SQL = (
+    _total(NP, "prod_rows"),
+    _total(NB, "bkup_rows"),
+    "count(1) as union_distinct",
+    f"count_if({NP} > 0 and {NB} = 0) as prod_except_bkup",
+    f"count_if({NB} > 0 and {NP} = 0) as bkup_except_prod",
+    _total(_copies(PROD, False), "prod_only_rows"),
+    _total(_copies(BKUP, False), "bkup_only_rows"),
+    _total(_copies(PROD, True), "prod_except_all_bkup"),
+    _total(_copies(BKUP, True), "bkup_except_all_prod"),
+)
+
+
 def row_diff(
     prod: DataFrame,
     bkup: DataFrame,
     side: str = "both",
     multiset: bool = False,
     columns: Sequence[str] | None = None,
+    totals: Observation | None = None,
 ) -> DataFrame:
     """Rows present on one side and not on the other, tagged with ``_side``.
 
@@ -124,13 +143,21 @@ def row_diff(
     copies when no equal row exists on the other side (NULLs compare equal to
     NULLs, never to the text ``'null'``).  ``multiset=True`` reports the
     surplus copies instead (``EXCEPT ALL``).
+
+    With ``totals`` (a ``pyspark.sql.Observation``), the job that consumes
+    the diff also fills in the totals of :func:`differential_summary`, read
+    with ``totals.get`` after that action: the diff and the summary of a
+    large pair cost one scan and one shuffle of both tables, not two.
     """
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
     p, b, cols = align(prod, bkup, columns)
+    counts = _counts(p, b, cols)
+    if totals is not None:
+        counts = counts.observe(totals, *[F.expr(e) for e in SUMMARY_SQL])
     # Rows present on both sides (the bulk, for a good backup) leave right after the aggregate.
     unmatched = f"{NP} <> {NB}" if multiset else f"({NP} = 0 or {NB} = 0)"
-    counts = _counts(p, b, cols).where(unmatched)
+    counts = counts.where(unmatched)
     names = [ident(c) for c in cols]
     wanted = [PROD, BKUP] if side == "both" else [PROD if side == "prod" else BKUP]
     if len(wanted) == 1:
@@ -163,19 +190,4 @@ def differential_summary(prod: DataFrame, bkup: DataFrame, columns: Sequence[str
     ``bkup_only_rows`` (row diff, with copies); ``prod_except_all_bkup`` and
     ``bkup_except_all_prod`` (``EXCEPT ALL``).
     """
-    counts = row_counts(prod, bkup, columns)
-
-    def total(expr: str, name: str) -> str:
-        return f"cast(coalesce(sum({expr}), 0) as bigint) as {name}"
-
-    return counts.selectExpr(
-        total(NP, "prod_rows"),
-        total(NB, "bkup_rows"),
-        "count(1) as union_distinct",
-        f"count_if({NP} > 0 and {NB} = 0) as prod_except_bkup",
-        f"count_if({NB} > 0 and {NP} = 0) as bkup_except_prod",
-        total(_copies(PROD, False), "prod_only_rows"),
-        total(_copies(BKUP, False), "bkup_only_rows"),
-        total(_copies(PROD, True), "prod_except_all_bkup"),
-        total(_copies(BKUP, True), "bkup_except_all_prod"),
-    )
+    return row_counts(prod, bkup, columns).selectExpr(*SUMMARY_SQL)

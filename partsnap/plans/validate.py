@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from partsnap.operators.diff import differential_summary, row_diff
 from partsnap.operators.fingerprint import pruned_row_diff
@@ -32,7 +32,7 @@ def audit(
     multiset: bool = False,
     approx_profile: bool = False,
     prune_unchanged: bool = False,
-) -> dict[str, DataFrame]:
+) -> dict[str, DataFrame | Observation]:
     """The audit parts for two DataFrames.
 
     ``diff``, ``profile`` and ``summary`` cover ``partition`` (a key value or
@@ -41,18 +41,22 @@ def audit(
     None; the newest are taken from ``prod_keys`` when given); ``schema``
     compares the full schemas.  ``prune_unchanged`` diffs only the partitions
     whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`).
+    Otherwise ``diff_totals`` (an ``Observation``) holds the ``summary``
+    totals once ``diff`` has been acted on: writing the diff then yields the
+    summary from the same job, with no second pass over the tables.
     """
     keys = list(keys)
     prod_part, bkup_part = prod, bkup
     if partition is not None and keys:
         wanted = [partition if isinstance(partition, (tuple, list, dict)) else (partition,)]
         prod_part, bkup_part = rows_of(prod, keys, wanted), rows_of(bkup, keys, wanted)
-    report = {
-        "diff": (
-            pruned_row_diff(prod_part, bkup_part, keys, "both", multiset=multiset)
-            if prune_unchanged and keys
-            else row_diff(prod_part, bkup_part, "both", multiset=multiset)
-        ),
+    report = {}
+    if prune_unchanged and keys:
+        report["diff"] = pruned_row_diff(prod_part, bkup_part, keys, "both", multiset=multiset)
+    else:
+        report["diff_totals"] = Observation("partsnap_diff_totals")
+        report["diff"] = row_diff(prod_part, bkup_part, "both", multiset=multiset, totals=report["diff_totals"])
+    report |= {
         "profile": distinct_profile(prod_part, bkup_part, approx=approx_profile),
         "summary": differential_summary(prod_part, bkup_part),
         "schema": schema_compare(prod, bkup, keys, keys if bkup_keys is None else bkup_keys),
@@ -79,7 +83,7 @@ def validation_report(
     multiset: bool = False,
     approx_profile: bool = False,
     prune_unchanged: bool = False,
-) -> dict[str, DataFrame]:
+) -> dict[str, DataFrame | Observation]:
     """:func:`audit` of a catalog table against its backup table."""
     backup = backup or catalog.backup_name(table, suffix)
     for name in (table, backup):

@@ -79,3 +79,20 @@ def test_gates(pair):
     latest = gates.latest_count(p, b, KEY).first()
     assert latest.prod_partition_date == "2001-08" and latest.bkup_partition_date == "2001-07"
     assert latest.should_load == (latest.prod_rows != latest.bkup_rows)
+
+
+@pytest.mark.parametrize("side,multiset", [("both", False), ("prod", False), ("bkup", True)])
+def test_diff_and_summary_in_one_job(pair, side, multiset):
+    from pyspark.sql import Observation
+
+    p, b, g = pair
+    totals = Observation(f"totals_{side}_{multiset}")
+    diff = row_diff(p, b, side, multiset=multiset, totals=totals)
+    counted = {r["_side"]: r["n"] for r in diff.groupBy("_side").agg(F.count("*").alias("n")).collect()}
+    want = differential_summary(p, b).first().asDict()
+    assert totals.get == want
+    assert want["prod_rows"] == g["prod"] and want["union_distinct"] == g["union"]
+    if side != "bkup":
+        assert counted["prod"] == (want["prod_except_all_bkup"] if multiset else want["prod_only_rows"])
+    if side != "prod":
+        assert counted["bkup"] == (want["bkup_except_all_prod"] if multiset else want["bkup_only_rows"])

@@ -143,6 +143,8 @@ def test_int_and_date_keys_with_text_backup(spark):
     report = validation_report(spark, "dk")
     assert {r.status for r in report["schema"].collect()} >= {"type_differs"}
     assert report["volume_summary"].first().missing_in_bkup == 1
+    assert sorted(r.id for r in report["diff"].collect()) == [1]
+    assert report["diff_totals"].get == report["summary"].first().asDict()
 
 
 def test_unpartitioned_snapshot(spark):
