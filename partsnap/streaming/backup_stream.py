@@ -12,25 +12,55 @@ query running.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from partsnap.functions.rows import ident
 from partsnap.operators.slices import rows_of
 from partsnap.plans.retention import apply_eviction
 from partsnap.session import shared_dir
 from partsnap.sinks import tables
 from partsnap.sources import catalog
+from partsnap.sources.partitions import catalog_listing, newest_keys
+
+
+def worth_copying(
+    spark: SparkSession, backup: str, touched: list[Row], schema: StructType, keep: int | None
+) -> list[Row]:
+    """The touched key tuples (typed by ``schema``) that retention will keep.
+
+    With ``keep``, only the ``keep`` newest of (touched ∪ already backed up)
+    survive the batch, so older touched partitions are not copied at all:
+    the first batch over a table with years of partitions copies ``keep`` of
+    them, not all of them only to drop most right after.
+    """
+    if not keep or not touched:
+        return touched
+    keys = schema.fieldNames()
+    candidates = spark.createDataFrame(touched, schema)
+    if catalog.exists(spark, backup):
+        listed = catalog_listing(spark, backup)
+        candidates = candidates.unionByName(
+            listed.select(*[F.col(ident(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+        )
+    survivors = {tuple(r) for r in newest_keys(candidates, keys, keep)}
+    return [t for t in touched if tuple(t) in survivors]
 
 
 def backup_batch(spark: SparkSession, source: str, backup: str, keys: list[str], keep: int | None):
-    """The ``foreachBatch`` body: copy every partition the batch touched."""
+    """The ``foreachBatch`` body: copy the partitions the batch touched that retention keeps."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(*keys).distinct().collect()
+        key_cols = batch.select(*[ident(k) for k in keys])
+        touched = key_cols.distinct().collect()
         if not touched:
             return
+        wanted = worth_copying(spark, backup, touched, key_cols.schema, keep)
         tables.create_backup_like(spark, source, backup)
-        tables.overwrite_partitions(rows_of(spark.table(source), keys, touched), backup)
+        if wanted:
+            tables.overwrite_partitions(rows_of(spark.table(source), keys, wanted), backup)
         if keep:
             apply_eviction(spark, backup, keep, run_id=f"epoch-{epoch_id}")
 

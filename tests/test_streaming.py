@@ -17,3 +17,18 @@ def test_stream_backs_up_touched_partitions(spark):
     q.awaitTermination()
     got = sorted((r.id, r.pd) for r in spark.table("st_src_bkup").collect())
     assert got == [(3, "d3"), (4, "d3"), (5, "d4")]
+
+
+def test_stream_copies_only_partitions_that_retention_keeps(spark):
+    from partsnap.streaming.backup_stream import worth_copying
+
+    spark.sql("DROP TABLE IF EXISTS wc_bkup")
+    key = spark.createDataFrame([("d0",)], "pd string")
+    touched = spark.createDataFrame([(f"d{i}",) for i in range(1, 8)] + [(None,)], "pd string").collect()
+    # no backup yet: only the 2 newest touched keys are worth copying
+    assert sorted(r.pd for r in worth_copying(spark, "wc_bkup", touched, key.schema, 2)) == ["d6", "d7"]
+    assert worth_copying(spark, "wc_bkup", touched, key.schema, None) == touched
+    # a backup already holding newer keys: an old touched key is not copied
+    spark.createDataFrame([(1, "d8"), (2, "d9")], "id int, pd string").write.partitionBy("pd").saveAsTable("wc_bkup")
+    assert worth_copying(spark, "wc_bkup", touched, key.schema, 2) == []
+    assert [r.pd for r in worth_copying(spark, "wc_bkup", touched, key.schema, 3)] == ["d7"]
