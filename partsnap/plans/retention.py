@@ -4,6 +4,7 @@ The listing comes from the catalog, so partitions without rows are counted
 and dropped like the rest.  The eviction list is written to the shared
 folder first and the drops are driven from what was written; drops are
 ``IF EXISTS``, so a rerun after a crash finishes the job without error.
+Evicted partitions lose their files too, for external backups as well.
 """
 
 from __future__ import annotations
@@ -49,5 +50,5 @@ def apply_eviction(
     evict = spark.read.parquet(path).collect()
     if not evict:
         return oc.Outcome(backup, backup, "retention", oc.NOTHING_TO_EVICT, detail=path)
-    tables.drop_partitions(spark, backup, keys, evict)
+    tables.evict_partitions(spark, backup, keys, evict)
     return oc.Outcome(backup, backup, "retention", oc.EVICTED, oc.key_text(keys, evict), detail=path)

@@ -11,6 +11,8 @@
   fallback for backup tables created elsewhere;
 * :func:`overwrite_table` replaces a whole unpartitioned table;
 * :func:`drop_partitions` drops partitions by typed key tuples;
+  :func:`evict_partitions` also removes their files when the table is
+  external (a drop keeps them there);
 * :func:`write_manifest` records what is about to be dropped, in the shared
   folder, before it is dropped.
 
@@ -128,6 +130,50 @@ def drop_partitions(spark: SparkSession, table: str, keys: Sequence[str], values
     return len(values)
 
 
+def is_external(spark: SparkSession, table: str) -> bool:
+    """True for a table whose files outlive its partitions (``DROP`` keeps them)."""
+    return spark.catalog.getTable(table).tableType == "EXTERNAL"
+
+
+def partition_location(spark: SparkSession, table: str, keys: Sequence[str], value) -> str | None:
+    """Directory of one partition, from the catalog (a partition may live anywhere)."""
+    described = spark.sql(f"DESCRIBE FORMATTED {table} {partition_spec(keys, value)}")
+    rows = described.where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def delete_directories(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Delete whole directories through the cluster's file system; missing ones are skipped.
+
+    One metadata call per directory, issued from the driver (what a manual
+    ``rm -r`` of each partition would do), so the count is bounded by the
+    number of partitions evicted.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        deleted += bool(path.getFileSystem(conf).delete(path, True))
+    return deleted
+
+
+def evict_partitions(spark: SparkSession, table: str, keys: Sequence[str], values: Sequence) -> int:
+    """Drop the partitions ``values`` and remove their files, managed or external.
+
+    A managed table's drop deletes the directories.  An external table keeps
+    them (and ``RECOVER PARTITIONS`` would bring the rows back), so their
+    directories are deleted first, then the partitions are dropped: a crash
+    in between leaves partitions that read as empty, and a rerun, which
+    plans the same evictions from the catalog, finishes the drop.
+    """
+    values = list(values)
+    if values and is_external(spark, table):
+        locations = [partition_location(spark, table, keys, v) for v in values]
+        delete_directories(spark, [loc for loc in locations if loc])
+    return drop_partitions(spark, table, keys, values)
+
+
 def manifest_path(spark: SparkSession, table: str, run_id: str) -> str:
     return f"{shared_dir(spark)}/partsnap/evictions/{table}/{run_id}"
 

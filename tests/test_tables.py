@@ -12,6 +12,7 @@ from partsnap.plans.batch import Policy, run_batch
 from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
 from partsnap.plans.retention import apply_eviction, plan_eviction
 from partsnap.plans.validate import validation_report
+from partsnap.sinks.tables import create_backup_like, is_external
 from partsnap.sources import catalog
 from partsnap.sources.partitions import catalog_listing
 
@@ -93,6 +94,40 @@ def test_retention_keeps_n_and_removes_directories(spark, src, warehouse):
     assert apply_eviction(spark, "r_bkup", keep=4).status == oc.NOTHING_TO_EVICT
 
 
+def test_retention_removes_files_of_an_external_backup(spark, src, tmp_path):
+    """A drop keeps an external table's files; eviction deletes them, so nothing comes back."""
+    spark.sql("DROP TABLE IF EXISTS x_bkup")
+    location = str(tmp_path / "x_bkup")
+    create_backup_like(spark, src, "x_bkup", location=location)
+    assert is_external(spark, "x_bkup")
+    history_load(spark, src, n=5, backup="x_bkup")
+    out = apply_eviction(spark, "x_bkup", keep=2)
+    assert out.status == oc.EVICTED and len(out.keys) == 3
+    assert keys_of(spark, "x_bkup") == ["2001-07", "2001-08"]
+    assert sorted(d for d in os.listdir(location) if d.startswith("partition_date=")) == [
+        "partition_date=2001-07", "partition_date=2001-08"]
+    spark.sql("ALTER TABLE x_bkup RECOVER PARTITIONS")
+    assert keys_of(spark, "x_bkup") == ["2001-07", "2001-08"]
+    assert spark.table("x_bkup").count() == spark.table(src).where("partition_date >= '2001-07'").count()
+
+
+def test_external_eviction_interrupted_after_deleting_files_is_finished_by_a_rerun(spark, src, tmp_path):
+    from partsnap.sinks.tables import delete_directories, partition_location
+
+    spark.sql("DROP TABLE IF EXISTS y_bkup")
+    location = str(tmp_path / "y_bkup")
+    create_backup_like(spark, src, "y_bkup", location=location)
+    history_load(spark, src, n=4, backup="y_bkup")
+    # the crash: files of the two oldest partitions deleted, partitions not yet dropped
+    doomed = [("2001-05",), ("2001-06",)]
+    delete_directories(spark, [partition_location(spark, "y_bkup", KEY, v) for v in doomed])
+    spark.catalog.refreshTable("y_bkup")
+    assert spark.table("y_bkup").where("partition_date <= '2001-06'").count() == 0
+    out = apply_eviction(spark, "y_bkup", keep=2)
+    assert out.status == oc.EVICTED and sorted(out.keys) == ["partition_date=2001-05", "partition_date=2001-06"]
+    assert keys_of(spark, "y_bkup") == ["2001-07", "2001-08"]
+
+
 def test_retention_keep_zero_needs_consent(spark, src):
     spark.sql("DROP TABLE IF EXISTS z_bkup")
     history_load(spark, src, n=2, backup="z_bkup")
