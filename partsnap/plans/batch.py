@@ -22,6 +22,7 @@ class Policy:
     newest partition is copied behind ``gate`` and the backup is trimmed to
     ``keep`` partitions (``keep=0`` loads nothing and empties the backup, and
     needs ``allow_empty``).  Unpartitioned tables are snapshotted whole.
+    New backups are managed tables, or external ones under ``location_root``.
     """
 
     history_load: bool = False
@@ -32,6 +33,7 @@ class Policy:
     stringify_keys: bool = False
     allow_empty: bool = False
     database: str | None = None
+    location_root: str | None = None
 
 
 def table_names(tables: str | Sequence[str]) -> list[str]:
@@ -47,12 +49,14 @@ def run_table(spark: SparkSession, name: str, policy: Policy) -> list[oc.Outcome
     if partitioned is None:
         return [oc.Outcome(source, backup, "check", oc.MISSING_SOURCE)]
     if not partitioned:
-        return [snapshot_unpartitioned(spark, source, backup)]
+        return [snapshot_unpartitioned(spark, source, backup, location_root=policy.location_root)]
     if policy.history_load:
-        return [history_load(spark, source, policy.load, backup, stringify_keys=policy.stringify_keys)]
+        return [history_load(spark, source, policy.load, backup, stringify_keys=policy.stringify_keys,
+                             location_root=policy.location_root)]
     done = []
     if policy.keep != 0:
-        done.append(incremental_load(spark, source, backup, policy.gate, stringify_keys=policy.stringify_keys))
+        done.append(incremental_load(spark, source, backup, policy.gate, stringify_keys=policy.stringify_keys,
+                                     location_root=policy.location_root))
     done.append(apply_eviction(spark, backup, policy.keep, allow_empty=policy.allow_empty))
     return done
 

@@ -17,6 +17,15 @@ from partsnap.sources import catalog
 from partsnap.sources.partitions import catalog_listing, newest_keys
 
 
+def backup_location(backup: str, location_root: str | None) -> str | None:
+    """``{root}/{backup name}`` for an external backup; None keeps it managed.
+
+    External backups keep their files where the root says (the original
+    tool's layout); retention still deletes the files of what it evicts.
+    """
+    return f"{location_root.rstrip('/')}/{backup.replace('.', '/')}" if location_root else None
+
+
 def _partitioned_source(spark: SparkSession, source: str, backup: str, action: str):
     """(keys, None) for a usable partitioned source, else (None, Outcome)."""
     if not catalog.exists(spark, source):
@@ -34,6 +43,7 @@ def history_load(
     backup: str | None = None,
     suffix: str = catalog.DEFAULT_SUFFIX,
     stringify_keys: bool = False,
+    location_root: str | None = None,
 ) -> oc.Outcome:
     """Copy the ``n`` newest partitions of ``source`` into the backup.
 
@@ -50,7 +60,7 @@ def history_load(
     chosen = newest_keys(catalog_listing(spark, source), keys, n)
     if not chosen:
         return oc.Outcome(source, backup, "history_load", oc.EMPTY_SOURCE)
-    tables.create_backup_like(spark, source, backup, stringify_keys=stringify_keys)
+    tables.create_backup_like(spark, source, backup, stringify_keys, backup_location(backup, location_root))
     tables.overwrite_partitions(rows_of(catalog.read(spark, source), keys, chosen), backup)
     return oc.Outcome(source, backup, "history_load", oc.LOADED, oc.key_text(keys, chosen))
 
@@ -62,6 +72,7 @@ def incremental_load(
     gate: str = "same_key_count",
     suffix: str = catalog.DEFAULT_SUFFIX,
     stringify_keys: bool = False,
+    location_root: str | None = None,
 ) -> oc.Outcome:
     """Copy the newest partition of ``source`` unless a count gate says it is there.
 
@@ -80,7 +91,7 @@ def incremental_load(
     newest = newest_keys(prod_keys, keys, 1)
     if not newest:
         return oc.Outcome(source, backup, "incremental_load", oc.EMPTY_SOURCE)
-    tables.create_backup_like(spark, source, backup, stringify_keys=stringify_keys)
+    tables.create_backup_like(spark, source, backup, stringify_keys, backup_location(backup, location_root))
     prod = catalog.read(spark, source)
     bkup = catalog.read(spark, backup)
     bkup_keys = catalog_listing(spark, backup)
@@ -104,6 +115,7 @@ def snapshot_unpartitioned(
     source: str,
     backup: str | None = None,
     suffix: str = catalog.DEFAULT_SUFFIX,
+    location_root: str | None = None,
 ) -> oc.Outcome:
     """Copy a whole unpartitioned table unless the backup has the same row count."""
     backup = backup or catalog.backup_name(source, suffix)
@@ -111,7 +123,9 @@ def snapshot_unpartitioned(
         return oc.Outcome(source, backup, "snapshot", oc.MISSING_SOURCE)
     prod = catalog.read(spark, source)
     if not catalog.exists(spark, backup):
-        prod.write.format(tables.FORMAT).saveAsTable(backup)
+        writer = prod.write.format(tables.FORMAT)
+        location = backup_location(backup, location_root)
+        (writer.option("path", location) if location else writer).saveAsTable(backup)
         return oc.Outcome(source, backup, "snapshot", oc.LOADED, detail="backup created")
     verdict = gates.full_count(prod, catalog.read(spark, backup)).first()
     counts = dict(prod_rows=verdict["prod_rows"], bkup_rows=verdict["bkup_rows"])

@@ -128,6 +128,23 @@ def test_external_eviction_interrupted_after_deleting_files_is_finished_by_a_rer
     assert keys_of(spark, "y_bkup") == ["2001-07", "2001-08"]
 
 
+def test_batch_with_location_root_keeps_external_backups_in_step(spark, tmp_path):
+    for t in ("lr_src", "lr_src_bkup", "lr_cust", "lr_cust_bkup"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    rows = [(i, f"2024-11-{d:02d}") for i, d in enumerate([15, 16, 17, 18, 19, 20])]
+    spark.createDataFrame(rows, "id int, partition_date string").write.partitionBy("partition_date").saveAsTable("lr_src")
+    fx.prod_customer(spark, SF).write.saveAsTable("lr_cust")
+    root = str(tmp_path / "backups")
+    policy = Policy(history_load=True, load=4, location_root=root)
+    assert [r.status for r in run_batch(spark, "lr_src, lr_cust", policy).collect()] == [oc.LOADED, oc.LOADED]
+    assert is_external(spark, "lr_src_bkup") and is_external(spark, "lr_cust_bkup")
+    assert spark.table("lr_cust_bkup").count() == spark.table("lr_cust").count()
+    run_batch(spark, "lr_src", Policy(keep=2, location_root=root))
+    assert keys_of(spark, "lr_src_bkup") == ["2024-11-19", "2024-11-20"]
+    parts = sorted(d for d in os.listdir(os.path.join(root, "lr_src_bkup")) if d.startswith("partition_date="))
+    assert parts == ["partition_date=2024-11-19", "partition_date=2024-11-20"]
+
+
 def test_retention_keep_zero_needs_consent(spark, src):
     spark.sql("DROP TABLE IF EXISTS z_bkup")
     history_load(spark, src, n=2, backup="z_bkup")
