@@ -11,7 +11,8 @@ formatted as text: integers, booleans, dates and instants as ``bigint``
 (instants by their microsecond), floating point as ``double`` (grouping
 folds ``-0.0`` into ``0.0`` and every NaN into one), everything else as
 text (decimals and local timestamps by their exact text, binary as hex,
-nested values through ``to_json`` with maps sorted first).  A NULL leaves
+nested values through ``to_json`` with maps sorted first and ``-0.0`` read
+as ``0.0`` inside them).  A NULL leaves
 every lane NULL and is not counted, as in ``count(distinct)``.  The
 distinct (side, column, value) triples are formed with map-side
 combining, so a value held by a third of all rows costs one row per task.
@@ -48,6 +49,42 @@ from partsnap.functions.rows import BKUP, PROD, SIDE, comparable_sql, ident, sid
 from partsnap.operators.diff import align
 
 
+def _has_float(dtype: DataType) -> bool:
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return True
+    if isinstance(dtype, ArrayType):
+        return _has_float(dtype.elementType)
+    if isinstance(dtype, MapType):
+        return _has_float(dtype.valueType)
+    if isinstance(dtype, StructType):
+        return any(_has_float(f.dataType) for f in dtype.fields)
+    return False
+
+
+def unsigned_zero_sql(expr: str, dtype: DataType, depth: int = 0) -> str:
+    """``expr`` with ``-0.0`` turned into ``0.0`` at every floating-point leaf.
+
+    Grouping treats the two zeros as one value (and every NaN as one, which
+    ``to_json`` already prints alike); the text of a nested value must too.
+    Map keys are left as they are.
+    """
+    if not _has_float(dtype):
+        return expr
+    v = f"_z{depth}"
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return f"({expr} + cast(0 as {dtype.simpleString()}))"
+    if isinstance(dtype, ArrayType):
+        return f"transform({expr}, {v} -> {unsigned_zero_sql(v, dtype.elementType, depth + 1)})"
+    if isinstance(dtype, MapType):
+        k = f"_k{depth}"
+        return f"transform_values({expr}, ({k}, {v}) -> {unsigned_zero_sql(v, dtype.valueType, depth + 1)})"
+    fields = ", ".join(
+        f"{unsigned_zero_sql(f'{expr}.{ident(f.name)}', f.dataType, depth)} as {ident(f.name)}"
+        for f in dtype.fields
+    )
+    return f"if({expr} is null, null, struct({fields}))"
+
+
 def lane_sql(col: str, dtype: DataType) -> tuple[str, str, str]:
     """``(bigint, double, text)`` lanes of a value; exactly one is set unless it is NULL."""
     q = ident(col)
@@ -67,7 +104,7 @@ def lane_sql(col: str, dtype: DataType) -> tuple[str, str, str]:
     if isinstance(dtype, BinaryType):
         return no_int, no_float, f"hex({q})"
     if isinstance(dtype, (ArrayType, StructType, MapType)):
-        return no_int, no_float, f"to_json({comparable_sql(q, dtype)})"
+        return no_int, no_float, f"to_json({comparable_sql(unsigned_zero_sql(q, dtype), dtype)})"
     return no_int, no_float, f"cast({q} as string)"
 
 
@@ -107,7 +144,11 @@ def _approx(df: DataFrame, cols: Sequence[str], label: str, rsd: float) -> DataF
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.selectExpr(
         side_tag_sql(label),
-        *[f"approx_count_distinct({comparable_sql(ident(c), types[c])}, {rsd}) as {ident(c)}" for c in cols],
+        *[
+            f"approx_count_distinct({comparable_sql(unsigned_zero_sql(ident(c), types[c]), types[c])}, {rsd})"
+            f" as {ident(c)}"
+            for c in cols
+        ],
     )
 
 

@@ -183,3 +183,14 @@ def test_long_key_lists_match_the_or_chain(spark):
     assert ids(K.key_not_in(["y", "m"], wanted)) == [i for i in range(len(combos)) if i not in want_in]
     short = wanted[:4]
     assert ids(K.key_in(["y", "m"], short)) == [i for i, c in enumerate(combos) if c in short]
+
+
+def test_profile_reads_negative_zero_inside_nested_values_as_zero(spark):
+    rows = [([-0.0], (-0.0, 1), {"k": -0.0}, -0.0), ([0.0], (0.0, 1), {"k": 0.0}, 0.0),
+            ([float("nan")], (float("nan"), 1), {"k": float("nan")}, float("nan")), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "a array<double>, s struct<x:double,y:int>, m map<string,double>, d double")
+    for approx in (False, True):
+        got = {r["_side"]: r for r in distinct_profile(df, df, approx=approx).collect()}["prod"]
+        assert (got["a"], got["s"], got["m"], got["d"]) == (2, 2, 2, 2), approx
+    want = df.selectExpr("count(distinct a) as a", "count(distinct s) as s", "count(distinct d) as d").first()
+    assert (want.a, want.s, want.d) == (2, 2, 2)
