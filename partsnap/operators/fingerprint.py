@@ -9,9 +9,10 @@ halves stay far below the 64-bit range, and under ANSI mode an overflow
 would fail loudly, never wrap).  Only partitions whose fingerprints differ
 go through the exact row diff, and their key filters prune the scans.
 
-A partition reported as changed is diffed exactly, so a false alarm (e.g.
-``0.0`` against ``-0.0``) only costs work.  A changed partition is missed
-only if both 64-bit sums and the count collide, which is why the exact
+A partition reported as changed is diffed exactly, so a false alarm only
+costs work (``-0.0`` is hashed as ``0.0``, as grouping compares it).  A
+changed partition is missed only if both 64-bit sums and the count
+collide, which is why the exact
 :func:`partsnap.operators.diff.row_diff` remains the default.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from partsnap.functions.keys import key_in
 from partsnap.functions.rows import comparable_sql, ident, text
 from partsnap.operators.diff import align, row_diff
+from partsnap.operators.profile import unsigned_zero_sql
 
 # Fixed salt that makes the second hash lane independent of the first.
 SECOND_LANE = "partsnap-lane-2"
@@ -35,7 +37,7 @@ def _row_hash(schema, cols: Sequence[str], salt: str | None) -> str:
     types = {f.name: f.dataType for f in schema.fields}
     parts = []
     for c in cols:
-        parts += [comparable_sql(ident(c), types[c]), f"isnull({ident(c)})"]
+        parts += [comparable_sql(unsigned_zero_sql(ident(c), types[c]), types[c]), f"isnull({ident(c)})"]
     if salt:
         parts.append(text(salt))
     return f"xxhash64({', '.join(parts)})"

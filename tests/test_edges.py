@@ -194,3 +194,12 @@ def test_profile_reads_negative_zero_inside_nested_values_as_zero(spark):
         assert (got["a"], got["s"], got["m"], got["d"]) == (2, 2, 2, 2), approx
     want = df.selectExpr("count(distinct a) as a", "count(distinct s) as s", "count(distinct d) as d").first()
     assert (want.a, want.s, want.d) == (2, 2, 2)
+
+
+def test_fingerprints_read_negative_zero_as_zero(spark):
+    from partsnap.operators.fingerprint import partition_fingerprints
+
+    p = spark.createDataFrame([("a", 0.0, [0.0]), ("b", 1.0, [1.0])], "pd string, v double, arr array<double>")
+    b = spark.createDataFrame([("a", -0.0, [-0.0]), ("b", 1.5, [1.0])], "pd string, v double, arr array<double>")
+    changed = {r.pd: r.changed for r in partition_fingerprints(p, b, ["pd"]).collect()}
+    assert changed == {"a": False, "b": True}
