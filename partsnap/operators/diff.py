@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -87,7 +88,9 @@ def _copies(side: str, multiset: bool) -> str:
     return f"if({other} = 0, {mine}, 0L)"
 
 
-def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int = 1024) -> DataFrame:
+def expand_copies(
+    df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int = 1024, never_empty: bool = False
+) -> DataFrame:
     """Emit each row ``df[n]`` times, spreading large multiplicities over tasks.
 
     A row is cut into chunks of at most ``chunk`` copies, sized so that a row
@@ -96,6 +99,10 @@ def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int
     (row, chunk) over ``spark.sql.shuffle.partitions`` (a fixed count, so AQE
     cannot fold a hot row's chunks back into one task); each task then
     expands only its own chunks.
+
+    ``never_empty`` adds one row of zero copies to the spread, so that
+    stage is never empty: AQE replaces an empty stage by an empty relation
+    and would drop everything below it, observed metrics included.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep = [ident(c) for c in df.columns if c != n]
@@ -104,9 +111,12 @@ def expand_copies(df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int
     chunks = df.where(f"{k} > 0").selectExpr(*keep, k, f"{size} as _ps_s").selectExpr(
         *keep, k, "_ps_s", f"explode(sequence(0L, cast(floor(({k} - 1) / _ps_s) as bigint))) as _ps_c"
     )
-    spread = chunks.selectExpr(*keep, f"least(_ps_s, {k} - _ps_c * _ps_s) as _ps_k", "_ps_c").repartition(
-        parts, *keep, "_ps_c"
-    )
+    spread = chunks.selectExpr(*keep, f"least(_ps_s, {k} - _ps_c * _ps_s) as _ps_k", "_ps_c")
+    if never_empty:
+        nothing = [f"cast(null as {f.dataType.simpleString()}) as {ident(f.name)}" for f in spread.schema.fields
+                   if f.name not in ("_ps_k", "_ps_c")]
+        spread = spread.union(df.sparkSession.range(1).selectExpr(*nothing, "0L as _ps_k", "0L as _ps_c"))
+    spread = spread.repartition(parts, *keep, "_ps_c")
     return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_ps_k as int))) as _ps_x").drop("_ps_x")
 
 
@@ -128,6 +138,25 @@ SUMMARY_SQL = (
 )
 
 
+def observed_totals(totals: Observation, summary: DataFrame | None = None) -> dict[str, int]:
+    """The totals a :func:`row_diff` observed, once its DataFrame was consumed.
+
+    Valid after an action that reads the whole diff (``write``, ``count``,
+    ``collect``), not after ``show`` / ``limit`` / ``take``.  Spark keeps no
+    metrics when AQE found a stage below a consumer empty and pruned that
+    part of the plan (e.g. both sides empty, or a further aggregate of an
+    empty diff); the totals then come from ``summary`` (the
+    :func:`differential_summary` of the same pair, one more job), and
+    without it ``LookupError`` is raised.  They are never guessed.
+    """
+    try:
+        return totals.get
+    except Py4JJavaError as err:
+        if summary is None:
+            raise LookupError("no observed totals; pass the summary DataFrame to compute them") from err
+        return summary.first().asDict()
+
+
 def row_diff(
     prod: DataFrame,
     bkup: DataFrame,
@@ -146,8 +175,8 @@ def row_diff(
 
     With ``totals`` (a ``pyspark.sql.Observation``), the job that consumes
     the diff also fills in the totals of :func:`differential_summary`, read
-    with ``totals.get`` after that action: the diff and the summary of a
-    large pair cost one scan and one shuffle of both tables, not two.
+    with :func:`observed_totals` after that action: the diff and the summary
+    of a large pair cost one scan and one shuffle of both tables, not two.
     """
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
@@ -165,7 +194,7 @@ def row_diff(
     else:
         pairs = ", ".join(f"struct({text(s)} as {SIDE}, {_copies(s, multiset)} as _ps_n)" for s in wanted)
         tagged = counts.selectExpr(*names, f"inline(array({pairs}))")
-    rows = expand_copies(tagged, "_ps_n")
+    rows = expand_copies(tagged, "_ps_n", never_empty=totals is not None)
     return rows.selectExpr(SIDE, *restored_columns_sql(p.schema, cols))
 
 

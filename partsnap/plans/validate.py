@@ -42,8 +42,9 @@ def audit(
     compares the full schemas.  ``prune_unchanged`` diffs only the partitions
     whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`).
     Otherwise ``diff_totals`` (an ``Observation``) holds the ``summary``
-    totals once ``diff`` has been acted on: writing the diff then yields the
-    summary from the same job, with no second pass over the tables.
+    totals once ``diff`` has been written or counted (read them with
+    :func:`partsnap.operators.diff.observed_totals`): the summary comes from
+    the diff's own job, with no second pass over the tables.
     """
     keys = list(keys)
     prod_part, bkup_part = prod, bkup

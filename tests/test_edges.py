@@ -1,5 +1,6 @@
 """Small inline fixtures for the cases the whole-table fixtures do not reach."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from partsnap.operators.diff import differential_summary, expand_copies, row_diff
@@ -203,3 +204,33 @@ def test_fingerprints_read_negative_zero_as_zero(spark):
     b = spark.createDataFrame([("a", -0.0, [-0.0]), ("b", 1.5, [1.0])], "pd string, v double, arr array<double>")
     changed = {r.pd: r.changed for r in partition_fingerprints(p, b, ["pd"]).collect()}
     assert changed == {"a": False, "b": True}
+
+
+def test_observed_totals_survive_an_empty_diff_and_fall_back_only_when_pruned(spark):
+    import uuid
+
+    from pyspark.sql import Observation
+
+    from partsnap import fixtures as fx
+    from partsnap.operators.diff import observed_totals
+
+    sf = "/root/testdata/sf0.001"
+    p = fx.prod_orders(spark, sf)
+    want = differential_summary(p, p).first().asDict()
+    assert want["prod_rows"] == 1500 and want["prod_only_rows"] == 0
+    for consume in (lambda d: d.count(), lambda d: d.write.format("noop").mode("overwrite").save()):
+        totals = Observation(f"same_{uuid.uuid4().hex}")
+        consume(row_diff(p, p, totals=totals))  # identical sides: the diff is empty
+        assert totals.get == want
+    # both sides empty at run time: still observed, all zero
+    e = p.where("o_orderkey < 0")
+    totals = Observation(f"empty_{uuid.uuid4().hex}")
+    assert row_diff(e, e, totals=totals).count() == 0
+    assert totals.get == differential_summary(e, e).first().asDict()
+    assert set(totals.get.values()) == {0}
+    # a further aggregate of an empty diff: AQE prunes the observed part, the summary supplies the totals
+    totals = Observation(f"pruned_{uuid.uuid4().hex}")
+    assert row_diff(p, p, totals=totals).groupBy("_side").count().collect() == []
+    with pytest.raises(LookupError):
+        observed_totals(totals)
+    assert observed_totals(totals, differential_summary(p, p)) == want
