@@ -2,8 +2,9 @@
 
 The incremental load re-expressed as a stream: ``readStream.table(source)``
 yields the files added since the last checkpointed run; for each micro-batch
-the partitions it touches are copied whole from the source table into the
-backup (dynamic overwrite), then retention trims the backup.  Re-running a
+the partitions it touches (those retention will keep) are copied whole from
+the source table into the backup (dynamic overwrite), then retention trims
+the backup.  Re-running a
 batch after a failure rewrites the same partitions with the same rows, so
 the effect is exactly once.  ``availableNow`` processes what is there and
 stops, which is how a daily run is scheduled; ``processing_time`` keeps the
