@@ -91,6 +91,18 @@ def run_batch(
     if parallelism == 1 or len(names) < 2:
         per_table = [one(n) for n in names]
     else:
-        with ThreadPoolExecutor(max_workers=min(parallelism, len(names))) as pool:
-            per_table = list(pool.map(one, names))
+        # A table named more than once (catalog names ignore case) runs its turns in
+        # order in one worker, so no two threads ever write the same backup.
+        turns: dict[str, list[int]] = {}
+        for i, n in enumerate(names):
+            turns.setdefault(n.lower(), []).append(i)
+
+        def in_order(positions: list[int]) -> list[tuple[int, list[oc.Outcome]]]:
+            return [(i, one(names[i])) for i in positions]
+
+        per_table = [[] for _ in names]
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(turns))) as pool:
+            for done in pool.map(in_order, turns.values()):
+                for i, outcomes in done:
+                    per_table[i] = outcomes
     return oc.to_frame(spark, [o for done in per_table for o in done])

@@ -250,6 +250,11 @@ def test_run_batch_in_parallel_matches_serial_and_keeps_foreign_backups(spark):
     serial = run_batch(spark, names, Policy(keep=2)).collect()
     parallel = run_batch(spark, names, Policy(keep=2), parallelism=3).collect()
     assert [(r.table, r.action) for r in parallel] == [(r.table, r.action) for r in serial]
+    # a table named twice runs twice, in order: the second turn finds the first one's copy
+    twice = run_batch(spark, ["par_0", "PAR_0", "par_1"], Policy(history_load=True, load=2), parallelism=3)
+    assert [(r.table, r.status) for r in twice.collect()] == [
+        ("par_0", oc.LOADED), ("PAR_0", oc.LOADED), ("par_1", oc.LOADED)]
+    assert keys_of(spark, "par_0_bkup") == ["2024-11-14", "2024-11-15"]
 
 
 def test_missing_backup_and_source(spark):
