@@ -96,3 +96,13 @@ def test_diff_and_summary_in_one_job(pair, side, multiset):
         assert counted["prod"] == (want["prod_except_all_bkup"] if multiset else want["prod_only_rows"])
     if side != "prod":
         assert counted["bkup"] == (want["bkup_except_all_prod"] if multiset else want["bkup_only_rows"])
+
+
+def test_approx_profile_is_close_to_exact(pair):
+    p, b, _ = pair
+    exact = {r["_side"]: r.asDict() for r in distinct_profile(p, b).collect()}
+    approx = {r["_side"]: r.asDict() for r in distinct_profile(p, b, approx=True).collect()}
+    for side in ("prod", "bkup"):
+        for col, want in exact[side].items():
+            if col != "_side":
+                assert abs(approx[side][col] - want) <= max(1, 0.15 * want), (side, col)
