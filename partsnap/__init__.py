@@ -7,6 +7,7 @@ Planning functions are pure ``DataFrame -> DataFrame``; only
 from partsnap.operators.diff import (
     differential_summary,
     except_distinct,
+    observed_totals,
     row_counts,
     row_diff,
     union_distinct,
@@ -20,6 +21,7 @@ from partsnap.plans.batch import Policy, run_batch
 from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
 from partsnap.plans.retention import apply_eviction, plan_eviction
 from partsnap.plans.validate import audit, validation_report
+from partsnap.streaming.backup_stream import start_backup_stream
 
 __all__ = [
     "Policy",
@@ -33,6 +35,7 @@ __all__ = [
     "history_load",
     "incremental_load",
     "latest_count",
+    "observed_totals",
     "partition_fingerprints",
     "plan_eviction",
     "pruned_row_diff",
@@ -42,6 +45,7 @@ __all__ = [
     "same_key_count",
     "schema_compare",
     "snapshot_unpartitioned",
+    "start_backup_stream",
     "union_distinct",
     "validation_report",
     "volume_by_partition",
