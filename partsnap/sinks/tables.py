@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from partsnap.functions.rows import ident
 from partsnap.session import dynamic_partition_overwrite, shared_dir
@@ -136,10 +137,21 @@ def is_external(spark: SparkSession, table: str) -> bool:
 
 
 def partition_location(spark: SparkSession, table: str, keys: Sequence[str], value) -> str | None:
-    """Directory of one partition, from the catalog (a partition may live anywhere)."""
-    described = spark.sql(f"DESCRIBE FORMATTED {table} {partition_spec(keys, value)}")
-    rows = described.where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
+    """Directory of one partition, from the catalog; None when the partition is gone.
+
+    Only a directory strictly inside the table's own location is returned: a
+    partition registered elsewhere (Hive allows any path) may share its
+    folder with other data, so its files are never deleted from here.
+    """
+    try:
+        described = spark.sql(f"DESCRIBE FORMATTED {table} {partition_spec(keys, value)}")
+        found = [r["data_type"] for r in described.where("col_name = 'Location'").collect()]
+    except AnalysisException:
+        return None
+    if len(found) < 2:
+        return None
+    part, root = found[0].rstrip("/"), found[1].rstrip("/")
+    return part if part.startswith(root + "/") else None
 
 
 def delete_directories(spark: SparkSession, paths: Sequence[str]) -> int:
@@ -163,9 +175,11 @@ def evict_partitions(spark: SparkSession, table: str, keys: Sequence[str], value
 
     A managed table's drop deletes the directories.  An external table keeps
     them (and ``RECOVER PARTITIONS`` would bring the rows back), so their
-    directories are deleted first, then the partitions are dropped: a crash
-    in between leaves partitions that read as empty, and a rerun, which
-    plans the same evictions from the catalog, finishes the drop.
+    directories (those inside the table's location, see
+    :func:`partition_location`) are deleted first, then the partitions are
+    dropped: a crash in between leaves partitions that read as empty, and a
+    rerun, which plans the same evictions from the catalog, finishes the
+    drop.
     """
     values = list(values)
     if values and is_external(spark, table):
