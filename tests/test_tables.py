@@ -112,6 +112,23 @@ def test_retention_removes_files_of_an_external_backup(spark, src, tmp_path):
     assert spark.table("x_bkup").count() == spark.table(src).where("partition_date >= '2001-07'").count()
 
 
+def test_external_eviction_never_deletes_a_partition_registered_outside_the_table(spark, src, tmp_path):
+    from partsnap.sinks.tables import partition_location
+
+    spark.sql("DROP TABLE IF EXISTS w_bkup")
+    create_backup_like(spark, src, "w_bkup", location=str(tmp_path / "w_bkup"))
+    history_load(spark, src, n=2, backup="w_bkup")
+    elsewhere = tmp_path / "shared_folder"
+    spark.table(src).where("partition_date = '2001-06'").drop("partition_date").write.parquet(str(elsewhere))
+    spark.sql(f"ALTER TABLE w_bkup ADD PARTITION (partition_date='1990-01') LOCATION '{elsewhere}'")
+    assert partition_location(spark, "w_bkup", KEY, ("1990-01",)) is None
+    assert partition_location(spark, "w_bkup", KEY, ("1980-01",)) is None  # no such partition
+    assert partition_location(spark, "w_bkup", KEY, ("2001-07",)).endswith("partition_date=2001-07")
+    assert apply_eviction(spark, "w_bkup", keep=2).status == oc.EVICTED
+    assert keys_of(spark, "w_bkup") == ["2001-07", "2001-08"]
+    assert any(f.endswith(".parquet") for f in os.listdir(elsewhere))
+
+
 def test_external_eviction_interrupted_after_deleting_files_is_finished_by_a_rerun(spark, src, tmp_path):
     from partsnap.sinks.tables import delete_directories, partition_location
 
