@@ -7,6 +7,7 @@ is one Spark job when acted on; nothing is printed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -55,7 +56,8 @@ def audit(
     if prune_unchanged and keys:
         report["diff"] = pruned_row_diff(prod_part, bkup_part, keys, "both", multiset=multiset)
     else:
-        report["diff_totals"] = Observation("partsnap_diff_totals")
+        # Unique name: two reports' diffs may end up in one plan (a union, say).
+        report["diff_totals"] = Observation(f"partsnap_diff_totals_{uuid.uuid4().hex}")
         report["diff"] = row_diff(prod_part, bkup_part, "both", multiset=multiset, totals=report["diff_totals"])
     report |= {
         "profile": distinct_profile(prod_part, bkup_part, approx=approx_profile),
