@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from partsnap.plans import outcome as oc
 from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
@@ -102,7 +104,13 @@ def run_batch(
 
         per_table = [[] for _ in names]
         with ThreadPoolExecutor(max_workers=min(parallelism, len(turns))) as pool:
-            for done in pool.map(in_order, turns.values()):
-                for i, outcomes in done:
+            # Each task carries its own copy of this thread's Spark local properties
+            # (scheduler pool, job group), taken now, so workers run where the caller would.
+            futures = [
+                pool.submit(inheritable_thread_target(spark)(functools.partial(in_order, positions)))
+                for positions in turns.values()
+            ]
+            for future in futures:
+                for i, outcomes in future.result():
                     per_table[i] = outcomes
     return oc.to_frame(spark, [o for done in per_table for o in done])

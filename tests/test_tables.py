@@ -274,6 +274,26 @@ def test_run_batch_in_parallel_matches_serial_and_keeps_foreign_backups(spark):
     assert keys_of(spark, "par_0_bkup") == ["2024-11-14", "2024-11-15"]
 
 
+def test_parallel_batch_workers_inherit_the_callers_scheduler_pool(spark, monkeypatch):
+    import partsnap.plans.batch as batch
+
+    seen = {}
+
+    def record(spark_, name, policy):
+        sc = spark_.sparkContext
+        seen[name] = (sc.getLocalProperty("spark.scheduler.pool"), sc.getLocalProperty("spark.job.description"))
+        return [oc.Outcome(name, name + "_bkup", "check", oc.MISSING_SOURCE)]
+
+    monkeypatch.setattr(batch, "run_table", record)
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", "nightly")
+    try:
+        out = run_batch(spark, ["a", "b", "c"], Policy(), parallelism=3).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    assert [r.table for r in out] == ["a", "b", "c"]
+    assert seen == {n: ("nightly", f"partsnap backup {n}") for n in "abc"}
+
+
 def test_missing_backup_and_source(spark):
     assert apply_eviction(spark, "no_such_bkup", keep=3).status == oc.MISSING_BACKUP
     assert history_load(spark, "no_such_table").status == oc.MISSING_SOURCE
