@@ -85,6 +85,11 @@ def unsigned_zero_sql(expr: str, dtype: DataType, depth: int = 0) -> str:
     return f"if({expr} is null, null, struct({fields}))"
 
 
+# Widest table whose per-column counts are read straight off the distinct values
+# (2 x columns conditional counts per value); wider tables group by column first.
+DIRECT_COUNT_MAX = 32
+
+
 def lane_sql(col: str, dtype: DataType) -> tuple[str, str, str]:
     """``(bigint, double, text)`` lanes of a value; exactly one is set unless it is NULL."""
     q = ident(col)
@@ -125,14 +130,25 @@ def _exact(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
         .where("_ps_i is not null or _ps_d is not null or _ps_s is not null")
         .distinct()
     )
-    per_column = values.groupBy("_ps_side", "_ps_g").agg(F.count(F.lit(1)).alias("_ps_n"))
-    wide = per_column.selectExpr(
-        *[
-            f"coalesce(max(if(_ps_side = {text(side)} and _ps_g = {i}, _ps_n, null)), 0L) as _ps_{side}_{i}"
-            for side in (PROD, BKUP)
-            for i in range(len(cols))
-        ]
-    )
+    if len(cols) <= DIRECT_COUNT_MAX:
+        # Few columns: count each (side, column) straight from the distinct values.
+        wide = values.selectExpr(
+            *[
+                f"count_if(_ps_side = {text(side)} and _ps_g = {i}) as _ps_{side}_{i}"
+                for side in (PROD, BKUP)
+                for i in range(len(cols))
+            ]
+        )
+    else:
+        # Many columns: one count per (side, column) group, then one row.
+        per_column = values.groupBy("_ps_side", "_ps_g").agg(F.count(F.lit(1)).alias("_ps_n"))
+        wide = per_column.selectExpr(
+            *[
+                f"coalesce(max(if(_ps_side = {text(side)} and _ps_g = {i}, _ps_n, null)), 0L) as _ps_{side}_{i}"
+                for side in (PROD, BKUP)
+                for i in range(len(cols))
+            ]
+        )
     fields = ", ".join(
         f"{text(side)}, " + ", ".join(f"_ps_{side}_{i}" for i in range(len(cols))) for side in (PROD, BKUP)
     )

@@ -234,3 +234,13 @@ def test_observed_totals_survive_an_empty_diff_and_fall_back_only_when_pruned(sp
     with pytest.raises(LookupError):
         observed_totals(totals)
     assert observed_totals(totals, differential_summary(p, p)) == want
+
+
+def test_profile_of_a_wide_table_counts_per_column_group(spark):
+    from partsnap.operators.profile import DIRECT_COUNT_MAX
+
+    width = DIRECT_COUNT_MAX + 3
+    base = spark.range(50).selectExpr(*[f"cast(id % {i + 1} as int) as c{i}" for i in range(width)])
+    got = {r["_side"]: r for r in distinct_profile(base, base.where("id < 10")).collect()}
+    assert [got["prod"][f"c{i}"] for i in range(width)] == [min(i + 1, 50) for i in range(width)]
+    assert [got["bkup"][f"c{i}"] for i in range(width)] == [min(i + 1, 10) for i in range(width)]

@@ -29,7 +29,7 @@ SHUFFLES = {
     "union_distinct": 1,
     "differential_summary": 2,  # the aggregate, then one global row
     "volume_by_partition": 1,
-    "distinct_profile": 3,  # distinct values, counts per column, one global row
+    "distinct_profile": 2,  # distinct values, then one global row of counts per (side, column)
     "history_load_slice": 0,
     "retention_survivors": 0,
 }
