@@ -41,7 +41,9 @@ def audit(
     ``volume_summary`` cover the ``last_n`` newest prod partitions (all when
     None; the newest are taken from ``prod_keys`` when given); ``schema``
     compares the full schemas.  ``prune_unchanged`` diffs only the partitions
-    whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`).
+    whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`);
+    that fingerprint job runs when the report is built, since its changed
+    keys become the diff's partition filters.
     Otherwise ``diff_totals`` (an ``Observation``) holds the ``summary``
     totals once ``diff`` has been written or counted (read them with
     :func:`partsnap.operators.diff.observed_totals`): the summary comes from
