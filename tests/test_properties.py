@@ -3,7 +3,7 @@
 import uuid
 from collections import Counter
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Observation
 
@@ -66,3 +66,24 @@ def test_pruned_diff_equals_full_diff(spark, p, b):
     cp, cb = Counter(p), Counter(b)
     want = {r[0] for r in (cp - cb) + (cb - cp)}
     assert {r.pd for r in changed_keys(P, B, ["pd"]).collect()} == want
+
+
+key_part = st.sampled_from([None, 1, 2, 3])
+
+
+ALL_PAIRS = [(a, b) for a in (None, 1, 2, 3) for b in (None, 1, 2, 3)]
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(key_part, key_part), max_size=20),
+       wanted=st.lists(st.tuples(key_part, key_part), max_size=16, unique=True))
+@example(rows=ALL_PAIRS, wanted=ALL_PAIRS[:4])  # the OR chain
+@example(rows=ALL_PAIRS, wanted=ALL_PAIRS[1:14])  # the struct IN (more than 10 tuples)
+def test_key_lists_match_a_python_model(spark, rows, wanted):
+    from partsnap.functions.keys import key_in, key_not_in
+
+    df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(rows)], "y int, m int, id int")
+    ids = lambda pred: sorted(r.id for r in df.where(pred).collect())
+    inside = [i for i, r in enumerate(rows) if r in set(wanted)]
+    assert ids(key_in(["y", "m"], wanted)) == inside
+    assert ids(key_not_in(["y", "m"], wanted)) == [i for i in range(len(rows)) if i not in inside]
