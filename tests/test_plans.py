@@ -97,3 +97,17 @@ def test_gate_reads_one_partition_per_side(spark, parted):
     older = parted.where("partition_date < '2001-08'")
     plan = plan_of(gates.same_key_count(parted, older, KEY, prod_keys=listing(parted, KEY)))
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+
+
+def test_observed_diff_adds_metrics_but_no_shuffle(spark):
+    import uuid
+
+    from pyspark.sql import Observation
+
+    from partsnap import fixtures as fx
+
+    p, b = fx.prod_orders(spark, SF), fx.bkup_orders(spark, SF)
+    plain = plan_of(row_diff(p, b))
+    observed = plan_of(row_diff(p, b, totals=Observation(f"plan_{uuid.uuid4().hex}")))
+    assert "CollectMetrics" in observed and "CollectMetrics" not in plain
+    assert shuffles(observed) == shuffles(plain) == 2
