@@ -32,3 +32,23 @@ def test_stream_copies_only_partitions_that_retention_keeps(spark):
     spark.createDataFrame([(1, "d8"), (2, "d9")], "id int, pd string").write.partitionBy("pd").saveAsTable("wc_bkup")
     assert worth_copying(spark, "wc_bkup", touched, key.schema, 2) == []
     assert [r.pd for r in worth_copying(spark, "wc_bkup", touched, key.schema, 3)] == ["d7"]
+
+
+def test_first_batch_over_many_partitions_writes_only_the_kept_ones(spark, monkeypatch):
+    from partsnap.sinks import tables
+
+    spark.sql("DROP TABLE IF EXISTS many_src")
+    spark.sql("DROP TABLE IF EXISTS many_src_bkup")
+    rows = [(i, f"d{i:02d}") for i in range(12)]
+    spark.createDataFrame(rows, "id int, pd string").write.partitionBy("pd").saveAsTable("many_src")
+    written = []
+    real = tables.overwrite_partitions
+
+    def recording(df, table):
+        written.extend(sorted(r.pd for r in df.select("pd").distinct().collect()))
+        return real(df, table)
+
+    monkeypatch.setattr(tables, "overwrite_partitions", recording)
+    start_backup_stream(spark, "many_src", keep=3).awaitTermination()
+    assert written == ["d09", "d10", "d11"]
+    assert sorted(r.pd for r in catalog_listing(spark, "many_src_bkup").collect()) == ["d09", "d10", "d11"]
