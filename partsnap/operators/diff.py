@@ -141,8 +141,10 @@ SUMMARY_SQL = (
 def observed_totals(totals: Observation, summary: DataFrame | None = None) -> dict[str, int]:
     """The totals a :func:`row_diff` observed, once its DataFrame was consumed.
 
-    Valid after an action that reads the whole diff (``write``, ``count``,
-    ``collect``), not after ``show`` / ``limit`` / ``take``.  Spark keeps no
+    Valid after any action on the diff, even ``show`` / ``take``: the
+    observation sits below the diff's own spread shuffle, and Spark runs
+    every map task of a shuffle stage, so it always sees every group.  (An
+    Observation keeps the metrics of the first action.)  Spark keeps no
     metrics when AQE found a stage below a consumer empty and pruned that
     part of the plan (e.g. both sides empty, or a further aggregate of an
     empty diff); the totals then come from ``summary`` (the

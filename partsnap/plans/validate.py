@@ -45,7 +45,7 @@ def audit(
     that fingerprint job runs when the report is built, since its changed
     keys become the diff's partition filters.
     Otherwise ``diff_totals`` (an ``Observation``) holds the ``summary``
-    totals once ``diff`` has been written or counted (read them with
+    totals once ``diff`` has been acted on (read them with
     :func:`partsnap.operators.diff.observed_totals`): the summary comes from
     the diff's own job, with no second pass over the tables.
     """

@@ -106,3 +106,14 @@ def test_approx_profile_is_close_to_exact(pair):
         for col, want in exact[side].items():
             if col != "_side":
                 assert abs(approx[side][col] - want) <= max(1, 0.15 * want), (side, col)
+
+
+def test_totals_are_whole_even_when_the_first_action_stops_early(pair):
+    import uuid
+
+    from pyspark.sql import Observation
+
+    p, b, _ = pair
+    totals = Observation(f"early_{uuid.uuid4().hex}")
+    row_diff(p, b, totals=totals).take(1)
+    assert totals.get == differential_summary(p, b).first().asDict()
