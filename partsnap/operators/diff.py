@@ -145,9 +145,9 @@ def observed_totals(totals: Observation, summary: DataFrame | None = None) -> di
     observation sits below the diff's own spread shuffle, and Spark runs
     every map task of a shuffle stage, so it always sees every group.  (An
     Observation keeps the metrics of the first action.)  Spark keeps no
-    metrics when AQE found a stage below a consumer empty and pruned that
-    part of the plan (e.g. both sides empty, or a further aggregate of an
-    empty diff); the totals then come from ``summary`` (the
+    metrics when AQE found a stage above the diff empty and pruned the plan
+    below it (e.g. a further aggregate of an empty diff) or when Catalyst
+    removed the diff altogether; the totals then come from ``summary`` (the
     :func:`differential_summary` of the same pair, one more job), and
     without it ``LookupError`` is raised.  They are never guessed.
     """
