@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 
 from partsnap.functions.keys import key_in
 from partsnap.functions.rows import ident
+from partsnap.operators.fingerprint import partition_fingerprints
 from partsnap.operators.volume import volume_by_partition
-from partsnap.sources.partitions import newest_keys
+from partsnap.sources.partitions import listing, newest_keys
 
-GATES = ("same_key_count", "latest_count", "full_count")
+GATES = ("same_key_count", "same_key_content", "latest_count", "full_count")
 
 
 def _two_counts(prod_rows: DataFrame, bkup_rows: DataFrame | None) -> DataFrame:
@@ -139,6 +140,31 @@ def same_key_count(
     )
 
 
+def same_key_content(
+    prod: DataFrame,
+    bkup: DataFrame,
+    keys: Sequence[str],
+    prod_keys: DataFrame | None = None,
+) -> DataFrame:
+    """``<key>…, prod_rows, bkup_rows, should_load`` for prod's newest key, by content.
+
+    Like :func:`same_key_count`, but a backup partition with the right count
+    and other rows is loaded too: both sides of that one partition are
+    reduced to fingerprints (count and two 64-bit row-hash sums, see
+    :mod:`partsnap.operators.fingerprint`).  It reads the partition's data on
+    both sides, where a count reads only metadata.  One row.
+    """
+    pk = newest_keys(prod_keys if prod_keys is not None else listing(prod, keys), keys, 1)
+    p = prod.where(key_in(keys, pk)) if pk else prod.limit(0)
+    b = bkup.where(key_in(keys, pk)) if pk else bkup.limit(0)
+    fp = partition_fingerprints(p, b, keys).agg(
+        F.coalesce(F.max("prod_rows"), F.lit(0)).alias("prod_rows"),
+        F.coalesce(F.max("bkup_rows"), F.lit(0)).alias("bkup_rows"),
+        F.coalesce(F.max("changed"), F.lit(False)).alias("should_load"),
+    )
+    return fp.select(*_key_literals(prod, keys, pk[0] if pk else None), "prod_rows", "bkup_rows", "should_load")
+
+
 def full_count(prod: DataFrame, bkup: DataFrame | None) -> DataFrame:
     """``prod_rows, bkup_rows, should_load`` over whole tables (one row)."""
     return _two_counts(prod, bkup).select("prod_rows", "bkup_rows", _decide(True))

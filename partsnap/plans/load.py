@@ -78,10 +78,12 @@ def incremental_load(
 
     ``gate="same_key_count"`` (default) loads when the backup partition of
     the same key is absent or has another row count; ``gate="latest_count"``
-    compares with the backup's own newest partition (historical behaviour).
+    compares with the backup's own newest partition (historical behaviour);
+    ``gate="same_key_content"`` also reloads a backup partition whose count
+    is right but whose rows differ (fingerprints of that one partition).
     An empty backup is always loaded.
     """
-    if gate not in ("same_key_count", "latest_count"):
+    if gate not in ("same_key_count", "same_key_content", "latest_count"):
         raise ValueError(f"unknown gate {gate!r}")
     backup = backup or catalog.backup_name(source, suffix)
     keys, done = _partitioned_source(spark, source, backup, "incremental_load")
@@ -101,6 +103,8 @@ def incremental_load(
         return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, detail="backup was empty")
     if gate == "same_key_count":
         verdict = gates.same_key_count(prod, bkup, keys, prod_keys=prod_keys).first()
+    elif gate == "same_key_content":
+        verdict = gates.same_key_content(prod, bkup, keys, prod_keys=prod_keys).first()
     else:
         verdict = gates.latest_count(prod, bkup, keys, prod_keys=prod_keys, bkup_keys=bkup_keys).first()
     counts = dict(prod_rows=verdict["prod_rows"], bkup_rows=verdict["bkup_rows"])

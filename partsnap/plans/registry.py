@@ -75,6 +75,11 @@ def q_gate_same_key_count(spark, sf_dir):
     return gates.same_key_count(p, b, KEY)
 
 
+def q_gate_same_key_content(spark, sf_dir):
+    p, b = _orders(spark, sf_dir)
+    return gates.same_key_content(p, b, KEY)
+
+
 def q_gate_full_count(spark, sf_dir):
     return gates.full_count(*fx.pair(spark, sf_dir, "customer"))
 
@@ -361,6 +366,18 @@ ORACLE_SQL: dict[str, str] = {
                          (select count(*) from bkup_orders where partition_date = ({_NEWEST})) as bkup_rows)""",
         "bkup_orders",
     ),
+    "gate_same_key_content": fx.with_fixtures(
+        f"""select ({_NEWEST}) as partition_date,
+                   (select count(*) from pn) as prod_rows,
+                   (select count(*) from bn) as bkup_rows,
+                   exists (select * from pn except all select * from bn)
+                     or exists (select * from bn except all select * from pn) as should_load""",
+        "bkup_orders",
+        extra={
+            "pn": f"select * from prod_orders where partition_date = ({_NEWEST})",
+            "bn": f"select * from bkup_orders where partition_date = ({_NEWEST})",
+        },
+    ),
     "gate_full_count": fx.with_fixtures(
         """select prod_rows, bkup_rows, prod_rows <> bkup_rows as should_load
            from (select (select count(*) from prod_customer) as prod_rows,

@@ -244,3 +244,18 @@ def test_profile_of_a_wide_table_counts_per_column_group(spark):
     got = {r["_side"]: r for r in distinct_profile(base, base.where("id < 10")).collect()}
     assert [got["prod"][f"c{i}"] for i in range(width)] == [min(i + 1, 50) for i in range(width)]
     assert [got["bkup"][f"c{i}"] for i in range(width)] == [min(i + 1, 10) for i in range(width)]
+
+
+def test_content_gate_sees_what_the_count_gate_misses(spark):
+    from partsnap.operators.gates import same_key_content, same_key_count
+
+    keys = ["pd"]
+    p = spark.createDataFrame([(1, "a", 0.0), (2, "b", 1.0), (3, "b", 2.0)], "id int, pd string, v double")
+    same_count = spark.createDataFrame([(1, "a", 0.0), (2, "b", 1.0), (3, "b", 2.5)], "id int, pd string, v double")
+    equal = spark.createDataFrame([(1, "a", 0.0), (3, "b", 2.0), (2, "b", -0.0 + 1.0)], "id int, pd string, v double")
+    assert same_key_count(p, same_count, keys).first().should_load is False
+    got = same_key_content(p, same_count, keys).first().asDict()
+    assert got == dict(pd="b", prod_rows=2, bkup_rows=2, should_load=True)
+    assert same_key_content(p, equal, keys).first().should_load is False
+    assert same_key_content(p, p.limit(0), keys).first().asDict() == dict(pd="b", prod_rows=2, bkup_rows=0,
+                                                                          should_load=True)

@@ -294,6 +294,24 @@ def test_parallel_batch_workers_inherit_the_callers_scheduler_pool(spark, monkey
     assert seen == {n: ("nightly", f"partsnap backup {n}") for n in "abc"}
 
 
+def test_incremental_content_gate_repairs_a_same_count_partition(spark, src):
+    spark.sql("DROP TABLE IF EXISTS cg_bkup")
+    history_load(spark, src, n=1, backup="cg_bkup")
+    newest = spark.table("cg_bkup").select("partition_date").first()[0]
+    damaged = spark.table("cg_bkup").selectExpr(
+        "o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice + 1 as o_totalprice", "o_orderpriority",
+        "partition_date")
+    spark.sql("DROP TABLE IF EXISTS cg_tmp")
+    damaged.write.saveAsTable("cg_tmp")
+    spark.table("cg_tmp").write.insertInto("cg_bkup", overwrite=True)
+    assert incremental_load(spark, src, backup="cg_bkup").status == oc.SKIPPED_SAME_COUNT
+    out = incremental_load(spark, src, backup="cg_bkup", gate="same_key_content")
+    assert out.status == oc.LOADED and out.prod_rows == out.bkup_rows
+    fixed = validation_report(spark, src, "cg_bkup", partition=newest)
+    assert fixed["diff"].count() == 0
+    assert incremental_load(spark, src, backup="cg_bkup", gate="same_key_content").status == oc.SKIPPED_SAME_COUNT
+
+
 def test_missing_backup_and_source(spark):
     assert apply_eviction(spark, "no_such_bkup", keep=3).status == oc.MISSING_BACKUP
     assert history_load(spark, "no_such_table").status == oc.MISSING_SOURCE
