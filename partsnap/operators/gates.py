@@ -39,7 +39,6 @@ from partsnap.operators.fingerprint import partition_fingerprints
 from partsnap.operators.volume import volume_by_partition
 from partsnap.sources.partitions import listing, newest_keys
 
-GATES = ("same_key_count", "same_key_content", "latest_count", "full_count")
 
 
 def _two_counts(prod_rows: DataFrame, bkup_rows: DataFrame | None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 from partsnap.plans import outcome as oc
-from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
+from partsnap.plans.load import INCREMENTAL_GATES, history_load, incremental_load, snapshot_unpartitioned
 from partsnap.plans.retention import apply_eviction
 from partsnap.sources import catalog
 
@@ -37,6 +37,13 @@ class Policy:
     database: str | None = None
     location_root: str | None = None
 
+    def __post_init__(self) -> None:
+        # Checked before any table is touched, not halfway through a batch.
+        if self.gate not in INCREMENTAL_GATES:
+            raise ValueError(f"gate must be one of {INCREMENTAL_GATES}, got {self.gate!r}")
+        if self.load < 1 or self.keep < 0:
+            raise ValueError("load must be at least 1 and keep at least 0")
+
 
 def table_names(tables: str | Sequence[str]) -> list[str]:
     """A comma-separated string or a list, stripped, blanks dropped."""

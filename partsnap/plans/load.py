@@ -17,6 +17,10 @@ from partsnap.sources import catalog
 from partsnap.sources.partitions import catalog_listing, newest_keys
 
 
+# Gates an incremental load can run behind (see partsnap.operators.gates).
+INCREMENTAL_GATES = ("same_key_count", "same_key_content", "latest_count")
+
+
 def backup_location(backup: str, location_root: str | None) -> str | None:
     """``{root}/{backup name}`` for an external backup; None keeps it managed.
 
@@ -83,7 +87,7 @@ def incremental_load(
     is right but whose rows differ (fingerprints of that one partition).
     An empty backup is always loaded.
     """
-    if gate not in ("same_key_count", "same_key_content", "latest_count"):
+    if gate not in INCREMENTAL_GATES:
         raise ValueError(f"unknown gate {gate!r}")
     backup = backup or catalog.backup_name(source, suffix)
     keys, done = _partitioned_source(spark, source, backup, "incremental_load")

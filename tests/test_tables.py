@@ -421,3 +421,10 @@ def test_catalog_helpers(spark, src):
     assert catalog.partition_columns(spark, src) == ["partition_date"]
     listed = catalog_listing(spark, src)
     assert has_more_than(listed, 79) and not has_more_than(listed, 80)
+
+
+def test_policy_is_checked_before_any_table_is_touched():
+    for bad in (dict(gate="rows"), dict(load=0), dict(keep=-1)):
+        with pytest.raises(ValueError):
+            Policy(**bad)
+    assert Policy(gate="same_key_content").gate == "same_key_content"
