@@ -30,6 +30,7 @@ SHUFFLES = {
     "differential_summary": 2,  # the aggregate, then one global row
     "volume_by_partition": 1,
     "distinct_profile": 2,  # distinct values, then one global row of counts per (side, column)
+    "gate_same_key_content": 2,  # per-key fingerprints, then one row
     "history_load_slice": 0,
     "retention_survivors": 0,
 }
