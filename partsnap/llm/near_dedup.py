@@ -10,15 +10,23 @@ of 0.85 a pair is missed by all ``BANDS`` bands with probability
 
 Large groups never yield all their pairs:
 
-1. documents with equal sets form a class that its smallest doc_id stands for;
-2. in every bucket of a band each class is compared with one hub (another one
-   in each band); confirmed links give components;
-3. where a bucket still holds several components, each class outside the
-   bucket's largest one is compared with all classes of the other components
-   whose set size allows a link.  Those in the largest one need no further
-   comparison among themselves: more links would not change the components.
-
-So every candidate pair is either compared or already known to be connected.
+1. Documents with equal sets form a class that its smallest doc_id stands for.
+2. In every bucket of a band each class is compared with one hub, the member
+   that meets most others in its buckets, so that copies with few edits come
+   first.  This gives links, and the size of each member's overlap with its hub.
+3. Classes that this leaves in other components than most of a hub's members
+   are strays.  For a stray x and a member y of another component to be linked,
+   the overlap they need must be there inside the hub's set or outside of it:
+
+   - the overlaps with the hub say how much can be there at most; pairs whose
+     bound is too low are out;
+   - if both are similar to the hub (0.5 or more) and the part inside cannot
+     suffice, x and y share shingles that the hub lacks.  Of k such shared
+     ones, one is among all but the last k - 1 of x, rarest first, so x meets
+     only the members that have one of these rarest shingles.
+
+   The pairs that remain are compared.  Each candidate pair is thus compared,
+   known to be connected, or proven not to be a link.
 
 Defined cases: null, empty and word-less texts have an empty set, link with
 nothing and are kept; texts of one or two words are one shingle; rows that
@@ -121,28 +129,36 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
-def size_allows(x: str, y: str):
-    """A link needs the smaller set to be at least THRESHOLD percent of the larger."""
-    return (100 * F.least(x, y)) >= (THRESHOLD * F.greatest(x, y))
-
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Set sizes and overlap of the pairs (h, x), and, if they are similar, the shingles of x that h lacks.
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) whose full shingle sets are similar enough; ``texts`` are (id, text) rows."""
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    ``texts`` are (id, text) rows.
+    """
+    left = pairs.select("h", "x").join(texts.select(F.col("id").alias("h"), F.col("text").alias("th")), "h")
+    both = left.join(texts.select(F.col("id").alias("x"), F.col("text").alias("tx")), "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
         for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for (i, xs), (_, ys) in zip_slices(batch.column("ta"), batch.column("tb"), words):
-                for j, (x, y) in enumerate(zip(xs, ys, strict=True)):
-                    both = len(x) + len(y)
-                    common = both - len(np.unique(np.concatenate([x, y])))
-                    ok[i + j] = both > 0 and 100 * common >= THRESHOLD * (both - common)
-            yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
+            n_h, n_x, common, novel = [], [], [], []
+            for hs, xs in zip_slices(batch.column("th"), batch.column("tx"), words):
+                for h, x in zip(hs, xs, strict=True):
+                    at = np.searchsorted(h, x)
+                    inside = h[np.minimum(at, len(h) - 1)] == x if len(h) else np.zeros(len(x), bool)
+                    c = int(inside.sum())
+                    n_h.append(len(h))
+                    n_x.append(len(x))
+                    common.append(c)
+                    novel.append(x[~inside].view(np.int64) if 3 * c >= len(h) + len(x) else None)
+            columns = [batch.column("h"), batch.column("x"), *[pa.array(v, pa.int64()) for v in (n_h, n_x, common)], pa.array(novel, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, ["h", "x", "n_h", "n", "a", "novel"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("h", "x", "th", "tx").mapInArrow(run, "h long, x long, n_h long, n long, a long, novel array<long>")
+
+
+def linked(common, m, n):
+    """Similarity of sets of m and n members of which ``common`` are shared: at least THRESHOLD percent."""
+    return (100 + THRESHOLD) * common >= THRESHOLD * (m + n)
 
 
 def zip_slices(left: pa.Array, right: pa.Array, words: Words):
@@ -150,7 +166,7 @@ def zip_slices(left: pa.Array, right: pa.Array, words: Words):
     for i in range(0, len(left), 64):
         xs = [s for _, part in sets_of(left.slice(i, 64), words) for s in part]
         ys = [s for _, part in sets_of(right.slice(i, 64), words) for s in part]
-        yield (i, xs), (i, ys)
+        yield xs, ys
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,6 +190,59 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def stray_pairs(rows: DataFrame, overlaps: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (h, x) that may still link two components.
+
+    ``rows`` are (bucket, h, x), ``overlaps`` what ``compared`` gives for each
+    hub h and member x, ``labels`` the components so far.
+    """
+    of = labels.select(F.col("id").alias("x"), "component")
+    hubs = overlaps.select("h").distinct()
+    itself = hubs.join(overlaps.groupBy("h").agg(F.max("n_h").alias("n")), "h").select("h", F.col("h").alias("x"), "n", F.col("n").alias("a"), F.expr("cast(array() as array<long>)").alias("novel"))
+    members = overlaps.select("h", "x", "n", "a", "novel").unionAll(itself).join(of, "x", "left").withColumn("component", F.coalesce("component", "x"))
+    sizes = members.groupBy("h", "component").agg(F.count(F.lit(1)).alias("m"))
+    main = sizes.groupBy("h").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    smallest = members.groupBy("h").agg(F.min("n").alias("least_n"))
+    around = main.join(smallest, "h").select("h", F.col("top.component").alias("main"), "least_n")
+    open_rows = cut(
+        members.join(around, "h").select(
+            "h", "x", "n", "a", "novel", "component", "least_n", (F.col("component") != F.col("main")).alias("stray"), F.col("novel").isNotNull().alias("close")
+        )
+    )
+    narrow = open_rows.drop("novel", "least_n")
+    x, y = narrow.where("stray").alias("x"), narrow.where("x <> h").alias("y")
+    apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.x") != F.col("x.h"))
+    sizes_xy = (F.col("x.n"), F.col("y.n"))
+    inside = F.least("x.a", "y.a")
+    outside = F.least(F.col("x.n") - F.col("x.a"), F.col("y.n") - F.col("y.a"))
+    pair = [F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x")]
+
+    # both similar to the hub, and the overlap may lie inside the hub's set
+    near = x.join(y, (F.col("x.h") == F.col("y.h")) & apart & F.col("x.close") & F.col("y.close") & linked(inside, *sizes_xy)).select(*pair)
+
+    # one of them is not similar to the hub: members of one bucket
+    in_bucket = rows.join(narrow, ["h", "x"])
+    bx, by = in_bucket.where("stray").alias("x"), in_bucket.alias("y")
+    far = bx.join(
+        by, (F.col("x.bucket") == F.col("y.bucket")) & apart & ~(F.col("x.close") & F.col("y.close")) & linked(inside + outside, *sizes_xy)
+    ).select(*pair)
+
+    # both similar to the hub, and the overlap needs shingles that the hub lacks
+    tokens = open_rows.where("close and x <> h").select("h", "x", "n", "a", "component", "stray", "least_n", F.explode("novel").alias("s"))
+    shared = tokens.groupBy("h", "s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    other = F.greatest("least_n", F.ceil(F.col("n") * THRESHOLD / 100))
+    missing = F.greatest(F.lit(1), F.ceil(THRESHOLD * (F.col("n") + other) / (100 + THRESHOLD) - F.lit(1e-9)) - F.col("a"))
+    rarest = W.partitionBy("h", "x").orderBy(F.coalesce("f", F.lit(1)), "s")
+    asked = (
+        tokens.where("stray").join(shared, ["h", "s"], "left")
+        .withColumn("nth", F.row_number().over(rarest))
+        .where((F.col("nth") <= F.col("n") - F.col("a") - missing + 1) & F.col("f").isNotNull())
+    ).alias("x")
+    held = tokens.alias("y")
+    rare = asked.join(held, (F.col("x.h") == F.col("y.h")) & (F.col("x.s") == F.col("y.s")) & apart & linked(inside + outside, *sizes_xy)).select(*pair)
+    return near.unionAll(far).unionAll(rare).distinct()
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     sketch = cut(sketched(docs))
@@ -181,30 +250,23 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         sketch.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
         .groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.min("bands").alias("bands"))
     )
-    buckets = cut(several(classes.select(F.explode("bands").alias("bucket"), "id", "n")))
-
-    # 2. one hub a bucket, chosen by a hash that differs by bucket
-    in_bucket = F.xxhash64("bucket", "id")
-    hubs = buckets.groupBy("bucket").agg(F.min(F.struct(in_bucket.alias("h"), "id", "n")).alias("hub"))
-    stars = buckets.join(hubs, "bucket").where((F.col("id") != F.col("hub.id")) & size_allows("n", "hub.n"))
-    stars = stars.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-    involved = buckets.select("id").distinct()
+    crowded = cut(several(classes.select(F.explode("bands").alias("bucket"), F.col("id").alias("x"))))
+
+    # 2. the hub of a bucket
+    weight = crowded.groupBy("x").agg(F.sum("c").alias("met"))
+    weighed = crowded.drop("c").join(weight, "x")
+    hubs = weighed.groupBy("bucket").agg(F.max(F.struct("met", F.xxhash64("x"), "x")).alias("top")).select("bucket", F.col("top.x").alias("h"))
+    rows = cut(crowded.select("bucket", "x").join(hubs, "bucket").where("x <> h"))
     by_id = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+    involved = crowded.select(F.col("x").alias("id")).distinct()
     texts = cut(by_id.join(involved.hint("shuffle_hash"), "id", "left_semi"))
-    found = cut(confirmed(stars, texts).distinct())
+    overlaps = cut(compared(rows.select("h", "x").distinct(), texts))
+    found = overlaps.where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b"))
     labels = components(found)
 
-    # 3. buckets that hold several components
-    parts = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    sizes = parts.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("m", F.col("component"))).alias("top"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    open_rows = cut(parts.join(main.select("bucket", F.col("top.component").alias("main")), "bucket"))
-    stray = open_rows.where(F.col("component") != F.col("main")).select("bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    rest = open_rows.select("bucket", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), "main")
-    pairs = stray.join(rest, "bucket").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & size_allows("nx", "ny"))
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    late = cut(confirmed(pairs, texts).distinct())
+    # 3. what may still link two components
+    late = compared(stray_pairs(rows, overlaps, labels), texts)
+    late = cut(late.where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b")))
     if not late.isEmpty():
         labels = components(found.union(late))
 
@@ -217,9 +279,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def several(rows: DataFrame) -> DataFrame:
-    """Bucket rows of buckets with more than one class."""
-    crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    return rows.join(crowded, "bucket", "left_semi")
+    """Bucket rows of buckets with more than one class, and how many these have (c)."""
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    return rows.join(counts, "bucket")
 
 
 def survivors(docs: DataFrame) -> DataFrame:
