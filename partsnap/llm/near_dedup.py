@@ -14,19 +14,22 @@ Large groups never yield all their pairs:
 2. In every bucket of a band each class is compared with one hub, the member
    that meets most others in its buckets, so that copies with few edits come
    first.  This gives links, and the size of each member's overlap with its hub.
-3. Classes that this leaves in other components than most of a hub's members
-   are strays.  For a stray x and a member y of another component to be linked,
-   the overlap they need must be there inside the hub's set or outside of it:
-
-   - the overlaps with the hub say how much can be there at most; pairs whose
-     bound is too low are out;
-   - if both are similar to the hub (0.5 or more) and the part inside cannot
-     suffice, x and y share shingles that the hub lacks.  Of k such shared
-     ones, one is among all but the last k - 1 of x, rarest first, so x meets
-     only the members that have one of these rarest shingles.
-
-   The pairs that remain are compared.  Each candidate pair is thus compared,
-   known to be connected, or proven not to be a link.
+3. Members similar to a hub (0.5 or more) are described by what sets them
+   apart from the group's consensus C, the shingles of more than half of them:
+   m missing and v novel ones.  As two of them share at least |C| - m - m'
+   shingles, all links that this already proves run through the member with
+   the least 185 m + 85 n, so one link to it stands for them.
+4. Classes that are still in other components than most of a hub's members are
+   strays.  To be linked to a member of another component, a stray must have
+   k of its missing or novel shingles in common with it, k following from both
+   sizes; with these shingles in one order, rarest first, one of the common
+   ones is among all but the last k - 1 of each (prefix filter).  So a stray
+   meets only members with such a rare shingle.  Members of a bucket of which
+   one is not similar to the hub are paired if the overlaps with the hub leave
+   room for a link.  These pairs are compared.
+
+Each candidate pair is thus compared, known to be connected, or proven not to
+be a link.
 
 Defined cases: null, empty and word-less texts have an empty set, link with
 nothing and are kept; texts of one or two words are one shingle; rows that
@@ -53,7 +56,7 @@ from .textops import U, Words, mix, numbers, slices
 
 SHINGLE = 3
 THRESHOLD = 85  # percent
-BANDS, ROWS = 26, 5
+BANDS, ROWS = 33, 6
 CHUNK = 1 << 19
 
 
@@ -130,7 +133,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Set sizes and overlap of the pairs (h, x), and, if they are similar, the shingles of x that h lacks.
+    """Set sizes and overlap of the pairs (h, x), and, if they are similar, the shingles that x adds and lacks.
 
     ``texts`` are (id, text) rows.
     """
@@ -140,7 +143,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
         for batch in batches:
-            n_h, n_x, common, novel = [], [], [], []
+            n_h, n_x, common, novel, missing = [], [], [], [], []
             for hs, xs in zip_slices(batch.column("th"), batch.column("tx"), words):
                 for h, x in zip(hs, xs, strict=True):
                     at = np.searchsorted(h, x)
@@ -149,11 +152,13 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     n_h.append(len(h))
                     n_x.append(len(x))
                     common.append(c)
-                    novel.append(x[~inside].view(np.int64) if 3 * c >= len(h) + len(x) else None)
-            columns = [batch.column("h"), batch.column("x"), *[pa.array(v, pa.int64()) for v in (n_h, n_x, common)], pa.array(novel, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, ["h", "x", "n_h", "n", "a", "novel"])
+                    alike = 3 * c >= len(h) + len(x)
+                    novel.append(x[~inside].view(np.int64) if alike else None)
+                    missing.append(np.delete(h, at[inside]).view(np.int64) if alike else None)
+            columns = [batch.column("h"), batch.column("x"), *[pa.array(v, pa.int64()) for v in (n_h, n_x, common)], *[pa.array(v, pa.list_(pa.int64())) for v in (novel, missing)]]
+            yield pa.record_batch(columns, ["h", "x", "n_h", "n", "a", "novel", "missing"])
 
-    return both.select("h", "x", "th", "tx").mapInArrow(run, "h long, x long, n_h long, n long, a long, novel array<long>")
+    return both.select("h", "x", "th", "tx").mapInArrow(run, "h long, x long, n_h long, n long, a long, novel array<long>, missing array<long>")
 
 
 def linked(common, m, n):
@@ -190,57 +195,83 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def stray_pairs(rows: DataFrame, overlaps: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (h, x) that may still link two components.
+def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` of (h, x, ...) with the component of x, for hubs that see more than one, and the hub's main one."""
+    of = labels.select(F.col("id").alias("x"), "component")
+    known = rows.drop("component", "main").join(of, "x", "left").withColumn("component", F.coalesce("component", "x"))
+    sizes = known.groupBy("h", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("h").agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return known.join(main.select("h", F.col("top.component").alias("main")), "h")
+
+
+def against_consensus(close: DataFrame) -> DataFrame:
+    """(h, x, n, m, v, c, f, apart): each member's distance from its group's consensus.
 
-    ``rows`` are (bucket, h, x), ``overlaps`` what ``compared`` gives for each
-    hub h and member x, ``labels`` the components so far.
+    ``close`` are (h, x, n, n_h, novel, missing).  ``apart`` are the shingles
+    missing or novel against the consensus, m and v their numbers, c the size
+    of the consensus and f = 185 m + 85 n.
     """
-    of = labels.select(F.col("id").alias("x"), "component")
-    hubs = overlaps.select("h").distinct()
-    itself = hubs.join(overlaps.groupBy("h").agg(F.max("n_h").alias("n")), "h").select("h", F.col("h").alias("x"), "n", F.col("n").alias("a"), F.expr("cast(array() as array<long>)").alias("novel"))
-    members = overlaps.select("h", "x", "n", "a", "novel").unionAll(itself).join(of, "x", "left").withColumn("component", F.coalesce("component", "x"))
-    sizes = members.groupBy("h", "component").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("h").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    smallest = members.groupBy("h").agg(F.min("n").alias("least_n"))
-    around = main.join(smallest, "h").select("h", F.col("top.component").alias("main"), "least_n")
-    open_rows = cut(
-        members.join(around, "h").select(
-            "h", "x", "n", "a", "novel", "component", "least_n", (F.col("component") != F.col("main")).alias("stray"), F.col("novel").isNotNull().alias("close")
-        )
-    )
-    narrow = open_rows.drop("novel", "least_n")
-    x, y = narrow.where("stray").alias("x"), narrow.where("x <> h").alias("y")
-    apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.x") != F.col("x.h"))
-    sizes_xy = (F.col("x.n"), F.col("y.n"))
-    inside = F.least("x.a", "y.a")
-    outside = F.least(F.col("x.n") - F.col("x.a"), F.col("y.n") - F.col("y.a"))
-    pair = [F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x")]
-
-    # both similar to the hub, and the overlap may lie inside the hub's set
-    near = x.join(y, (F.col("x.h") == F.col("y.h")) & apart & F.col("x.close") & F.col("y.close") & linked(inside, *sizes_xy)).select(*pair)
-
-    # one of them is not similar to the hub: members of one bucket
-    in_bucket = rows.join(narrow, ["h", "x"])
-    bx, by = in_bucket.where("stray").alias("x"), in_bucket.alias("y")
-    far = bx.join(
-        by, (F.col("x.bucket") == F.col("y.bucket")) & apart & ~(F.col("x.close") & F.col("y.close")) & linked(inside + outside, *sizes_xy)
-    ).select(*pair)
-
-    # both similar to the hub, and the overlap needs shingles that the hub lacks
-    tokens = open_rows.where("close and x <> h").select("h", "x", "n", "a", "component", "stray", "least_n", F.explode("novel").alias("s"))
-    shared = tokens.groupBy("h", "s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    other = F.greatest("least_n", F.ceil(F.col("n") * THRESHOLD / 100))
-    missing = F.greatest(F.lit(1), F.ceil(THRESHOLD * (F.col("n") + other) / (100 + THRESHOLD) - F.lit(1e-9)) - F.col("a"))
-    rarest = W.partitionBy("h", "x").orderBy(F.coalesce("f", F.lit(1)), "s")
-    asked = (
-        tokens.where("stray").join(shared, ["h", "s"], "left")
-        .withColumn("nth", F.row_number().over(rarest))
-        .where((F.col("nth") <= F.col("n") - F.col("a") - missing + 1) & F.col("f").isNotNull())
-    ).alias("x")
-    held = tokens.alias("y")
-    rare = asked.join(held, (F.col("x.h") == F.col("y.h")) & (F.col("x.s") == F.col("y.s")) & apart & linked(inside + outside, *sizes_xy)).select(*pair)
-    return near.unionAll(far).unionAll(rare).distinct()
+    size = close.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
+
+    def common(column: str) -> DataFrame:
+        counts = close.select("h", F.explode(column).alias("s")).groupBy("h", "s").agg(F.count(F.lit(1)).alias("k"))
+        often = counts.join(size, "h").where(2 * F.col("k") > F.col("members"))
+        return often.groupBy("h").agg(F.collect_list("s").alias(f"all_{column}"))
+
+    none = F.expr("cast(array() as array<long>)")
+    rows = close.join(common("novel"), "h", "left").join(common("missing"), "h", "left")
+    rows = rows.withColumns({c: F.coalesce(c, none) for c in ("all_novel", "all_missing")})
+    novel = F.concat(F.array_except("novel", "all_novel"), F.array_except("all_missing", "missing"))
+    missing = F.concat(F.array_except("missing", "all_missing"), F.array_except("all_novel", "novel"))
+    rows = rows.withColumns({"_novel": novel, "_missing": missing})
+    rows = rows.withColumns({
+        "m": F.size("_missing"), "v": F.size("_novel"), "c": F.col("n_h") - F.size("all_missing") + F.size("all_novel"),
+        "apart": F.concat("_novel", "_missing"),
+    })
+    return rows.withColumn("f", (100 + THRESHOLD) * F.col("m") + THRESHOLD * F.col("n")).select("h", "x", "n", "m", "v", "c", "f", "apart")
+
+
+def central_links(members: DataFrame) -> DataFrame:
+    """Links (a, b) to each group's member of least f that the distances from the consensus prove."""
+    center = members.groupBy("h").agg(F.min(F.struct("f", "x")).alias("center"))
+    sure = F.col("f") + F.col("center.f") <= (100 + THRESHOLD) * F.col("c")
+    return members.join(center, "h").where(sure & (F.col("x") != F.col("center.x"))).select(F.col("center.x").alias("a"), F.col("x").alias("b"))
+
+
+def rare_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (h, x) of a stray and a member of another component that share a rare enough shingle."""
+    known = with_components(members, labels).withColumn("stray", F.col("component") != F.col("main"))
+    least = known.groupBy("h").agg(F.min("f").alias("least_f"), F.min(F.when(F.col("stray"), F.col("f"))).alias("least_stray_f"))
+    known = known.join(least, "h")
+    whole = 100 + THRESHOLD
+
+    def usable(partner_f: str):
+        """How many of its shingles a member must try to meet partners of at least this f."""
+        k = F.ceil((F.col("f") + F.col(partner_f) - whole * F.col("c")) / whole - F.lit(1e-9))
+        return F.size("apart") - F.greatest(F.lit(1), k) + 1
+
+    # strays ask, with a view to any partner; members answer, with a view to strays
+    known = known.withColumns({"asks": F.when(F.col("stray"), usable("least_f")).otherwise(0), "answers": usable("least_stray_f")})
+    known = cut(known.where("asks > 0 or answers > 0"))
+    tokens = known.select("h", "x", "m", "v", "c", "f", "component", "asks", "answers", F.explode("apart").alias("s"))
+    shared = tokens.groupBy("h", "s").agg(F.count(F.lit(1)).alias("k"))
+    rarest = W.partitionBy("h", "x").orderBy("k", "s")
+    first = tokens.join(shared, ["h", "s"]).withColumn("nth", F.row_number().over(rarest)).where("k > 1 and nth <= greatest(asks, answers)")
+    first = cut(first)
+    x, y = first.where("nth <= asks").alias("x"), first.where("nth <= answers").alias("y")
+    room = whole * (F.least("x.m", "y.m") + F.least("x.v", "y.v") + F.col("x.c")) >= F.col("x.f") + F.col("y.f")
+    meet = (F.col("x.h") == F.col("y.h")) & (F.col("x.s") == F.col("y.s")) & (F.col("x.component") != F.col("y.component")) & room
+    return x.join(y, meet).select(F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x"))
+
+
+def far_pairs(rows: DataFrame, overlaps: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (h, x) of members of a bucket, at least one unlike its hub, whose overlaps with the hub leave room for a link."""
+    narrow = overlaps.select("h", "x", "n", "a", F.col("novel").isNotNull().alias("close"))
+    known = cut(rows.join(with_components(narrow, labels), ["h", "x"]))
+    x, y = known.where("component <> main").alias("x"), known.alias("y")
+    most = F.least("x.a", "y.a") + F.least(F.col("x.n") - F.col("x.a"), F.col("y.n") - F.col("y.a"))
+    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & ~(F.col("x.close") & F.col("y.close"))
+    return x.join(y, meet & linked(most, F.col("x.n"), F.col("y.n"))).select(F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -264,9 +295,20 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     found = overlaps.where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b"))
     labels = components(found)
 
-    # 3. what may still link two components
-    late = compared(stray_pairs(rows, overlaps, labels), texts)
-    late = cut(late.where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b")))
+    # 3. links that the distances from a group's consensus prove
+    none = F.expr("cast(array() as array<long>)")
+    itself = overlaps.groupBy("h").agg(F.max("n_h").alias("n"))
+    itself = itself.select("h", F.col("h").alias("x"), "n", F.col("n").alias("n_h"), none.alias("novel"), none.alias("missing"))
+    close = overlaps.where(F.col("novel").isNotNull()).select(*itself.columns).unionAll(itself)
+    close = with_components(close, labels).select(*itself.columns)
+    members = cut(against_consensus(cut(close)))
+    found = cut(found.union(central_links(members)))
+    labels = components(found)
+
+    # 4. what may still link two components
+    pairs = rare_pairs(members, labels).unionAll(far_pairs(rows, overlaps, labels)).distinct()
+    late = compared(pairs, texts).where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b"))
+    late = cut(late)
     if not late.isEmpty():
         labels = components(found.union(late))
 
