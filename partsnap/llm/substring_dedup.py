@@ -82,6 +82,17 @@ def super_kmers(at: np.ndarray, owner: np.ndarray, key: np.ndarray, alone: np.nd
     return begin, np.diff(np.append(begin, len(at)))
 
 
+def squeezed(numbers_: np.ndarray, squeeze) -> bytes:
+    """Ascending-ish integers as compressed differences, byte planes apart."""
+    steps = np.diff(numbers_.astype(np.int64), prepend=0)
+    return squeeze.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def expanded(blob: bytes, expand) -> np.ndarray:
+    planes = np.frombuffer(expand.decompress(blob), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+
 class Splitter:
     """Cuts a run of texts into super-k-mers."""
 
@@ -174,13 +185,13 @@ def sent(docs: DataFrame, window: int, run: int, hot: np.ndarray, n_buckets: int
                 edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
                 groups = [kept[a:b] for a, b in zip(edges, np.append(edges[1:], len(kept)), strict=True)]
                 rows = [
-                    (int(bucket[a]), squeeze.compress(b"\n".join([strings[x] for x in g.tolist()])), doc[g].astype(np.int64).tobytes(), place[g].astype(np.int32).tobytes())
+                    (int(bucket[a]), squeeze.compress(b"\n".join([strings[x] for x in g.tolist()])), squeezed(doc[g], squeeze), squeezed(place[g], squeeze))
                     for a, g in zip(edges.tolist(), groups, strict=True)
                 ]
                 gone = np.flatnonzero(repeats)
                 if len(gone):
                     to = place[gone] + count[gone] + window - 1
-                    rows.append((-1, to.astype(np.int32).tobytes(), doc[gone].astype(np.int64).tobytes(), place[gone].astype(np.int32).tobytes()))
+                    rows.append((-1, squeezed(to, squeeze), squeezed(doc[gone], squeeze), squeezed(place[gone], squeeze)))
                 columns = zip(*rows, strict=True)
                 types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "words", "docs", "places"])
@@ -220,12 +231,11 @@ def covered(key: tuple[pa.Scalar, ...], table: pa.Table, window: int = WINDOW) -
     import zstandard
 
     names = ["doc_id", "begin", "end"]
-    doc = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64)
-    place = np.frombuffer(b"".join(table.column("places").to_pylist()), np.int32).astype(np.int64)
+    expand = zstandard.ZstdDecompressor()
+    doc, place = (np.concatenate([expanded(b.as_py(), expand) for b in table.column(c)]) for c in ("docs", "places"))
     if key[0].as_py() == -1:
-        end = np.frombuffer(b"".join(table.column("words").to_pylist()), np.int32)
+        end = np.concatenate([expanded(b.as_py(), expand) for b in table.column("words")])
         return pa.table([pa.array(doc), pa.array(place, pa.int32()), pa.array(end, pa.int32())], names)
-    expand = zstandard.ZstdDecompressor()
     number: dict[bytes, int] = {}
     ids, n_words = [], []
     for blob in table.column("words"):
