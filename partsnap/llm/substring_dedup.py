@@ -5,9 +5,8 @@ smallest hash among its runs of ``RUN`` words.  Consecutive windows with one
 minimiser travel together, as one packed string of words (a super-k-mer), to
 the bucket of that minimiser.  Equal windows have equal minimisers, so each
 bucket can tell by sorting its windows which of them start earlier elsewhere,
-exactly: words are numbered by their bytes within the bucket, windows are
-sorted by a hash of these numbers, and windows of equal hash are compared
-word by word.
+exactly: windows are sorted by a hash of their words, and windows of equal
+hash are compared byte by byte.
 
 Skew has two remedies.  Tasks combine before they send: of super-k-mers with
 equal words in one chunk only the earliest travels, and the others' words are
@@ -29,7 +28,7 @@ other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -200,29 +199,29 @@ def sent(docs: DataFrame, window: int, run: int, hot: np.ndarray, n_buckets: int
     return rows.mapInArrow(send, "bucket int, words binary, docs binary, places binary")
 
 
-def later_windows(ids: np.ndarray, at: np.ndarray, doc: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
-    """Which windows have an equal one that starts earlier; ``at`` are their first words in ``ids``."""
-    weights = numbers(47, window) | U(1)
-    h = np.zeros(len(at), U)
-    for j in range(window):
-        h += mix(ids[at + j].astype(U) + U(1)) * weights[j]
-    order = np.lexsort((place, doc, h))
-    h, a, d, p = h[order], at[order], doc[order], place[order]
-    late = np.zeros(len(at), bool)
-    if len(at) < 2:
-        return late
-    same = np.append(False, h[1:] == h[:-1])
-    for j in range(window):  # windows of equal hash must agree in every word
-        same[1:] &= ids[a[1:] + j] == ids[a[:-1] + j]
-    if (np.append(False, h[1:] == h[:-1]) & ~same).any():  # two texts with one hash: sort by the words themselves
-        keys = [place, doc] + [ids[at + j] for j in range(window - 1, -1, -1)]
-        order = np.lexsort(keys)
-        a, d, p = at[order], doc[order], place[order]
-        same = np.append(False, np.ones(len(at) - 1, bool))
-        for j in range(window):
-            same[1:] &= ids[a[1:] + j] == ids[a[:-1] + j]
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(a))))
-    late[order] = same & ((d != d[head]) | (p != p[head]))
+def later_windows(h: np.ndarray, doc: np.ndarray, place: np.ndarray, same: Callable[[int, int], bool]) -> np.ndarray:
+    """Which windows have an equal one that starts earlier.
+
+    ``h`` are hashes of the windows; ``same`` tells whether two windows of one
+    hash agree in every word.
+    """
+    late = np.zeros(len(h), bool)
+    order = np.argsort(h)
+    twin = h[order][1:] == h[order][:-1]
+    several = order[np.append(twin, False) | np.append(False, twin)]
+    several = several[np.lexsort((place[several], doc[several], h[several]))]
+    head: list[int] = []  # the earliest window of each text with the present hash
+    last = None
+    for x, value in zip(several.tolist(), h[several].tolist(), strict=True):
+        if value != last:
+            head, last = [x], value
+            continue
+        for y in head:
+            if same(x, y):
+                late[x] = doc[x] != doc[y] or place[x] != place[y]
+                break
+        else:
+            head.append(x)
     return late
 
 
@@ -236,20 +235,26 @@ def covered(key: tuple[pa.Scalar, ...], table: pa.Table, window: int = WINDOW) -
     if key[0].as_py() == -1:
         end = np.concatenate([expanded(b.as_py(), expand) for b in table.column("words")])
         return pa.table([pa.array(doc), pa.array(place, pa.int32()), pa.array(end, pa.int32())], names)
-    number: dict[bytes, int] = {}
-    ids, n_words = [], []
-    for blob in table.column("words"):
-        for line in expand.decompress(blob.as_py()).split(b"\n"):
-            words = line.split(b" ")
-            n_words.append(len(words))
-            ids.extend([number.setdefault(w, len(number)) for w in words])
-    ids, n_words = np.array(ids, np.int32), np.array(n_words, np.int64)
-    count = n_words - window + 1
+    raw = b"\n".join([expand.decompress(b.as_py()) for b in table.column("words")])
+    buf = np.frombuffer(raw, np.uint8)
+    lines = np.concatenate([[0], np.flatnonzero(buf == 10) + 1, [len(buf)]])
+    words = Words()
+    starts, ends, first = words.bounds(buf, lines)
+    h = words.hashes(buf, starts, ends)
+    words.grow(len(h) + 1)
+    total = np.append(U(0), np.cumsum(h * words.up[: len(h)], dtype=U))
+    count = np.diff(first) - window + 1
     owner = np.repeat(np.arange(len(count)), count)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    at = nth + (np.cumsum(n_words) - n_words)[owner]
+    at = nth + first[owner]
     begin = place[owner] + nth
-    late = later_windows(ids, at, doc[owner], begin, window)
+    whole = mix((total[at + window] - total[at]) * words.down[at])
+    from_, to = starts[at], ends[at + window - 1]
+
+    def same(x: int, y: int) -> bool:
+        return raw[from_[x] : to[x]] == raw[from_[y] : to[y]]
+
+    late = later_windows(whole, doc[owner], begin, same)
     at, owner, begin = at[late], owner[late], begin[late]
     # neighbours within one super-k-mer become one range
     new = np.ones(len(at), bool)
