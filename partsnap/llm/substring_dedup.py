@@ -39,7 +39,7 @@ from .common import cut
 from .textops import U, Words, mix, numbers, slices
 
 WINDOW = 20
-RUN = 5
+RUN = 3
 CELLS = 1 << 16
 HOT = 16  # times the mean of a cell
 CHUNK = 4 << 20
