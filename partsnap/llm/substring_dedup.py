@@ -45,7 +45,7 @@ HOT = 16  # times the mean of a cell
 CHUNK = 4 << 20
 LONGEST = 256  # windows of one packed string
 BUCKETS_PER_TASK = 4
-LEVEL = 1  # of zstd
+LEVEL = 3  # of zstd
 
 
 def window_minimisers(h: np.ndarray, first: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
