@@ -38,7 +38,7 @@ DIMS = 8
 PER_CLASS = 1500
 MAX_SEGMENTS = 1024
 GRAMS = (3, 4, 5)
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 BLOCK = 1 << 21  # n-grams that training handles at a time
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
