@@ -13,24 +13,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partsnap.sources.files import read_parquet
-
 ORDERS_KEY = "partition_date"
 EVENTS_KEY = "partition_date"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def month_key(col: str) -> str:
-    """``yyyy-MM`` of a timestamp, from its fields (no session time zone involved)."""
-    return f"format_string('%04d-%02d', year({col}), month({col}))"
+    """``yyyy-MM`` of a timestamp, from its text."""
+    return f"substr(cast({col} as string), 1, 7)"
 
 
 def day_key(col: str) -> str:
-    """``yyyy-MM-dd`` of a timestamp, from its fields (no session time zone involved)."""
-    return f"format_string('%04d-%02d-%02d', year({col}), month({col}), day({col}))"
+    """``yyyy-MM-dd`` of a timestamp, from its text."""
+    return f"substr(cast({col} as string), 1, 10)"
+
+
+COPY = "_copy"
+
+
+def damaged(inside: DataFrame, copied: str, extra: str, repeated: str) -> DataFrame:
+    """``inside`` with ``_copy``: each row once for every condition that holds, 0 copied, 1 extra, 2 repeated.
+
+    One scan makes all three, and unused columns are still pruned.
+    """
+    which = f"array(if({copied}, 0, null), if({extra}, 1, null), if({repeated}, 2, null))"
+    return inside.selectExpr("*", f"explode(filter({which}, x -> x is not null)) as {COPY}")
 
 
 # ---------------------------------------------------------------- orders, monthly keys
@@ -57,20 +67,15 @@ def bkup_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None)
     """Backup of ``prod_orders``: one month behind, starting 1996-01, damaged."""
     raw = raw if raw is not None else table(spark, sf_dir, "orders")
     inside = raw.where(ORDERS_RAW_WINDOW)
-    copied = inside.where("o_orderkey % 97 <> 0").selectExpr(
-        *[
-            "case when o_orderkey % 89 = 0 then '0-CHANGED' else o_orderpriority end as o_orderpriority"
-            if c == "o_orderpriority" else c
-            for c in ORDERS_PROD_COLS
-        ]
+    rows = damaged(
+        inside, "o_orderkey % 97 <> 0", "o_orderkey % 101 = 0",
+        "o_orderkey % 103 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0",
     )
-    extra = inside.where("o_orderkey % 101 = 0").selectExpr(
-        *["o_orderkey + 10000000 as o_orderkey" if c == "o_orderkey" else c for c in ORDERS_PROD_COLS]
-    )
-    dups = inside.where("o_orderkey % 103 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0").selectExpr(
-        *ORDERS_PROD_COLS
-    )
-    return copied.union(extra).union(dups)
+    changed = {
+        "o_orderpriority": f"case when {COPY} = 0 and o_orderkey % 89 = 0 then '0-CHANGED' else o_orderpriority end as o_orderpriority",
+        "o_orderkey": f"if({COPY} = 1, o_orderkey + 10000000, o_orderkey) as o_orderkey",
+    }
+    return rows.selectExpr(*[changed.get(c, c) for c in ORDERS_PROD_COLS])
 
 
 PROD_ORDERS_SQL = """
@@ -135,17 +140,14 @@ def bkup_events(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None)
     """Backup of ``prod_events``: last days missing, damaged like the orders pair."""
     raw = raw if raw is not None else table(spark, sf_dir, "events")
     inside = raw.where(EVENTS_RAW_WINDOW)
-    copied = inside.where("event_id % 31 <> 0").selectExpr(
-        *["case when event_id % 37 = 0 then value + 1.0 else value end as value" if c == "value" else c
-          for c in EVENTS_PROD_COLS]
-    )
-    extra = inside.where("event_id % 41 = 0").selectExpr(
-        *["event_id + 100000000 as event_id" if c == "event_id" else c for c in EVENTS_PROD_COLS]
+    rows = damaged(
+        inside, "event_id % 31 <> 0", "event_id % 41 = 0", "event_id % 43 = 0 and event_id % 31 <> 0 and event_id % 37 <> 0"
     )
-    dups = inside.where("event_id % 43 = 0 and event_id % 31 <> 0 and event_id % 37 <> 0").selectExpr(
-        *EVENTS_PROD_COLS
-    )
-    return copied.union(extra).union(dups)
+    changed = {
+        "value": f"case when {COPY} = 0 and event_id % 37 = 0 then value + 1.0 else value end as value",
+        "event_id": f"if({COPY} = 1, event_id + 100000000, event_id) as event_id",
+    }
+    return rows.selectExpr(*[changed.get(c, c) for c in EVENTS_PROD_COLS])
 
 
 PROD_EVENTS_SQL = """
@@ -226,16 +228,15 @@ def bkup_lineitem(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None
     """Backup of ``prod_lineitem``: last month missing, damaged like the orders pair."""
     raw = raw if raw is not None else table(spark, sf_dir, "lineitem")
     inside = raw.where(LINEITEM_RAW_WINDOW)
-    cols = LINEITEM_PROD_COLS
-    copied = inside.where(f"{LINE_ID} % 97 <> 0").selectExpr(
-        *[f"case when {LINE_ID} % 89 = 0 then l_quantity + 1.0 else l_quantity end as l_quantity"
-          if c == "l_quantity" else c for c in cols]
-    )
-    extra = inside.where(f"{LINE_ID} % 101 = 0").selectExpr(
-        *["l_orderkey + 100000000 as l_orderkey" if c == "l_orderkey" else c for c in cols]
+    rows = damaged(
+        inside, f"{LINE_ID} % 97 <> 0", f"{LINE_ID} % 101 = 0",
+        f"{LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0",
     )
-    dups = inside.where(f"{LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0").selectExpr(*cols)
-    return copied.union(extra).union(dups)
+    changed = {
+        "l_quantity": f"case when {COPY} = 0 and {LINE_ID} % 89 = 0 then l_quantity + 1.0 else l_quantity end as l_quantity",
+        "l_orderkey": f"if({COPY} = 1, l_orderkey + 100000000, l_orderkey) as l_orderkey",
+    }
+    return rows.selectExpr(*[changed.get(c, c) for c in LINEITEM_PROD_COLS])
 
 
 PROD_LINEITEM_SQL = f"""

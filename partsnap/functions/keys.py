@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from partsnap.functions.rows import ident
 
-# Longest key-tuple list written as an OR chain (Spark's own IN-to-set threshold).
-OR_CHAIN_MAX = 10
-
 
 def newest_first(keys: Sequence[str]) -> list[Column]:
     """Sort order of key tuples, newest first, NULL keys last (oldest)."""
@@ -38,8 +35,7 @@ def key_in(keys: Sequence[str], values: Iterable) -> Column:
     ``values`` are key tuples (``Row``, dict, tuple, or a scalar for one key).
     A ``None`` in a value matches a NULL key.  Single keys become ``IN`` (plus
     ``IS NULL``), which Spark turns into partition filters and parquet
-    pushdown; a few tuples become an OR of null-safe equalities, more than
-    ``OR_CHAIN_MAX`` a ``struct(keys) IN (...)`` that Spark plans as a set
+    pushdown; tuples become a ``struct(keys) IN (...)`` that Spark plans as a set
     lookup (NULL fields match NULL fields), so a list of thousands of
     partitions stays one constant-time test instead of a chain that grows
     with the list.  The result may be NULL for a NULL key that was not asked
@@ -55,17 +51,8 @@ def key_in(keys: Sequence[str], values: Iterable) -> Column:
         if not present:
             return col.isNull()
         return (col.isin(present) | col.isNull()) if wants_null else col.isin(present)
-    if len(tuples) > OR_CHAIN_MAX:
-        probe = F.struct(*[F.col(ident(k)).alias(k) for k in keys])
-        return probe.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, t)]) for t in tuples])
-    pred = None
-    for t in tuples:
-        conj = None
-        for k, v in zip(keys, t):
-            eq = F.col(ident(k)).eqNullSafe(F.lit(v))
-            conj = eq if conj is None else conj & eq
-        pred = conj if pred is None else pred | conj
-    return pred
+    probe = F.struct(*[F.col(ident(k)).alias(k) for k in keys])
+    return probe.isin([F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, t)]) for t in tuples])
 
 
 def key_not_in(keys: Sequence[str], values: Iterable) -> Column:

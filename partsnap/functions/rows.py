@@ -17,8 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 SIDE = "_side"
@@ -94,11 +92,6 @@ def restore_sql(expr: str, dtype: DataType, depth: int = 0) -> str:
     return f"if({expr} is null, null, struct({fields}))"
 
 
-def comparable(col: str, dtype: DataType) -> Column:
-    """Column form of :func:`comparable_sql` for one named column."""
-    return F.expr(comparable_sql(ident(col), dtype))
-
-
 def comparable_columns_sql(schema: StructType, columns: Sequence[str]) -> list[str]:
     """Each column, rewritten by :func:`comparable_sql`, under its own name."""
     types = {f.name: f.dataType for f in schema.fields}

@@ -23,8 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsnap.functions.rows import (
@@ -44,22 +43,43 @@ SIDES = ("prod", "bkup", "both")
 RESERVED = (SIDE, NP, NB)
 
 
+def shared_columns(prod: DataFrame, bkup: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """Columns (in prod's spelling) of both sides, of prod only and (in its spelling) of the backup only.
+
+    Names meet as Spark resolves them, without regard to case unless
+    ``spark.sql.caseSensitive`` is set.
+    """
+    exact = prod.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    norm = (lambda c: c) if exact else str.lower
+    theirs, mine = {norm(c) for c in bkup.columns}, {norm(c) for c in prod.columns}
+    both = [c for c in prod.columns if norm(c) in theirs]
+    return both, [c for c in prod.columns if norm(c) not in theirs], [c for c in bkup.columns if norm(c) not in mine]
+
+
 def align(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None):
     """Both sides projected on the same columns, by name, in prod order.
 
-    A column whose type differs between the sides (a key kept as text in the
-    backup, for instance) is compared as text on both sides.
+    Without ``columns`` the sides must have the same columns: one-sided ones
+    raise, as leaving them out would hide a difference.  A column whose type
+    differs between the sides (a key kept as text in the backup, for instance)
+    is compared as text on both sides.
     """
-    cols = list(columns) if columns else list(prod.columns)
-    missing = [c for c in cols if c not in bkup.columns]
-    if missing:
-        raise ValueError(f"columns missing in backup: {missing}")
+    both, prod_only, bkup_only = shared_columns(prod, bkup)
+    if columns:
+        cols = list(columns)
+        missing = [c for c in cols if c not in both]
+        if missing:
+            raise ValueError(f"columns missing in prod or backup: {missing}")
+    else:
+        cols = both
+        if prod_only or bkup_only:
+            raise ValueError(f"columns missing in backup: {prod_only}; columns missing in prod: {bkup_only}; name the columns to compare")
     clash = [c for c in cols if c in RESERVED]
     if clash:
         raise ValueError(f"columns {clash} clash with report columns {RESERVED}; rename them first")
-    pt = {f.name: f.dataType for f in prod.schema.fields}
-    bt = {f.name: f.dataType for f in bkup.schema.fields}
-    exprs = [ident(c) if pt[c] == bt[c] else f"cast({ident(c)} as string) as {ident(c)}" for c in cols]
+    pt = {c: prod.select(ident(c)).schema[0].dataType for c in cols}
+    bt = {c: bkup.select(ident(c)).schema[0].dataType for c in cols}
+    exprs = [f"{ident(c)} as {ident(c)}" if pt[c] == bt[c] else f"cast({ident(c)} as string) as {ident(c)}" for c in cols]
     return prod.selectExpr(*exprs), bkup.selectExpr(*exprs), cols
 
 
@@ -89,7 +109,7 @@ def _copies(side: str, multiset: bool) -> str:
 
 
 def expand_copies(
-    df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int = 1024, never_empty: bool = False
+    df: DataFrame, n: str, chunk: int = COPY_CHUNK, min_chunk: int = 1024
 ) -> DataFrame:
     """Emit each row ``df[n]`` times, spreading large multiplicities over tasks.
 
@@ -99,10 +119,6 @@ def expand_copies(
     (row, chunk) over ``spark.sql.shuffle.partitions`` (a fixed count, so AQE
     cannot fold a hot row's chunks back into one task); each task then
     expands only its own chunks.
-
-    ``never_empty`` adds one row of zero copies to the spread, so that
-    stage is never empty: AQE replaces an empty stage by an empty relation
-    and would drop everything below it, observed metrics included.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep = [ident(c) for c in df.columns if c != n]
@@ -112,10 +128,6 @@ def expand_copies(
         *keep, k, "_ps_s", f"explode(sequence(0L, cast(floor(({k} - 1) / _ps_s) as bigint))) as _ps_c"
     )
     spread = chunks.selectExpr(*keep, f"least(_ps_s, {k} - _ps_c * _ps_s) as _ps_k", "_ps_c")
-    if never_empty:
-        nothing = [f"cast(null as {f.dataType.simpleString()}) as {ident(f.name)}" for f in spread.schema.fields
-                   if f.name not in ("_ps_k", "_ps_c")]
-        spread = spread.union(df.sparkSession.range(1).selectExpr(*nothing, "0L as _ps_k", "0L as _ps_c"))
     spread = spread.repartition(parts, *keep, "_ps_c")
     return spread.selectExpr(*keep, "explode(array_repeat(0, cast(_ps_k as int))) as _ps_x").drop("_ps_x")
 
@@ -138,34 +150,12 @@ SUMMARY_SQL = (
 )
 
 
-def observed_totals(totals: Observation, summary: DataFrame | None = None) -> dict[str, int]:
-    """The totals a :func:`row_diff` observed, once its DataFrame was consumed.
-
-    Valid after any action on the diff, even ``show`` / ``take``: the
-    observation sits below the diff's own spread shuffle, and Spark runs
-    every map task of a shuffle stage, so it always sees every group.  (An
-    Observation keeps the metrics of the first action.)  Spark keeps no
-    metrics when AQE found a stage above the diff empty and pruned the plan
-    below it (e.g. a further aggregate of an empty diff) or when Catalyst
-    removed the diff altogether; the totals then come from ``summary`` (the
-    :func:`differential_summary` of the same pair, one more job), and
-    without it ``LookupError`` is raised.  They are never guessed.
-    """
-    try:
-        return totals.get
-    except Py4JJavaError as err:
-        if summary is None:
-            raise LookupError("no observed totals; pass the summary DataFrame to compute them") from err
-        return summary.first().asDict()
-
-
 def row_diff(
     prod: DataFrame,
     bkup: DataFrame,
     side: str = "both",
     multiset: bool = False,
     columns: Sequence[str] | None = None,
-    totals: Observation | None = None,
 ) -> DataFrame:
     """Rows present on one side and not on the other, tagged with ``_side``.
 
@@ -174,18 +164,11 @@ def row_diff(
     copies when no equal row exists on the other side (NULLs compare equal to
     NULLs, never to the text ``'null'``).  ``multiset=True`` reports the
     surplus copies instead (``EXCEPT ALL``).
-
-    With ``totals`` (a ``pyspark.sql.Observation``), the job that consumes
-    the diff also fills in the totals of :func:`differential_summary`, read
-    with :func:`observed_totals` after that action: the diff and the summary
-    of a large pair cost one scan and one shuffle of both tables, not two.
     """
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
     p, b, cols = align(prod, bkup, columns)
     counts = _counts(p, b, cols)
-    if totals is not None:
-        counts = counts.observe(totals, *[F.expr(e) for e in SUMMARY_SQL])
     # Rows present on both sides (the bulk, for a good backup) leave right after the aggregate.
     unmatched = f"{NP} <> {NB}" if multiset else f"({NP} = 0 or {NB} = 0)"
     counts = counts.where(unmatched)
@@ -196,7 +179,7 @@ def row_diff(
     else:
         pairs = ", ".join(f"struct({text(s)} as {SIDE}, {_copies(s, multiset)} as _ps_n)" for s in wanted)
         tagged = counts.selectExpr(*names, f"inline(array({pairs}))")
-    rows = expand_copies(tagged, "_ps_n", never_empty=totals is not None)
+    rows = expand_copies(tagged, "_ps_n")
     return rows.selectExpr(SIDE, *restored_columns_sql(p.schema, cols))
 
 

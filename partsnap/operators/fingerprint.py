@@ -3,16 +3,18 @@
 A backup is mostly an exact copy, so a row diff of two 100 TB tables would
 shuffle 200 TB to report a few changed partitions.  Here each side is first
 reduced to one small row per partition key: the row count and sums of two
-independent 64-bit row hashes, each split into two signed 32-bit halves
-summed as ``bigint`` (every copy of a row counts; sums of symmetric random
-halves stay far below the 64-bit range, and under ANSI mode an overflow
-would fail loudly, never wrap).  Only partitions whose fingerprints differ
-go through the exact row diff, and their key filters prune the scans.
+64-bit row hashes, each split into two signed 32-bit halves summed as
+``bigint`` (every copy of a row counts).  A sum that leaves the 64-bit range
+counts as a difference, so that the exact diff decides.  The hashes start from
+different salts; a nested value is hashed level by level, each level with its
+NULL flag and, for arrays and maps, its size, so that neither NULL elements
+nor the nesting can get lost.  Only partitions whose fingerprints differ go
+through the exact row diff, and their key filters prune the scans.
 
 A partition reported as changed is diffed exactly, so a false alarm only
 costs work (``-0.0`` is hashed as ``0.0``, as grouping compares it).  A
-changed partition is missed only if both 64-bit sums and the count
-collide, which is why the exact
+changed partition is missed only if the count and the sums of both hashes
+collide, which is unlikely but possible; the exact
 :func:`partsnap.operators.diff.row_diff` remains the default.
 """
 
@@ -22,24 +24,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from partsnap.functions.keys import key_in
 from partsnap.functions.rows import comparable_sql, ident, text
 from partsnap.operators.diff import align, row_diff
 from partsnap.operators.profile import unsigned_zero_sql
 
-# Fixed salt that makes the second hash lane independent of the first.
-SECOND_LANE = "partsnap-lane-2"
+# Fixed salts of the two hashes.
+LANES = ("partsnap-lane-1", "partsnap-lane-2")
 
 
-def _row_hash(schema, cols: Sequence[str], salt: str | None) -> str:
-    """xxhash64 over every column and its null flag (so NULLs cannot trade places)."""
+def value_hash(expr: str, dtype: DataType, salt: str, depth: int = 0) -> str:
+    """64-bit hash of one value, never NULL; ``expr`` has no maps (see ``comparable_sql``)."""
+    start = f"{text(salt)}, isnull({expr})"
+    if isinstance(dtype, ArrayType):
+        v = f"_h{depth}"
+        return f"xxhash64({start}, size({expr}), transform({expr}, {v} -> {value_hash(v, dtype.elementType, salt, depth + 1)}))"
+    if isinstance(dtype, StructType):
+        return f"xxhash64({start}, {', '.join(value_hash(f'{expr}.{ident(f.name)}', f.dataType, salt, depth) for f in dtype.fields) or '0'})"
+    return f"xxhash64({start}, {expr})"
+
+
+def without_maps(dtype: DataType) -> DataType:
+    """The type that ``comparable_sql`` gives a value: maps are arrays of entries."""
+    if isinstance(dtype, MapType):
+        return ArrayType(StructType([StructField("key", dtype.keyType), StructField("value", without_maps(dtype.valueType))]))
+    if isinstance(dtype, ArrayType):
+        return ArrayType(without_maps(dtype.elementType))
+    if isinstance(dtype, StructType):
+        return StructType([StructField(f.name, without_maps(f.dataType)) for f in dtype.fields])
+    return dtype
+
+
+def _row_hash(schema, cols: Sequence[str], salt: str) -> str:
+    """xxhash64 over every column: the salt first, then flat columns with their NULL flags and nested ones by level."""
     types = {f.name: f.dataType for f in schema.fields}
-    parts = []
+    parts = [text(salt)]
     for c in cols:
-        parts += [comparable_sql(unsigned_zero_sql(ident(c), types[c]), types[c]), f"isnull({ident(c)})"]
-    if salt:
-        parts.append(text(salt))
+        value = comparable_sql(unsigned_zero_sql(ident(c), types[c]), types[c])
+        if isinstance(types[c], (ArrayType, MapType, StructType)):
+            parts.append(value_hash(f"({value})", without_maps(types[c]), salt))
+        else:
+            parts += [value, f"isnull({ident(c)})"]
     return f"xxhash64({', '.join(parts)})"
 
 
@@ -53,7 +80,7 @@ def partition_fingerprints(
     """
     p, b, cols = align(prod, bkup, columns)
     names = [ident(k) for k in keys]
-    h1, h2 = _row_hash(p.schema, cols, None), _row_hash(p.schema, cols, SECOND_LANE)
+    h1, h2 = (_row_hash(p.schema, cols, salt) for salt in LANES)
     halves = [
         f"shiftright({h1}, 32) as _ps_a",
         f"({h1} & 4294967295L) - 2147483648L as _ps_b",
@@ -65,10 +92,10 @@ def partition_fingerprints(
     sums = tagged.groupBy(*names).agg(
         F.expr("count_if(_ps_in) as prod_rows"),
         F.expr("count_if(not _ps_in) as bkup_rows"),
-        *[F.expr(f"coalesce(sum(if(_ps_in, {x}, null)), 0L) as prod{x[3:]}") for x in lanes],
-        *[F.expr(f"coalesce(sum(if(_ps_in, null, {x})), 0L) as bkup{x[3:]}") for x in lanes],
+        *[F.expr(f"try_sum(if(_ps_in, {x}, 0L)) as prod{x[3:]}") for x in lanes],
+        *[F.expr(f"try_sum(if(_ps_in, 0L, {x})) as bkup{x[3:]}") for x in lanes],
     )
-    differs = " or ".join(["prod_rows <> bkup_rows"] + [f"prod{x[3:]} <> bkup{x[3:]}" for x in lanes])
+    differs = " or ".join(["prod_rows <> bkup_rows"] + [f"coalesce(prod{x[3:]} <> bkup{x[3:]}, true)" for x in lanes])
     return sums.selectExpr("*", f"{differs} as changed")
 
 

@@ -14,8 +14,10 @@ text (decimals and local timestamps by their exact text, binary as hex,
 nested values through ``to_json`` with maps sorted first and ``-0.0`` read
 as ``0.0`` inside them).  A NULL leaves
 every lane NULL and is not counted, as in ``count(distinct)``.  The
-distinct (side, column, value) triples are formed with map-side
-combining, so a value held by a third of all rows costs one row per task.
+distinct (column, value) pairs are formed with map-side combining, with a flag
+for each side that holds the value, so a value held by a third of all rows
+costs one row per task, and one that a faithful backup shares is counted for
+both sides from one pair.
 
 ``approx=True`` uses HyperLogLog++ sketches per column in a single aggregate
 (no stacking), for very large profiles where an estimate is enough.
@@ -85,11 +87,6 @@ def unsigned_zero_sql(expr: str, dtype: DataType, depth: int = 0) -> str:
     return f"if({expr} is null, null, struct({fields}))"
 
 
-# Widest table whose per-column counts are read straight off the distinct values
-# (2 x columns conditional counts per value); wider tables group by column first.
-DIRECT_COUNT_MAX = 32
-
-
 def lane_sql(col: str, dtype: DataType) -> tuple[str, str, str]:
     """``(bigint, double, text)`` lanes of a value; exactly one is set unless it is NULL."""
     q = ident(col)
@@ -113,42 +110,32 @@ def lane_sql(col: str, dtype: DataType) -> tuple[str, str, str]:
     return no_int, no_float, f"cast({q} as string)"
 
 
-def _stacked(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+def _stacked(df: DataFrame, cols: Sequence[str], in_prod: bool) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     pairs = []
     for i, c in enumerate(cols):
         li, ld, ls = lane_sql(c, types[c])
         pairs.append(f"struct({i} as _ps_g, {li} as _ps_i, {ld} as _ps_d, {ls} as _ps_s)")
-    return df.selectExpr(f"{text(label)} as _ps_side", f"inline(array({', '.join(pairs)}))")
+    return df.selectExpr(f"{str(in_prod).lower()} as _ps_in", f"inline(array({', '.join(pairs)}))")
 
 
 def _exact(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One pipeline for both sides; a global aggregate then ``stack`` always yields two rows."""
     values = (
-        _stacked(p, cols, PROD)
-        .union(_stacked(b, cols, BKUP))
+        _stacked(p, cols, True)
+        .union(_stacked(b, cols, False))
         .where("_ps_i is not null or _ps_d is not null or _ps_s is not null")
-        .distinct()
+        .groupBy("_ps_g", "_ps_i", "_ps_d", "_ps_s")
+        .agg(F.bool_or("_ps_in").alias("_ps_p"), F.bool_or(~F.col("_ps_in")).alias("_ps_b"))
+    )
+    per_column = values.groupBy("_ps_g").agg(F.count_if("_ps_p").alias(f"_ps_{PROD}"), F.count_if("_ps_b").alias(f"_ps_{BKUP}"))
+    wide = per_column.selectExpr(
+        *[
+            f"coalesce(max(if(_ps_g = {i}, _ps_{side}, null)), 0L) as _ps_{side}_{i}"
+            for side in (PROD, BKUP)
+            for i in range(len(cols))
+        ]
     )
-    if len(cols) <= DIRECT_COUNT_MAX:
-        # Few columns: count each (side, column) straight from the distinct values.
-        wide = values.selectExpr(
-            *[
-                f"count_if(_ps_side = {text(side)} and _ps_g = {i}) as _ps_{side}_{i}"
-                for side in (PROD, BKUP)
-                for i in range(len(cols))
-            ]
-        )
-    else:
-        # Many columns: one count per (side, column) group, then one row.
-        per_column = values.groupBy("_ps_side", "_ps_g").agg(F.count(F.lit(1)).alias("_ps_n"))
-        wide = per_column.selectExpr(
-            *[
-                f"coalesce(max(if(_ps_side = {text(side)} and _ps_g = {i}, _ps_n, null)), 0L) as _ps_{side}_{i}"
-                for side in (PROD, BKUP)
-                for i in range(len(cols))
-            ]
-        )
     fields = ", ".join(
         f"{text(side)}, " + ", ".join(f"_ps_{side}_{i}" for i in range(len(cols))) for side in (PROD, BKUP)
     )

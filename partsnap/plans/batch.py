@@ -66,7 +66,9 @@ def run_table(spark: SparkSession, name: str, policy: Policy) -> list[oc.Outcome
     if policy.keep != 0:
         done.append(incremental_load(spark, source, backup, policy.gate, stringify_keys=policy.stringify_keys,
                                      location_root=policy.location_root))
-    done.append(apply_eviction(spark, backup, policy.keep, allow_empty=policy.allow_empty))
+    if done and done[0].status == oc.SCHEMA_DRIFT:
+        return done  # a backup that cannot be refreshed keeps what it has
+    done.append(apply_eviction(spark, backup, policy.keep, allow_empty=policy.allow_empty, source=source))
     return done
 
 
@@ -94,6 +96,9 @@ def run_batch(
         sc.setLocalProperty("spark.job.description", f"partsnap backup {name}")
         try:
             return run_table(spark, name, policy)
+        except Exception as error:  # the other tables go on; the row says what happened
+            source = catalog.qualified(name, policy.database)
+            return [oc.Outcome(source, catalog.backup_name(source, policy.suffix), "backup", oc.FAILED, detail=str(error)[:1000])]
         finally:
             sc.setLocalProperty("spark.job.description", None)
 

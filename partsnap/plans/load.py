@@ -14,7 +14,7 @@ from partsnap.operators.slices import rows_of
 from partsnap.plans import outcome as oc
 from partsnap.sinks import tables
 from partsnap.sources import catalog
-from partsnap.sources.partitions import catalog_listing, newest_keys
+from partsnap.sources.partitions import catalog_listing, newest_keys, typed_like
 
 
 # Gates an incremental load can run behind (see partsnap.operators.gates).
@@ -65,7 +65,10 @@ def history_load(
     if not chosen:
         return oc.Outcome(source, backup, "history_load", oc.EMPTY_SOURCE)
     tables.create_backup_like(spark, source, backup, stringify_keys, backup_location(backup, location_root))
-    tables.overwrite_partitions(rows_of(catalog.read(spark, source), keys, chosen), backup)
+    try:
+        tables.overwrite_partitions(rows_of(catalog.read(spark, source), keys, chosen), backup, chosen)
+    except tables.SchemaDrift as drift:
+        return oc.Outcome(source, backup, "history_load", oc.SCHEMA_DRIFT, oc.key_text(keys, chosen), detail=str(drift))
     return oc.Outcome(source, backup, "history_load", oc.LOADED, oc.key_text(keys, chosen))
 
 
@@ -102,20 +105,34 @@ def incremental_load(
     bkup = catalog.read(spark, backup)
     bkup_keys = catalog_listing(spark, backup)
     labels = oc.key_text(keys, newest)
+
+    def load(detail: str, **counts) -> oc.Outcome:
+        try:
+            tables.overwrite_partitions(rows_of(prod, keys, newest), backup, newest)
+        except tables.SchemaDrift as drift:
+            return oc.Outcome(source, backup, "incremental_load", oc.SCHEMA_DRIFT, labels, **counts, detail=str(drift))
+        return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, **counts, detail=detail)
+
     if not bkup_keys.take(1):
-        tables.overwrite_partitions(rows_of(prod, keys, newest), backup)
-        return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, detail="backup was empty")
+        return load("backup was empty")
+    fault = tables.drift(prod, backup)
+    if fault:
+        return oc.Outcome(source, backup, "incremental_load", oc.SCHEMA_DRIFT, labels, detail=fault)
+    if tables.reconcile(prod, backup):
+        return load("the source gained columns")
     if gate == "same_key_count":
         verdict = gates.same_key_count(prod, bkup, keys, prod_keys=prod_keys).first()
     elif gate == "same_key_content":
         verdict = gates.same_key_content(prod, bkup, keys, prod_keys=prod_keys).first()
     else:
-        verdict = gates.latest_count(prod, bkup, keys, prod_keys=prod_keys, bkup_keys=bkup_keys).first()
+        # keys kept as text have the order of the source's key types
+        typed = typed_like(bkup_keys, prod, keys)
+        verdict = gates.latest_count(prod, typed_like(bkup, prod, keys), keys, prod_keys=prod_keys, bkup_keys=typed).first()
     counts = dict(prod_rows=verdict["prod_rows"], bkup_rows=verdict["bkup_rows"])
     if not verdict["should_load"]:
-        return oc.Outcome(source, backup, "incremental_load", oc.SKIPPED_SAME_COUNT, labels, **counts, detail=gate)
-    tables.overwrite_partitions(rows_of(prod, keys, newest), backup)
-    return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, **counts, detail=gate)
+        status = oc.SKIPPED_SAME_CONTENT if gate == "same_key_content" else oc.SKIPPED_SAME_COUNT
+        return oc.Outcome(source, backup, "incremental_load", status, labels, **counts, detail=gate)
+    return load(gate, **counts)
 
 
 def snapshot_unpartitioned(
@@ -135,6 +152,12 @@ def snapshot_unpartitioned(
         location = backup_location(backup, location_root)
         (writer.option("path", location) if location else writer).saveAsTable(backup)
         return oc.Outcome(source, backup, "snapshot", oc.LOADED, detail="backup created")
+    fault = tables.drift(prod, backup)
+    if fault:
+        return oc.Outcome(source, backup, "snapshot", oc.SCHEMA_DRIFT, detail=fault)
+    if tables.reconcile(prod, backup):
+        tables.overwrite_table(prod, backup)
+        return oc.Outcome(source, backup, "snapshot", oc.LOADED, detail="the source gained columns")
     verdict = gates.full_count(prod, catalog.read(spark, backup)).first()
     counts = dict(prod_rows=verdict["prod_rows"], bkup_rows=verdict["bkup_rows"])
     if not verdict["should_load"]:

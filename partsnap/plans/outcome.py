@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Fixed status labels.
 LOADED = "loaded"
 SKIPPED_SAME_COUNT = "skipped_same_count"
+SKIPPED_SAME_CONTENT = "skipped_same_content"
+SCHEMA_DRIFT = "schema_drift"
+FAILED = "failed"
 MISSING_SOURCE = "missing_source"
 MISSING_BACKUP = "missing_backup"
 NOT_PARTITIONED = "not_partitioned"

@@ -19,10 +19,16 @@ from partsnap.sources import catalog
 from partsnap.sources.partitions import beyond, catalog_listing
 
 
-def plan_eviction(spark: SparkSession, backup: str, keep: int) -> DataFrame:
-    """Key tuples of ``backup`` beyond its ``keep`` newest partitions."""
+def plan_eviction(spark: SparkSession, backup: str, keep: int, source: str | None = None) -> DataFrame:
+    """Key tuples of ``backup`` beyond its ``keep`` newest partitions.
+
+    With ``source``, keys that the backup keeps as text are ordered by their types there.
+    """
     keys = catalog.partition_columns(spark, backup)
-    return beyond(catalog_listing(spark, backup), keys, keep)
+    like = spark.table(source) if source and catalog.exists(spark, source) else None
+    if like is not None and not set(keys) <= set(like.columns):
+        like = None
+    return beyond(catalog_listing(spark, backup), keys, keep, like)
 
 
 def apply_eviction(
@@ -31,6 +37,7 @@ def apply_eviction(
     keep: int = 3,
     allow_empty: bool = False,
     run_id: str | None = None,
+    source: str | None = None,
 ) -> oc.Outcome:
     """Drop every partition of ``backup`` beyond the ``keep`` newest.
 
@@ -46,7 +53,7 @@ def apply_eviction(
     if not keys:
         return oc.Outcome(backup, backup, "retention", oc.NOT_PARTITIONED)
     path = tables.manifest_path(spark, backup, run_id or uuid.uuid4().hex)
-    tables.write_manifest(plan_eviction(spark, backup, keep), path)
+    tables.write_manifest(plan_eviction(spark, backup, keep, source), path)
     evict = spark.read.parquet(path).collect()
     if not evict:
         return oc.Outcome(backup, backup, "retention", oc.NOTHING_TO_EVICT, detail=path)

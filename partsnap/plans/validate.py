@@ -7,17 +7,18 @@ is one Spark job when acted on; nothing is printed.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from partsnap.operators.diff import differential_summary, row_diff
+from partsnap.functions.rows import ident
+from partsnap.operators.diff import differential_summary, row_diff, shared_columns
 from partsnap.operators.fingerprint import pruned_row_diff
 from partsnap.operators.profile import distinct_profile
 from partsnap.operators.schema import schema_compare
 from partsnap.operators.slices import rows_of
 from partsnap.operators.volume import volume_by_partition, volume_summary
+from partsnap.plans.batch import table_names
 from partsnap.sources import catalog
 from partsnap.sources.partitions import catalog_listing, listing, newest_keys
 
@@ -33,7 +34,8 @@ def audit(
     multiset: bool = False,
     approx_profile: bool = False,
     prune_unchanged: bool = False,
-) -> dict[str, DataFrame | Observation]:
+    side: str = "both",
+) -> dict[str, DataFrame]:
     """The audit parts for two DataFrames.
 
     ``diff``, ``profile`` and ``summary`` cover ``partition`` (a key value or
@@ -44,28 +46,29 @@ def audit(
     whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`);
     that fingerprint job runs when the report is built, since its changed
     keys become the diff's partition filters.
-    Otherwise ``diff_totals`` (an ``Observation``) holds the ``summary``
-    totals once ``diff`` has been acted on (read them with
-    :func:`partsnap.operators.diff.observed_totals`): the summary comes from
-    the diff's own job, with no second pass over the tables.
+    Columns that only one side has are left out of the comparisons and named in
+    ``one_sided`` (column, side).
     """
     keys = list(keys)
     prod_part, bkup_part = prod, bkup
     if partition is not None and keys:
         wanted = [partition if isinstance(partition, (tuple, list, dict)) else (partition,)]
         prod_part, bkup_part = rows_of(prod, keys, wanted), rows_of(bkup, keys, wanted)
-    report = {}
-    if prune_unchanged and keys:
-        report["diff"] = pruned_row_diff(prod_part, bkup_part, keys, "both", multiset=multiset)
-    else:
-        # Unique name: two reports' diffs may end up in one plan (a union, say).
-        report["diff_totals"] = Observation(f"partsnap_diff_totals_{uuid.uuid4().hex}")
-        report["diff"] = row_diff(prod_part, bkup_part, "both", multiset=multiset, totals=report["diff_totals"])
-    report |= {
-        "profile": distinct_profile(prod_part, bkup_part, approx=approx_profile),
-        "summary": differential_summary(prod_part, bkup_part),
+    shared, prod_only, bkup_only = shared_columns(prod, bkup)
+    sides = [(c, "prod") for c in prod_only] + [(c, "bkup") for c in bkup_only]
+    report = {
         "schema": schema_compare(prod, bkup, keys, keys if bkup_keys is None else bkup_keys),
+        "one_sided": prod.sparkSession.createDataFrame(sides, "column string, side string"),
     }
+    if not shared:
+        return report
+    if prune_unchanged and keys:
+        report["diff"] = pruned_row_diff(prod_part, bkup_part, keys, side, multiset=multiset, columns=shared)
+    else:
+        report["diff"] = row_diff(prod_part, bkup_part, side, multiset=multiset, columns=shared)
+    profiled = [df.select(*[ident(c) for c in shared]) for df in (prod_part, bkup_part)]
+    report["profile"] = distinct_profile(*profiled, approx=approx_profile)
+    report["summary"] = differential_summary(prod_part, bkup_part, columns=shared)
     if keys:
         vp, vb = prod, bkup
         if last_n is not None:
@@ -88,7 +91,8 @@ def validation_report(
     multiset: bool = False,
     approx_profile: bool = False,
     prune_unchanged: bool = False,
-) -> dict[str, DataFrame | Observation]:
+    side: str = "both",
+) -> dict[str, DataFrame]:
     """:func:`audit` of a catalog table against its backup table."""
     backup = backup or catalog.backup_name(table, suffix)
     for name in (table, backup):
@@ -106,4 +110,40 @@ def validation_report(
         multiset=multiset,
         approx_profile=approx_profile,
         prune_unchanged=prune_unchanged,
+        side=side,
     )
+
+
+AUDIT_DDL = (
+    "table string, backup string, status string, prod_rows bigint, bkup_rows bigint, union_distinct bigint, "
+    "prod_only_rows bigint, bkup_only_rows bigint, one_sided array<string>, detail string"
+)
+
+
+def audit_batch(
+    spark: SparkSession,
+    tables: str | Sequence[str],
+    suffix: str = catalog.DEFAULT_SUFFIX,
+    database: str | None = None,
+    **options,
+) -> DataFrame:
+    """One row per table: ``same``, ``different``, ``schema_drift`` or ``failed``, with the totals.
+
+    ``options`` are those of :func:`validation_report`.  A table that cannot
+    be audited gets a ``failed`` row with the reason; the others go on.
+    """
+    rows = []
+    for name in table_names(tables):
+        table = catalog.qualified(name, database)
+        backup = catalog.backup_name(table, suffix)
+        try:
+            report = validation_report(spark, table, backup, **options)
+            one_sided = [f"{r['column']}:{r['side']}" for r in report["one_sided"].collect()]
+            t = report["summary"].first().asDict() if "summary" in report else {}
+            differs = t.get("prod_only_rows", 0) or t.get("bkup_only_rows", 0)
+            status = "schema_drift" if one_sided else "different" if differs else "same"
+            figures = [t.get(c) for c in ("prod_rows", "bkup_rows", "union_distinct", "prod_only_rows", "bkup_only_rows")]
+            rows.append((table, backup, status, *figures, one_sided, ""))
+        except Exception as error:  # the other tables go on; the row says what happened
+            rows.append((table, backup, "failed", *[None] * 5, [], str(error)[:1000]))
+    return spark.createDataFrame(rows, AUDIT_DDL)

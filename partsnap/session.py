@@ -21,7 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     context); there is no local fallback, because a machine-local folder is
     not visible to other executors.
     """
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    # The configured path itself: getCheckpointDir() adds a folder per application.
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     return d.rstrip("/")

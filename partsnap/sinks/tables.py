@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 from pyspark.sql.utils import AnalysisException
 
 from partsnap.functions.rows import ident
@@ -68,8 +69,63 @@ def create_backup_like(
     return True
 
 
+class SchemaDrift(Exception):
+    """The source no longer fits its backup; nothing was written."""
+
+
+# Types that a value can be widened to without loss (fixed values).
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint"),
+    "smallint": ("int", "bigint"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+}
+
+
+def _fits(source: DataType, target: DataType, is_key: bool) -> bool:
+    """Every value of ``source`` can be stored as ``target`` (keys may be kept as text)."""
+    return source == target or (is_key and isinstance(target, StringType)) or target.simpleString() in WIDER.get(source.simpleString(), ())
+
+
+def drift(df: DataFrame, table: str) -> str:
+    """Why ``table`` cannot take ``df`` whole; empty if it can.
+
+    A column that the source lost and one whose type does not widen to the
+    backup's are faults; a gained column is not (:func:`reconcile` adds it).
+    """
+    spark = df.sparkSession
+    keys = {k.lower() for k in catalog.partition_columns(spark, table)}
+    source = {f.name.lower(): f for f in df.schema.fields}
+    faults = []
+    for f in spark.table(table).schema.fields:
+        mine = source.get(f.name.lower())
+        if mine is None:
+            faults.append(f"column {f.name} is gone from the source")
+        elif not _fits(mine.dataType, f.dataType, f.name.lower() in keys):
+            faults.append(f"column {f.name} is {mine.dataType.simpleString()} in the source and {f.dataType.simpleString()} in the backup")
+    return "; ".join(faults)
+
+
+def reconcile(df: DataFrame, table: str) -> bool:
+    """Add the columns that ``df`` gained to ``table`` (older rows read as NULL there); True if there are any.
+
+    Raises :class:`SchemaDrift`, before anything is written, if :func:`drift` finds a fault.
+    """
+    spark = df.sparkSession
+    fault = drift(df, table)
+    if fault:
+        raise SchemaDrift(fault)
+    held = {c.lower() for c in spark.table(table).columns}
+    gained = [f for f in df.schema.fields if f.name.lower() not in held]
+    if gained:
+        listed = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in gained)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    return bool(gained)
+
+
 def _conform(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
-    """Columns in the table's order and types (``insertInto`` is positional)."""
+    """Columns in the table's order and types (``insertInto`` is positional), after :func:`reconcile`."""
+    reconcile(df, table)
     target = spark.table(table).schema
     return df.select(*[F.col(ident(f.name)).cast(f.dataType).alias(f.name) for f in target.fields])
 
@@ -80,15 +136,30 @@ def declares_dynamic_overwrite(spark: SparkSession, table: str) -> bool:
     return any("partitionoverwritemode=dynamic" in (r["data_type"] or "").lower() for r in rows)
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace the partitions of ``table`` that occur in ``df``; keep the rest."""
+def overwrite_partitions(df: DataFrame, table: str, replaced: Sequence = ()) -> None:
+    """Replace the partitions of ``table`` that occur in ``df``; keep the rest.
+
+    Partitions listed in ``replaced`` (key tuples) that have no row in ``df``
+    become empty, as a static partition overwrite with no rows leaves them.
+    """
     spark = df.sparkSession
     rows = _conform(df, spark, table)
     if declares_dynamic_overwrite(spark, table):
         rows.write.insertInto(table, overwrite=True)
-        return
-    with dynamic_partition_overwrite(spark):
-        rows.write.insertInto(table, overwrite=True)
+    else:
+        with dynamic_partition_overwrite(spark):
+            rows.write.insertInto(table, overwrite=True)
+    if replaced:
+        keys = catalog.partition_columns(spark, table)
+        filled = {tuple(r) for r in df.select(*[ident(k) for k in keys]).distinct().collect()}
+        empty_partitions(spark, table, keys, [v for v in replaced if tuple(v[k] for k in keys) not in filled])
+
+
+def empty_partitions(spark: SparkSession, table: str, keys: Sequence[str], values: Sequence) -> None:
+    """Leave the partitions ``values`` registered and without rows."""
+    evict_partitions(spark, table, keys, values)
+    for v in values:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition_spec(keys, v)}")
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:

@@ -65,11 +65,3 @@ def data_columns(spark: SparkSession, name: str) -> list[str]:
     """Columns that are not partition columns, in table order."""
     keys = set(partition_columns(spark, name))
     return [c for c in spark.table(name).columns if c not in keys]
-
-
-def try_read(spark: SparkSession, name: str) -> DataFrame | None:
-    """The table, or None when it does not exist."""
-    try:
-        return spark.table(name)
-    except AnalysisException:
-        return None

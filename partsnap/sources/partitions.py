@@ -80,16 +80,25 @@ def newest_keys(keys_df: DataFrame, keys: Sequence[str], n: int) -> list[Row]:
     return newest(keys_df, keys, n).collect()
 
 
-def beyond(keys_df: DataFrame, keys: Sequence[str], keep: int) -> DataFrame:
-    """Every key tuple after the ``keep`` newest ones (the eviction list)."""
+def beyond(keys_df: DataFrame, keys: Sequence[str], keep: int, order_like: DataFrame | None = None) -> DataFrame:
+    """Every key tuple after the ``keep`` newest ones (the eviction list).
+
+    With ``order_like`` (the source table), "newest" follows the types of the
+    keys there, as a backup may keep its keys as text.
+    """
     if keep < 0:
         raise ValueError("keep must not be negative")
-    ordered = keys_df.orderBy(*newest_first(keys))
+    if order_like is None:
+        order = newest_first(keys)
+    else:
+        order = [F.col(ident(k)).cast(order_like.schema[k].dataType).desc_nulls_last() for k in keys]
+    ordered = keys_df.orderBy(*order)
     return ordered.offset(keep) if keep else ordered
 
 
-def count_keys(keys_df: DataFrame) -> int:
-    return keys_df.count()
+def typed_like(df: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with its key columns cast to the types they have in ``source``."""
+    return df.withColumns({k: F.col(ident(k)).cast(source.schema[k].dataType) for k in keys})
 
 
 def has_more_than(keys_df: DataFrame, n: int) -> bool:

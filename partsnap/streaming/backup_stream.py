@@ -46,7 +46,8 @@ def worth_copying(
         candidates = candidates.unionByName(
             listed.select(*[F.col(ident(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
         )
-    survivors = {tuple(r) for r in newest_keys(candidates, keys, keep)}
+    # a touched partition is often backed up already: it must count once
+    survivors = {tuple(r) for r in newest_keys(candidates.distinct(), keys, keep)}
     return [t for t in touched if tuple(t) in survivors]
 
 
@@ -61,9 +62,9 @@ def backup_batch(spark: SparkSession, source: str, backup: str, keys: list[str],
         wanted = worth_copying(spark, backup, touched, key_cols.schema, keep)
         tables.create_backup_like(spark, source, backup)
         if wanted:
-            tables.overwrite_partitions(rows_of(spark.table(source), keys, wanted), backup)
+            tables.overwrite_partitions(rows_of(spark.table(source), keys, wanted), backup, wanted)
         if keep:
-            apply_eviction(spark, backup, keep, run_id=f"epoch-{epoch_id}")
+            apply_eviction(spark, backup, keep, run_id=f"epoch-{epoch_id}", source=source)
 
     return run
 
@@ -82,6 +83,8 @@ def start_backup_stream(
     if not keys:
         raise ValueError(f"{source} is not partitioned")
     backup = backup or catalog.backup_name(source, suffix)
+    if not checkpoint and not spark.conf.get("spark.checkpoint.dir", None):
+        raise ValueError("pass checkpoint, or set spark.checkpoint.dir: a stream must find its place again")
     location = checkpoint or f"{shared_dir(spark)}/partsnap/streams/{backup}"
     writer = (
         spark.readStream.table(source)

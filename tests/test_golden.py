@@ -81,23 +81,6 @@ def test_gates(pair):
     assert latest.should_load == (latest.prod_rows != latest.bkup_rows)
 
 
-@pytest.mark.parametrize("side,multiset", [("both", False), ("prod", False), ("bkup", True)])
-def test_diff_and_summary_in_one_job(pair, side, multiset):
-    from pyspark.sql import Observation
-
-    p, b, g = pair
-    totals = Observation(f"totals_{side}_{multiset}")
-    diff = row_diff(p, b, side, multiset=multiset, totals=totals)
-    counted = {r["_side"]: r["n"] for r in diff.groupBy("_side").agg(F.count("*").alias("n")).collect()}
-    want = differential_summary(p, b).first().asDict()
-    assert totals.get == want
-    assert want["prod_rows"] == g["prod"] and want["union_distinct"] == g["union"]
-    if side != "bkup":
-        assert counted["prod"] == (want["prod_except_all_bkup"] if multiset else want["prod_only_rows"])
-    if side != "prod":
-        assert counted["bkup"] == (want["bkup_except_all_prod"] if multiset else want["bkup_only_rows"])
-
-
 def test_approx_profile_is_close_to_exact(pair):
     p, b, _ = pair
     exact = {r["_side"]: r.asDict() for r in distinct_profile(p, b).collect()}
@@ -106,14 +89,3 @@ def test_approx_profile_is_close_to_exact(pair):
         for col, want in exact[side].items():
             if col != "_side":
                 assert abs(approx[side][col] - want) <= max(1, 0.15 * want), (side, col)
-
-
-def test_totals_are_whole_even_when_the_first_action_stops_early(pair):
-    import uuid
-
-    from pyspark.sql import Observation
-
-    p, b, _ = pair
-    totals = Observation(f"early_{uuid.uuid4().hex}")
-    row_diff(p, b, totals=totals).take(1)
-    assert totals.get == differential_summary(p, b).first().asDict()

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_check import compare
+from partsnap.plans.registry import QUERIES
 
 
 def test_entry_runs(spark):
@@ -13,7 +14,7 @@ def test_entry_runs(spark):
     assert df.count() == 286
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
     [(got, n_spark, n_duck, ok, _)] = compare(spark, SF_SMALL, [name])
     if name in E.oracle_sql():

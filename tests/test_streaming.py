@@ -34,7 +34,7 @@ def test_stream_copies_only_partitions_that_retention_keeps(spark):
     assert [r.pd for r in worth_copying(spark, "wc_bkup", touched, key.schema, 3)] == ["d7"]
 
 
-def test_first_batch_over_many_partitions_writes_only_the_kept_ones(spark, monkeypatch):
+def test_first_batch_over_many_partitions_writes_only_the_kept_ones(spark, monkeypatch, tmp_path):
     from partsnap.sinks import tables
 
     spark.sql("DROP TABLE IF EXISTS many_src")
@@ -44,11 +44,11 @@ def test_first_batch_over_many_partitions_writes_only_the_kept_ones(spark, monke
     written = []
     real = tables.overwrite_partitions
 
-    def recording(df, table):
+    def recording(df, table, replaced=()):
         written.extend(sorted(r.pd for r in df.select("pd").distinct().collect()))
-        return real(df, table)
+        return real(df, table, replaced)
 
     monkeypatch.setattr(tables, "overwrite_partitions", recording)
-    start_backup_stream(spark, "many_src", keep=3).awaitTermination()
+    start_backup_stream(spark, "many_src", keep=3, checkpoint=str(tmp_path / "c")).awaitTermination()
     assert written == ["d09", "d10", "d11"]
     assert sorted(r.pd for r in catalog_listing(spark, "many_src_bkup").collect()) == ["d09", "d10", "d11"]
