@@ -32,7 +32,7 @@ def main() -> None:
              .config("spark.driver.bindAddress", "127.0.0.1").config("spark.driver.host", "127.0.0.1")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from partsnap.plans.registry import QUERIES
 
     print("# Physical plans of the registered queries\n")
     print("Generated by `python tests/plan_report.py` (Spark 4.1, AQE on, before execution, so")
@@ -40,7 +40,7 @@ def main() -> None:
     print("around an `Exchange` = partial (map-side) then final aggregation.  Plans over the")
     print("derived fixture views filter on computed keys; on a partitioned table the same")
     print("literal key filters appear as `PartitionFilters`.\n")
-    for name, build in sorted(E.queries().items()):
+    for name, build in sorted(QUERIES.items()):
         df = build(spark, sf_dir)
         plan = outline(df)
         shuffles = plan.count("Exchange") - plan.count("BroadcastExchange")
