@@ -39,7 +39,7 @@ PER_CLASS = 1500
 MAX_SEGMENTS = 1024
 GRAMS = (3, 4, 5)
 CHUNK = 1 << 18
-BLOCK = 1 << 21  # n-grams that training handles at a time
+BLOCK = 1 << 19  # n-grams that training handles at a time
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -128,8 +128,11 @@ def train(y: np.ndarray, n_bags: np.ndarray, n: np.ndarray, ids: np.ndarray, rou
         return np.zeros(BUCKETS, np.float32), -40.0
     y = y.astype(float)
     used = np.zeros(BUCKETS, bool)
-    used[ids] = True
-    ids = (np.cumsum(used) - 1).astype(np.int32)[ids]
+    for i in range(0, len(ids), BLOCK):
+        used[ids[i : i + BLOCK]] = True
+    place = (np.cumsum(used) - 1).astype(np.int32)
+    for i in range(0, len(ids), BLOCK):  # in place: the ids are most of the memory
+        ids[i : i + BLOCK] = place[ids[i : i + BLOCK]]
     rng = np.random.default_rng(61)
     values = {"E": rng.normal(0, 0.1, (int(used.sum()), DIMS)), "w": rng.normal(0, 0.3, (DIMS, 2)), "b": np.zeros(2)}
     adam = Adam(rate)
@@ -180,11 +183,12 @@ def train(y: np.ndarray, n_bags: np.ndarray, n: np.ndarray, ids: np.ndarray, rou
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     chosen = segment_bags(sample(docs, labels, label, per_class)).orderBy("doc_id").toArrow()
-    y = chosen.column("y").to_numpy()
+    y = chosen.column("y").to_numpy(zero_copy_only=False)
     sizes = [np.frombuffer(x.as_py(), np.int32) for x in chosen.column("sizes")]
-    ids = [np.frombuffer(x.as_buffer(), np.int32) for x in chosen.column("ids")]
     none = np.zeros(0, np.int32)
-    return train(y, np.array([len(x) for x in sizes], np.int64), np.concatenate([none, *sizes]), np.concatenate([none, *ids]))
+    ids = np.concatenate([none, *[np.frombuffer(x.as_buffer(), np.int32) for x in chosen.column("ids")]])
+    del chosen
+    return train(y, np.array([len(x) for x in sizes], np.int64), np.concatenate([none, *sizes]), ids)
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ()) -> DataFrame:
