@@ -256,10 +256,20 @@ select * from prod_lineitem
 where {LINEITEM_WINDOW} and {LINE_ID} % 103 = 0 and {LINE_ID} % 97 <> 0 and {LINE_ID} % 89 <> 0"""
 
 
+PAIRS = {
+    "orders": (prod_orders, bkup_orders),
+    "events": (prod_events, bkup_events),
+    "customer": (prod_customer, bkup_customer),
+    "embeddings": (prod_embeddings, bkup_embeddings),
+    "lineitem": (prod_lineitem, bkup_lineitem),
+}
+
+
 def pair(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
     """(prod, bkup) of a fixture pair, both from one read of the source table."""
     raw = table(spark, sf_dir, name)
-    return globals()[f"prod_{name}"](spark, sf_dir, raw), globals()[f"bkup_{name}"](spark, sf_dir, raw)
+    prod, bkup = PAIRS[name]
+    return prod(spark, sf_dir, raw), bkup(spark, sf_dir, raw)
 
 
 # ---------------------------------------------------------------- DuckDB side

@@ -1,8 +1,9 @@
 """Schema of a table and its backup, side by side.
 
-Built from metadata only (``df.schema``): one row per column name with its
-position, type and key flag on each side, and a status.  The backup schema is
-fixed when the backup is created, so this is how drift in the source shows.
+One row per column name with its position, type and key flag on each side
+(from ``df.schema``) and a status.  With ``filled`` the rows that have a value
+are counted too, by one aggregate a side, so a missing column shows what it
+loses.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partsnap.functions.rows import BKUP, PROD, SIDE
+from partsnap.functions.rows import BKUP, PROD, SIDE, ident
 
 # Fixed status labels of a schema row.
 SAME = "same"
@@ -30,22 +31,39 @@ def schema_frame(spark: SparkSession, df: DataFrame, keys: Sequence[str] = ()) -
     return spark.createDataFrame(rows, SCHEMA_DDL)
 
 
+def filled_rows(df: DataFrame) -> DataFrame:
+    """``column, filled``: the rows that have a value, by column, from one aggregate."""
+    counts = df.agg(*[F.count(F.col(ident(c))).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("filled")) for i, c in enumerate(df.columns)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def schema_compare(
     prod: DataFrame,
     bkup: DataFrame,
     prod_keys: Sequence[str] = (),
     bkup_keys: Sequence[str] = (),
+    filled: bool = False,
 ) -> DataFrame:
-    """One row per column name found on either side, with a status."""
+    """One row per column name found on either side, with a status.
+
+    ``filled`` adds ``prod_filled`` and ``bkup_filled``, the rows with a value.
+    """
     spark = prod.sparkSession
     tagged = schema_frame(spark, prod, prod_keys).withColumn(SIDE, F.lit(PROD)).unionByName(
         schema_frame(spark, bkup, bkup_keys).withColumn(SIDE, F.lit(BKUP))
     )
+    parts = ["position", "type", "is_key"]
+    if filled:
+        parts.append("filled")
+        for side, df in ((PROD, prod), (BKUP, bkup)):
+            counted = filled_rows(df).withColumn(SIDE, F.lit(side))
+            tagged = tagged.unionByName(counted, allowMissingColumns=True)
 
     def pick(side: str, c: str):
         return F.max(F.when(F.col(SIDE) == side, F.col(c))).alias(f"{side}_{c}")
 
-    merged = tagged.groupBy("column").agg(*[pick(s, c) for s in (PROD, BKUP) for c in ("position", "type", "is_key")])
+    merged = tagged.groupBy("column").agg(*[pick(s, c) for s in (PROD, BKUP) for c in parts])
     status = (
         F.when(F.col("bkup_type").isNull(), F.lit(MISSING_IN_BKUP))
         .when(F.col("prod_type").isNull(), F.lit(MISSING_IN_PROD))

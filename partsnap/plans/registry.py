@@ -21,6 +21,7 @@ from partsnap.operators.diff import differential_summary, except_distinct, row_d
 from partsnap.operators.profile import distinct_profile
 from partsnap.operators.schema import schema_compare
 from partsnap.operators.volume import volume_by_partition, volume_summary
+from partsnap.plans import jobs
 from partsnap.sources.partitions import listing, newest
 
 KEY = [fx.ORDERS_KEY]
@@ -37,6 +38,14 @@ WORKING_DAY = "2001-06"
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
+QUERIES: dict[str, Builder] = dict(jobs.QUERIES)
+
+
+def query(build: Builder) -> Builder:
+    """Register ``q_name`` as ``name``."""
+    QUERIES[build.__name__.removeprefix("q_")] = build
+    return build
+
 
 def _orders(spark: SparkSession, sf_dir: str):
     return fx.pair(spark, sf_dir, "orders")
@@ -45,51 +54,61 @@ def _orders(spark: SparkSession, sf_dir: str):
 # ---------------------------------------------------------------- Spark side
 
 
+@query
 def q_partition_listing(spark, sf_dir):
     p, _ = _orders(spark, sf_dir)
     return listing(p, KEY, with_counts=True)
 
 
+@query
 def q_newest_partitions_topk(spark, sf_dir):
     p, _ = _orders(spark, sf_dir)
     return newest(listing(p, KEY), KEY, HISTORY_N)
 
 
+@query
 def q_history_load_slice(spark, sf_dir):
     p, _ = _orders(spark, sf_dir)
     return slices.history_slice(p, KEY, HISTORY_N)
 
 
+@query
 def q_incremental_candidate(spark, sf_dir):
     p, _ = _orders(spark, sf_dir)
     return slices.history_slice(p, KEY, 1)
 
 
+@query
 def q_gate_latest_count(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     return gates.latest_count(p, b, KEY)
 
 
+@query
 def q_gate_same_key_count(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     return gates.same_key_count(p, b, KEY)
 
 
+@query
 def q_gate_same_key_content(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     return gates.same_key_content(p, b, KEY)
 
 
+@query
 def q_gate_full_count(spark, sf_dir):
     return gates.full_count(*fx.pair(spark, sf_dir, "customer"))
 
 
+@query
 def q_backup_after_history_load(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     loaded = slices.history_keys(p, KEY, HISTORY_N)
     return slices.after_overwrite(b, slices.rows_of(p, KEY, loaded), KEY, loaded)
 
 
+@query
 def q_backup_after_incremental(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     gate = gates.same_key_count(p, b, KEY).first()
@@ -99,134 +118,162 @@ def q_backup_after_incremental(spark, sf_dir):
     return slices.after_overwrite(b, slices.rows_of(p, KEY, newest_key), KEY, newest_key)
 
 
+@query
 def q_unpartitioned_snapshot(spark, sf_dir):
     p, b = fx.pair(spark, sf_dir, "customer")
     return p if gates.full_count(p, b).first()["should_load"] else b
 
 
+@query
 def q_retention_evict(spark, sf_dir):
     _, b = _orders(spark, sf_dir)
     return slices.eviction_keys(b, KEY, KEEP, bkup_keys=listing(b, KEY, with_counts=True))
 
 
+@query
 def q_retention_survivors(spark, sf_dir):
     _, b = _orders(spark, sf_dir)
     return slices.survivors(b, KEY, KEEP)
 
 
+@query
 def q_diff_prod_only(spark, sf_dir):
     return row_diff(*_orders(spark, sf_dir), side="prod")
 
 
+@query
 def q_diff_bkup_only(spark, sf_dir):
     return row_diff(*_orders(spark, sf_dir), side="bkup")
 
 
+@query
 def q_diff_both(spark, sf_dir):
     return row_diff(*_orders(spark, sf_dir), side="both")
 
 
+@query
 def q_diff_prod_only_one_partition(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     day = [WORKING_DAY]
     return row_diff(slices.rows_of(p, KEY, day), slices.rows_of(b, KEY, day), side="prod")
 
 
+@query
 def q_diff_multiset(spark, sf_dir):
     return row_diff(*_orders(spark, sf_dir), side="both", multiset=True)
 
 
+@query
 def q_diff_events_daily(spark, sf_dir):
     return row_diff(*fx.pair(spark, sf_dir, "events"), side="both")
 
 
+@query
 def q_diff_unpartitioned(spark, sf_dir):
     return row_diff(*fx.pair(spark, sf_dir, "customer"), side="both")
 
 
+@query
 def q_diff_array_column(spark, sf_dir):
     return row_diff(*fx.pair(spark, sf_dir, "embeddings"), side="both")
 
 
+@query
 def q_diff_lineitem(spark, sf_dir):
     return row_diff(*fx.pair(spark, sf_dir, "lineitem"), side="both")
 
 
+@query
 def q_volume_newest_partitions(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     chosen = slices.history_keys(p, KEY, HISTORY_N)
     return volume_by_partition(slices.rows_of(p, KEY, chosen), slices.rows_of(b, KEY, chosen), KEY)
 
 
+@query
 def q_diff_changed_partitions(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     return pruned_row_diff(p, b, KEY, side="both")
 
 
+@query
 def q_changed_partitions(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     return changed_keys(p, b, KEY)
 
 
+@query
 def q_distinct_profile(spark, sf_dir):
     return distinct_profile(*_orders(spark, sf_dir))
 
 
+@query
 def q_distinct_profile_one_partition(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     day = [WORKING_DAY]
     return distinct_profile(slices.rows_of(p, KEY, day), slices.rows_of(b, KEY, day))
 
 
+@query
 def q_volume_by_partition(spark, sf_dir):
     return volume_by_partition(*_orders(spark, sf_dir), KEY)
 
 
+@query
 def q_volume_summary(spark, sf_dir):
     return volume_summary(volume_by_partition(*_orders(spark, sf_dir), KEY))
 
 
+@query
 def q_volume_events_daily(spark, sf_dir):
     return volume_by_partition(*fx.pair(spark, sf_dir, "events"), [fx.EVENTS_KEY])
 
 
+@query
 def q_differential_summary(spark, sf_dir):
     return differential_summary(*_orders(spark, sf_dir))
 
 
+@query
 def q_differential_summary_one_partition(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     day = [WORKING_DAY]
     return differential_summary(slices.rows_of(p, KEY, day), slices.rows_of(b, KEY, day))
 
 
+@query
 def q_except_distinct(spark, sf_dir):
     return except_distinct(*_orders(spark, sf_dir))
 
 
+@query
 def q_union_distinct(spark, sf_dir):
     return union_distinct(*_orders(spark, sf_dir))
 
 
+@query
 def q_multi_key_newest(spark, sf_dir):
     p = fx.prod_orders_ym(spark, sf_dir)
     return newest(listing(p, YM), YM, HISTORY_N)
 
 
+@query
 def q_multi_key_history_slice(spark, sf_dir):
     p = fx.prod_orders_ym(spark, sf_dir)
     return slices.history_slice(p, YM, HISTORY_N)
 
 
+@query
 def q_multi_key_retention_evict(spark, sf_dir):
     p = fx.prod_orders_ym(spark, sf_dir)
     return slices.eviction_keys(p, YM, KEEP, bkup_keys=listing(p, YM, with_counts=True))
 
 
+@query
 def q_schema_compare(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
     stored = b.select(*[c for c in b.columns if c not in KEY], *[F.col(k) for k in KEY])
-    return schema_compare(p, stored, KEY, KEY)
+    return schema_compare(p, stored, KEY, KEY, filled=True)
 
 
 # The orders source after a schema change, against the backup made before it:
@@ -239,14 +286,10 @@ DRIFTED_ORDERS = {
 }
 
 
+@query
 def q_schema_compare_drift(spark, sf_dir):
     p, b = _orders(spark, sf_dir)
-    return schema_compare(p.selectExpr(*DRIFTED_ORDERS["spark"]), b, KEY, KEY)
-
-
-QUERIES: dict[str, Builder] = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
-}
+    return schema_compare(p.selectExpr(*DRIFTED_ORDERS["spark"]), b, KEY, KEY, filled=True)
 
 
 # ---------------------------------------------------------------- DuckDB side
@@ -333,11 +376,22 @@ select coalesce(p."column", b."column") as "column",
        b.position as bkup_position, b.type as bkup_type, b.is_key as bkup_is_key,
        case when b.type is null then 'missing_in_bkup' when p.type is null then 'missing_in_prod'
             when p.type <> b.type then 'type_differs' when p.position <> b.position then 'moved'
-            else 'same' end as status
+            else 'same' end as status,
+       pf.filled as prod_filled, bf.filled as bkup_filled
 from pd p full outer join bd b on p."column" = b."column"
+left join pf on pf."column" = p."column" left join bf on bf."column" = b."column"
 """
 
+
+def _filled(fixture: str, cols: Sequence[str]) -> str:
+    """Rows of ``fixture`` that have a value, by column."""
+    return " union all ".join(f"""select '{c}' as "column", count({c}) as filled from {fixture}""" for c in cols)
+
+
+DRIFTED_COLS = ["o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice", "o_price_band", "partition_date"]
+
 ORACLE_SQL: dict[str, str] = {
+    **jobs.ORACLE_SQL,
     "partition_listing": fx.with_fixtures(
         "select partition_date, count(*) as row_count from prod_orders group by partition_date", "prod_orders"
     ),
@@ -504,7 +558,14 @@ ORACLE_SQL: dict[str, str] = {
         },
     ),
     "schema_compare": fx.with_fixtures(
-        _SCHEMA_COMPARE, "bkup_orders", extra={"pd": _described("prod_orders"), "bd": _described("bkup_orders")}
+        _SCHEMA_COMPARE,
+        "bkup_orders",
+        extra={
+            "pd": _described("prod_orders"),
+            "bd": _described("bkup_orders"),
+            "pf": _filled("prod_orders", ORDER_COLS),
+            "bf": _filled("bkup_orders", ORDER_COLS),
+        },
     ),
     "schema_compare_drift": fx.with_fixtures(
         _SCHEMA_COMPARE,
@@ -513,6 +574,8 @@ ORACLE_SQL: dict[str, str] = {
             "drifted": f"select {', '.join(DRIFTED_ORDERS['duckdb'])} from prod_orders",
             "pd": _described("drifted"),
             "bd": _described("bkup_orders"),
+            "pf": _filled("drifted", DRIFTED_COLS),
+            "bf": _filled("bkup_orders", ORDER_COLS),
         },
     ),
     "multi_key_retention_evict": fx.with_fixtures(
