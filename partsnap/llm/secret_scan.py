@@ -21,7 +21,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,10 +61,13 @@ def identifier(s: str) -> bool:
 
 
 def random_spans(text: str, count: Callable[[str], int], base: list[tuple[int, int, int]], limit: float) -> list[tuple[int, int, int]]:
+    """Candidates that no base span (sorted by start) touches and that take many tokens."""
+    starts = [a for a, _, _ in base]
+    reach = [0, *accumulate((b for _, _, b in base), max)]  # the largest end of the first spans
     out = []
     for m in CANDIDATE.finditer(text):
         s = m[0]
-        if not identifier(s) and not any(a < m.end() and m.start() < b for a, _, b in base) and len(s) < limit * count(s):
+        if not identifier(s) and reach[bisect_left(starts, m.end())] <= m.start() and len(s) < limit * count(s):
             out.append((m.start(), 3, m.end()))
     return out
 

@@ -18,13 +18,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> Da
     """(doc_id, text, y): at most ``per_class`` labelled rows of each class, by a hash of the id.
 
     Only the chosen ids (at most twice ``per_class``) meet the texts; an id
-    that repeats among the labels counts once, with its largest label.
+    that repeats among the labels counts once, with its largest label, and one
+    that repeats among the documents gives its smallest text.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).alias("y"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.where("y = 0").orderBy(*order).limit(per_class).unionAll(known.where("y = 1").orderBy(*order).limit(per_class))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def shares(docs: DataFrame, labels: DataFrame, label: str) -> float:

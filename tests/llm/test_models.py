@@ -1,11 +1,12 @@
 """Classifiers on held-out rows, kNN against brute force, and the pipeline."""
 
 import math
+import zlib
 
 import numpy as np
 import pytest
 
-from partsnap.llm import common, exact_dedup, knn, quality, toxicity
+from partsnap.llm import common, exact_dedup, knn, quality, toxicity, training
 
 SF = "/root/testdata/sf0.01"
 
@@ -33,6 +34,13 @@ def test_classifier_edges(spark, edge_docs, no_docs, module, label):
     assert {r.held_out for r in rows if r.doc_id is None} == {False}
 
 
+def test_sample_takes_a_repeated_document_once(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (1, None), (3, None), (4, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (3, 1), (4, None)], "doc_id long, toxic int")
+    rows = training.sample(docs, labels, "toxic", 10).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([(i, t, y) for i, t, y in [(1, "a", 0), (3, None, 1)] if zlib.crc32(str(i).encode()) % 5], key=str)
+
+
 def test_harmless_keeps_columns(edge_docs, spark):
     some = spark.createDataFrame([(4, 0), (7, 1)], "doc_id long, toxic int")
     assert toxicity.harmless(edge_docs, some).columns == edge_docs.columns

@@ -32,6 +32,16 @@ def test_base_spans_equal_brute_force(parts):
     assert secret_scan.base_spans("".join(parts)) == brute_base("".join(parts))
 
 
+def test_random_spans_leave_out_what_base_spans_touch():
+    hit = "aB3" * 8
+    text = " ".join([hit, "0" * 30, hit, "x", hit])
+    at = [m.start() for m in re.finditer(hit, text)]
+    base = [(0, 0, 2), (30, 2, 40), (at[2] + 5, 1, at[2] + 6)]
+    got = secret_scan.random_spans(text, len, base, 2.0)
+    brute = [(a, 3, a + 24) for a in at if not any(x < a + 24 and a < y for x, _, y in base)]
+    assert got == brute == [(at[1], 3, at[1] + 24)]
+
+
 def test_secret_scan(spark, edge_docs, no_docs):
     assert secret_scan.scan(no_docs).count() == 0
     rows = secret_scan.scan(edge_docs).collect()
