@@ -149,6 +149,23 @@ def test_ids_equal_the_tokenizers_library(text):
     assert ENCODING.encode_to_numpy(text, disallowed_special=()).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_ids_are_those_of_the_default_tokenizer(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [f"abc {end} def", end, end * 3 + " ", f"<|{end}|>", "<|endoftext|", "\n" * 99_999 + "x", "y" + " " * 1_100_000 + "x", "\u3000\n" * 550_000, " " * 1_100_000 + end]
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert 50256 in want[0] and len(want[0]) == 5
+    encode = packing.load_ids(path, public_tokenizers.PATTERN)
+    assert all([*encode(t).tolist(), 0] == want[i] for i, t in enumerate(texts))
+    found = defaultdict(int)
+    for r in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        part = want[r.doc_id][r.start : r.start + r.length]
+        assert len(part) == r.length and zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32
+        found[r.doc_id] += r.length
+    assert found == {i: len(x) for i, x in want.items()}
+
+
 def test_packing_round_trip(spark, edge_docs, no_docs):
     assert packing.pack(no_docs).count() == 0
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
