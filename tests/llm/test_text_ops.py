@@ -56,6 +56,17 @@ def test_secret_scan(spark, edge_docs, no_docs):
     assert [found[i].n_random for i in (2, 3, 4)] == [0, 0, 0] and found[2].n_hex == 1
 
 
+def test_random_keys_of_any_kind_of_characters_are_found(spark):
+    rng = random.Random(3)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    keys = ["".join(rng.choices(kind, k=n)) for kind in (lower + digits, upper + digits, upper + "234567", digits + "ABCDEF", lower + upper, lower, upper) for n in (26, 36)]
+    known = ["4111-1111-1111-1111-1111", "12_34/56=78+90-12_34_56", "=" * 40, "A0" * 20, "123E4567-E89B-12D3-A456-426614174000", "internationalization_of_configuration_values"]
+    docs = spark.createDataFrame(list(enumerate(f"the key {k}, here" for k in keys + known)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    assert [found[i] for i in range(len(keys))] == [f"random:8:{8 + len(k)}" for k in keys]
+    assert [found[len(keys) + i] for i in range(len(known))] == [""] * len(known)
+
+
 def shingles(text):
     w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
