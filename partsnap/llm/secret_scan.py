@@ -9,6 +9,12 @@ characters they mix.  Known digests and identifiers are not random: hexadecimal
 strings of a digest's length, UUIDs, and plain numbers (no letter); neither is
 what a base span already covers.
 
+Tested are maximal runs of ``[A-Za-z0-9+/_=-]``, less the base spans, digests
+and UUIDs in them.  Words dilute a key in the same run, so where the rest of a
+run is not random as a whole, it is tested from its first to its last part
+(between signs) that is not a known word, then by stretches of such parts, then
+part by part.
+
 Whole texts are read; positions are code points, end exclusive.
 
 Defined cases: null and empty texts have no span (``base_sha256`` is that of an
@@ -21,9 +27,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +45,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
+KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})(?![A-Za-z0-9])")
+TAIL = re.compile(r"[A-Za-z0-9+/_=-]*")
+PART = re.compile(r"[A-Za-z0-9]+")
+SIGNS = "/_=-"
 LETTER = re.compile(r"[A-Za-z]")
 
 
@@ -60,15 +69,57 @@ def identifier(s: str) -> bool:
     return bool(DIGEST.match(s) or UUID.match(s)) or not LETTER.search(s)
 
 
+def rests(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What base spans (sorted by start), digests and UUIDs leave of the runs, without the signs next to them."""
+    # an assigned value reaches to the end of its run
+    spans = [(a, TAIL.match(text, b).end() if k == 0 else b) for a, k, b in base]
+    first = 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while first < len(spans) and spans[first][1] <= start:
+            first += 1
+        i, taken = first, [k.span() for k in KNOWN.finditer(text, start, end)]
+        while i < len(spans) and spans[i][0] < end:
+            taken.append(spans[i])
+            i += 1
+        at = start
+        for a, b in [*sorted(taken), (end, end)]:
+            lo, hi = at, min(a, end)
+            while lo > start and lo < hi and text[lo] in SIGNS:
+                lo += 1
+            while hi < end and lo < hi and text[hi - 1] in SIGNS:
+                hi -= 1
+            if hi - lo >= MIN_CHARS:
+                yield lo, hi
+            at = max(at, b)
+
+
 def random_spans(text: str, count: Callable[[str], int], base: list[tuple[int, int, int]], limit: float) -> list[tuple[int, int, int]]:
-    """Candidates that no base span (sorted by start) touches and that take many tokens."""
-    starts = [a for a, _, _ in base]
-    reach = [0, *accumulate((b for _, _, b in base), max)]  # the largest end of the first spans
+    """Strings outside of base spans (sorted by start) that take many tokens."""
+
+    def many(a: int, b: int) -> bool:
+        return b - a < limit * count(text[a:b])
+
+    def random(a: int, b: int) -> bool:
+        return b - a >= MIN_CHARS and not identifier(text[a:b]) and many(a, b)
+
     out = []
-    for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if not identifier(s) and reach[bisect_left(starts, m.end())] <= m.start() and len(s) < limit * count(s):
-            out.append((m.start(), 3, m.end()))
+    for start, end in rests(text, base):
+        if random(start, end):
+            out.append((start, 3, end))
+            continue
+        parts = [p.span() for p in PART.finditer(text, start, end)]
+        stretches = [list(g) for rare, g in groupby(parts, lambda p: many(*p)) if rare]
+        if not stretches:
+            continue
+        if random(a := stretches[0][0][0], b := stretches[-1][-1][1]):
+            out.append((a, 3, b))
+            continue
+        for g in stretches:
+            if random(g[0][0], g[-1][1]):
+                out.append((g[0][0], 3, g[-1][1]))
+            else:
+                out += [(a, 3, b) for a, b in g if random(a, b)]
     return out
 
 

@@ -67,6 +67,22 @@ def test_random_keys_of_any_kind_of_characters_are_found(spark):
     assert [found[len(keys) + i] for i in range(len(known))] == [""] * len(known)
 
 
+def test_random_keys_among_words_and_next_to_base_spans_are_found(spark):
+    rng = random.Random(4)
+    both = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = ["/home/projects/services/documents/archive/", "production/database/connection/", "customer-service-authentication-"]
+    access, digest, uuid = "AKIA" + "Q7" * 8, "9F" * 20, "123e4567-E89B-12d3-a456-426614174000"
+    texts, want = [], []
+    for before, after in [("".join(words), "/documents/archive/production"), (words[1] * 3, "/services"), (access + "/", ""), (access + "/", "=" + access), (digest + "_", ""), (uuid + "-", "/" + "ab" * 12)]:
+        key = "".join(rng.choices(both, k=40))
+        texts.append(f"see {before}{key}{after}.")
+        want.append((4 + len(before), 44 + len(before)))
+    texts += [f"{words[0]}{digest}/{uuid}", f"{access}/{words[0]}", access + "lowercase/" + digest]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("random")] for r in secret_scan.scan(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == [[w] for w in want] + [[]] * 3
+
+
 def shingles(text):
     w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
