@@ -7,9 +7,8 @@ average goes into a linear softmax, and a text scores as its worst segment.
 A misspelt word shares most n-grams with the word it stands for.  Segments keep
 a few words from drowning in a long text, which is still read whole.
 
-Table and softmax are trained jointly in numpy on a bounded sample: at most
-``PER_CLASS`` labelled rows a class, of each at most ``MAX_SEGMENTS`` segments
-spread evenly over the text (about 2,000 words).  Rounds first use all segments, then each text's
+Table and softmax are trained jointly in numpy on a bounded sample: all
+segments of at most ``PER_CLASS`` labelled rows a class.  Rounds first use all segments, then each text's
 worst one.  At scoring time the softmax of an average is the average of one
 number per bucket, so a task needs one array of ``BUCKETS`` numbers.
 
@@ -36,7 +35,6 @@ BUCKETS = 1 << 17
 SEGMENT = 2
 DIMS = 8
 PER_CLASS = 1500
-MAX_SEGMENTS = 1024
 GRAMS = (3, 4, 5)
 CHUNK = 1 << 18
 BLOCK = 1 << 19  # n-grams that training handles at a time
@@ -107,10 +105,7 @@ def segment_bags(docs: DataFrame) -> DataFrame:
                 edge = np.append(seg, size)
                 first = np.searchsorted(owner, np.arange(len(texts) + 1))
                 for a, b in zip(first[:-1], first[1:], strict=True):
-                    own = np.arange(a, b)
-                    if len(own) > MAX_SEGMENTS:
-                        own = own[np.linspace(0, len(own) - 1, MAX_SEGMENTS).astype(int)]
-                    bags = [g[edge[s] : edge[s + 1]][ok[edge[s] : edge[s + 1]]] for s in own for g, ok in grams]
+                    bags = [g[edge[s] : edge[s + 1]][ok[edge[s] : edge[s + 1]]] for s in range(a, b) for g, ok in grams]
                     sizes.append(np.array([len(x) for x in bags], np.int32).reshape(-1, len(GRAMS)).sum(axis=1, dtype=np.int32).tobytes())
                     ids.append(np.concatenate(bags).tobytes())
             yield pa.record_batch([batch.column("doc_id"), batch.column("y"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], ["doc_id", "y", "sizes", "ids"])

@@ -34,6 +34,25 @@ def test_classifier_edges(spark, edge_docs, no_docs, module, label):
     assert {r.held_out for r in rows if r.doc_id is None} == {False}
 
 
+def test_toxicity_learns_from_every_segment_of_a_long_text(spark):
+    rng = np.random.default_rng(7)
+    clean = np.array([f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ro") for b in ("bel", "dar", "fin", "gos", "tum")])
+    picked = np.linspace(0, 1999, 1024).astype(int)
+    between = np.setdiff1d(np.arange(2000), picked)
+    docs, labels = [], []
+    for i in range(60):
+        words = rng.choice(clean, 4000)
+        if i % 2:
+            words[2 * rng.choice(between, 12, replace=False)] = "zwqx"
+        docs.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = toxicity.segment_bags(docs.selectExpr("doc_id", "0 y", "text")).collect()
+    assert {len(r.sizes) // 4 for r in rows} == {2000}
+    rows = toxicity.classify(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert [r.predicted for r in sorted(rows, key=lambda r: r.doc_id)] == [i % 2 for i in range(60)]
+
+
 def test_sample_takes_a_repeated_document_once(spark):
     docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (1, None), (3, None), (4, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (3, 1), (4, None)], "doc_id long, toxic int")
