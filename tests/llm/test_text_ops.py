@@ -118,6 +118,17 @@ def test_near_dedup_edges(edge_docs, no_docs):
     assert near_dedup.survivors(edge_docs).columns == edge_docs.columns
 
 
+def test_survivors_of_ids_with_several_texts(spark):
+    words = [f"w{i}" for i in range(60)]
+    t1, near, other = " ".join(words), " ".join([*words[:-1], "x"]), "a text of its own that nothing is like"
+    rows = [(3, t1, 0), (7, near, 1), (7, other, 2), (7, other, 3), (8, t1, 4), (9, "", 5), (9, None, 6), (9, "one", 7), (None, t1, 8), (5, other + " but one word", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, nth int")
+    assert sorted(r.nth for r in near_dedup.survivors(docs).collect()) == [0, 2, 3, 5, 6, 7, 8, 9]
+    assert near_dedup.survivors(docs).columns == docs.columns
+    both = spark.createDataFrame([(1, t1), (1, near), (2, near)], "doc_id long, text string")
+    assert len(near_dedup.survivors(both).collect()) == 1
+
+
 def test_near_dedup_finds_every_link_of_edited_copies(spark):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(300)]
