@@ -329,15 +329,15 @@ def several(rows: DataFrame) -> DataFrame:
 def survivors(docs: DataFrame) -> DataFrame:
     """The documents that are the smallest of their component, with the columns of ``docs``.
 
-    Where a doc_id repeats with different texts, each (doc_id, text) is a
-    document of its own; of a component the smallest doc_id stays, and of its
-    texts the one of the smallest digest.
+    Where doc_ids repeat, each (doc_id, text) is a document of its own; of a
+    component the smallest doc_id stays, and of its texts the one of the
+    smallest digest.
     """
-    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_in_digest")
-    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", digest).distinct()
-    if texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+    if docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
         dropped = near_dedup(docs).where(~F.col("kept")).select("doc_id").distinct()
         return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_in_digest")
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", digest).distinct()
     nodes = cut(texts.withColumn("_node", F.monotonically_increasing_id()))
     marked = docs.select("*", digest)
     keys = ["doc_id", "_in_digest"]
