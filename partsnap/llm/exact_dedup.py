@@ -1,4 +1,4 @@
-"""Exact dedup by a tree merge of sorted digest runs (native).
+"""Exact dedup by a tree merge of digest runs, hash aggregates of unsorted entries (native).
 
 Every input partition forms a run: its distinct digests, each with the
 smallest document and the number of rows.  Rounds of ``fan_in`` runs then
