@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
-from oracle_check import compare
+from oracle_check import SF_SMALL, compare
 from partsnap.plans.registry import QUERIES
 
 
