@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, knn, mixing, near_dedup, packing, quality, secret_scan, sharding, substring_dedup, toxicity
+from . import (
+    exact_dedup,
+    hard_negatives,
+    html_extract,
+    knn,
+    mixing,
+    near_dedup,
+    packing,
+    periodic_runs,
+    quality,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 from .common import table
 
 
@@ -49,11 +63,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_mixing, op3_toxicity, op4_near_dedup, op5_exact_dedup,
         op6_knn, op7_quality, op8_sharding, op9_packing, op10_substring_dedup,
+        op11_hard_negatives, op12_html_extract, op13_periodic_runs,
     )
 }
 
@@ -122,6 +149,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+OP11 = """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, list_inner_product(a.e, x.e)::BIGINT AS score
+  FROM v a JOIN v x ON a.vec_id % 100 = 0 AND a.vec_id <> x.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 # DuckDB has no CRC-32: its table comes from the polynomial, and a fold goes over the bytes.
 OP8 = """
 WITH crc AS (
@@ -156,6 +203,43 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN left_over USING (doc_id)
 """
 
+# A run has at least five equal pairs of words q apart in a row, so equal sequences of five words find them all.
+OP13 = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, b::BIGINT)) AS t),
+o AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(list_reduce(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::BIGINT, 1))::BIGINT),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM documents, crc),
+g AS (SELECT *, len(w)::BIGINT AS n, h // 10 AS g FROM o),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM g),
+d AS (
+  SELECT doc_id, n, list_transform(range(0, n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) AS w
+  FROM a),
+five AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS x FROM (SELECT doc_id, w, unnest(range(0, n - 4)) AS i FROM d WHERE n >= 5)),
+pair AS (SELECT l.doc_id, l.i, r.i - l.i AS q FROM five l JOIN five r ON l.doc_id = r.doc_id AND l.x = r.x AND l.i < r.i),
+island AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pair)
+  GROUP BY doc_id, q, part HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM island GROUP BY doc_id, start, length),
+total AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max({'s': start, 'l': length, 'q': period}, (length, -start, -period)) AS top,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS told
+  FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+left_over AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(0, n)) AS i FROM d WHERE doc_id IN (SELECT doc_id FROM run)) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, top.l::BIGINT AS length, top.q::BIGINT AS period,
+  (1000 * top.l // top.q)::BIGINT AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256,
+  sha256(CASE WHEN n_runs IS NULL THEN array_to_string(w, ' ') ELSE t END) AS collapsed_sha256
+FROM d LEFT JOIN total USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op2_mixing": OP2,
     "op4_near_dedup": OP4,
@@ -163,4 +247,6 @@ ORACLE_SQL = {
     "op6_knn": OP6,
     "op8_sharding": OP8,
     "op10_substring_dedup": OP10,
+    "op11_hard_negatives": OP11,
+    "op13_periodic_runs": OP13,
 }
