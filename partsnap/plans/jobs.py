@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partsnap import fixtures as fx
+from partsnap.plans import journal
 from partsnap.plans.batch import Policy, run_batch
 from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
 from partsnap.plans.outcome import Outcome
@@ -60,7 +61,9 @@ def warehouse(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str, keys: Sequence[str] = ()) -> str:
     """``df`` as a catalog table partitioned by ``keys``."""
-    df.write.format(tables.FORMAT).partitionBy(*keys).saveAsTable(name)
+    # rows of one key in one task, so that tasks do not open every partition
+    clustered = df.repartition(*[F.col(k) for k in keys]) if keys else df
+    clustered.write.format(tables.FORMAT).partitionBy(*keys).saveAsTable(name)
     return name
 
 
@@ -68,7 +71,7 @@ def backed_up(spark: SparkSession, source: str, rows: DataFrame, location: str |
     """A backup of ``source`` that holds ``rows``."""
     backup = f"{source}_bkup"
     tables.create_backup_like(spark, source, backup, location=location)
-    tables.overwrite_partitions(rows, backup)
+    tables.overwrite_partitions(rows.repartition(*[F.col(k) for k in KEY]), backup)
     return backup
 
 
@@ -126,6 +129,54 @@ def job_incremental_gained_column(spark, sf_dir, prefix):
     return left_behind(spark, incremental_load(spark, source))
 
 
+@query
+def job_incremental_recovered(spark, sf_dir, prefix):
+    """A load was lost after it had added o_orderpriority to the backup: counts agree, and the next run fills it."""
+    p = fx.prod_orders(spark, sf_dir)
+    older = stored(p.drop("o_orderpriority"), f"{prefix}_older", KEY)
+    source = stored(p, prefix, KEY)
+    backup = f"{source}_bkup"
+    tables.create_backup_like(spark, older, backup)
+    tables.overwrite_partitions(p.drop("o_orderpriority"), backup)
+    last = newest(catalog_listing(spark, source), KEY, 1).collect()
+    journal.open_record(spark, journal.Load(source, backup, KEY, last))
+    tables.reconcile(spark.table(source), backup)
+    return left_behind(spark, incremental_load(spark, source))
+
+
+@query
+def job_snapshot_recovered(spark, sf_dir, prefix):
+    """As above for an unpartitioned table: all rows are there, a column of them was never written."""
+    p = fx.pair(spark, sf_dir, "customer")[0]
+    source = stored(p, prefix)
+    backup = stored(p.drop(p.columns[-1]), f"{source}_bkup")
+    journal.open_record(spark, journal.Load(source, backup))
+    tables.reconcile(spark.table(source), backup)
+    return left_behind(spark, snapshot_unpartitioned(spark, source))
+
+
+@query
+def job_history_recovered(spark, sf_dir, prefix):
+    """A history load was lost right after it had created the backup: the next daily run does all of it."""
+    source = stored(fx.prod_orders(spark, sf_dir), prefix, KEY)
+    chosen = newest(catalog_listing(spark, source), KEY, HISTORY_N).collect()
+    journal.open_record(spark, journal.Load(source, f"{source}_bkup", KEY, chosen))
+    tables.create_backup_like(spark, source, f"{source}_bkup")
+    return left_behind(spark, incremental_load(spark, source))
+
+
+@query
+def job_incremental_stale_files(spark, sf_dir, prefix):
+    """o_orderpriority was added to the backup by hand, with no record: files older than a column are loaded again."""
+    p = fx.prod_orders(spark, sf_dir)
+    older = stored(p.drop("o_orderpriority"), f"{prefix}_older", KEY)
+    source = stored(p, prefix, KEY)
+    tables.create_backup_like(spark, older, f"{source}_bkup")
+    tables.overwrite_partitions(p.drop("o_orderpriority"), f"{source}_bkup")
+    tables.reconcile(spark.table(source), f"{source}_bkup")
+    return left_behind(spark, incremental_load(spark, source))
+
+
 @query
 def job_history_load_refused(spark, sf_dir, prefix):
     """The source's o_orderkey became text: nothing is written."""
@@ -248,6 +299,13 @@ def _only(one: str, other: str) -> str:
     return f"select x.* from {one} x where not exists (select 1 from {other} y where {same})"
 
 
+def _filled_newest(status: str) -> str:
+    """All of prod, with o_orderpriority in the newest partition only."""
+    return f"""select *, '{status}' as job_status from (
+      select * replace (null::varchar as o_orderpriority) from prod_orders where partition_date <> ({_NEWEST})
+      union all select * from prod_orders where partition_date = ({_NEWEST}))"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "job_history_load": fx.with_fixtures(
         f"select *, 'loaded' as job_status from prod_orders where partition_date in ({_TOP})", "prod_orders"
@@ -273,6 +331,12 @@ ORACLE_SQL: dict[str, str] = {
               union all select * from prod_orders where partition_date = ({_NEWEST}))""",
         "bkup_orders",
     ),
+    "job_incremental_recovered": fx.with_fixtures(_filled_newest("skipped_same_count"), "prod_orders"),
+    "job_incremental_stale_files": fx.with_fixtures(_filled_newest("loaded"), "prod_orders"),
+    "job_snapshot_recovered": fx.with_fixtures("select *, 'skipped_same_count' as job_status from prod_customer", "prod_customer"),
+    "job_history_recovered": fx.with_fixtures(
+        f"select *, 'skipped_same_count' as job_status from prod_orders where partition_date in ({_TOP})", "prod_orders"
+    ),
     "job_history_load_refused": fx.with_fixtures("select *, 'schema_drift' as job_status from bkup_orders", "bkup_orders"),
     "job_snapshot": fx.with_fixtures("select *, 'loaded' as job_status from prod_customer", "prod_customer"),
     "job_retention": fx.with_fixtures(_SURVIVORS, "bkup_orders"),

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 from partsnap.operators import gates
 from partsnap.operators.slices import rows_of
+from partsnap.plans import journal
 from partsnap.plans import outcome as oc
 from partsnap.sinks import tables
 from partsnap.sources import catalog
@@ -40,6 +41,22 @@ def _partitioned_source(spark: SparkSession, source: str, backup: str, action: s
     return keys, None
 
 
+def _label(load: journal.Load) -> str:
+    return ", ".join(oc.key_text(load.keys, load.chosen)) if load.keys else "the whole table"
+
+
+def _finished(spark: SparkSession, source: str, backup: str, action: str):
+    """(what was made up for, None), or (None, Outcome) if an unfinished load is refused now."""
+    try:
+        return journal.finish_open(spark, backup, _label), None
+    except tables.SchemaDrift as drift:
+        return None, oc.Outcome(source, backup, action, oc.SCHEMA_DRIFT, detail=f"an unfinished load is refused: {drift}")
+
+
+def _detail(*parts: str) -> str:
+    return "; ".join(p for p in parts if p)
+
+
 def history_load(
     spark: SparkSession,
     source: str,
@@ -53,7 +70,8 @@ def history_load(
 
     All partitions are copied when fewer than ``n`` exist.  Each copied
     partition replaces the backup partition of the same key; other backup
-    partitions are left alone.
+    partitions are left alone.  Loads that were lost on the way are done over
+    first (:mod:`partsnap.plans.journal`), here and in the other loads.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -61,15 +79,18 @@ def history_load(
     keys, done = _partitioned_source(spark, source, backup, "history_load")
     if done:
         return done
+    made_up, refused = _finished(spark, source, backup, "history_load")
+    if refused:
+        return refused
     chosen = newest_keys(catalog_listing(spark, source), keys, n)
     if not chosen:
-        return oc.Outcome(source, backup, "history_load", oc.EMPTY_SOURCE)
-    tables.create_backup_like(spark, source, backup, stringify_keys, backup_location(backup, location_root))
+        return oc.Outcome(source, backup, "history_load", oc.EMPTY_SOURCE, detail=made_up)
+    load = journal.Load(source, backup, keys, chosen, stringify_keys, backup_location(backup, location_root))
     try:
-        tables.overwrite_partitions(rows_of(catalog.read(spark, source), keys, chosen), backup, chosen)
+        journal.run(spark, load)
     except tables.SchemaDrift as drift:
         return oc.Outcome(source, backup, "history_load", oc.SCHEMA_DRIFT, oc.key_text(keys, chosen), detail=str(drift))
-    return oc.Outcome(source, backup, "history_load", oc.LOADED, oc.key_text(keys, chosen))
+    return oc.Outcome(source, backup, "history_load", oc.LOADED, oc.key_text(keys, chosen), detail=made_up)
 
 
 def incremental_load(
@@ -88,7 +109,8 @@ def incremental_load(
     compares with the backup's own newest partition (historical behaviour);
     ``gate="same_key_content"`` also reloads a backup partition whose count
     is right but whose rows differ (fingerprints of that one partition).
-    An empty backup is always loaded.
+    An empty backup is always loaded, and so is one whose files of that
+    partition are older than a column of the table.
     """
     if gate not in INCREMENTAL_GATES:
         raise ValueError(f"unknown gate {gate!r}")
@@ -96,30 +118,37 @@ def incremental_load(
     keys, done = _partitioned_source(spark, source, backup, "incremental_load")
     if done:
         return done
+    made_up, refused = _finished(spark, source, backup, "incremental_load")
+    if refused:
+        return refused
     prod_keys = catalog_listing(spark, source)
     newest = newest_keys(prod_keys, keys, 1)
     if not newest:
-        return oc.Outcome(source, backup, "incremental_load", oc.EMPTY_SOURCE)
-    tables.create_backup_like(spark, source, backup, stringify_keys, backup_location(backup, location_root))
+        return oc.Outcome(source, backup, "incremental_load", oc.EMPTY_SOURCE, detail=made_up)
+    location = backup_location(backup, location_root)
     prod = catalog.read(spark, source)
-    bkup = catalog.read(spark, backup)
-    bkup_keys = catalog_listing(spark, backup)
     labels = oc.key_text(keys, newest)
 
     def load(detail: str, **counts) -> oc.Outcome:
         try:
-            tables.overwrite_partitions(rows_of(prod, keys, newest), backup, newest)
+            journal.run(spark, journal.Load(source, backup, keys, newest, stringify_keys, location))
         except tables.SchemaDrift as drift:
             return oc.Outcome(source, backup, "incremental_load", oc.SCHEMA_DRIFT, labels, **counts, detail=str(drift))
-        return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, **counts, detail=detail)
+        return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, **counts, detail=_detail(made_up, detail))
 
+    if not catalog.exists(spark, backup):
+        return load("backup was empty")
+    bkup = catalog.read(spark, backup)
+    bkup_keys = catalog_listing(spark, backup)
     if not bkup_keys.take(1):
         return load("backup was empty")
     fault = tables.drift(prod, backup)
     if fault:
         return oc.Outcome(source, backup, "incremental_load", oc.SCHEMA_DRIFT, labels, detail=fault)
-    if tables.reconcile(prod, backup):
+    if tables.gained_columns(prod, backup):
         return load("the source gained columns")
+    if tables.predating(rows_of(bkup, keys, newest), catalog.data_columns(spark, backup)):
+        return load("the backup's files lack columns")
     if gate == "same_key_count":
         verdict = gates.same_key_count(prod, bkup, keys, prod_keys=prod_keys).first()
     elif gate == "same_key_content":
@@ -131,7 +160,7 @@ def incremental_load(
     counts = dict(prod_rows=verdict["prod_rows"], bkup_rows=verdict["bkup_rows"])
     if not verdict["should_load"]:
         status = oc.SKIPPED_SAME_CONTENT if gate == "same_key_content" else oc.SKIPPED_SAME_COUNT
-        return oc.Outcome(source, backup, "incremental_load", status, labels, **counts, detail=gate)
+        return oc.Outcome(source, backup, "incremental_load", status, labels, **counts, detail=_detail(made_up, gate))
     return load(gate, **counts)
 
 
@@ -142,25 +171,32 @@ def snapshot_unpartitioned(
     suffix: str = catalog.DEFAULT_SUFFIX,
     location_root: str | None = None,
 ) -> oc.Outcome:
-    """Copy a whole unpartitioned table unless the backup has the same row count."""
+    """Copy a whole unpartitioned table unless the backup has the same row count (and all columns in its files)."""
     backup = backup or catalog.backup_name(source, suffix)
     if not catalog.exists(spark, source):
         return oc.Outcome(source, backup, "snapshot", oc.MISSING_SOURCE)
+    made_up, refused = _finished(spark, source, backup, "snapshot")
+    if refused:
+        return refused
     prod = catalog.read(spark, source)
+    whole = journal.Load(source, backup, location=backup_location(backup, location_root))
+
+    def load(detail: str = "", **counts) -> oc.Outcome:
+        journal.run(spark, whole)
+        return oc.Outcome(source, backup, "snapshot", oc.LOADED, **counts, detail=_detail(made_up, detail))
+
     if not catalog.exists(spark, backup):
-        writer = prod.write.format(tables.FORMAT)
-        location = backup_location(backup, location_root)
-        (writer.option("path", location) if location else writer).saveAsTable(backup)
-        return oc.Outcome(source, backup, "snapshot", oc.LOADED, detail="backup created")
+        return load("backup created")
     fault = tables.drift(prod, backup)
     if fault:
         return oc.Outcome(source, backup, "snapshot", oc.SCHEMA_DRIFT, detail=fault)
-    if tables.reconcile(prod, backup):
-        tables.overwrite_table(prod, backup)
-        return oc.Outcome(source, backup, "snapshot", oc.LOADED, detail="the source gained columns")
-    verdict = gates.full_count(prod, catalog.read(spark, backup)).first()
+    if tables.gained_columns(prod, backup):
+        return load("the source gained columns")
+    bkup = catalog.read(spark, backup)
+    if tables.predating(bkup, bkup.columns):
+        return load("the backup's files lack columns")
+    verdict = gates.full_count(prod, bkup).first()
     counts = dict(prod_rows=verdict["prod_rows"], bkup_rows=verdict["bkup_rows"])
     if not verdict["should_load"]:
-        return oc.Outcome(source, backup, "snapshot", oc.SKIPPED_SAME_COUNT, **counts)
-    tables.overwrite_table(prod, backup)
-    return oc.Outcome(source, backup, "snapshot", oc.LOADED, **counts)
+        return oc.Outcome(source, backup, "snapshot", oc.SKIPPED_SAME_COUNT, **counts, detail=made_up)
+    return load(**counts)

@@ -24,14 +24,16 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, StringType, StructField
 from pyspark.sql.utils import AnalysisException
 
 from partsnap.functions.rows import ident
 from partsnap.session import dynamic_partition_overwrite, shared_dir
+from partsnap.sinks.files import delete_directories
 from partsnap.sources import catalog
 
 FORMAT = "parquet"
@@ -69,6 +71,15 @@ def create_backup_like(
     return True
 
 
+def create_table_like(spark: SparkSession, source: str, table: str, location: str | None = None) -> bool:
+    """Create the unpartitioned ``table`` with the source's columns, empty; True when it was created."""
+    if catalog.exists(spark, table):
+        return False
+    writer = spark.table(source).limit(0).write.format(FORMAT).mode("ignore")
+    (writer.option("path", location) if location else writer).saveAsTable(table)
+    return True
+
+
 class SchemaDrift(Exception):
     """The source no longer fits its backup; nothing was written."""
 
@@ -106,6 +117,12 @@ def drift(df: DataFrame, table: str) -> str:
     return "; ".join(faults)
 
 
+def gained_columns(df: DataFrame, table: str) -> list[StructField]:
+    """Columns of ``df`` that ``table`` does not have yet."""
+    held = {c.lower() for c in df.sparkSession.table(table).columns}
+    return [f for f in df.schema.fields if f.name.lower() not in held]
+
+
 def reconcile(df: DataFrame, table: str) -> bool:
     """Add the columns that ``df`` gained to ``table`` (older rows read as NULL there); True if there are any.
 
@@ -115,14 +132,27 @@ def reconcile(df: DataFrame, table: str) -> bool:
     fault = drift(df, table)
     if fault:
         raise SchemaDrift(fault)
-    held = {c.lower() for c in spark.table(table).columns}
-    gained = [f for f in df.schema.fields if f.name.lower() not in held]
+    gained = gained_columns(df, table)
     if gained:
         listed = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in gained)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
     return bool(gained)
 
 
+def predating(rows: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of ``columns`` that the files behind ``rows`` (of a stored Parquet table) do not hold.
+
+    They were added to the table after the files were written, so they read as
+    NULL.  One file's footer is read, no data; a partition's files are of one
+    write.
+    """
+    paths = rows.inputFiles()
+    if not paths or not paths[0].lower().endswith(f".{FORMAT}"):
+        return []
+    held = {c.lower() for c in rows.sparkSession.read.parquet(unquote(paths[0])).columns}
+    return [c for c in columns if c.lower() not in held]
+
+
 def _conform(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     """Columns in the table's order and types (``insertInto`` is positional), after :func:`reconcile`."""
     reconcile(df, table)
@@ -225,22 +255,6 @@ def partition_location(spark: SparkSession, table: str, keys: Sequence[str], val
     return part if part.startswith(root + "/") else None
 
 
-def delete_directories(spark: SparkSession, paths: Sequence[str]) -> int:
-    """Delete whole directories through the cluster's file system; missing ones are skipped.
-
-    One metadata call per directory, issued from the driver (what a manual
-    ``rm -r`` of each partition would do), so the count is bounded by the
-    number of partitions evicted.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    deleted = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        deleted += bool(path.getFileSystem(conf).delete(path, True))
-    return deleted
-
-
 def evict_partitions(spark: SparkSession, table: str, keys: Sequence[str], values: Sequence) -> int:
     """Drop the partitions ``values`` and remove their files, managed or external.
 

@@ -129,7 +129,8 @@ def test_external_eviction_never_deletes_a_partition_registered_outside_the_tabl
 
 
 def test_external_eviction_interrupted_after_deleting_files_is_finished_by_a_rerun(spark, src, tmp_path):
-    from partsnap.sinks.tables import delete_directories, partition_location
+    from partsnap.sinks.files import delete_directories
+    from partsnap.sinks.tables import partition_location
 
     spark.sql("DROP TABLE IF EXISTS y_bkup")
     location = str(tmp_path / "y_bkup")
