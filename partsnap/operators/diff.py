@@ -88,10 +88,11 @@ def row_counts(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None =
 
     Map columns come out as sorted entry arrays (see :func:`restored_columns_sql`).
     """
-    return _counts(*align(prod, bkup, columns))
+    return counts_of(*align(prod, bkup, columns))
 
 
-def _counts(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
+def counts_of(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """:func:`row_counts` of aligned sides."""
     tagged = p.selectExpr(*comparable_columns_sql(p.schema, cols), "true as _ps_in").union(
         b.selectExpr(*comparable_columns_sql(b.schema, cols), "false as _ps_in")
     )
@@ -101,7 +102,8 @@ def _counts(p: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def _copies(side: str, multiset: bool) -> str:
+def copies_sql(side: str, multiset: bool) -> str:
+    """How often a row of the counts is reported for ``side``."""
     mine, other = (NP, NB) if side == PROD else (NB, NP)
     if multiset:
         return f"greatest({mine} - {other}, 0L)"
@@ -143,10 +145,10 @@ SUMMARY_SQL = (
     "count(1) as union_distinct",
     f"count_if({NP} > 0 and {NB} = 0) as prod_except_bkup",
     f"count_if({NB} > 0 and {NP} = 0) as bkup_except_prod",
-    _total(_copies(PROD, False), "prod_only_rows"),
-    _total(_copies(BKUP, False), "bkup_only_rows"),
-    _total(_copies(PROD, True), "prod_except_all_bkup"),
-    _total(_copies(BKUP, True), "bkup_except_all_prod"),
+    _total(copies_sql(PROD, False), "prod_only_rows"),
+    _total(copies_sql(BKUP, False), "bkup_only_rows"),
+    _total(copies_sql(PROD, True), "prod_except_all_bkup"),
+    _total(copies_sql(BKUP, True), "bkup_except_all_prod"),
 )
 
 
@@ -168,16 +170,16 @@ def row_diff(
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}, got {side!r}")
     p, b, cols = align(prod, bkup, columns)
-    counts = _counts(p, b, cols)
+    counts = counts_of(p, b, cols)
     # Rows present on both sides (the bulk, for a good backup) leave right after the aggregate.
     unmatched = f"{NP} <> {NB}" if multiset else f"({NP} = 0 or {NB} = 0)"
     counts = counts.where(unmatched)
     names = [ident(c) for c in cols]
     wanted = [PROD, BKUP] if side == "both" else [PROD if side == "prod" else BKUP]
     if len(wanted) == 1:
-        tagged = counts.selectExpr(*names, f"{text(wanted[0])} as {SIDE}", f"{_copies(wanted[0], multiset)} as _ps_n")
+        tagged = counts.selectExpr(*names, f"{text(wanted[0])} as {SIDE}", f"{copies_sql(wanted[0], multiset)} as _ps_n")
     else:
-        pairs = ", ".join(f"struct({text(s)} as {SIDE}, {_copies(s, multiset)} as _ps_n)" for s in wanted)
+        pairs = ", ".join(f"struct({text(s)} as {SIDE}, {copies_sql(s, multiset)} as _ps_n)" for s in wanted)
         tagged = counts.selectExpr(*names, f"inline(array({pairs}))")
     rows = expand_copies(tagged, "_ps_n")
     return rows.selectExpr(SIDE, *restored_columns_sql(p.schema, cols))
@@ -186,14 +188,14 @@ def row_diff(
 def except_distinct(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of prod with no equal row in the backup (``EXCEPT``)."""
     p, b, cols = align(prod, bkup, columns)
-    counts = _counts(p, b, cols)
+    counts = counts_of(p, b, cols)
     return counts.where(f"{NP} > 0 and {NB} = 0").selectExpr(*restored_columns_sql(p.schema, cols))
 
 
 def union_distinct(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of prod ∪ backup (``UNION``)."""
     p, b, cols = align(prod, bkup, columns)
-    return _counts(p, b, cols).selectExpr(*restored_columns_sql(p.schema, cols))
+    return counts_of(p, b, cols).selectExpr(*restored_columns_sql(p.schema, cols))
 
 
 def differential_summary(prod: DataFrame, bkup: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

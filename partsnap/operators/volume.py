@@ -23,6 +23,14 @@ MISSING_IN_PROD = "missing_in_prod"
 COUNT_DIFFERS = "count_differs"
 
 
+def status_sql() -> str:
+    """Status of a row with ``prod_rows`` and ``bkup_rows``."""
+    return f"""case when prod_rows = bkup_rows then '{EQUAL}'
+                    when bkup_rows = 0 then '{MISSING_IN_BKUP}'
+                    when prod_rows = 0 then '{MISSING_IN_PROD}'
+                    else '{COUNT_DIFFERS}' end"""
+
+
 def volume_by_partition(prod: DataFrame, bkup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys…, prod_rows, bkup_rows, status`` for every key on either side."""
     p, b, cols = align(prod, bkup, keys)
@@ -36,10 +44,7 @@ def volume_by_partition(prod: DataFrame, bkup: DataFrame, keys: Sequence[str]) -
         *names,
         "prod_rows",
         "bkup_rows",
-        f"""case when prod_rows = bkup_rows then '{EQUAL}'
-                 when bkup_rows = 0 then '{MISSING_IN_BKUP}'
-                 when prod_rows = 0 then '{MISSING_IN_PROD}'
-                 else '{COUNT_DIFFERS}' end as status""",
+        f"{status_sql()} as status",
     )
 
 

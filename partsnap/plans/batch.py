@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -110,19 +110,22 @@ def run_batch(
         turns: dict[str, list[int]] = {}
         for i, n in enumerate(names):
             turns.setdefault(n.lower(), []).append(i)
-
-        def in_order(positions: list[int]) -> list[tuple[int, list[oc.Outcome]]]:
-            return [(i, one(names[i])) for i in positions]
-
         per_table = [[] for _ in names]
-        with ThreadPoolExecutor(max_workers=min(parallelism, len(turns))) as pool:
-            # Each task carries its own copy of this thread's Spark local properties
-            # (scheduler pool, job group), taken now, so workers run where the caller would.
-            futures = [
-                pool.submit(inheritable_thread_target(spark)(functools.partial(in_order, positions)))
-                for positions in turns.values()
-            ]
-            for future in futures:
-                for i, outcomes in future.result():
-                    per_table[i] = outcomes
+        for done in side_by_side(spark, lambda positions: [(i, one(names[i])) for i in positions], turns.values(), parallelism):
+            for i, outcomes in done:
+                per_table[i] = outcomes
     return oc.to_frame(spark, [o for done in per_table for o in done])
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: Iterable, parallelism: int) -> list:
+    """``work`` of each item, up to ``parallelism`` at once, in the order of the items.
+
+    Each worker carries its own copy of this thread's Spark local properties
+    (scheduler pool, job group), taken now, so it runs where the caller would.
+    """
+    items = list(items)
+    if parallelism == 1 or len(items) < 2:
+        return [work(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(functools.partial(work, x))) for x in items]
+        return [f.result() for f in futures]

@@ -21,7 +21,7 @@ from partsnap.plans.batch import Policy, run_batch
 from partsnap.plans.load import history_load, incremental_load, snapshot_unpartitioned
 from partsnap.plans.outcome import Outcome
 from partsnap.plans.retention import apply_eviction
-from partsnap.plans.validate import audit_batch, validation_report
+from partsnap.plans.validate import TALLIES, TOTALS, audit_batch, batch_report, differing_rows, validation_report
 from partsnap.sinks import tables
 from partsnap.sources.partitions import catalog_listing, newest
 from partsnap.streaming.backup_stream import start_backup_stream
@@ -31,6 +31,7 @@ YM = ["o_year", "o_month"]
 MONTH = ["o_month"]
 HISTORY_N = 3
 KEEP = 12
+LISTED = 2
 LATE = "o_orderkey % 5 = 0"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,6 +247,53 @@ def audit_batch_outcomes(spark, sf_dir, prefix):
     )
 
 
+def report_tables(spark: SparkSession, sf_dir: str, prefix: str) -> list[str]:
+    """A partitioned pair, an unpartitioned one, one whose backup has a narrower type, and no table."""
+    orders, _ = orders_pair(spark, sf_dir, f"{prefix}_orders")
+    p, b = fx.pair(spark, sf_dir, "customer")
+    customer = stored(p, f"{prefix}_customer")
+    stored(b, f"{customer}_bkup")
+    p, b = fx.pair(spark, sf_dir, "orders")
+    retyped = stored(p, f"{prefix}_retyped", KEY)
+    stored(b.withColumn("o_custkey", F.col("o_custkey").cast("int")), f"{retyped}_bkup", KEY)
+    return [orders, customer, retyped, f"{prefix}_absent"]
+
+
+def named(df: DataFrame, prefix: str) -> DataFrame:
+    return df.withColumn("table", F.regexp_replace("table", f"^{prefix}_", ""))
+
+
+@query
+def audit_batch_totals(spark, sf_dir, prefix):
+    """Totals and tallies of four tables over the newest partitions; only rows that the backup lacks count."""
+    warehouse(spark)
+    report = batch_report(spark, report_tables(spark, sf_dir, prefix), last_n=KEEP, side="prod")
+    return named(report["totals"], prefix).select("table", "status", *TOTALS, *TALLIES, F.size("types").alias("retyped_columns"))
+
+
+@query
+def audit_batch_volume(spark, sf_dir, prefix):
+    """Counts and differences of every partition, kept in a report table and read from there."""
+    warehouse(spark)
+    orders, _ = orders_pair(spark, sf_dir, f"{prefix}_orders")
+    report = batch_report(spark, [orders], store=f"{prefix}_audits", run_id="run", side="bkup")
+    return named(report["volume"], prefix).select("table", "key", "status", "prod_rows", "bkup_rows", "union_distinct", "prod_only_rows", "bkup_only_rows")
+
+
+@query
+def audit_batch_profile(spark, sf_dir, prefix):
+    """Distinct values per table and column, from the exchange that also gave the counts."""
+    warehouse(spark)
+    return named(batch_report(spark, report_tables(spark, sf_dir, prefix)[:2])["profile"], prefix)
+
+
+@query
+def audit_catalog_listing(spark, sf_dir, prefix):
+    """The first differing rows of each of the newest partitions, with exact totals."""
+    source, _ = orders_pair(spark, sf_dir, prefix)
+    return differing_rows(spark, source, n=LISTED, last_n=KEEP)
+
+
 @query
 def audit_catalog_diff_one_partition(spark, sf_dir, prefix):
     """The diff of one stored partition: both scans are pruned to it."""
@@ -306,7 +354,72 @@ def _filled_newest(status: str) -> str:
       union all select * from prod_orders where partition_date = ({_NEWEST}))"""
 
 
+_LAST = f"(select distinct partition_date from prod_orders order by partition_date desc limit {KEEP})"
+_PAIR = {"pd": f"select * from prod_orders where partition_date in {_LAST}", "bd": f"select * from bkup_orders where partition_date in {_LAST}"}
+_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _listed(one: str, other: str, side: str) -> str:
+    """The first rows of ``one`` that ``other`` does not have, by partition, with how often and how many there are."""
+    order = ", ".join(f"{c} nulls first" for c in _COLS)
+    return f"""select '{side}' as _side, (row_number() over (partition by partition_date order by {order}))::integer as _rank, _copies,
+                 sum(_copies) over (partition by partition_date)::bigint as _rows, count(*) over (partition by partition_date) as _distinct, {", ".join(_COLS)}
+               from (select {", ".join(_COLS)}, count(*) as _copies from ({_only(one, other)}) group by all)"""
+
+
+def _profiled(name: str, columns: Sequence[str]) -> str:
+    return " union all ".join(
+        f"""select '{name}' as "table", '{c}' as "column", (select count(distinct {c}) from prod_{name}) as prod_distinct,
+                   (select count(distinct {c}) from bkup_{name}) as bkup_distinct"""
+        for c in columns
+    )
+
+
+def _report_totals() -> str:
+    orders = f"""(select count(*) from pd) as prod_rows, (select count(*) from bd) as bkup_rows,
+        (select count(*) from (select * from pd union select * from bd)) as union_distinct,
+        (select count(*) from ({_only("pd", "bd")})) as prod_only_rows, null::bigint as bkup_only_rows,
+        (select count(distinct partition_date) from pd) as prod_partitions, (select count(distinct partition_date) from bd) as bkup_partitions,
+        (select count_if(p = b) from v) as equal_partitions, (select count_if(p <> b) from v) as differing_partitions,
+        (select count_if(p <> b and b = 0) from v) as missing_in_bkup, (select count_if(p <> b and p = 0) from v) as missing_in_prod"""
+    lacking = " and ".join(f"b.{c} is not distinct from p.{c}" for c in _CUSTOMER)
+    return f"""select 'orders' as "table", 'different' as status, {orders}, 0 as retyped_columns
+        union all select 'retyped', 'schema_drift', {orders}, 1
+        union all select 'customer', 'different', {_CUSTOMERS}, (select count(*) from bkup_customer),
+          (select count(*) from (select * from prod_customer union select * from bkup_customer)),
+          (select count(*) from prod_customer p where not exists (select 1 from bkup_customer b where {lacking})), null, null, null, null, null, null, null, 0
+        union all select 'absent', 'failed', null, null, null, null, null, null, null, null, null, null, null, 0"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "audit_batch_totals": fx.with_fixtures(
+        _report_totals(), "bkup_orders", "prod_customer", "bkup_customer",
+        extra={
+            **_PAIR,
+            "v": """select coalesce(p, 0) as p, coalesce(b, 0) as b
+                    from (select partition_date as d, count(*) as p from pd group by d) full join (select partition_date as d, count(*) as b from bd group by d) using (d)""",
+        },
+    ),
+    "audit_batch_volume": fx.with_fixtures(
+        f"""select 'orders' as "table", 'partition_date=' || d as key,
+              case when prod_rows = bkup_rows then 'equal' when bkup_rows = 0 then 'missing_in_bkup' when prod_rows = 0 then 'missing_in_prod' else 'count_differs' end as status,
+              prod_rows, bkup_rows, union_distinct, prod_only_rows, bkup_only_rows from c""",
+        "bkup_orders",
+        extra={
+            "k": "select partition_date as d from prod_orders union select partition_date from bkup_orders",
+            "u": "select * from prod_orders union select * from bkup_orders", "po": _only("prod_orders", "bkup_orders"), "bo": _only("bkup_orders", "prod_orders"),
+            "c": """select d, (select count(*) from prod_orders where partition_date = d) as prod_rows,
+                      (select count(*) from bkup_orders where partition_date = d) as bkup_rows,
+                      (select count(*) from u where partition_date = d) as union_distinct, (select count(*) from po where partition_date = d) as prod_only_rows,
+                      (select count(*) from bo where partition_date = d) as bkup_only_rows from k""",
+        },
+    ),
+    "audit_batch_profile": fx.with_fixtures(
+        f"{_profiled('orders', _COLS)} union all {_profiled('customer', _CUSTOMER)}", "bkup_orders", "prod_customer", "bkup_customer"
+    ),
+    "audit_catalog_listing": fx.with_fixtures(
+        f"select * from ({_listed('pd', 'bd', 'prod')} union all {_listed('bd', 'pd', 'bkup')}) where _rank <= {LISTED}", "bkup_orders", extra=_PAIR
+    ),
     "job_history_load": fx.with_fixtures(
         f"select *, 'loaded' as job_status from prod_orders where partition_date in ({_TOP})", "prod_orders"
     ),

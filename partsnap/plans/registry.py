@@ -19,7 +19,8 @@ from partsnap.operators import gates, slices
 from partsnap.operators.fingerprint import changed_keys, pruned_row_diff
 from partsnap.operators.diff import differential_summary, except_distinct, row_diff, union_distinct
 from partsnap.operators.profile import distinct_profile
-from partsnap.operators.schema import schema_compare
+from partsnap.operators.listing import diff_listing
+from partsnap.operators.schema import schema_compare, schema_tree
 from partsnap.operators.volume import volume_by_partition, volume_summary
 from partsnap.plans import jobs
 from partsnap.sources.partitions import listing, newest
@@ -27,6 +28,7 @@ from partsnap.sources.partitions import listing, newest
 KEY = [fx.ORDERS_KEY]
 YM = ["o_year", "o_month"]
 ORDER_COLS = ["o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "partition_date"]
+LISTING_COLS = [*ORDER_COLS]
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "partition_date"]
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 EMBEDDING_COLS = ["vec_id", "embedding", "label"]
@@ -292,6 +294,32 @@ def q_schema_compare_drift(spark, sf_dir):
     return schema_compare(p.selectExpr(*DRIFTED_ORDERS["spark"]), b, KEY, KEY, filled=True)
 
 
+LISTED = 3
+
+
+@query
+def q_diff_listing(spark, sf_dir):
+    """The first rows of the diff, by side and month, with exact totals beside them."""
+    return diff_listing(*_orders(spark, sf_dir), KEY, LISTED)
+
+
+@query
+def q_schema_tree(spark, sf_dir):
+    """Nested columns after a change, path by path: moved, widened, retyped, lost and renamed fields, with filled rows."""
+    raw = _orders(spark, sf_dir)[0]
+    p = raw.selectExpr(
+        "named_struct('status', o_orderstatus, 'price', o_totalprice, 'who', named_struct('id', o_custkey)) as doc",
+        "array(o_orderkey, if(o_orderkey % 3 = 0, null, o_custkey)) as ids", "map(o_orderpriority, cast(o_custkey as int)) as sums",
+        "cast(o_custkey as int) as cust", "partition_date as Day",
+    )
+    b = raw.selectExpr(
+        "named_struct('price', o_totalprice, 'status', o_orderstatus, 'note', if(o_orderkey % 2 = 0, 'x', null)) as doc",
+        "array(cast(o_orderkey as int)) as ids", "map(o_orderpriority, o_custkey) as sums", "o_custkey as cust", "partition_date as day",
+    )
+    tree = schema_tree(p, b, ["day"], filled=True)
+    return tree.select("path", "prod_position", "prod_type", "bkup_position", "bkup_type", "status", "prod_filled", "bkup_filled")
+
+
 # ---------------------------------------------------------------- DuckDB side
 
 
@@ -578,6 +606,35 @@ ORACLE_SQL: dict[str, str] = {
             "bf": _filled("bkup_orders", ORDER_COLS),
         },
     ),
+    "diff_listing": fx.with_fixtures(
+        " union all ".join(
+            f"""select * from (
+                  select '{side}' as _side, (row_number() over (partition by partition_date order by {", ".join(f"{c} nulls first" for c in LISTING_COLS)}))::integer as _rank,
+                    _copies, sum(_copies) over (partition by partition_date)::bigint as _rows, count(*) over (partition by partition_date) as _distinct, {", ".join(LISTING_COLS)}
+                  from (select {", ".join(LISTING_COLS)}, count(*) as _copies from ({_not_exists(one, other, "x", "y", ORDER_COLS)}) group by all))
+                where _rank <= {LISTED}"""
+            for side, one, other in (("prod", "prod_orders", "bkup_orders"), ("bkup", "bkup_orders", "prod_orders"))
+        ),
+        "bkup_orders",
+    ),
+    "schema_tree": fx.with_fixtures(
+        """select path, pp::integer as prod_position, pt as prod_type, bp::integer as bkup_position, bt as bkup_type, status, pf as prod_filled, bf as bkup_filled
+           from (select count(*) as n, count_if(o_orderkey % 2 = 0) as even, count(o_orderstatus) as st from prod_orders) f, lateral (values
+             ('doc', 0, 'struct', 0, 'struct', 'same', n, n),
+             ('doc.status', 0, 'string', 1, 'string', 'moved', st, st),
+             ('doc.price', 1, 'double', 0, 'double', 'moved', n, n),
+             ('doc.who', 2, 'struct', null, null, 'missing_in_bkup', n, null),
+             ('doc.who.id', 0, 'bigint', null, null, 'missing_in_bkup', n, null),
+             ('doc.note', null, null, 2, 'string', 'missing_in_prod', null, even),
+             ('ids', 1, 'array', 1, 'array', 'same', n, n),
+             ('ids.element', 0, 'bigint', 0, 'int', 'type_differs', n, n),
+             ('sums', 2, 'map', 2, 'map', 'same', n, n),
+             ('sums.key', 0, 'string', 0, 'string', 'same', n, n),
+             ('sums.value', 1, 'int', 1, 'bigint', 'widened', n, n),
+             ('cust', 3, 'int', 3, 'bigint', 'widened', n, n),
+             ('Day', 4, 'string', 4, 'string', 'case_differs', n, n)) v(path, pp, pt, bp, bt, status, pf, bf)""",
+        "prod_orders",
+    ),
     "multi_key_retention_evict": fx.with_fixtures(
         f"""select o_year, o_month, count(*) as row_count from prod_orders_ym group by o_year, o_month
             order by o_year desc, o_month desc offset {KEEP}""",

@@ -28,10 +28,11 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField
+from pyspark.sql.types import StructField
 from pyspark.sql.utils import AnalysisException
 
 from partsnap.functions.rows import ident
+from partsnap.functions.types import fits
 from partsnap.session import dynamic_partition_overwrite, shared_dir
 from partsnap.sinks.files import delete_directories
 from partsnap.sources import catalog
@@ -80,22 +81,14 @@ def create_table_like(spark: SparkSession, source: str, table: str, location: st
     return True
 
 
-class SchemaDrift(Exception):
-    """The source no longer fits its backup; nothing was written."""
-
+def create_table_partitioned(like: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Create ``table`` with the columns of ``like``, empty, its partitions replaced one by one by overwrites."""
+    writer = like.limit(0).write.format(FORMAT).mode("ignore").partitionBy(*keys)
+    writer.option("partitionOverwriteMode", "dynamic").saveAsTable(table)
 
-# Types that a value can be widened to without loss (fixed values).
-WIDER = {
-    "tinyint": ("smallint", "int", "bigint"),
-    "smallint": ("int", "bigint"),
-    "int": ("bigint", "double"),
-    "float": ("double",),
-}
 
-
-def _fits(source: DataType, target: DataType, is_key: bool) -> bool:
-    """Every value of ``source`` can be stored as ``target`` (keys may be kept as text)."""
-    return source == target or (is_key and isinstance(target, StringType)) or target.simpleString() in WIDER.get(source.simpleString(), ())
+class SchemaDrift(Exception):
+    """The source no longer fits its backup; nothing was written."""
 
 
 def drift(df: DataFrame, table: str) -> str:
@@ -112,7 +105,7 @@ def drift(df: DataFrame, table: str) -> str:
         mine = source.get(f.name.lower())
         if mine is None:
             faults.append(f"column {f.name} is gone from the source")
-        elif not _fits(mine.dataType, f.dataType, f.name.lower() in keys):
+        elif not fits(mine.dataType, f.dataType, f.name.lower() in keys):
             faults.append(f"column {f.name} is {mine.dataType.simpleString()} in the source and {f.dataType.simpleString()} in the backup")
     return "; ".join(faults)
 
