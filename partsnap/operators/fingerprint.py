@@ -113,14 +113,17 @@ def pruned_row_diff(
     side: str = "both",
     multiset: bool = False,
     columns: Sequence[str] | None = None,
+    changed: Sequence | None = None,
 ) -> DataFrame:
     """:func:`row_diff` restricted to the partitions whose fingerprints differ.
 
     The changed key list (at most one row per partition) is brought to the
     driver and becomes a literal filter on both sides, which Spark prunes to
-    those partitions when the keys are partition columns.
+    those partitions when the keys are partition columns.  ``changed`` gives the
+    list where it is known already.
     """
-    changed = changed_keys(prod, bkup, keys, columns).collect()
+    if changed is None:
+        changed = changed_keys(prod, bkup, keys, columns).collect()
     return row_diff(
         prod.where(key_in(keys, changed)) if changed else prod.limit(0),
         bkup.where(key_in(keys, changed)) if changed else bkup.limit(0),

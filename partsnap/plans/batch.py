@@ -61,7 +61,7 @@ def run_table(spark: SparkSession, name: str, policy: Policy) -> list[oc.Outcome
         return [snapshot_unpartitioned(spark, source, backup, location_root=policy.location_root)]
     if policy.history_load:
         return [history_load(spark, source, policy.load, backup, stringify_keys=policy.stringify_keys,
-                             location_root=policy.location_root)]
+                             location_root=policy.location_root, fingerprints=policy.gate == "same_key_content")]
     done = []
     if policy.keep != 0:
         done.append(incremental_load(spark, source, backup, policy.gate, stringify_keys=policy.stringify_keys,

@@ -301,6 +301,31 @@ def audit_catalog_diff_one_partition(spark, sf_dir, prefix):
     return validation_report(spark, source, partition="2001-06")["diff"]
 
 
+@query
+def audit_catalog_diff_ledger(spark, sf_dir, prefix):
+    """The diff of the partitions that changed since fingerprints of the backup were kept."""
+    warehouse(spark)
+    p = fx.prod_orders(spark, sf_dir)
+    source = stored(p, prefix, KEY)
+    history_load(spark, source, KEEP, fingerprints=True)
+    late = p.where(f"{LATE} and {KEY[0]} >= '2001-06'").withColumn("o_custkey", F.col("o_custkey") + 1)
+    late.select(*spark.table(source).columns).write.insertInto(source)
+    return validation_report(spark, source, prune_unchanged=True, stored_fingerprints=True)["diff"]
+
+
+@query
+def job_incremental_ledger(spark, sf_dir, prefix):
+    """The newest partition's rows change and their number does not: its kept fingerprint tells, the backup is not read."""
+    warehouse(spark)
+    p = fx.prod_orders(spark, sf_dir)
+    source = stored(p, prefix, KEY)
+    history_load(spark, source, HISTORY_N, fingerprints=True)
+    last = newest(catalog_listing(spark, source), KEY, 1).collect()
+    changed = p.where(F.col(KEY[0]) == last[0][0]).withColumn("o_custkey", F.col("o_custkey") + 1)
+    tables.overwrite_partitions(changed, source)
+    return left_behind(spark, incremental_load(spark, source, gate="same_key_content"))
+
+
 @query
 def audit_catalog_volume_newest(spark, sf_dir, prefix):
     source, _ = orders_pair(spark, sf_dir, prefix)
@@ -487,6 +512,17 @@ ORACLE_SQL: dict[str, str] = {
         "bkup_orders",
         extra={"pd": f"select * from prod_orders where {_DAY}", "bd": f"select * from bkup_orders where {_DAY}"},
     ),
+    "audit_catalog_diff_ledger": fx.with_fixtures(
+        f"""select 'prod' as _side, * from (
+              select * from prod_orders where partition_date not in {_LAST}
+              union all select * replace (o_custkey + 1 as o_custkey) from prod_orders where {LATE} and partition_date >= '2001-06')""",
+        "prod_orders",
+    ),
+    "job_incremental_ledger": fx.with_fixtures(
+        f"""select * replace (case when partition_date = ({_NEWEST}) then o_custkey + 1 else o_custkey end as o_custkey), 'loaded' as job_status
+            from prod_orders where partition_date in ({_TOP})""",
+        "prod_orders",
+    ),
     "audit_catalog_volume_newest": fx.with_fixtures(
         f"""select partition_date, prod_rows, bkup_rows,
                    case when prod_rows = bkup_rows then 'equal' when bkup_rows = 0 then 'missing_in_bkup'

@@ -8,11 +8,11 @@ tuples, how the backup is made) and removes it after its last step; a later run
 that finds a record does the whole load over, before it looks at any gate.  Doing
 a load twice has the effect of doing it once: partitions are replaced whole.
 
-A record is a folder of its own below ``{root}/{database}.{backup}``, written by
+A record is a folder of its own below ``_partsnap_journal/{database}.{backup}``, written by
 Spark (complete once its ``_SUCCESS`` is there; an incomplete one says that
-nothing was changed yet).  The root is in the shared folder of
+nothing was changed yet).  They are in the shared folder of
 ``spark.checkpoint.dir``, or in the warehouse if the session names none, so that
-the next application finds it.
+the next application finds them.
 """
 
 from __future__ import annotations
@@ -48,15 +48,15 @@ class Load:
     location: str | None = None
 
 
-def root(spark: SparkSession) -> str:
-    """Where the records are; the same folder for every application of the cluster."""
+def home_of(spark: SparkSession, kind: str, backup: str) -> str:
+    """Folder of what is kept about ``backup``; the same one for every application of the cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{folder.rstrip('/')}/_partsnap_journal"
+    name = backup if "." in backup else f"{spark.catalog.currentDatabase()}.{backup}"
+    return f"{folder.rstrip('/')}/{kind}/{quote(name.replace('`', '').lower(), safe='')}"
 
 
 def folder_of(spark: SparkSession, backup: str) -> str:
-    name = backup if "." in backup else f"{spark.catalog.currentDatabase()}.{backup}"
-    return f"{root(spark)}/{quote(name.replace('`', '').lower(), safe='')}"
+    return home_of(spark, "_partsnap_journal", backup)
 
 
 def open_record(spark: SparkSession, load: Load) -> str:

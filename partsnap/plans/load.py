@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from partsnap.operators import gates
 from partsnap.operators.slices import rows_of
-from partsnap.plans import journal
+from partsnap.plans import journal, ledger
 from partsnap.plans import outcome as oc
 from partsnap.sinks import tables
 from partsnap.sources import catalog
@@ -65,6 +65,7 @@ def history_load(
     suffix: str = catalog.DEFAULT_SUFFIX,
     stringify_keys: bool = False,
     location_root: str | None = None,
+    fingerprints: bool = False,
 ) -> oc.Outcome:
     """Copy the ``n`` newest partitions of ``source`` into the backup.
 
@@ -72,6 +73,7 @@ def history_load(
     partition replaces the backup partition of the same key; other backup
     partitions are left alone.  Loads that were lost on the way are done over
     first (:mod:`partsnap.plans.journal`), here and in the other loads.
+    ``fingerprints`` keeps those of the loaded partitions (:mod:`partsnap.plans.ledger`).
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -90,6 +92,8 @@ def history_load(
         journal.run(spark, load)
     except tables.SchemaDrift as drift:
         return oc.Outcome(source, backup, "history_load", oc.SCHEMA_DRIFT, oc.key_text(keys, chosen), detail=str(drift))
+    if fingerprints:
+        ledger.record(spark, source, backup, keys, chosen)
     return oc.Outcome(source, backup, "history_load", oc.LOADED, oc.key_text(keys, chosen), detail=made_up)
 
 
@@ -108,7 +112,8 @@ def incremental_load(
     the same key is absent or has another row count; ``gate="latest_count"``
     compares with the backup's own newest partition (historical behaviour);
     ``gate="same_key_content"`` also reloads a backup partition whose count
-    is right but whose rows differ (fingerprints of that one partition).
+    is right but whose rows differ (fingerprints of that one partition; the
+    backup's is kept and only the source is read while its files are the same).
     An empty backup is always loaded, and so is one whose files of that
     partition are older than a column of the table.
     """
@@ -134,6 +139,8 @@ def incremental_load(
             journal.run(spark, journal.Load(source, backup, keys, newest, stringify_keys, location))
         except tables.SchemaDrift as drift:
             return oc.Outcome(source, backup, "incremental_load", oc.SCHEMA_DRIFT, labels, **counts, detail=str(drift))
+        if gate == "same_key_content":
+            ledger.record(spark, source, backup, keys, newest)
         return oc.Outcome(source, backup, "incremental_load", oc.LOADED, labels, **counts, detail=_detail(made_up, detail))
 
     if not catalog.exists(spark, backup):
@@ -152,7 +159,11 @@ def incremental_load(
     if gate == "same_key_count":
         verdict = gates.same_key_count(prod, bkup, keys, prod_keys=prod_keys).first()
     elif gate == "same_key_content":
-        verdict = gates.same_key_content(prod, bkup, keys, prod_keys=prod_keys).first()
+        verdict = ledger.content_verdict(spark, source, backup, keys, newest[0])
+        if verdict is None:
+            verdict = gates.same_key_content(prod, bkup, keys, prod_keys=prod_keys).first()
+            if not verdict["should_load"]:
+                ledger.record(spark, source, backup, keys, newest)
     else:
         # keys kept as text have the order of the source's key types
         typed = typed_like(bkup_keys, prod, keys)

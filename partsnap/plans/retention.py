@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from partsnap.plans import ledger
 from partsnap.plans import outcome as oc
 from partsnap.sinks import tables
 from partsnap.sources import catalog
@@ -58,4 +59,5 @@ def apply_eviction(
     if not evict:
         return oc.Outcome(backup, backup, "retention", oc.NOTHING_TO_EVICT, detail=path)
     tables.evict_partitions(spark, backup, keys, evict)
+    ledger.forget(spark, backup, keys, evict)
     return oc.Outcome(backup, backup, "retention", oc.EVICTED, oc.key_text(keys, evict), detail=path)

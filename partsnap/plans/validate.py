@@ -23,6 +23,7 @@ from partsnap.operators.report import COUNTS, DISTINCT, PROFILE, REPORT_DDL, VOL
 from partsnap.operators.schema import TYPE_DIFFERS, schema_compare
 from partsnap.operators.slices import rows_of
 from partsnap.operators.volume import EQUAL, MISSING_IN_BKUP, MISSING_IN_PROD, volume_by_partition, volume_summary
+from partsnap.plans import ledger
 from partsnap.plans import outcome as oc
 from partsnap.plans.batch import side_by_side, table_names
 from partsnap.sinks import tables
@@ -42,6 +43,7 @@ def audit(
     approx_profile: bool = False,
     prune_unchanged: bool = False,
     side: str = "both",
+    changed: Sequence | None = None,
 ) -> dict[str, DataFrame]:
     """The audit parts for two DataFrames.
 
@@ -52,7 +54,8 @@ def audit(
     compares the full schemas.  ``prune_unchanged`` diffs only the partitions
     whose fingerprints differ (see :mod:`partsnap.operators.fingerprint`);
     that fingerprint job runs when the report is built, since its changed
-    keys become the diff's partition filters.
+    keys become the diff's partition filters; ``changed`` gives them where they are
+    known already.
     Columns that only one side has are left out of the comparisons and named in
     ``one_sided`` (column, side).
     """
@@ -70,7 +73,7 @@ def audit(
     if not shared:
         return report
     if prune_unchanged and keys:
-        report["diff"] = pruned_row_diff(prod_part, bkup_part, keys, side, multiset=multiset, columns=shared)
+        report["diff"] = pruned_row_diff(prod_part, bkup_part, keys, side, multiset=multiset, columns=shared, changed=changed)
     else:
         report["diff"] = row_diff(prod_part, bkup_part, side, multiset=multiset, columns=shared)
     profiled = [df.select(*[ident(c) for c in shared]) for df in (prod_part, bkup_part)]
@@ -99,13 +102,21 @@ def validation_report(
     approx_profile: bool = False,
     prune_unchanged: bool = False,
     side: str = "both",
+    stored_fingerprints: bool = False,
 ) -> dict[str, DataFrame]:
-    """:func:`audit` of a catalog table against its backup table."""
+    """:func:`audit` of a catalog table against its backup table.
+
+    With ``prune_unchanged`` and ``stored_fingerprints``, backup partitions that have a
+    valid entry in :mod:`partsnap.plans.ledger` are not read to find what changed.
+    """
     backup = backup or catalog.backup_name(table, suffix)
     for name in (table, backup):
         if not catalog.exists(spark, name):
             raise ValueError(f"table {name} does not exist")
     keys = catalog.partition_columns(spark, table)
+    changed = None
+    if prune_unchanged and stored_fingerprints and keys and shared_columns(catalog.read(spark, table), catalog.read(spark, backup))[0]:
+        changed = ledger.changed_partitions(spark, table, backup, keys)
     return audit(
         catalog.read(spark, table),
         catalog.read(spark, backup),
@@ -118,6 +129,7 @@ def validation_report(
         approx_profile=approx_profile,
         prune_unchanged=prune_unchanged,
         side=side,
+        changed=changed,
     )
 
 

@@ -31,3 +31,17 @@ def delete_directories(spark: SparkSession, paths: Sequence[str]) -> int:
         fs, path = _file_system(spark, p)
         deleted += bool(fs.delete(path, True))
     return deleted
+
+
+def listed_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(name, length, modification time in ms) of the data files of ``folder``, sorted; hidden ones are left out."""
+    fs, path = _file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    found = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path) if s.isFile()]
+    return sorted(f for f in found if not f[0].startswith(("_", ".")))
+
+
+def parent(spark: SparkSession, file: str) -> str:
+    """The folder of a file, written as Spark's ``_metadata`` and file listings write it (not URL-encoded)."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent().toString()
