@@ -1,14 +1,15 @@
-"""Exact dedup by a tree merge of digest runs, hash aggregates of unsorted entries (native).
-
-Every input partition forms a run: its distinct digests, each with the
-smallest document and the number of rows.  Rounds of ``fan_in`` runs then
-merge (binomial rounds for ``fan_in`` = 2): runs r with the same
-``r // fan_in`` meet, equal digests become one entry that keeps the smallest
-identifier, and the aggregate combines within a task before it sends.  A
-run's digests stay spread over all tasks, so no round gathers a run, let
-alone the root, in one place.  The root's answer goes back to the entries of
-the first runs and from there to the rows by (run, digest), so a text that a
-third of all rows share is spread over all runs.
+"""Exact dedup by a tree merge of sorted digest runs (native).
+
+Every input partition makes a run: its distinct digests in order, each with the
+smallest document and the number of rows.  In binomial rounds pairs of runs merge
+(``fan_in`` runs, in general): the entries of runs r with the same ``r // fan_in``
+meet by digest range, are put in order there, and one pass over them makes equal
+digests one entry that keeps the smallest identifier.  A run stays cut into
+``RANGES`` ranges of the digest, each in its own place, so no round gathers a run,
+let alone the root, in one task; a digest has one entry a run, however many rows
+share it.  The root's answer goes back to the entries of the first runs and from
+there to the rows by (run, digest), so a text that a third of all rows share is
+spread over all runs.
 
 Two rows are equal if SHA-256, byte length and a second 64-bit hash of the
 normalised text agree (white space runs ``[\\x20\\x09-\\x0D]+`` become one
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import WHITE, cut
 
-FAN_IN = 16
+FAN_IN = 2
+RANGES = 256
 DIGEST = ("sha", "n_bytes", "second")
 
 
@@ -41,22 +43,26 @@ def digests(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def merged(entries: DataFrame) -> DataFrame:
+    """One pass over entries that are in order by run, range and digest: equal ones become one."""
+    return entries.groupBy("run", "range", *DIGEST).agg(F.min("best").alias("best"), F.sum("n_rows").alias("n_rows"))
+
+
 def merge_rounds(base: DataFrame, fan_in: int = FAN_IN) -> tuple[DataFrame, DataFrame]:
     """Entries of the first runs, and of the root: digest, smallest (null, doc_id, run), rows."""
-    first = cut(
-        base.groupBy("run", *DIGEST).agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("run").alias("in_run"))).alias("best"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
-    )
+    order = ("run", "range", *DIGEST)
+    place = F.conv(F.hex(F.substring("sha", 1, 1)), 16, 10).cast("int") % RANGES
+    rows = base.withColumns({
+        "range": place, "n_rows": F.lit(1).cast("long"),
+        "best": F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("run").alias("in_run")),
+    })
+    first = cut(merged(rows).sortWithinPartitions(*order))
     runs = (first.agg(F.max("run")).first()[0] or 0) + 1
     level = first
     while runs > 1:
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *DIGEST)
-            .agg(F.min("best").alias("best"), F.sum("n_rows").alias("n_rows"))
-        )
+        level = level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+        # the ranges of the runs that meet, in order: equal digests are neighbours and no further exchange is needed
+        level = merged(level.repartition("run", "range").sortWithinPartitions(*order))
         runs = -(-runs // fan_in)
     return first, level
 

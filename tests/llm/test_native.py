@@ -95,3 +95,47 @@ def test_native_plans(edge_docs):
     for df in (mixing.mix(edge_docs), exact_dedup.exact_dedup(edge_docs), sharding.shard(edge_docs)):
         plan = df._jdf.queryExecution().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_merges_are_one_pass_over_sorted_runs(spark):
+    """A round moves entries once and merges neighbours: no exchange between its sort and its aggregate."""
+    docs = spark.range(40).selectExpr("id doc_id", "concat('t', id % 7) text").repartition(5)
+    _, root = exact_dedup.merge_rounds(exact_dedup.digests(docs))
+    plan = root._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 3  # five runs: three binomial rounds
+    assert len(re.findall(r"SortAggregate[^\n]*\n[^\n]*SortAggregate[^\n]*\n[^\n]*Sort \[", plan)) == 3
+    assert root.count() == 7 and {r.n_rows for r in root.collect()} == {5, 6}
+    first, _ = exact_dedup.merge_rounds(exact_dedup.digests(docs))
+    runs = defaultdict(list)
+    for r in first.collect():
+        runs[r.run].append((r.range, bytes(r.sha)))
+    assert all(x == sorted(x) for x in runs.values()) and len(runs) == 5
+
+
+def test_weight_moves_what_is_taken(spark):
+    """Documents of signs and digits have a low weight and are taken less often, as often as the model says."""
+    n = 4000
+    docs = spark.range(n).selectExpr("id doc_id", "if(id % 2 = 0, 'plain words here', '12 -- 34 word') text", "'a' source")
+    docs = docs.unionByName(spark.range(3 * n).selectExpr("id + 100000 doc_id", "'other words here' text", "'b' source"))
+    weights = {r[0]: r[1] for r in docs.where("source = 'a'").select("text", mixing.quality_weight(docs["text"])).distinct().collect()}
+    assert weights == {"plain words here": 1.0, "12 -- 34 word": pytest.approx(7 / 13)}
+    rows = mixing.mix(docs, weights=(1, 11)).where("source = 'a'").collect()  # a third of the words of source a
+    kept = Counter((r.doc_id % 2, r.taken > 0) for r in rows)
+    share = [kept[i, True] / (n / 2) for i in (0, 1)]
+    assert share[0] > 1.4 * share[1] and 0.3 < sum(share) / 2 * 1.0 < 0.4
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.05, 1e-6])
+def test_slices_are_even_at_every_weight(spark, weight):
+    from pyspark.sql import functions as F
+
+    n = 20000
+    keys = spark.range(n).select((-F.log(mixing.unit_hash(F.col("id").cast("string"))) / weight).alias("k"))
+    sizes = [r["count"] for r in keys.groupBy(F.floor(F.log2("k") * mixing.SLICES)).count().collect()]
+    assert max(sizes) < n / 500
+
+
+def test_rows_without_ids_do_not_share_a_slice(spark):
+    docs = spark.range(2000).selectExpr("cast(null as long) doc_id", "concat('word ', id) text", "'a' source")
+    rows = mixing.mix(docs).collect()
+    assert sum(r.taken for r in rows) == 4000 and len(rows) == 2000
