@@ -5,14 +5,19 @@ at most ``MAX_EPOCHS`` times the source's own words; the excess goes to the
 other sources by weight.  A source below its target is first repeated in
 complete epochs; what is left of the target is filled from the documents with
 the smallest exponential keys ``-ln(u) / weight`` (u a hash of doc_id, weight
-the document's quality), that is, a weighted sample without replacement.
+the document's quality), that is, a weighted sample without replacement: of two
+documents the one with twice the weight is twice as likely to come first.  By
+default the weight is the share of characters that are neither digits nor ASCII
+signs, at least ``LEAST_WEIGHT``.
 
-Keys are dealt into slices of the key range.  Word sums by source and slice
-give the prefix sum before each slice, so a window orders only the documents
-of one slice of one source, never a whole source.
+Keys are dealt into slices of equal width of their logarithm, which hold nearly
+equal shares whatever the weights are (the density of the logarithm of a key is at
+most 1/e for every weight); their number grows with the rows.  Word sums by source
+and slice give the prefix sum before each slice, so a window orders only the
+documents of one slice of one source, never a whole source.
 
 Defined cases: null text has no words and is never taken; null source is a
-source of its own, last in the order; null doc_id hashes as an empty string;
+source of its own, last in the order; a null doc_id hashes as its text does;
 equal keys are ordered by doc_id, then size, and rows that repeat all of these
 are exchangeable; an empty table gives an empty result; other columns are
 carried through by ``materialise`` and never read.
@@ -30,12 +35,16 @@ from .common import cut, unit_hash, words_of
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-SLICES = 4096
+LEAST_WEIGHT = 0.05
+SLICE_ROWS = 20_000  # a slice holds about so many rows of all sources, at least SLICES a factor of two
+SLICES = 512
 
 
-def quality_weight(length: Column, size: Column) -> Column:
-    """1 for texts with 3 to 12 characters a word (white space counted), else 0.25."""
-    return F.when((length >= 3 * size) & (length <= 12 * size), F.lit(1.0)).otherwise(F.lit(0.25))
+def quality_weight(text: Column) -> Column:
+    """Share of the characters that are neither digits nor ASCII signs, at least ``LEAST_WEIGHT`` (1 without characters)."""
+    length = F.length(text)
+    plain = F.length(F.regexp_replace(text, r"[!-@\[-`{-~]", ""))
+    return F.when(F.coalesce(length, F.lit(0)) == 0, F.lit(1.0)).otherwise(F.greatest(F.lit(LEAST_WEIGHT), plain / length))
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -83,12 +92,12 @@ def mix(
     ``keep`` names further columns of ``docs`` to carry along.
     """
     size = words_of(F.col(text))
-    sized = docs.select("doc_id", "source", *keep, size.alias("size"), F.length(text).alias("_len"))
-    weight = quality if quality is not None else quality_weight(F.col("_len"), F.col("size"))
-    u = unit_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    keyed = sized.withColumn("_key", -F.log(u) / weight).drop("_len")
-    position = F.least(F.floor((1 - F.exp(-F.col("_key"))) * slices), F.lit(slices - 1)).cast("int")
-    base = cut(keyed.withColumn("_slice", position))
+    weight = quality if quality is not None else quality_weight(F.col(text))
+    u = unit_hash(F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    base = cut(docs.select("doc_id", "source", *keep, size.alias("size"), (-F.log(u) / weight).alias("_key")))
+    # most keys lie within eight factors of two
+    per_octave = max(slices, -(-base.count() // (8 * SLICE_ROWS)))
+    base = base.withColumn("_slice", F.floor(F.log2("_key") * per_octave).cast("long"))
 
     by_slice = base.groupBy("source", "_slice").agg(F.sum("size").alias("words"))
     along = W.partitionBy("source").orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow)

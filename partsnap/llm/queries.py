@@ -88,11 +88,11 @@ SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 OP2 = rf"""
 WITH d AS (
-  SELECT doc_id, source, {SIZE}::BIGINT AS size, length(text) AS n,
-         md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+  SELECT doc_id, source, {SIZE}::BIGINT AS size, length(text) AS n, length(regexp_replace(text, '[!-@\[-`{{-~]', '', 'g')) AS plain,
+         md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS h FROM documents),
 k AS (
   SELECT *, -ln((('0x' || substr(h, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
-            / CASE WHEN n >= 3 * size AND n <= 12 * size THEN 1.0 ELSE 0.25 END AS key FROM d),
+            / CASE WHEN coalesce(n, 0) = 0 THEN 1.0::DOUBLE ELSE greatest(0.05::DOUBLE, plain::DOUBLE / n::DOUBLE) END AS key FROM d),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
