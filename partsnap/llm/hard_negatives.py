@@ -217,7 +217,7 @@ def packed(vectors: DataFrame, dims: int, slabs: int, sample: np.ndarray) -> Dat
     first, last = (F.coalesce(F.get("v", F.lit(c)), F.lit(0)) for c in (wide[0], wide[-1]))
     slice_of = sum([(first >= F.lit(e)).cast("int") for e in ends], F.lit(0))
     order = ["slice", "at", "tie"]
-    dealt = vectors.withColumns({"slice": slice_of, "at": last, "tie": F.xxhash64("vec_id", "v")}).repartitionByRange(slabs, *order)
+    dealt = vectors.withColumns({"slice": slice_of, "at": last, "tie": F.xxhash64("vec_id", "v")}).repartitionByRange(slabs, *order).coalesce(slabs)
     return dealt.sortWithinPartitions(*order).select("vec_id", "label", "v").mapInArrow(pack, SLAB)
 
 
