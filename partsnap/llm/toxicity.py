@@ -8,12 +8,14 @@ A misspelt word shares most n-grams with the word it stands for.  Segments keep
 a few words from drowning in a long text, which is still read whole.
 
 Table and softmax are trained jointly in numpy on a bounded sample: all
-segments of at most ``PER_CLASS`` labelled rows a class.  Rounds first use all segments, then each text's
-worst one.  At scoring time the softmax of an average is the average of one
+segments of at most ``PER_CLASS`` labelled rows a class.  The driver holds them as
+word numbers (four bytes a word) and the n-grams of each distinct word.  Rounds
+first use all segments, then each text's worst one.  At scoring time the softmax of an average is the average of one
 number per bucket, so a task needs one array of ``BUCKETS`` numbers.
 
 Defined cases: null, empty and word-less texts score as an empty bag (the
-model's bias, at most 0.5); without both labels to learn from, all score 0;
+model's bias, at most 0.5); without both labels to learn from, all score as the
+one label says (0 without any);
 null doc_id is scored and not held out; repeated rows each give their row; an
 empty table gives an empty result; columns other than doc_id and text are not
 read.
@@ -28,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import U, mix, numbers
+from .common import cut
+from .textops import U, Words, mix, numbers
 from .training import Adam, held_out, sample, sigmoid
 
 BUCKETS = 1 << 17
@@ -37,7 +40,7 @@ DIMS = 8
 PER_CLASS = 1500
 GRAMS = (3, 4, 5)
 CHUNK = 1 << 18
-BLOCK = 1 << 19  # n-grams that training handles at a time
+BLOCK = 1 << 18  # words that training handles at a time
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -93,78 +96,101 @@ def text_chunks(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[tuple[int
         yield begin, held
 
 
-def segment_bags(docs: DataFrame) -> DataFrame:
-    """(doc_id, y, sizes, ids): packed bag sizes and buckets of the sampled rows' segments."""
+def sampled_words(docs: DataFrame) -> DataFrame:
+    """The sampled rows as packed word numbers (doc_id, y, words), and each word's n-gram buckets (word, ids).
+
+    An n-gram lies within one word and the white space around it, so a text is told by
+    its words, and the n-grams of a word have to be told once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Subwords()
+        reader, hasher = Subwords(), Words(lower=True)
+        names, kinds = ["doc_id", "y", "words", "word", "ids"], [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
         for batch in batches:
-            sizes, ids = [], []
+            told, known = [], {}
             for _, texts in text_chunks(batch):
-                grams, seg, owner, size = reader.read(texts)
-                edge = np.append(seg, size)
-                first = np.searchsorted(owner, np.arange(len(texts) + 1))
-                for a, b in zip(first[:-1], first[1:], strict=True):
-                    bags = [g[edge[s] : edge[s + 1]][ok[edge[s] : edge[s + 1]]] for s in range(a, b) for g, ok in grams]
-                    sizes.append(np.array([len(x) for x in bags], np.int32).reshape(-1, len(GRAMS)).sum(axis=1, dtype=np.int32).tobytes())
-                    ids.append(np.concatenate(bags).tobytes())
-            yield pa.record_batch([batch.column("doc_id"), batch.column("y"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], ["doc_id", "y", "sizes", "ids"])
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(y as int) y", "text").mapInArrow(run, "doc_id long, y int, sizes binary, ids binary")
-
-
-def train(y: np.ndarray, n_bags: np.ndarray, n: np.ndarray, ids: np.ndarray, rounds: int = 60, warm_up: int = 25, rate: float = 0.1) -> tuple[np.ndarray, float]:
-    """(number per bucket, bias) of the trained model.
-
-    ``y`` are the rows' labels, ``n_bags`` their numbers of bags, ``n`` the
-    sizes of all bags and ``ids`` their buckets, one after the other.
-    """
+                grams, _, _, size = reader.read(texts)
+                raw = np.frombuffer(b" " + b" ".join(texts), np.uint8)
+                starts, ends, first = hasher.bounds(raw, np.cumsum([1, *[len(t) + 1 for t in texts]]) - 1)
+                hashes = hasher.hashes(raw, starts, ends).astype(np.int64)
+                told += [hashes[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                fresh, at = np.unique(hashes, return_index=True)
+                for word, i in zip(fresh.tolist(), at.tolist(), strict=True):
+                    if word not in known:
+                        a, b = int(starts[i]) - 1, int(ends[i])
+                        known[word] = np.concatenate([g[a:b][ok[a:b]] for g, ok in grams]).tobytes()
+            n = len(told)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("y"), pa.array(told, kinds[2]), pa.nulls(n, kinds[3]), pa.nulls(n, kinds[4])], names)
+            n = len(known)
+            yield pa.record_batch([pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]), pa.array(list(known), kinds[3]), pa.array(list(known.values()), kinds[4])], names)
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(y as int) y", "text").mapInArrow(run, "doc_id long, y int, words binary, word long, ids binary")
+
+
+class Bags:
+    """Segments of texts as runs of words: ``n_words`` of each bag, their places in the list of distinct words, and those words' n-grams."""
+
+    def __init__(self, n_words: np.ndarray, words: np.ndarray, grams: np.ndarray, n_grams: np.ndarray):
+        self.n_words, self.words, self.grams, self.n_grams = n_words, words, grams, n_grams
+        self.first_gram = np.cumsum(n_grams) - n_grams
+        self.begin = np.append(0, np.cumsum(n_words))
+
+    def chosen(self, bags: np.ndarray) -> Bags:
+        """Some of the bags, with the words they use."""
+        used, words = np.unique(np.concatenate([self.words[self.begin[b] : self.begin[b + 1]] for b in bags.tolist()]), return_inverse=True)
+        grams = [self.grams[a : a + k] for a, k in zip(self.first_gram[used].tolist(), self.n_grams[used].tolist(), strict=True)]
+        return Bags(self.n_words[bags], words, np.concatenate([self.grams[:0], *grams]), self.n_grams[used])
+
+    def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first bag, end bag, their words, the bag of each, sizes of the bags in n-grams)."""
+        i = 0
+        while i < len(self.n_words):
+            j = max(i + 1, int(np.searchsorted(self.begin, self.begin[i] + BLOCK, side="right")) - 1)
+            words = self.words[self.begin[i] : self.begin[j]]
+            of = np.repeat(np.arange(j - i), self.n_words[i:j])
+            yield i, j, words, of, np.bincount(of, weights=self.n_grams[words], minlength=j - i)
+            i = j
+
+    def means(self, per_bucket: np.ndarray) -> np.ndarray:
+        """Average over the n-grams of each bag; 0 for an empty one."""
+        per_word = np.add.reduceat(per_bucket[self.grams], self.first_gram) if len(self.n_grams) else np.zeros(0)
+        out = np.zeros(len(self.n_words))
+        for i, j, words, of, size in self.blocks():
+            out[i:j] = np.bincount(of, weights=per_word[words], minlength=j - i) / np.maximum(size, 1)
+        return out
+
+    def back(self, g: np.ndarray, n_buckets: int) -> np.ndarray:
+        """Gradient by bucket from the gradient ``g`` of each bag's average."""
+        per_word = np.zeros(len(self.n_grams))
+        for i, j, words, of, size in self.blocks():
+            per_word += np.bincount(words, weights=(g[i:j] / np.maximum(size, 1))[of], minlength=len(per_word))
+        return np.bincount(self.grams, weights=np.repeat(per_word, self.n_grams), minlength=n_buckets)
+
+
+def train(y: np.ndarray, n_bags: np.ndarray, bags: Bags, rounds: int = 60, warm_up: int = 25, rate: float = 0.1) -> tuple[np.ndarray, float]:
+    """(number per bucket, bias) of the trained model; ``y`` are the texts' labels, ``n_bags`` their numbers of bags."""
     if not len(y) or y.min() == y.max():
-        return np.zeros(BUCKETS, np.float32), -40.0
+        return np.zeros(BUCKETS, np.float32), 40.0 if len(y) and y.min() == 1 else -40.0
     y = y.astype(float)
-    used = np.zeros(BUCKETS, bool)
-    for i in range(0, len(ids), BLOCK):
-        used[ids[i : i + BLOCK]] = True
-    place = (np.cumsum(used) - 1).astype(np.int32)
-    for i in range(0, len(ids), BLOCK):  # in place: the ids are most of the memory
-        ids[i : i + BLOCK] = place[ids[i : i + BLOCK]]
+    used, place = np.unique(bags.grams, return_inverse=True)
+    bags = Bags(bags.n_words, bags.words, place, bags.n_grams)
     rng = np.random.default_rng(61)
-    values = {"E": rng.normal(0, 0.1, (int(used.sum()), DIMS)), "w": rng.normal(0, 0.3, (DIMS, 2)), "b": np.zeros(2)}
+    values = {"E": rng.normal(0, 0.1, (len(used), DIMS)), "w": rng.normal(0, 0.3, (DIMS, 2)), "b": np.zeros(2)}
     adam = Adam(rate)
     owner = np.repeat(np.arange(len(y)), n_bags)
     first_bag = np.cumsum(n_bags) - n_bags
-    begin = np.append(0, np.cumsum(n, dtype=np.int64))
-
-    def blocks(sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(first bag, end bag, first id, end id) of runs of bags."""
-        ends = np.cumsum(sizes, dtype=np.int64)
-        i, at = 0, 0
-        while i < len(sizes):
-            j = max(i + 1, int(np.searchsorted(ends, at + BLOCK, side="right")))
-            yield i, j, at, int(ends[j - 1])
-            i, at = j, int(ends[j - 1])
-
-    def margins(which: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        per_bucket = values["E"] @ (values["w"][:, 1] - values["w"][:, 0])
-        out = np.zeros(len(sizes))
-        for i, j, a, b in blocks(sizes):
-            k = sizes[i:j]
-            total = np.add.reduceat(np.append(per_bucket[which[a:b]], 0.0), np.cumsum(k) - k)
-            out[i:j] = np.where(k > 0, total, 0) / np.maximum(k, 1)
-        return out + values["b"][1] - values["b"][0]
-
-    p_ids, p_n, p_owner, weight = ids, n, owner, (1 / n_bags[owner]) / len(y)
+
+    def margins(which: Bags) -> np.ndarray:
+        return which.means(values["E"] @ (values["w"][:, 1] - values["w"][:, 0])) + values["b"][1] - values["b"][0]
+
+    now, now_owner, weight = bags, owner, (1 / n_bags[owner]) / len(y)
     for r in range(rounds):
         if r >= warm_up and (r - warm_up) % 5 == 0:  # from now on each text's worst segment, as the model stands
-            pick = np.lexsort((-margins(ids, n), owner))[first_bag]
-            p_n, p_owner, weight = n[pick], owner[pick], np.full(len(pick), 1 / len(y))
-            p_ids = np.concatenate([ids[begin[s] : begin[s + 1]] for s in pick])
+            pick = np.lexsort((-margins(bags), owner))[first_bag]
+            now, now_owner, weight = bags.chosen(pick), owner[pick], np.full(len(pick), 1 / len(y))
         # of the softmax's second output; the first one has the opposite gradient
-        g = (sigmoid(margins(p_ids, p_n)) - y[p_owner]) * weight
-        per_bucket = np.zeros(len(values["E"]))
-        for i, j, a, b in blocks(p_n):
-            each = np.repeat(g[i:j] / np.maximum(p_n[i:j], 1), p_n[i:j])
-            per_bucket += np.bincount(p_ids[a:b], weights=each, minlength=len(per_bucket))
+        g = (sigmoid(margins(now)) - y[now_owner]) * weight
+        per_bucket = now.back(g, len(used))
         dw = values["E"].T @ per_bucket
         adam.step(values, {
             "E": per_bucket[:, None] * (values["w"][:, 1] - values["w"][:, 0])[None, :] + 1e-7 * values["E"],
@@ -177,13 +203,22 @@ def train(y: np.ndarray, n_bags: np.ndarray, n: np.ndarray, ids: np.ndarray, rou
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
-    chosen = segment_bags(sample(docs, labels, label, per_class)).orderBy("doc_id").toArrow()
-    y = chosen.column("y").to_numpy(zero_copy_only=False)
-    sizes = [np.frombuffer(x.as_py(), np.int32) for x in chosen.column("sizes")]
+    sampled = cut(sampled_words(sample(docs, labels, label, per_class)))
+    listed = sampled.where("word is not null").groupBy("word").agg(F.min("ids").alias("ids")).orderBy("word").toArrow()
+    known = listed.column("word").to_numpy()
+    grams = [np.frombuffer(x.as_buffer(), np.int32) for x in listed.column("ids")]
+    texts = sampled.where("word is null").select("doc_id", "y", "words").orderBy("doc_id").toArrow()
+    y = texts.column("y").to_numpy(zero_copy_only=False)
     none = np.zeros(0, np.int32)
-    ids = np.concatenate([none, *[np.frombuffer(x.as_buffer(), np.int32) for x in chosen.column("ids")]])
-    del chosen
-    return train(y, np.array([len(x) for x in sizes], np.int64), np.concatenate([none, *sizes]), ids)
+    # places in the list of words, four bytes each
+    words = [np.searchsorted(known, np.frombuffer(x.as_buffer(), np.int64)).astype(np.int32) for x in texts.column("words")]
+    n = np.array([len(x) for x in words], np.int64)
+    n_bags = np.maximum(-(-n // SEGMENT), 1)
+    n_words = np.full(int(n_bags.sum()), SEGMENT, np.int64)
+    n_words[np.cumsum(n_bags) - 1] = n - (n_bags - 1) * SEGMENT
+    bags = Bags(n_words, np.concatenate([none, *words]), np.concatenate([none, *grams]), np.array([len(x) for x in grams], np.int64))
+    del listed, texts, words
+    return train(y, n_bags, bags)
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ()) -> DataFrame:

@@ -47,12 +47,48 @@ def test_toxicity_learns_from_every_segment_of_a_long_text(spark):
         docs.append((i, " ".join(words)))
         labels.append((i, i % 2))
     docs = spark.createDataFrame(docs, "doc_id long, text string")
-    rows = toxicity.segment_bags(docs.selectExpr("doc_id", "0 y", "text")).collect()
-    assert {len(r.sizes) // 4 for r in rows} == {2000}
+    rows = toxicity.sampled_words(docs.selectExpr("doc_id", "0 y", "text")).collect()
+    assert {len(r.words) // 8 for r in rows if r.words is not None} == {4000}
+    assert len({r.word for r in rows} - {None}) == 31
     rows = toxicity.classify(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
     assert [r.predicted for r in sorted(rows, key=lambda r: r.doc_id)] == [i % 2 for i in range(60)]
 
 
+def grams_of(word):
+    """Buckets of one word's n-grams, from a text of that word alone."""
+    grams, _, _, size = toxicity.Subwords().read([word.encode()])
+    return [int(b) for g, ok in grams for b, good in zip(g[:size], ok[:size]) if good]
+
+
+def test_words_tell_the_n_grams_of_a_text(spark):
+    texts = ["One two\x0b three, fOUR ", "", "a", "\u00e9t\u00e9 x" * 3, None]
+    rows = toxicity.sampled_words(spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "doc_id long, y int, text string")).collect()
+    known = {r.word: np.frombuffer(r.ids, np.int32).tolist() for r in rows if r.word is not None}
+    for r in rows:
+        if r.word is None:
+            told = [g for w in np.frombuffer(r.words, np.int64).tolist() for g in known[w]]
+            assert sorted(told) == sorted(g for w in (texts[r.doc_id] or "").split() for g in grams_of(w))
+
+
+def test_scores_by_a_plain_forward_pass(spark):
+    rng = np.random.default_rng(3)
+    model = (rng.normal(0, 3, toxicity.BUCKETS).astype(np.float32), -0.7)
+    texts = ["one two three", "One", "", None, " \t", "x " * 501, "a bc def ghij klmno", "z" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.scored(docs, model).collect():
+        words = (texts[r.doc_id] or "").split()
+        bags = [[g for w in words[i : i + toxicity.SEGMENT] for g in grams_of(w)] for i in range(0, len(words), toxicity.SEGMENT)] or [[]]
+        worst = max(sum(float(model[0][g]) for g in bag) / max(1, len(bag)) for bag in bags)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(worst + model[1]))), abs=1e-5)
+
+
+def test_one_label_only(spark):
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(20)], "doc_id long, text string")
+    for y in (0, 1):
+        labels = spark.createDataFrame([(i, y) for i in range(20)], "doc_id long, toxic int")
+        assert {r.predicted for r in toxicity.classify(docs, labels).collect()} == {y}
+
+
 def test_sample_takes_a_repeated_document_once(spark):
     docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (1, None), (3, None), (4, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (3, 1), (4, None)], "doc_id long, toxic int")
