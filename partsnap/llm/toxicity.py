@@ -97,34 +97,46 @@ def text_chunks(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[tuple[int
 
 
 def sampled_words(docs: DataFrame) -> DataFrame:
-    """The sampled rows as packed word numbers (doc_id, y, words), and each word's n-gram buckets (word, ids).
+    """The sampled rows as packed word numbers (doc_id, y, words), and the words behind the numbers (word, text).
 
     An n-gram lies within one word and the white space around it, so a text is told by
-    its words, and the n-grams of a word have to be told once.
+    its words, and the n-grams of a word have to be found once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, hasher = Subwords(), Words(lower=True)
-        names, kinds = ["doc_id", "y", "words", "word", "ids"], [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+        hasher = Words(lower=True)
+        names, kinds = ["doc_id", "y", "words", "word", "text"], [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+        seen: set[int] = set()
         for batch in batches:
-            told, known = [], {}
+            told, fresh = [], {}
             for _, texts in text_chunks(batch):
-                grams, _, _, size = reader.read(texts)
                 raw = np.frombuffer(b" " + b" ".join(texts), np.uint8)
                 starts, ends, first = hasher.bounds(raw, np.cumsum([1, *[len(t) + 1 for t in texts]]) - 1)
                 hashes = hasher.hashes(raw, starts, ends).astype(np.int64)
                 told += [hashes[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-                fresh, at = np.unique(hashes, return_index=True)
-                for word, i in zip(fresh.tolist(), at.tolist(), strict=True):
-                    if word not in known:
-                        a, b = int(starts[i]) - 1, int(ends[i])
-                        known[word] = np.concatenate([g[a:b][ok[a:b]] for g, ok in grams]).tobytes()
+                for word, i in zip(*(x.tolist() for x in np.unique(hashes, return_index=True)), strict=True):
+                    if word not in seen:
+                        seen.add(word)
+                        fresh[word] = raw[starts[i] : ends[i]].tobytes().lower()
             n = len(told)
             yield pa.record_batch([batch.column("doc_id"), batch.column("y"), pa.array(told, kinds[2]), pa.nulls(n, kinds[3]), pa.nulls(n, kinds[4])], names)
-            n = len(known)
-            yield pa.record_batch([pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]), pa.array(list(known), kinds[3]), pa.array(list(known.values()), kinds[4])], names)
+            n = len(fresh)
+            yield pa.record_batch([pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]), pa.array(list(fresh), kinds[3]), pa.array(list(fresh.values()), kinds[4])], names)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(y as int) y", "text").mapInArrow(run, "doc_id long, y int, words binary, word long, ids binary")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(y as int) y", "text").mapInArrow(run, "doc_id long, y int, words binary, word long, text binary")
+
+
+def grams_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' n-grams, word after word, and how many each word has."""
+    grams, _, _, size = Subwords().read(words)
+    begins = np.cumsum([0, *[len(w) + 1 for w in words]])[:-1]  # the blank before each word
+    owner, ids = [], []
+    for g, ok in grams:
+        at = np.flatnonzero(ok[:size])
+        owner.append(np.searchsorted(begins, at, side="right") - 1)
+        ids.append(g[at])
+    owner, ids = np.concatenate(owner), np.concatenate(ids)
+    return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
 class Bags:
@@ -204,9 +216,9 @@ def train(y: np.ndarray, n_bags: np.ndarray, bags: Bags, rounds: int = 60, warm_
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     sampled = cut(sampled_words(sample(docs, labels, label, per_class)))
-    listed = sampled.where("word is not null").groupBy("word").agg(F.min("ids").alias("ids")).orderBy("word").toArrow()
+    listed = sampled.where("word is not null").groupBy("word").agg(F.min("text").alias("text")).orderBy("word").toArrow()
     known = listed.column("word").to_numpy()
-    grams = [np.frombuffer(x.as_buffer(), np.int32) for x in listed.column("ids")]
+    grams, n_grams = grams_of(listed.column("text").to_pylist()) if len(known) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
     texts = sampled.where("word is null").select("doc_id", "y", "words").orderBy("doc_id").toArrow()
     y = texts.column("y").to_numpy(zero_copy_only=False)
     none = np.zeros(0, np.int32)
@@ -216,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     n_bags = np.maximum(-(-n // SEGMENT), 1)
     n_words = np.full(int(n_bags.sum()), SEGMENT, np.int64)
     n_words[np.cumsum(n_bags) - 1] = n - (n_bags - 1) * SEGMENT
-    bags = Bags(n_words, np.concatenate([none, *words]), np.concatenate([none, *grams]), np.array([len(x) for x in grams], np.int64))
+    bags = Bags(n_words, np.concatenate([none, *words]), grams, n_grams)
     del listed, texts, words
     return train(y, n_bags, bags)
 
