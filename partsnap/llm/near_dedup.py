@@ -24,9 +24,18 @@ Large groups never yield all their pairs:
    k of its missing or novel shingles in common with it, k following from both
    sizes; with these shingles in one order, rarest first, one of the common
    ones is among all but the last k - 1 of each (prefix filter).  So a stray
-   meets only members with such a rare shingle.  Members of a bucket of which
-   one is not similar to the hub are paired if the overlaps with the hub leave
-   room for a link.  These pairs are compared.
+   meets only members with such a rare shingle.
+5. A member not similar to its hub (less than 0.5) can only be linked to a
+   member at less than 0.65 of this hub, as 1 - similarity is a metric.  Such
+   members go through a prefix filter on their full sets: linked sets of n <= m
+   shingles, rarest first, have their first common one among the first
+   n - ceil(170 n / 185) + 1 of the smaller and m - ceil(0.85 m) + 1 of the
+   larger set, and enough shingles after it.  Documents of one template, each
+   with words of its own, so meet nobody.  Pairs of 4 and 5 are compared.
+
+What one hub, bucket or shingle holds never goes to one task: keys with more
+than a thousandth of the rows (``hot_keys``, fewer than a thousand) are spread
+over ``SPREAD`` places, and what is joined to them is copied there.
 
 Each candidate pair is thus compared, known to be connected, or proven not to
 be a link.
@@ -58,6 +67,8 @@ SHINGLE = 3
 THRESHOLD = 85  # percent
 BANDS, ROWS = 33, 6
 CHUNK = 1 << 19
+SPREAD = 64
+HOT_SHARE = 1000  # keys with more than one in so many rows are spread
 
 
 def shingle_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,31 +206,45 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, count: str) -> list[int]:
+    """Keys that hold more than a thousandth of all rows, so fewer than a thousand of them; ``counts`` has a row a key."""
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    return [r[0] for r in counts.where(F.col(count) * HOT_SHARE > total).select(key).collect()]
+
+
+def beside(rows: DataFrame, facts: DataFrame, key: str, hot: list[int], by: str = "x", how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row of ``facts`` for their key; the rows of hot keys are spread by the column ``by``."""
+    is_hot = F.expr(f"`{key}` in ({', '.join(map(str, hot))})") if hot else F.lit(False)
+    spread = rows.withColumn("_place", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(SPREAD)).cast("int")).otherwise(0))
+    places = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    return spread.join(facts.withColumn("_place", F.explode(places)), [key, "_place"], how).drop("_place")
+
+
+def with_components(rows: DataFrame, labels: DataFrame, hot: list[int]) -> DataFrame:
     """``rows`` of (h, x, ...) with the component of x, for hubs that see more than one, and the hub's main one."""
     of = labels.select(F.col("id").alias("x"), "component")
     known = rows.drop("component", "main").join(of, "x", "left").withColumn("component", F.coalesce("component", "x"))
     sizes = known.groupBy("h", "component").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("h").agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return known.join(main.select("h", F.col("top.component").alias("main")), "h")
+    return beside(known, main.select("h", F.col("top.component").alias("main")), "h", hot)
 
 
-def against_consensus(close: DataFrame) -> DataFrame:
+def against_consensus(close: DataFrame, hot: list[int]) -> DataFrame:
     """(h, x, n, m, v, c, f, apart): each member's distance from its group's consensus.
 
-    ``close`` are (h, x, n, n_h, novel, missing).  ``apart`` are the shingles
-    missing or novel against the consensus, m and v their numbers, c the size
-    of the consensus and f = 185 m + 85 n.
+    ``close`` are (h, x, n, n_h, novel, missing), two members or more a hub.
+    ``apart`` are the shingles missing or novel against the consensus, m and v
+    their numbers, c the size of the consensus and f = 185 m + 85 n.
     """
     size = close.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
 
     def common(column: str) -> DataFrame:
-        counts = close.select("h", F.explode(column).alias("s")).groupBy("h", "s").agg(F.count(F.lit(1)).alias("k"))
-        often = counts.join(size, "h").where(2 * F.col("k") > F.col("members"))
+        counts = close.select("h", F.explode(column).alias("s")).groupBy("h", "s").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+        often = beside(counts, size, "h", hot, by="s").where(2 * F.col("k") > F.col("members"))
         return often.groupBy("h").agg(F.collect_list("s").alias(f"all_{column}"))
 
     none = F.expr("cast(array() as array<long>)")
-    rows = close.join(common("novel"), "h", "left").join(common("missing"), "h", "left")
+    rows = beside(beside(close, common("novel"), "h", hot, how="left"), common("missing"), "h", hot, how="left")
     rows = rows.withColumns({c: F.coalesce(c, none) for c in ("all_novel", "all_missing")})
     novel = F.concat(F.array_except("novel", "all_novel"), F.array_except("all_missing", "missing"))
     missing = F.concat(F.array_except("missing", "all_missing"), F.array_except("all_novel", "novel"))
@@ -231,18 +256,26 @@ def against_consensus(close: DataFrame) -> DataFrame:
     return rows.withColumn("f", (100 + THRESHOLD) * F.col("m") + THRESHOLD * F.col("n")).select("h", "x", "n", "m", "v", "c", "f", "apart")
 
 
-def central_links(members: DataFrame) -> DataFrame:
+def central_links(members: DataFrame, hot: list[int]) -> DataFrame:
     """Links (a, b) to each group's member of least f that the distances from the consensus prove."""
     center = members.groupBy("h").agg(F.min(F.struct("f", "x")).alias("center"))
     sure = F.col("f") + F.col("center.f") <= (100 + THRESHOLD) * F.col("c")
-    return members.join(center, "h").where(sure & (F.col("x") != F.col("center.x"))).select(F.col("center.x").alias("a"), F.col("x").alias("b"))
+    return beside(members, center, "h", hot).where(sure & (F.col("x") != F.col("center.x"))).select(F.col("center.x").alias("a"), F.col("x").alias("b"))
 
 
-def rare_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
+def rarest_first(tokens: DataFrame, owner: list[str]) -> DataFrame:
+    """Tokens t that several owners have, with their place ``nth`` among their owner's ``size`` tokens in order of rarity."""
+    shared = cut(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+    along = W.partitionBy(*owner)
+    alone = F.col("size") - F.count(F.lit(1)).over(along)  # these come first
+    return beside(tokens, shared, "t", hot_keys(shared, "t", "k")).withColumn("nth", alone + F.row_number().over(along.orderBy("k", "t")))
+
+
+def rare_pairs(members: DataFrame, labels: DataFrame, hot: list[int]) -> DataFrame:
     """Pairs (h, x) of a stray and a member of another component that share a rare enough shingle."""
-    known = with_components(members, labels).withColumn("stray", F.col("component") != F.col("main"))
+    known = with_components(members, labels, hot).withColumn("stray", F.col("component") != F.col("main"))
     least = known.groupBy("h").agg(F.min("f").alias("least_f"), F.min(F.when(F.col("stray"), F.col("f"))).alias("least_stray_f"))
-    known = known.join(least, "h")
+    known = beside(known, least, "h", hot)
     whole = 100 + THRESHOLD
 
     def usable(partner_f: str):
@@ -253,25 +286,46 @@ def rare_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
     # strays ask, with a view to any partner; members answer, with a view to strays
     known = known.withColumns({"asks": F.when(F.col("stray"), usable("least_f")).otherwise(0), "answers": usable("least_stray_f")})
     known = cut(known.where("asks > 0 or answers > 0"))
-    tokens = known.select("h", "x", "m", "v", "c", "f", "component", "asks", "answers", F.explode("apart").alias("s"))
-    shared = tokens.groupBy("h", "s").agg(F.count(F.lit(1)).alias("k"))
-    rarest = W.partitionBy("h", "x").orderBy("k", "s")
-    first = tokens.join(shared, ["h", "s"]).withColumn("nth", F.row_number().over(rarest)).where("k > 1 and nth <= greatest(asks, answers)")
-    first = cut(first)
+    tokens = known.select("h", "x", "m", "v", "c", "f", "component", "asks", "answers", F.size("apart").alias("size"), F.explode("apart").alias("s"))
+    tokens = tokens.withColumn("t", F.xxhash64("h", "s"))
+    first = cut(rarest_first(tokens, ["h", "x"]).where("nth <= greatest(asks, answers)"))
     x, y = first.where("nth <= asks").alias("x"), first.where("nth <= answers").alias("y")
     room = whole * (F.least("x.m", "y.m") + F.least("x.v", "y.v") + F.col("x.c")) >= F.col("x.f") + F.col("y.f")
-    meet = (F.col("x.h") == F.col("y.h")) & (F.col("x.s") == F.col("y.s")) & (F.col("x.component") != F.col("y.component")) & room
+    meet = (F.col("x.t") == F.col("y.t")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & room
     return x.join(y, meet).select(F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x"))
 
 
-def far_pairs(rows: DataFrame, overlaps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (h, x) of members of a bucket, at least one unlike its hub, whose overlaps with the hub leave room for a link."""
-    narrow = overlaps.select("h", "x", "n", "a", F.col("novel").isNotNull().alias("close"))
-    known = cut(rows.join(with_components(narrow, labels), ["h", "x"]))
-    x, y = known.where("component <> main").alias("x"), known.alias("y")
-    most = F.least("x.a", "y.a") + F.least(F.col("x.n") - F.col("x.a"), F.col("y.n") - F.col("y.a"))
-    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & ~(F.col("x.close") & F.col("y.close"))
-    return x.join(y, meet & linked(most, F.col("x.n"), F.col("y.n"))).select(F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x"))
+def exploded(texts: DataFrame) -> DataFrame:
+    """x, one (which of its texts), size and shingle t of every (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(lower=True)
+        for batch in batches:
+            for i, sets in sets_of(batch.column("text"), words):
+                one = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]
+                offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                ts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64)))
+                yield pa.record_batch([batch.column("id").slice(i, len(sets)), pa.array(one, pa.int64()), pa.array(np.diff(offsets), pa.int64()), ts], ["x", "one", "size", "ts"])
+
+    return texts.select("id", "text").mapInArrow(run, "x long, one long, size long, ts array<long>").select("x", "one", "size", F.explode("ts").alias("t"))
+
+
+def far_pairs(overlaps: DataFrame, labels: DataFrame, texts: DataFrame, hot: list[int]) -> DataFrame:
+    """Pairs (h, x) of members unlike a hub and members not much like it that share a rare enough shingle of their full sets."""
+    narrow = overlaps.where(100 * F.col("a") < 65 * (F.col("n_h") + F.col("n") - F.col("a"))).select("h", "x", F.col("novel").isNull().alias("far"))
+    several_parts = with_components(overlaps.select("h", "x"), labels, hot).select("h").distinct()
+    known = beside(narrow, several_parts, "h", hot).groupBy("x").agg(F.max("far").alias("far"))
+    known = cut(known.join(labels.select(F.col("id").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x")))
+    chosen = texts.join(known.select(F.col("x").alias("id")), "id", "left_semi").dropDuplicates(["id", "text"])
+    first = rarest_first(exploded(chosen), ["x", "one"]).where(f"nth <= size - (size * {THRESHOLD} + 99) div 100 + 1")
+    first = cut(first.select("x", "size", "t", "nth").join(known, "x"))
+    x, y = first.alias("x"), first.alias("y")
+    n, m = F.col("x.size"), F.col("y.size")
+    meet = (F.col("x.t") == F.col("y.t")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.far") | F.col("y.far"))
+    meet &= ((n < m) | ((n == m) & (F.col("x.x") < F.col("y.x")))) & (100 * n >= THRESHOLD * m)
+    meet &= F.expr(f"x.nth <= x.size - (x.size * {2 * THRESHOLD} + {99 + THRESHOLD}) div {100 + THRESHOLD} + 1")
+    meet &= linked(F.least(n - F.col("x.nth"), m - F.col("y.nth")) + 1, n, m)
+    return x.join(y, meet).select(F.least("x.x", "y.x").alias("h"), F.greatest("x.x", "y.x").alias("x"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -281,17 +335,21 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         sketch.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
         .groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.min("bands").alias("bands"))
     )
-    crowded = cut(several(classes.select(F.explode("bands").alias("bucket"), F.col("id").alias("x"))))
+    in_buckets = classes.select(F.explode("bands").alias("bucket"), F.col("id").alias("x"))
+    counts = cut(in_buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    hot = hot_keys(counts, "bucket", "c")
+    crowded = cut(beside(in_buckets, counts, "bucket", hot))
 
     # 2. the hub of a bucket
     weight = crowded.groupBy("x").agg(F.sum("c").alias("met"))
     weighed = crowded.drop("c").join(weight, "x")
     hubs = weighed.groupBy("bucket").agg(F.max(F.struct("met", F.xxhash64("x"), "x")).alias("top")).select("bucket", F.col("top.x").alias("h"))
-    rows = cut(crowded.select("bucket", "x").join(hubs, "bucket").where("x <> h"))
+    rows = cut(beside(crowded.select("bucket", "x"), hubs, "bucket", hot).where("x <> h").select("h", "x").distinct())
     by_id = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
     involved = crowded.select(F.col("x").alias("id")).distinct()
     texts = cut(by_id.join(involved.hint("shuffle_hash"), "id", "left_semi"))
-    overlaps = cut(compared(rows.select("h", "x").distinct(), texts))
+    overlaps = cut(compared(rows, texts))
+    hot = hot_keys(overlaps.groupBy("h").agg(F.count(F.lit(1)).alias("c")), "h", "c")
     found = overlaps.where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b"))
     labels = components(found)
 
@@ -300,13 +358,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     itself = overlaps.groupBy("h").agg(F.max("n_h").alias("n"))
     itself = itself.select("h", F.col("h").alias("x"), "n", F.col("n").alias("n_h"), none.alias("novel"), none.alias("missing"))
     close = overlaps.where(F.col("novel").isNotNull()).select(*itself.columns).unionAll(itself)
-    close = with_components(close, labels).select(*itself.columns)
-    members = cut(against_consensus(cut(close)))
-    found = cut(found.union(central_links(members)))
+    close = with_components(close, labels, hot).select(*itself.columns)
+    members = cut(against_consensus(cut(close), hot))
+    found = cut(found.union(central_links(members, hot)))
     labels = components(found)
 
     # 4. what may still link two components
-    pairs = rare_pairs(members, labels).unionAll(far_pairs(rows, overlaps, labels)).distinct()
+    pairs = rare_pairs(members, labels, hot).unionAll(far_pairs(overlaps, labels, texts, hot)).distinct()
     late = compared(pairs, texts).where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b"))
     late = cut(late)
     if not late.isEmpty():
@@ -320,12 +378,6 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def several(rows: DataFrame) -> DataFrame:
-    """Bucket rows of buckets with more than one class, and how many these have (c)."""
-    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    return rows.join(counts, "bucket")
-
-
 def survivors(docs: DataFrame) -> DataFrame:
     """The documents that are the smallest of their component, with the columns of ``docs``.
 

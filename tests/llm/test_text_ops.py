@@ -147,6 +147,42 @@ def test_near_dedup_finds_every_link_of_edited_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows)
 
 
+def test_near_dedup_of_members_unlike_their_hub(spark):
+    """Texts of one template that share from a quarter to nine tenths of their words."""
+    rng = random.Random(7)
+    template = [f"t{i}" for i in range(100)]
+    texts = []
+    for i in range(160):
+        own = [f"o{i}x{j}" for j in range(rng.choice([10, 40, 90]))]
+        variant = template[: rng.choice([60, 100])] + own
+        texts.append(" ".join(variant))
+        for j in range(rng.choice([0, 0, 1, 2])):
+            texts.append(" ".join([*variant[: rng.randrange(len(variant) - 4, len(variant) + 1)], f"e{i}y{j}"]))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows)
+
+
+def test_near_dedup_compares_few_texts_of_one_template(spark, monkeypatch):
+    """Similar to 0.45 with words of their own: nothing to link, and pairs grow with the documents, not with their square."""
+    template = " ".join(f"t{i}" for i in range(102))
+    pairs, compared = [], near_dedup.compared
+
+    def counted(rows, texts):
+        pairs.append(rows.count())
+        return compared(rows, texts)
+
+    monkeypatch.setattr(near_dedup, "compared", counted)
+    totals = []
+    for n in (500, 1000):
+        pairs.clear()
+        docs = spark.createDataFrame([(i, template + " " + " ".join(f"o{i}x{j}" for j in range(60))) for i in range(n)], "doc_id long, text string")
+        assert near_dedup.near_dedup(docs).where("kept").count() == n
+        totals.append(sum(pairs))
+    assert totals[0] < 40 * 500 and totals[1] < 2.5 * totals[0]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=12))
 def test_plan_places_every_piece_once(counts):
