@@ -34,8 +34,9 @@ Large groups never yield all their pairs:
    with words of its own, so meet nobody.  Pairs of 4 and 5 are compared.
 
 What one hub, bucket or shingle holds never goes to one task: keys with more
-than a thousandth of the rows (``hot_keys``, fewer than a thousand) are spread
-over ``SPREAD`` places, and what is joined to them is copied there.
+rows than an even task would get (``hot_keys``, fewer than there are shuffle
+partitions) are spread over ``SPREAD`` places, and what is joined to them is
+copied there.
 
 Each candidate pair is thus compared, known to be connected, or proven not to
 be a link.
@@ -68,7 +69,6 @@ THRESHOLD = 85  # percent
 BANDS, ROWS = 33, 6
 CHUNK = 1 << 19
 SPREAD = 64
-HOT_SHARE = 1000  # keys with more than one in so many rows are spread
 
 
 def shingle_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,9 +207,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, key: str, count: str) -> list[int]:
-    """Keys that hold more than a thousandth of all rows, so fewer than a thousand of them; ``counts`` has a row a key."""
+    """Keys with more rows than an even task would get, so fewer of them than shuffle partitions; ``counts`` has a row a key."""
     total = counts.agg(F.sum(count)).first()[0] or 0
-    return [r[0] for r in counts.where(F.col(count) * HOT_SHARE > total).select(key).collect()]
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [r[0] for r in counts.where(F.col(count) * tasks > total).select(key).collect()]
 
 
 def beside(rows: DataFrame, facts: DataFrame, key: str, hot: list[int], by: str = "x", how: str = "inner") -> DataFrame:
