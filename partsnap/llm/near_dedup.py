@@ -206,6 +206,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, component) after further links (a, b), by the components that these connect."""
+    def of(end: str) -> DataFrame:
+        return labels.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ends = ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    across = cut(ends.where("a <> b").distinct())
+    if across.isEmpty():
+        return labels
+    top = components(across)
+    moved = labels.join(top.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+    moved = moved.select("id", F.coalesce("to", "component").alias("component"))
+    return cut(moved.unionAll(top.join(labels, "id", "left_anti")))
+
+
 def hot_keys(counts: DataFrame, key: str, count: str) -> list[int]:
     """Keys with more rows than an even task would get, so fewer of them than shuffle partitions; ``counts`` has a row a key."""
     total = counts.agg(F.sum(count)).first()[0] or 0
@@ -361,15 +377,12 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     close = overlaps.where(F.col("novel").isNotNull()).select(*itself.columns).unionAll(itself)
     close = with_components(close, labels, hot).select(*itself.columns)
     members = cut(against_consensus(cut(close), hot))
-    found = cut(found.union(central_links(members, hot)))
-    labels = components(found)
+    labels = merged(labels, central_links(members, hot))
 
     # 4. what may still link two components
     pairs = rare_pairs(members, labels, hot).unionAll(far_pairs(overlaps, labels, texts, hot)).distinct()
     late = compared(pairs, texts).where(linked(F.col("a"), F.col("n_h"), F.col("n"))).select(F.col("h").alias("a"), F.col("x").alias("b"))
-    late = cut(late)
-    if not late.isEmpty():
-        labels = components(found.union(late))
+    labels = merged(labels, late)
 
     of_class = classes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     known = sketch.where(F.col("digest").isNotNull()).select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
