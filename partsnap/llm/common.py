@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,16 +28,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and go on from there.
 
     The folder is the one of ``spark.checkpoint.dir``; only a local session
-    that has none (tests) gets a folder of its own.
+    that has none (tests) gets a folder of its own.  With ``drop_shuffles`` the
+    shuffle files behind ``df`` go once it is written, as nothing reads them
+    again, instead of when the driver next collects garbage.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    if not drop_shuffles:
+        return df.checkpoint()
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint()  # a query takes the setting over when it is made
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
 
 
 def words_of(text: Column) -> Column:

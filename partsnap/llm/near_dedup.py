@@ -61,7 +61,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from . import common
 from .textops import U, Words, mix, numbers, slices
 
 SHINGLE = 3
@@ -71,6 +71,11 @@ CHUNK = 1 << 19
 SPREAD = 64
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Many rounds of shuffles follow each other, so each one's files go at once."""
+    return common.cut(df, drop_shuffles=True)
+
+
 def shingle_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of texts whose words have hashes ``h``, and each text's first one.
 

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from partsnap.llm import exact_dedup, mixing, sharding
+from partsnap.llm import common, exact_dedup, mixing, sharding
 
 
 def test_targets_reshare_until_none_is_above(spark):
@@ -139,3 +139,11 @@ def test_rows_without_ids_do_not_share_a_slice(spark):
     docs = spark.range(2000).selectExpr("cast(null as long) doc_id", "concat('word ', id) text", "'a' source")
     rows = mixing.mix(docs).collect()
     assert sum(r.taken for r in rows) == 4000 and len(rows) == 2000
+
+
+def test_cut_drops_the_shuffles_behind_it_and_leaves_the_setting(spark):
+    before = spark.conf.get(common.DROP_SHUFFLES)
+    rows = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    kept, dropped = common.cut(rows), common.cut(rows, drop_shuffles=True)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, dropped.collect())) == sorted(map(tuple, rows.collect()))
+    assert spark.conf.get(common.DROP_SHUFFLES) == before
