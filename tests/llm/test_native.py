@@ -141,7 +141,7 @@ def test_rows_without_ids_do_not_share_a_slice(spark):
     assert sum(r.taken for r in rows) == 4000 and len(rows) == 2000
 
 
-def test_cut_drops_the_shuffles_behind_it_and_leaves_the_setting(spark):
+def test_cut_that_drops_shuffles_has_the_same_rows_and_leaves_the_setting(spark):
     before = spark.conf.get(common.DROP_SHUFFLES)
     rows = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
     kept, dropped = common.cut(rows), common.cut(rows, drop_shuffles=True)
